@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 DEFAULT_BUCKETS = 64
+# A partition proven to hold at most this many rows is ranked with a plain
+# window (one task per partition value is then a bounded amount of work).
+PLAIN_WINDOW_MAX_ROWS = 2_000_000
 
 
 def _null_safe_on(left: DataFrame, right: DataFrame, pairs):
@@ -38,13 +41,21 @@ def _null_safe_on(left: DataFrame, right: DataFrame, pairs):
 
 
 def rank_desc(df: DataFrame, partition_cols: Sequence[str], value_col: str,
-              out_col: str = "rank", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Add ``out_col`` = ``rank()`` over ``partition_cols`` ordered by ``value_col`` desc."""
+              out_col: str = "rank", buckets: int = DEFAULT_BUCKETS,
+              partition_rows_bound: int | None = None) -> DataFrame:
+    """Add ``out_col`` = ``rank()`` over ``partition_cols`` ordered by ``value_col`` desc.
+
+    ``partition_rows_bound`` is a proven upper bound of the rows sharing one
+    partition value (e.g. a season holds at most one row per driver, so the
+    measured size of the drivers dimension bounds it).  Within
+    ``PLAIN_WINDOW_MAX_ROWS`` the plain window is used; without a bound, or
+    beyond it, the bucketed form spreads one partition value over many tasks.
+    """
     p = list(partition_cols)
     v = value_col
-    if not isinstance(df.schema[v].dataType, NumericType):
-        w = Window.partitionBy(*p).orderBy(F.col(v).desc_nulls_last())
-        return df.withColumn(out_col, F.rank().over(w))
+    small = partition_rows_bound is not None and partition_rows_bound <= PLAIN_WINDOW_MAX_ROWS
+    if small or not isinstance(df.schema[v].dataType, NumericType):
+        return rank_desc_window(df, p, v, out_col)
 
     pv = [f"__p{i}" for i in range(len(p))]
     vals = (df.groupBy(*p, v).agg(F.count(F.lit(1)).alias("__n"))

@@ -33,10 +33,10 @@ def _bigint(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("bigint") for c in cols})
 
 
-def _race_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _race_results(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
     s = roles.silver_frames(spark, sf_dir)
     return gold.race_results(s["results"], s["races"], s["circuits"], s["drivers"],
-                             s["constructors"], stamp=False)
+                             s["constructors"], stamp=False), s
 
 
 # --- shared oracle pieces ---------------------------------------------------
@@ -97,7 +97,8 @@ FROM race_results
 GROUP BY race_year, driver_nationality, driver_name
 """)
 def driver_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bigint(gold.driver_standings(_race_results(spark, sf_dir), stamp=False),
+    rr, s = _race_results(spark, sf_dir)
+    return _bigint(gold.driver_standings(rr, stamp=False, drivers=s["drivers"]),
                    "race_year", "rank")
 
 
@@ -111,7 +112,8 @@ FROM race_results
 GROUP BY race_year, team
 """)
 def constructor_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bigint(gold.constructor_standings(_race_results(spark, sf_dir), stamp=False),
+    rr, s = _race_results(spark, sf_dir)
+    return _bigint(gold.constructor_standings(rr, stamp=False, constructors=s["constructors"]),
                    "race_year", "rank")
 
 
@@ -122,4 +124,4 @@ SELECT CAST(race_year AS BIGINT) AS race_year, race_name, race_date, circuit_loc
 FROM race_results
 """)
 def race_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bigint(_race_results(spark, sf_dir), "race_year")
+    return _bigint(_race_results(spark, sf_dir)[0], "race_year")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lapmart.functions.columns import count_wins
 from lapmart.operators.dedup import latest_by
-from lapmart.operators.joins import star_join_race_results
+from lapmart.operators.joins import probe_size, star_join_race_results
 from lapmart.operators.ranking import rank_desc
 from lapmart.schemas import GOLD_PROCESSED_AT, GOLD_RACE_RESULTS_KEYS
 
@@ -38,23 +38,99 @@ def race_results(results: DataFrame, races: DataFrame, circuits: DataFrame,
 
 
 def season_standings(race_results_df: DataFrame, group_cols: tuple[str, ...],
-                     stamp: bool = True) -> DataFrame:
-    """Points and wins per group and season, ranked within the season."""
+                     stamp: bool = True, season_rows_bound: int | None = None) -> DataFrame:
+    """Points and wins per group and season, ranked within the season.
+
+    ``season_rows_bound``: proven bound of standings rows per season (the
+    measured size of the dimension that supplies the group key); lets the
+    rank use a plain window when a season is provably small.
+    """
     agg = race_results_df.groupBy(*group_cols).agg(
         F.sum("points").alias("total_points"),
         count_wins("race_position").alias("number_of_wins"),
     )
-    out = rank_desc(agg, ["race_year"], "total_points", out_col="rank")
+    out = rank_desc(agg, ["race_year"], "total_points", out_col="rank",
+                    partition_rows_bound=season_rows_bound)
     out = out.select(*group_cols, "total_points", "number_of_wins", "rank")
     if stamp:
         out = out.withColumn(GOLD_PROCESSED_AT, F.current_timestamp())
     return out
 
 
-def driver_standings(race_results_df: DataFrame, stamp: bool = True) -> DataFrame:
+def driver_standings(race_results_df: DataFrame, stamp: bool = True,
+                     drivers: DataFrame | None = None) -> DataFrame:
+    """Driver standings; pass the drivers dimension to bound a season's size."""
+    bound = probe_size(drivers.select("driver_id")).rows if drivers is not None else None
     return season_standings(race_results_df, ("race_year", "driver_nationality", "driver_name"),
-                            stamp)
+                            stamp, bound)
+
+
+def constructor_standings(race_results_df: DataFrame, stamp: bool = True,
+                          constructors: DataFrame | None = None) -> DataFrame:
+    """Constructor standings; pass the constructors dimension to bound a season."""
+    bound = (probe_size(constructors.select("constructor_id")).rows
+             if constructors is not None else None)
+    return season_standings(race_results_df, ("race_year", "team"), stamp, bound)
+
+
+# --------------------------------------------------------------------------- pipeline
+
+def _publish_path_and_table(spark, df: DataFrame, gold_root: str, name: str,
+                            keys, update, table_name: str | None) -> tuple[str, str]:
+    """Path copy = this run's result (SNK-04/05); table copy = upsert of it
+    into the previous table version with the dataset's update list (SNK-12)."""
+    from lapmart.operators.upsert import upsert_columns
+    from lapmart.sinks import tables
+
+    root = gold_root.rstrip("/")
+    path_version = tables.publish(spark, df, f"{root}/{name}")
+    fresh = spark.read.parquet(path_version)
+    tbase = f"{root}/_tables/{name}"
+    if tables.table_exists(spark, tbase):
+        merged = upsert_columns(tables.read_current(spark, tbase), fresh, keys, update)
+    else:
+        merged = fresh
+    table_version = tables.publish(spark, merged, tbase, table_name=table_name)
+    return path_version, table_version
+
+
+def build_gold(spark, silver_root: str, gold_root: str, database: str | None = None) -> dict:
+    """DS-G1..3 in the reference's order; standings read race results' path copy."""
+    from lapmart.plans.silver import read_silver
+    from lapmart.schemas import (
+        GOLD_CONSTRUCTOR_STANDINGS_KEYS,
+        GOLD_CONSTRUCTOR_STANDINGS_UPDATE,
+        GOLD_DRIVER_STANDINGS_KEYS,
+        GOLD_DRIVER_STANDINGS_UPDATE,
+        GOLD_RACE_RESULTS_UPDATE,
+    )
+    from lapmart.sinks import tables
+
+    if database:
+        tables.create_database(spark, database)
+
+    def tname(n):
+        return f"`{database}`.`{n}`" if database else None
+
+    s = {e: read_silver(spark, silver_root, e)
+         for e in ("results", "races", "circuits", "drivers", "constructors")}
+    rr = race_results(s["results"], s["races"], s["circuits"], s["drivers"], s["constructors"])
+    out = {"race_results": _publish_path_and_table(
+        spark, rr, gold_root, "race_results", GOLD_RACE_RESULTS_KEYS,
+        GOLD_RACE_RESULTS_UPDATE, tname("race_results"))}
+    rr_path = spark.read.parquet(out["race_results"][0])
+    ds = driver_standings(rr_path, drivers=s["drivers"])
+    out["driver_standings"] = _publish_path_and_table(
+        spark, ds, gold_root, "driver_standings", GOLD_DRIVER_STANDINGS_KEYS,
+        GOLD_DRIVER_STANDINGS_UPDATE, tname("driver_standings"))
+    cs = constructor_standings(rr_path, constructors=s["constructors"])
+    out["constructor_standings"] = _publish_path_and_table(
+        spark, cs, gold_root, "constructor_standings", GOLD_CONSTRUCTOR_STANDINGS_KEYS,
+        GOLD_CONSTRUCTOR_STANDINGS_UPDATE, tname("constructor_standings"))
+    return out
 
 
-def constructor_standings(race_results_df: DataFrame, stamp: bool = True) -> DataFrame:
-    return season_standings(race_results_df, ("race_year", "team"), stamp)
+def read_gold(spark, gold_root: str, name: str, table: bool = False) -> DataFrame:
+    from lapmart.sinks import tables
+    root = gold_root.rstrip("/")
+    return tables.read_current(spark, f"{root}/_tables/{name}" if table else f"{root}/{name}")

@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "lapmart") -> SparkSession:
+                  app_name: str = "lapmart", extra_conf: dict | None = None) -> SparkSession:
     """A local session configured the way the tests and bench expect.
 
     * AQE on (coalescing, skew-join splitting, runtime broadcast of
@@ -25,8 +25,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
       the materialised side.
     * UI off: no server is started.
     """
+    builder = SparkSession.builder
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
