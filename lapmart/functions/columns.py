@@ -20,10 +20,13 @@ def snapshot_version(raw_root: str) -> Column:
     glob scan over every snapshot replaces a driver-side folder loop.
     """
     root = raw_root.rstrip("/")
-    # file paths come back as URIs (file:/..., s3a://...), so match the
-    # root's last segment followed by the folder name.
-    tail = root.rsplit("/", 1)[-1]
-    pattern = "/" + _regex_escape(tail) + "/([^/]+)/"
+    # file paths come back as URIs (file:/..., s3a://bucket/...): match the
+    # root's path component, then take the next segment.
+    if "://" in root:
+        root = "/" + root.split("://", 1)[1].split("/", 1)[-1]
+    elif root.startswith("file:"):
+        root = root[len("file:"):]
+    pattern = _regex_escape(root.rstrip("/")) + "/([^/]+)/"
     return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
 
 

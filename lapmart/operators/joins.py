@@ -47,8 +47,7 @@ def _width(dt, c: Column) -> Column:
     if isinstance(dt, DecimalType) and dt.precision > 18:
         return F.lit(24)
     if isinstance(dt, (ArrayType, MapType, StructType)):
-        return F.coalesce(F.octet_length(F.to_json(c) if not isinstance(dt, StructType)
-                                         else F.to_json(c)), F.lit(0)) + F.lit(16)
+        return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) + F.lit(16)
     return F.lit(8)
 
 
@@ -91,6 +90,20 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
     return df
 
 
+def race_circuits(races: DataFrame, circuits: DataFrame) -> DataFrame:
+    """JN-01: races joined with their circuit (inner; races without a circuit drop)."""
+    race = races.select(
+        F.col("race_id"), F.col("race_year"), F.col("name").alias("race_name"),
+        F.col("race_timestamp").alias("race_date"), F.col("circuit_id"))
+    circ = circuits.select(F.col("circuit_id").alias("c_circuit_id"),
+                           F.col("location").alias("circuit_location"),
+                           F.col("country").alias("circuit_country"))
+    return race.join(broadcast_if_bounded(circ), race["circuit_id"] == circ["c_circuit_id"],
+                     "inner") \
+        .select("race_id", "race_year", "race_name", "race_date",
+                "circuit_location", "circuit_country")
+
+
 def star_join_race_results(results: DataFrame, races: DataFrame, circuits: DataFrame,
                            drivers: DataFrame, constructors: DataFrame,
                            extra_result_cols: tuple[str, ...] = ()) -> DataFrame:
@@ -100,16 +113,7 @@ def star_join_race_results(results: DataFrame, races: DataFrame, circuits: DataF
     columns the result needs before its size is probed, so the probe and
     the broadcast see the pruned width.
     """
-    race = races.select(
-        F.col("race_id"), F.col("race_year"), F.col("name").alias("race_name"),
-        F.col("race_timestamp").alias("race_date"), F.col("circuit_id"))
-    circ = circuits.select(F.col("circuit_id").alias("c_circuit_id"),
-                           F.col("location").alias("circuit_location"),
-                           F.col("country").alias("circuit_country"))
-    race_circuits = race.join(broadcast_if_bounded(circ),
-                              race["circuit_id"] == circ["c_circuit_id"], "inner") \
-        .select("race_id", "race_year", "race_name", "race_date",
-                "circuit_location", "circuit_country")
+    rc_all = race_circuits(races, circuits)
     drv = drivers.select(F.col("driver_id"), F.col("name").alias("driver_name"),
                          F.col("number").alias("driver_number"),
                          F.col("nationality").alias("driver_nationality"))
@@ -127,7 +131,7 @@ def star_join_race_results(results: DataFrame, races: DataFrame, circuits: DataF
         .join(broadcast_if_bounded(con), res["result_constructor_id"] == con["constructor_id"],
               "inner")
     )
-    rc = broadcast_if_bounded(race_circuits)
+    rc = broadcast_if_bounded(rc_all)
     joined = joined.join(rc, joined["result_race_id"] == rc["race_id"], "inner")
     return joined.select(
         "race_year", "race_name", "race_date", "circuit_location", "circuit_country",

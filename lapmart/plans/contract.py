@@ -125,3 +125,219 @@ FROM race_results
 """)
 def race_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bigint(_race_results(spark, sf_dir)[0], "race_year")
+
+
+# --- joins, dedup, quality ---------------------------------------------------
+
+from lapmart.functions.columns import full_name, race_timestamp  # noqa: E402
+from lapmart.operators.dedup import latest_by, latest_by_version  # noqa: E402
+from lapmart.operators.joins import race_circuits as _race_circuits  # noqa: E402
+from lapmart.operators.quality import null_key_counts  # noqa: E402
+from lapmart.operators.upsert import upsert_all, upsert_columns  # noqa: E402
+
+
+@query("race_circuits", """
+SELECT o_orderkey AS race_id, CAST(year(o_orderdate) AS BIGINT) AS race_year,
+       'Order#' || CAST(o_orderkey AS VARCHAR) AS race_name, o_orderdate AS race_date,
+       c_mktsegment AS circuit_location, n_name AS circuit_country
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+""")
+def race_circuits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bigint(_race_circuits(roles.races(spark, sf_dir), roles.circuits(spark, sf_dir)),
+                   "race_year")
+
+
+_SQL_RESULTS = """
+results AS (
+  SELECT l_orderkey * 10 + l_linenumber AS result_id, l_orderkey AS race_id,
+         l_suppkey AS driver_id, l_partkey AS constructor_id, l_linenumber AS number,
+         l_linenumber AS grid, l_linenumber AS position,
+         CAST(l_linenumber AS VARCHAR) AS position_text, l_linenumber AS position_order,
+         l_quantity AS points, CAST(l_quantity AS INTEGER) AS laps,
+         l_returnflag || l_linestatus AS time, CAST(l_quantity AS INTEGER) AS fastest_lap,
+         strftime(l_shipdate, '%Y-%m-%d') AS file_date, l_returnflag
+  FROM lineitem)"""
+
+_RESULT_ORDER = """file_date DESC NULLS LAST, race_id ASC NULLS FIRST,
+      driver_id ASC NULLS FIRST, constructor_id ASC NULLS FIRST, number ASC NULLS FIRST,
+      grid ASC NULLS FIRST, position ASC NULLS FIRST, position_text ASC NULLS FIRST,
+      position_order ASC NULLS FIRST, points ASC NULLS FIRST, laps ASC NULLS FIRST,
+      time ASC NULLS FIRST, fastest_lap ASC NULLS FIRST"""
+
+_RESULT_COLS = """result_id, race_id, driver_id, constructor_id, number, grid, position,
+       position_text, position_order, points, laps, time, fastest_lap, file_date"""
+
+
+def _latest_sql(src: str, where: str = "TRUE") -> str:
+    return f"""(SELECT {_RESULT_COLS} FROM (
+      SELECT *, row_number() OVER (PARTITION BY result_id ORDER BY {_RESULT_ORDER}) AS rn
+      FROM {src} WHERE {where}) WHERE rn = 1)"""
+
+
+@query("latest_result_by_snapshot", f"WITH {_SQL_RESULTS}\nSELECT * FROM "
+       + _latest_sql("results"))
+def latest_result_by_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-01: newest row per result_id by snapshot folder, full-row tie-break."""
+    return latest_by_version(roles.results(spark, sf_dir), ["result_id"])
+
+
+@query("latest_event_per_user", """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id
+                               ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
+  FROM events) WHERE rn = 1
+""")
+def latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-02: newest row per key by load time (``ts`` plays ``ingestion_date``)."""
+    ev = roles.table(spark, sf_dir, "events")
+    return latest_by(ev, ["user_id"], [F.col("ts").desc_nulls_last(),
+                                       F.col("event_id").desc_nulls_last()], [])
+
+
+@query("dq_null_keys", """
+SELECT 'results' AS entity, COUNT(*) AS n_rows,
+       COUNT(*) FILTER (WHERE l_orderkey IS NULL OR l_linenumber IS NULL) AS null_key_rows
+FROM lineitem
+UNION ALL
+SELECT 'races', COUNT(*), COUNT(*) FILTER (WHERE o_orderkey IS NULL OR o_orderdate IS NULL
+                                           OR o_custkey IS NULL) FROM orders
+UNION ALL
+SELECT 'circuits', COUNT(*), COUNT(*) FILTER (WHERE c_custkey IS NULL)
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+UNION ALL
+SELECT 'drivers', COUNT(*), COUNT(*) FILTER (WHERE s_suppkey IS NULL)
+FROM supplier JOIN nation ON s_nationkey = n_nationkey
+UNION ALL
+SELECT 'constructors', COUNT(*), COUNT(*) FILTER (WHERE p_partkey IS NULL) FROM part
+""")
+def dq_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-03..05 / AGG-05: rows and NULL-key rows per entity (the silver gates)."""
+    s = roles.silver_frames(spark, sf_dir)
+    gates = {"results": ["result_id"], "races": ["race_id", "race_year", "circuit_id"],
+             "circuits": ["circuit_id"], "drivers": ["driver_id"],
+             "constructors": ["constructor_id"]}
+    out = None
+    for name, cols in gates.items():
+        part = null_key_counts(s[name], cols, label=name)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# --- upserts -------------------------------------------------------------------
+# Target = newest rows of the regular deliveries, source = newest rows of the
+# corrections (returned items, flag 'R'); together they are the whole table.
+
+def _results_split(spark: SparkSession, sf_dir: str):
+    res = roles.results(spark, sf_dir)
+    flag = F.col("time").substr(1, 1)          # time = returnflag || linestatus
+    target = latest_by_version(res.where(flag != "R"), ["result_id"])
+    source = latest_by_version(res.where(flag == "R"), ["result_id"])
+    return target, source
+
+
+_SQL_SPLIT = f"""WITH {_SQL_RESULTS},
+tgt AS {_latest_sql("results", "l_returnflag <> 'R'")},
+src AS {_latest_sql("results", "l_returnflag = 'R'")}
+"""
+
+
+@query("upsert_single_key", _SQL_SPLIT + """
+SELECT * FROM tgt WHERE NOT EXISTS (SELECT 1 FROM src WHERE src.result_id = tgt.result_id)
+UNION ALL
+SELECT * FROM src
+""")
+def upsert_single_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-10: MATCHED → UPDATE SET *, NOT MATCHED → INSERT * on one key."""
+    target, source = _results_split(spark, sf_dir)
+    return upsert_all(target, source, ["result_id"])
+
+
+_LAPS = """laps AS (
+  SELECT l_orderkey AS race_id, l_suppkey AS driver_id, l_linenumber AS lap,
+         l_partkey AS position, l_returnflag || l_linestatus AS time,
+         l_extendedprice AS milliseconds, strftime(l_shipdate, '%Y-%m-%d') AS file_date,
+         l_linestatus
+  FROM lineitem)"""
+_LAP_ORDER = """file_date DESC NULLS LAST, position ASC NULLS FIRST, time ASC NULLS FIRST,
+      milliseconds ASC NULLS FIRST"""
+
+
+def _laps_latest(where: str) -> str:
+    return f"""(SELECT race_id, driver_id, lap, position, time, milliseconds, file_date FROM (
+      SELECT *, row_number() OVER (PARTITION BY race_id, driver_id, lap
+                                   ORDER BY {_LAP_ORDER}) AS rn
+      FROM laps WHERE {where}) WHERE rn = 1)"""
+
+
+@query("upsert_composite_key", f"""WITH {_LAPS},
+tgt AS {_laps_latest("l_linestatus = 'F'")},
+src AS {_laps_latest("l_linestatus = 'O'")}
+SELECT * FROM tgt WHERE NOT EXISTS (
+  SELECT 1 FROM src WHERE src.race_id = tgt.race_id AND src.driver_id = tgt.driver_id
+                      AND src.lap = tgt.lap)
+UNION ALL
+SELECT * FROM src
+""")
+def upsert_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-11: the same on a three-column key (race, driver, lap)."""
+    li = roles.table(spark, sf_dir, "lineitem")
+    laps = li.select(
+        F.col("l_orderkey").alias("race_id"), F.col("l_suppkey").alias("driver_id"),
+        F.col("l_linenumber").alias("lap"), F.col("l_partkey").alias("position"),
+        F.concat("l_returnflag", "l_linestatus").alias("time"),
+        F.col("l_extendedprice").alias("milliseconds"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("file_date"), "l_linestatus")
+    keys = ["race_id", "driver_id", "lap"]
+    t = latest_by_version(laps.where(F.col("l_linestatus") == "F").drop("l_linestatus"), keys)
+    s = latest_by_version(laps.where(F.col("l_linestatus") == "O").drop("l_linestatus"), keys)
+    return upsert_all(t, s, keys)
+
+
+_UPDATE_LIST = ("race_id", "driver_id", "constructor_id", "number", "grid", "position",
+                "position_text", "position_order", "laps", "time", "fastest_lap", "file_date")
+
+
+@query("upsert_update_list", _SQL_SPLIT + """
+SELECT COALESCE(t.result_id, s.result_id) AS result_id,
+""" + ",\n".join(
+    f"       CASE WHEN t.result_id IS NULL OR s.result_id IS NOT NULL THEN s.{c} "
+    f"ELSE t.{c} END AS {c}" for c in _UPDATE_LIST) + """,
+       CASE WHEN t.result_id IS NULL THEN s.points ELSE t.points END AS points
+FROM tgt t FULL OUTER JOIN src s ON t.result_id = s.result_id
+""")
+def upsert_update_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-12: matched rows take only the listed columns (``points`` is left out)."""
+    target, source = _results_split(spark, sf_dir)
+    return upsert_columns(target, source, ["result_id"], _UPDATE_LIST)
+
+
+# --- scalar functions -------------------------------------------------------------
+
+@query("conditional_timestamp", """
+SELECT o_orderkey AS race_id,
+       strftime(o_orderdate, '%Y-%m-%d') AS race_date_text,
+       t AS race_time_text,
+       try_strptime(strftime(o_orderdate, '%Y-%m-%d') || ' ' || t, '%Y-%m-%d %H:%M:%S')
+         AS race_timestamp,
+       o_orderstatus || ' ' || CASE WHEN o_orderpriority = '5-LOW' THEN NULL
+                                    ELSE o_orderpriority END AS label
+FROM (SELECT *, CASE WHEN o_orderpriority = '2-HIGH' THEN '\\N'
+                     WHEN o_orderpriority = '3-MEDIUM' THEN ''
+                     WHEN o_orderpriority = '5-LOW' THEN '25:00:00'
+                     ELSE lpad(CAST(o_custkey % 24 AS VARCHAR), 2, '0') || ':' ||
+                          lpad(CAST(o_orderkey % 60 AS VARCHAR), 2, '0') || ':00' END AS t
+      FROM orders)
+""")
+def conditional_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCL-01/02: ``concat`` (NULL-propagating) and ``try_to_timestamp`` (NULL on mismatch)."""
+    o = roles.table(spark, sf_dir, "orders")
+    date = F.date_format("o_orderdate", "yyyy-MM-dd")
+    t = roles.race_time_text(F.col("o_orderpriority"), F.col("o_custkey"), F.col("o_orderkey"))
+    return o.select(
+        F.col("o_orderkey").alias("race_id"), date.alias("race_date_text"),
+        t.alias("race_time_text"),
+        race_timestamp(date, t).cast("timestamp_ntz").alias("race_timestamp"),
+        full_name(F.col("o_orderstatus"),
+                  F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")))
+        .alias("label"),
+    )

@@ -122,3 +122,75 @@ def silver_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "drivers": drivers(spark, sf_dir),
         "constructors": constructors(spark, sf_dir),
     }
+
+
+# --------------------------------------------------------------------------- raw-shaped
+# Driver tables rendered in the raw snapshot layout (camelCase columns as in
+# the raw files, plus the snapshot folder).  Used by the scan and incremental
+# queries: write them as raw folders, read them back with the declared schema.
+
+def race_time_text(priority, custkey, orderkey):
+    """A race start time as raw text; some priorities give unparseable text."""
+    hh = F.lpad((custkey % 24).cast("string"), 2, "0")
+    mm = F.lpad((orderkey % 60).cast("string"), 2, "0")
+    return (F.when(priority == "2-HIGH", F.lit("\\N"))
+            .when(priority == "3-MEDIUM", F.lit(""))
+            .when(priority == "5-LOW", F.lit("25:00:00"))
+            .otherwise(F.concat(hh, F.lit(":"), mm, F.lit(":00"))))
+
+
+def raw_races(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        F.col("o_orderkey").alias("raceId"), F.year("o_orderdate").alias("year"),
+        F.month("o_orderdate").alias("round"), F.col("o_custkey").alias("circuitId"),
+        F.concat(F.lit("Order#"), F.col("o_orderkey").cast("string")).alias("name"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        race_time_text(F.col("o_orderpriority"), F.col("o_custkey"), F.col("o_orderkey"))
+        .alias("time"),
+        F.col("o_orderpriority").alias("url"),
+        F.concat(F.year("o_orderdate").cast("string"), F.lit("-12-31")).alias("folder"),
+    )
+
+
+def raw_laptimes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_orderkey").alias("raceId"), F.col("l_suppkey").alias("driverId"),
+        F.col("l_linenumber").alias("lap"), F.col("l_partkey").alias("position"),
+        F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("time"),
+        (F.col("l_quantity").cast("int") * 1000).alias("milliseconds"),
+        F.concat(F.year("l_shipdate").cast("string"), F.lit("-12-31")).alias("folder"),
+    )
+
+
+def raw_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier")
+    n = broadcast_if_bounded(table(spark, sf_dir, "nation").select("n_nationkey", "n_name",
+                                                                   "n_regionkey"))
+    r = broadcast_if_bounded(table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
+    j = s.join(n, s["s_nationkey"] == n["n_nationkey"]).join(r, F.col("n_regionkey") ==
+                                                              r["r_regionkey"])
+    return j.select(
+        F.col("s_suppkey").alias("driverId"), F.lower("s_name").alias("driverRef"),
+        F.struct(F.col("s_name").alias("forename"), F.col("n_name").alias("surname"))
+        .alias("name"),
+        F.col("s_nationkey").alias("number"),
+        F.when(F.col("s_acctbal") >= 0, F.concat(F.lit("C"), F.col("s_nationkey").cast("string")))
+        .alias("code"),
+        F.lit("1990-01-01").alias("dob"), F.col("n_name").alias("nationality"),
+        F.lit("u").alias("url"), F.col("r_name").alias("folder"),
+    )
+
+
+def raw_qualifying(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        F.col("o_orderkey").alias("qualifyId"), F.col("o_orderkey").alias("raceId"),
+        F.col("o_custkey").alias("driverId"), F.lit(None).cast("int").alias("constructorId"),
+        F.month("o_orderdate").alias("number"), F.dayofmonth("o_orderdate").alias("position"),
+        F.col("o_orderstatus").alias("q1"), F.col("o_orderpriority").alias("q2"),
+        F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).alias("q3"),
+        F.concat(F.year("o_orderdate").cast("string"), F.lit("-12-31")).alias("folder"),
+        F.floor(F.col("o_orderkey") / 500).alias("chunk"),
+    )

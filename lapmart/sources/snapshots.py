@@ -64,4 +64,4 @@ def read_snapshots(spark: SparkSession, raw_root: str, entity: str | EntitySpec,
     if not fs.snapshot_folders_with(spark, root, spec.path):
         return spark.createDataFrame([], spec.schema).withColumn(FILE_DATE, F.lit(None).cast("string"))
     df = reader.csv(path) if spec.fmt == "csv" else reader.json(path)
-    return df.withColumn(FILE_DATE, snapshot_version(root))
+    return df.withColumn(FILE_DATE, snapshot_version(fs.qualify(spark, root)))
