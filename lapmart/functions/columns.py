@@ -27,7 +27,9 @@ def snapshot_version(raw_root: str) -> Column:
     elif root.startswith("file:"):
         root = root[len("file:"):]
     pattern = _regex_escape(root.rstrip("/")) + "/([^/]+)/"
-    return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+    # the path is URI-encoded (a space is %20); keep a literal '+' as is
+    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return F.regexp_extract(decoded, pattern, 1)
 
 
 def _regex_escape(s: str) -> str:

@@ -341,3 +341,264 @@ def conditional_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")))
         .alias("label"),
     )
+
+
+# --- raw snapshot scans -------------------------------------------------------
+# Each query renders a driver table in the raw layout below a fresh folder in
+# the shared checkpoint directory, then reads it back through the bronze
+# readers (declared schema, one glob scan, folder → file_date).
+
+from lapmart.plans import bronze as _bronze  # noqa: E402
+from lapmart.sources.rawfiles import scratch_dir, write_snapshots  # noqa: E402
+
+
+def _scan(spark: SparkSession, raw: DataFrame, entity: str, rel: str, fmt: str,
+          header: bool = False, chunk: str | None = None) -> DataFrame:
+    root = scratch_dir(spark, f"raw-{entity}") + "/raw"
+    write_snapshots(raw, root, rel, fmt, "folder", header=header, multiline_chunk_col=chunk)
+    return _bronze.bronze_frame(spark, root, entity).drop("ingestion_date")
+
+
+_SQL_TIME = """CASE WHEN o_orderpriority = '2-HIGH' THEN '\\N'
+                     WHEN o_orderpriority = '3-MEDIUM' THEN ''
+                     WHEN o_orderpriority = '5-LOW' THEN '25:00:00'
+                     ELSE lpad(CAST(o_custkey % 24 AS VARCHAR), 2, '0') || ':' ||
+                          lpad(CAST(o_orderkey % 60 AS VARCHAR), 2, '0') || ':00' END"""
+
+
+@query("csv_header_scan", f"""
+SELECT CAST(o_orderkey AS INTEGER) AS race_id, CAST(year(o_orderdate) AS INTEGER) AS race_year,
+       CAST(month(o_orderdate) AS INTEGER) AS round, CAST(o_custkey AS INTEGER) AS circuit_id,
+       'Order#' || CAST(o_orderkey AS VARCHAR) AS name,
+       try_strptime(strftime(o_orderdate, '%Y-%m-%d') || ' ' || {_SQL_TIME},
+                    '%Y-%m-%d %H:%M:%S') AS race_timestamp,
+       CAST(year(o_orderdate) AS VARCHAR) || '-12-31' AS file_date
+FROM orders
+""")
+def csv_header_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-01/02/07 + SCL-02: CSV with header, positional schema, time parsing."""
+    df = _scan(spark, roles.raw_races(spark, sf_dir), "races", "races.csv", "csv", header=True)
+    return df.withColumn("race_timestamp", F.col("race_timestamp").cast("timestamp_ntz"))
+
+
+@query("csv_glob_scan", """
+SELECT CAST(l_orderkey AS INTEGER) AS race_id, CAST(l_suppkey AS INTEGER) AS driver_id,
+       l_linenumber AS lap, CAST(l_partkey AS INTEGER) AS position,
+       l_returnflag || l_linestatus AS time, CAST(l_quantity AS INTEGER) * 1000 AS milliseconds,
+       CAST(year(l_shipdate) AS VARCHAR) || '-12-31' AS file_date
+FROM lineitem
+""")
+def csv_glob_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-03: header-less CSV split files matched by a glob in every folder."""
+    return _scan(spark, roles.raw_laptimes(spark, sf_dir), "laptimes",
+                 "lap_times/lap_times_split*.csv", "csv")
+
+
+@query("json_lines_nested_scan", """
+SELECT CAST(s_suppkey AS INTEGER) AS driver_id, lower(s_name) AS driver_ref,
+       s_nationkey AS number,
+       CASE WHEN s_acctbal >= 0 THEN 'C' || CAST(s_nationkey AS VARCHAR) END AS code,
+       s_name || ' ' || n_name AS name, '1990-01-01' AS dob, n_name AS nationality,
+       r_name AS file_date
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+""")
+def json_lines_nested_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-05 + PRJ-06/07 + SCL-01: JSON Lines with a nested name struct."""
+    return _scan(spark, roles.raw_drivers(spark, sf_dir), "drivers", "drivers.json", "json")
+
+
+@query("json_multiline_scan", """
+SELECT CAST(o_orderkey AS INTEGER) AS qualify_id, CAST(o_orderkey AS INTEGER) AS race_id,
+       CAST(o_custkey AS INTEGER) AS driver_id, CAST(o_custkey % 100 AS INTEGER) AS constructor_id,
+       CAST(month(o_orderdate) AS INTEGER) AS number,
+       CAST(day(o_orderdate) AS INTEGER) AS position,
+       o_orderstatus AS q1, o_orderpriority AS q2,
+       CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END AS q3,
+       CAST(year(o_orderdate) AS VARCHAR) || '-12-31' AS file_date
+FROM orders
+""")
+def json_multiline_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-06: whole-file JSON arrays spread over several lines, matched by a glob."""
+    return _scan(spark, roles.raw_qualifying(spark, sf_dir), "qualifying",
+                 "qualifying/qualifying_split*.json", "json", chunk="chunk")
+
+
+# --- sinks: round trips through storage ------------------------------------------
+
+import uuid as _uuid  # noqa: E402
+
+from lapmart.sinks import tables as _tables  # noqa: E402
+
+_RESULT_NAMES = ["result_id", "race_id", "driver_id", "constructor_id", "number", "grid",
+                 "position", "position_text", "position_order", "points", "laps", "time",
+                 "fastest_lap", "file_date"]
+
+
+@query("append_evolve", f"""WITH {_SQL_RESULTS}
+SELECT result_id, race_id, driver_id, constructor_id, number, grid, position, position_text,
+       position_order, CASE WHEN l_returnflag = 'R' THEN points END AS points, laps, time,
+       fastest_lap, file_date
+FROM results
+""")
+def append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-01/02: two appends to one path, the second adds a column (``points``);
+    the merged-schema read gives the earlier rows NULL there."""
+    path = scratch_dir(spark, "append") + "/results"
+    res = roles.results(spark, sf_dir)
+    flag = F.col("time").substr(1, 1)
+    _tables.append(res.where(flag != "R").drop("points"), path)
+    _tables.append(res.where(flag == "R"), path)
+    return _tables.read_appended(spark, path).select(*_RESULT_NAMES)
+
+
+@query("overwrite_publish", _SQL_SPLIT + """
+SELECT * FROM tgt WHERE NOT EXISTS (SELECT 1 FROM src WHERE src.result_id = tgt.result_id)
+UNION ALL
+SELECT * FROM src
+""")
+def overwrite_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-13/14 + SNK-10 through storage: publish v1, upsert reading v1 while
+    writing v2, read the current version."""
+    base = scratch_dir(spark, "publish") + "/results"
+    target, source = _results_split(spark, sf_dir)
+    assert not _tables.table_exists(spark, base)
+    _tables.publish(spark, target, base)
+    merged = upsert_all(_tables.read_current(spark, base), source, ["result_id"])
+    _tables.publish(spark, merged, base)
+    return _tables.read_current(spark, base).select(*_RESULT_NAMES)
+
+
+@query("ctas_once", """
+SELECT p_partkey AS constructor_id, p_name AS constructor_ref, p_brand AS name,
+       p_type AS nationality
+FROM part
+""")
+def ctas_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-06/15 + SRC-09/10/11: CREATE TABLE IF NOT EXISTS … AS SELECT from a
+    path; a second CTAS from a changed path leaves the table as it was."""
+    root = scratch_dir(spark, "ctas")
+    db = "lapmart_" + _uuid.uuid4().hex[:10]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/db'")
+    cons = roles.constructors(spark, sf_dir)
+    _tables.overwrite(cons, f"{root}/v1")
+    _tables.create_table_once_as(spark, f"{db}.constructors", f"{root}/v1")
+    _tables.overwrite(cons.withColumn("name", F.upper("name")), f"{root}/v2")
+    _tables.create_table_once_as(spark, f"{db}.constructors", f"{root}/v2")
+    described = [r["col_name"] for r in _tables.describe(spark, f"{db}.constructors").collect()]
+    assert described[:4] == ["constructor_id", "constructor_ref", "name", "nationality"]
+    return spark.table(f"{db}.constructors")
+
+
+@query("partitioned_clustered", """
+SELECT o_orderkey AS race_id, CAST(month(o_orderdate) AS INTEGER) AS round,
+       o_custkey AS circuit_id, 'Order#' || CAST(o_orderkey AS VARCHAR) AS name,
+       o_orderdate AS race_timestamp, CAST(year(o_orderdate) AS BIGINT) AS race_year
+FROM orders
+""")
+def partitioned_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-07/08/17: managed table partitioned by season, files range-clustered
+    on race_id (the Z-order replacement), read back whole."""
+    root = scratch_dir(spark, "part")
+    db = "lapmart_" + _uuid.uuid4().hex[:10]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/db'")
+    races = roles.races(spark, sf_dir)
+    _tables.save_as_new_table(_tables.clustered(races, ["race_year"], ["race_id"]),
+                              f"{db}.races", partition_by=["race_year"])
+    return _bigint(spark.table(f"{db}.races").select(
+        "race_id", "round", "circuit_id", "name", "race_timestamp", "race_year"), "race_year")
+
+
+# --- incremental ingestion ---------------------------------------------------------
+
+@query("incremental_snapshots", """
+SELECT CAST(o_orderkey AS INTEGER) AS race_id, CAST(year(o_orderdate) AS INTEGER) AS race_year,
+       CAST(month(o_orderdate) AS INTEGER) AS round, CAST(o_custkey AS INTEGER) AS circuit_id,
+       'Order#' || CAST(o_orderkey AS VARCHAR) AS name,
+       CAST(year(o_orderdate) AS VARCHAR) || '-12-31' AS file_date
+FROM orders
+""")
+def incremental_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INC-01: three availableNow runs over growing raw folders.
+
+    Run 1 sees the seasons up to 1997, run 2 the later ones plus a *late*
+    re-delivery of the pending orders in an older folder (1900) with other
+    names, run 3 nothing new.  Newest-wins keeps every race exactly once
+    with its original name.
+    """
+    from lapmart.streaming.incremental import ingest_incremental
+
+    root = scratch_dir(spark, "incr")
+    raw_root, lake = f"{root}/raw", f"{root}/lake"
+    raw = roles.raw_races(spark, sf_dir)
+    early = F.col("year") <= 1997
+    write_snapshots(raw.where(early), raw_root, "races.csv", "csv", "folder", header=True)
+    ingest_incremental(spark, raw_root, lake, "races")
+    late = (raw
+            .join(roles.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
+                  .select(F.col("o_orderkey").alias("raceId")), "raceId", "left_semi")
+            .withColumn("name", F.concat(F.lit("Late#"), F.col("raceId").cast("string")))
+            .withColumn("folder", F.lit("1900-12-31")))
+    write_snapshots(raw.where(~early).unionByName(late), raw_root, "races.csv", "csv",
+                    "folder", header=True)
+    ingest_incremental(spark, raw_root, lake, "races")
+    third = ingest_incremental(spark, raw_root, lake, "races")
+    assert third["rows"] == 0, third
+    return _tables.read_current(spark, f"{lake}/silver/races").select(
+        "race_id", "race_year", "round", "circuit_id", "name", "file_date")
+
+
+# --- reports -------------------------------------------------------------------------
+
+from lapmart.plans import reports as _reports  # noqa: E402
+
+_SQL_DRIVER_STANDINGS = _SQL_RACE_RESULTS.rstrip() + """,
+ds AS (
+  SELECT race_year, driver_nationality, driver_name, SUM(points) AS total_points,
+         RANK() OVER (PARTITION BY race_year ORDER BY SUM(points) DESC NULLS LAST) AS rank
+  FROM race_results GROUP BY race_year, driver_nationality, driver_name)
+"""
+
+
+@query("season_trend", _SQL_DRIVER_STANDINGS + """
+SELECT driver_name, driver_nationality, CAST(race_year AS BIGINT) AS race_year, total_points,
+       CAST(rank AS BIGINT) AS rank,
+       lag(total_points) OVER w AS prev_points,
+       total_points - lag(total_points) OVER w AS points_change,
+       CAST(lag(rank) OVER w AS DOUBLE) AS prev_rank
+FROM ds
+WINDOW w AS (PARTITION BY driver_name, driver_nationality ORDER BY race_year)
+""")
+def season_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT-01: driver points and rank against the previous season."""
+    rr, s = _race_results(spark, sf_dir)
+    ds = gold.driver_standings(rr, stamp=False, drivers=s["drivers"])
+    # prev_rank is NULL in a driver's first season: carried as DOUBLE so both
+    # engines hand back the same column type
+    return _bigint(_reports.season_trend(ds, ("driver_name", "driver_nationality")),
+                   "race_year", "rank").withColumn("prev_rank", F.col("prev_rank").cast("double"))
+
+
+@query("race_statistics", _SQL_RACE_RESULTS + """
+SELECT race_name, COUNT(*) AS entries, COUNT(DISTINCT race_year) AS seasons,
+       CAST(MIN(race_year) AS BIGINT) AS first_year, CAST(MAX(race_year) AS BIGINT) AS last_year,
+       SUM(points) AS total_points, MAX(points) AS max_points,
+       COUNT(CASE WHEN race_position = 1 THEN TRUE END) AS wins_recorded
+FROM race_results GROUP BY race_name
+""")
+def race_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT-02: historical statistics per race name."""
+    return _bigint(_reports.race_statistics(_race_results(spark, sf_dir)[0]),
+                   "first_year", "last_year")
+
+
+@query("circuit_distribution", """
+SELECT n_name AS country, COUNT(*) AS n_circuits, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS n_races,
+       MIN(c_acctbal) AS min_latitude, MAX(c_acctbal) AS max_latitude
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+     LEFT JOIN (SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY o_custkey) r
+       ON r.o_custkey = c_custkey
+GROUP BY n_name
+""")
+def circuit_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT-03: circuits and races per country."""
+    return _reports.circuit_distribution(roles.circuits(spark, sf_dir), roles.races(spark, sf_dir))

@@ -187,7 +187,7 @@ def raw_qualifying(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(
         F.col("o_orderkey").alias("qualifyId"), F.col("o_orderkey").alias("raceId"),
-        F.col("o_custkey").alias("driverId"), F.lit(None).cast("int").alias("constructorId"),
+        F.col("o_custkey").alias("driverId"), (F.col("o_custkey") % 100).alias("constructorId"),
         F.month("o_orderdate").alias("number"), F.dayofmonth("o_orderdate").alias("position"),
         F.col("o_orderstatus").alias("q1"), F.col("o_orderpriority").alias("q2"),
         F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).alias("q3"),
