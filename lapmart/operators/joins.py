@@ -104,36 +104,53 @@ def race_circuits(races: DataFrame, circuits: DataFrame) -> DataFrame:
                 "circuit_location", "circuit_country")
 
 
-def star_join_race_results(results: DataFrame, races: DataFrame, circuits: DataFrame,
-                           drivers: DataFrame, constructors: DataFrame,
-                           extra_result_cols: tuple[str, ...] = ()) -> DataFrame:
-    """The gold star join on silver-shaped frames (inner, equi, one key each).
-
-    Column renames follow the gold schema; each dimension is reduced to the
-    columns the result needs before its size is probed, so the probe and
-    the broadcast see the pruned width.
+# Columns of a fact row that, with the three dimension ids, fully determine a
+# gold race-result row; with result_id first they are the dedup order.
+RESULT_ORDER_COLS = ("result_id", "race_id", "driver_id", "constructor_id", "grid",
+                     "fastest_lap", "race_position", "race_time", "points")
+
+
+def race_results_keyed(results: DataFrame, races: DataFrame, circuits: DataFrame,
+                       drivers: DataFrame, constructors: DataFrame,
+                       driver_cols: tuple[str, ...] = ()) -> DataFrame:
+    """Narrow star join: fact columns + (race_year, race_name, driver_name).
+
+    Only what the per-race dedup and the standings need travels through the
+    joins and the shuffle; descriptive columns are attached afterwards by
+    :func:`attach_race_attributes`.  The inner joins that only filter
+    (circuits, constructors) are semi joins on the key sets, so the set of
+    surviving facts is the same as with the full inner star join.
     """
-    rc_all = race_circuits(races, circuits)
-    drv = drivers.select(F.col("driver_id"), F.col("name").alias("driver_name"),
-                         F.col("number").alias("driver_number"),
-                         F.col("nationality").alias("driver_nationality"))
-    con = constructors.select(F.col("constructor_id"), F.col("name").alias("team"))
+    circ_keys = circuits.select(F.col("circuit_id").alias("c_circuit_id"))
+    race = races.select("race_id", "race_year", F.col("name").alias("race_name"), "circuit_id")
+    race = race.join(broadcast_if_bounded(circ_keys), race["circuit_id"] == circ_keys[
+        "c_circuit_id"], "left_semi").drop("circuit_id")
+    drv = drivers.select("driver_id", F.col("name").alias("driver_name"),
+                         *[F.col(src).alias(dst) for src, dst in driver_cols])
+    con_keys = constructors.select(F.col("constructor_id").alias("k_constructor_id"))
     res = results.select(
-        F.col("race_id").alias("result_race_id"), F.col("driver_id").alias("result_driver_id"),
-        F.col("constructor_id").alias("result_constructor_id"), F.col("grid"),
-        F.col("fastest_lap"), F.col("position").alias("race_position"),
-        F.col("time").alias("race_time"), F.col("points"), *extra_result_cols)
-
-    # Small dimensions first (broadcast when bounded), the race side last:
-    # it is the only one that may need a shuffle join against the facts.
-    joined = (
-        res.join(broadcast_if_bounded(drv), res["result_driver_id"] == drv["driver_id"], "inner")
-        .join(broadcast_if_bounded(con), res["result_constructor_id"] == con["constructor_id"],
-              "inner")
-    )
-    rc = broadcast_if_bounded(rc_all)
-    joined = joined.join(rc, joined["result_race_id"] == rc["race_id"], "inner")
-    return joined.select(
-        "race_year", "race_name", "race_date", "circuit_location", "circuit_country",
-        "driver_name", "driver_number", "driver_nationality", "team", "grid",
-        "fastest_lap", "race_position", "race_time", "points", *extra_result_cols)
+        "result_id", "race_id", "driver_id", "constructor_id", "grid", "fastest_lap",
+        F.col("position").alias("race_position"), F.col("time").alias("race_time"), "points")
+    res = res.join(broadcast_if_bounded(con_keys),
+                   res["constructor_id"] == con_keys["k_constructor_id"], "left_semi")
+    res = res.join(broadcast_if_bounded(drv), "driver_id", "inner")
+    rb = broadcast_if_bounded(race)
+    return res.join(rb, "race_id", "inner")
+
+
+def attach_race_attributes(keyed: DataFrame, races: DataFrame, circuits: DataFrame,
+                           drivers: DataFrame, constructors: DataFrame) -> DataFrame:
+    """Add the descriptive gold columns to deduplicated keyed rows.
+
+    Dimension keys are unique (silver keeps one row per key) and every key
+    is known to match (see :func:`race_results_keyed`), so these inner joins
+    neither drop nor multiply rows.
+    """
+    rc = race_circuits(races, circuits).select("race_id", "race_date", "circuit_location",
+                                               "circuit_country")
+    drv = drivers.select("driver_id", F.col("number").alias("driver_number"),
+                         F.col("nationality").alias("driver_nationality"))
+    con = constructors.select("constructor_id", F.col("name").alias("team"))
+    out = keyed.join(broadcast_if_bounded(drv), "driver_id", "inner")
+    out = out.join(broadcast_if_bounded(con), "constructor_id", "inner")
+    return out.join(broadcast_if_bounded(rc), "race_id", "inner")

@@ -63,17 +63,16 @@ joined AS (
   SELECT rc.race_year, rc.race_name, rc.race_date, rc.circuit_location, rc.circuit_country,
          drv.driver_name, drv.driver_number, drv.driver_nationality, con.team,
          res.grid, res.fastest_lap, res.race_position, res.race_time, res.points,
-         res.result_id
+         res.result_id, res.race_id, res.driver_id, res.constructor_id
   FROM res JOIN drv ON res.driver_id = drv.driver_id
            JOIN con ON res.constructor_id = con.constructor_id
            JOIN rc ON res.race_id = rc.race_id),
 ranked AS (
   SELECT *, row_number() OVER (
       PARTITION BY race_year, race_name, driver_name
-      ORDER BY result_id ASC NULLS FIRST, race_date ASC NULLS FIRST,
-               circuit_location ASC NULLS FIRST, circuit_country ASC NULLS FIRST,
-               driver_number ASC NULLS FIRST, driver_nationality ASC NULLS FIRST,
-               team ASC NULLS FIRST, grid ASC NULLS FIRST, fastest_lap ASC NULLS FIRST,
+      ORDER BY result_id ASC NULLS FIRST, race_id ASC NULLS FIRST,
+               driver_id ASC NULLS FIRST, constructor_id ASC NULLS FIRST,
+               grid ASC NULLS FIRST, fastest_lap ASC NULLS FIRST,
                race_position ASC NULLS FIRST, race_time ASC NULLS FIRST,
                points ASC NULLS FIRST) AS rn
   FROM joined),
@@ -97,9 +96,10 @@ FROM race_results
 GROUP BY race_year, driver_nationality, driver_name
 """)
 def driver_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rr, s = _race_results(spark, sf_dir)
-    return _bigint(gold.driver_standings(rr, stamp=False, drivers=s["drivers"]),
-                   "race_year", "rank")
+    s = roles.silver_frames(spark, sf_dir)
+    ds = gold.standings_from_silver(s["results"], s["races"], s["circuits"], s["drivers"],
+                                    s["constructors"], "driver", stamp=False)
+    return _bigint(ds, "race_year", "rank")
 
 
 @query("constructor_standings", _SQL_RACE_RESULTS + """
@@ -112,9 +112,10 @@ FROM race_results
 GROUP BY race_year, team
 """)
 def constructor_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rr, s = _race_results(spark, sf_dir)
-    return _bigint(gold.constructor_standings(rr, stamp=False, constructors=s["constructors"]),
-                   "race_year", "rank")
+    s = roles.silver_frames(spark, sf_dir)
+    cs = gold.standings_from_silver(s["results"], s["races"], s["circuits"], s["drivers"],
+                                    s["constructors"], "constructor", stamp=False)
+    return _bigint(cs, "race_year", "rank")
 
 
 @query("race_results", _SQL_RACE_RESULTS + """

@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from lapmart.functions.columns import count_wins
 from lapmart.operators.dedup import latest_by
-from lapmart.operators.joins import probe_size, star_join_race_results
+from lapmart.operators.joins import (
+    RESULT_ORDER_COLS,
+    attach_race_attributes,
+    broadcast_if_bounded,
+    probe_size,
+    race_results_keyed,
+)
 from lapmart.operators.ranking import rank_desc
 from lapmart.schemas import GOLD_PROCESSED_AT, GOLD_RACE_RESULTS_KEYS
 
@@ -18,20 +24,27 @@ RACE_RESULTS_COLUMNS = (
 )
 
 
-def race_results(results: DataFrame, races: DataFrame, circuits: DataFrame,
-                 drivers: DataFrame, constructors: DataFrame, stamp: bool = True) -> DataFrame:
-    """Five-table star join, one row per (race_year, race_name, driver_name).
+def race_results_deduped(results: DataFrame, races: DataFrame, circuits: DataFrame,
+                         drivers: DataFrame, constructors: DataFrame,
+                         driver_cols: tuple[tuple[str, str], ...] = ()) -> DataFrame:
+    """WIN-03 on the narrow star join: one row per (race_year, race_name, driver_name).
 
-    The reference orders its dedup by a per-query constant, i.e. keeps an
-    arbitrary row; here the smallest ``result_id`` wins and the remaining
-    output columns break any further tie, so the choice is reproducible.
+    The reference orders this dedup by a per-query constant, i.e. keeps an
+    arbitrary row; here the smallest ``result_id`` wins and the dimension
+    ids and result columns break any further tie, so the choice is
+    reproducible (rows tied on all of them give identical gold rows).
     """
-    joined = star_join_race_results(results, races, circuits, drivers, constructors,
-                                    extra_result_cols=("result_id",))
-    order = [F.col("result_id").asc_nulls_first()]
-    tiebreak = [F.col(c).asc_nulls_first() for c in RACE_RESULTS_COLUMNS
-                if c not in GOLD_RACE_RESULTS_KEYS]
-    out = latest_by(joined, GOLD_RACE_RESULTS_KEYS, order, tiebreak).drop("result_id")
+    keyed = race_results_keyed(results, races, circuits, drivers, constructors, driver_cols)
+    order = [F.col(c).asc_nulls_first() for c in RESULT_ORDER_COLS]
+    return latest_by(keyed, GOLD_RACE_RESULTS_KEYS, order, [])
+
+
+def race_results(results: DataFrame, races: DataFrame, circuits: DataFrame,
+                 drivers: DataFrame, constructors: DataFrame, stamp: bool = True) -> DataFrame:
+    """DS-G1: five-table star join, deduplicated, with the gold columns."""
+    dedup = race_results_deduped(results, races, circuits, drivers, constructors)
+    out = attach_race_attributes(dedup, races, circuits, drivers, constructors) \
+        .select(*RACE_RESULTS_COLUMNS)
     if stamp:
         out = out.withColumn(GOLD_PROCESSED_AT, F.current_timestamp())
     return out
@@ -57,6 +70,24 @@ def season_standings(race_results_df: DataFrame, group_cols: tuple[str, ...],
     return out
 
 
+def standings_from_silver(results: DataFrame, races: DataFrame, circuits: DataFrame,
+                          drivers: DataFrame, constructors: DataFrame, kind: str,
+                          stamp: bool = True) -> DataFrame:
+    """Standings straight from the silver entities, without the wide gold row.
+
+    Same rows as computing race results and then standings from them: only
+    the columns the aggregate needs are carried through the dedup shuffle.
+    """
+    if kind == "driver":
+        d = race_results_deduped(results, races, circuits, drivers, constructors,
+                                 driver_cols=(("nationality", "driver_nationality"),))
+        return driver_standings(d, stamp, drivers=drivers)
+    d = race_results_deduped(results, races, circuits, drivers, constructors)
+    con = constructors.select("constructor_id", F.col("name").alias("team"))
+    d = d.join(broadcast_if_bounded(con), "constructor_id", "inner")
+    return constructor_standings(d, stamp, constructors=constructors)
+
+
 def driver_standings(race_results_df: DataFrame, stamp: bool = True,
                      drivers: DataFrame | None = None) -> DataFrame:
     """Driver standings; pass the drivers dimension to bound a season's size."""
