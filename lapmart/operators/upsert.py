@@ -61,6 +61,11 @@ def upsert_all(target: DataFrame, source: DataFrame, keys: Sequence[str],
     without a shuffle; otherwise both sides shuffle on the key.
     ``broadcast_source``: None probes the source-key size, False skips the
     probe (a full-refresh source as large as the target).
+
+    Precondition: non-NULL target keys are unique, as in every silver table
+    (created from a deduplicated source, only ever merged with deduplicated
+    sources).  Where a target may repeat a key (gold standings), use
+    :func:`upsert_columns`, whose join updates every matching target row.
     """
     keys = list(keys)
     if check_cardinality:
