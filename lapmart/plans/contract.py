@@ -309,7 +309,9 @@ FROM tgt t FULL OUTER JOIN src s ON t.result_id = s.result_id
 def upsert_update_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-12: matched rows take only the listed columns (``points`` is left out)."""
     target, source = _results_split(spark, sf_dir)
-    return upsert_columns(target, source, ["result_id"], _UPDATE_LIST)
+    # the source is a newest-per-key result, unique by construction, so the
+    # multiple-match check (an extra job) cannot fire here
+    return upsert_columns(target, source, ["result_id"], _UPDATE_LIST, check_cardinality=False)
 
 
 # --- scalar functions -------------------------------------------------------------

@@ -182,6 +182,14 @@ def register_external(spark: SparkSession, name: str, path: str, replace: bool =
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    if _is_partitioned(spark, name):
+        # partition directories written by Spark are registered in the catalog
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
+def _is_partitioned(spark: SparkSession, name: str) -> bool:
+    rows = spark.sql(f"DESCRIBE TABLE {name}").collect()
+    return any((r["col_name"] or "").startswith("# Partition") for r in rows)
 
 
 def create_table_once_as(spark: SparkSession, name: str, path: str) -> None:
