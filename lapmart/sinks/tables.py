@@ -105,7 +105,8 @@ def read_current(spark: SparkSession, base: str) -> DataFrame:
     d = current_version(spark, base)
     if d is None:
         raise FileNotFoundError(f"no published version under {base}")
-    return spark.read.option("mergeSchema", "true").parquet(d)
+    # one version is written by one job with one schema: no footer merging
+    return spark.read.parquet(d)
 
 
 def null_gate(cols: Sequence[str]) -> Callable[[DataFrame], tuple[DataFrame, Observation, str]]:
@@ -212,6 +213,11 @@ def replace_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").format("parquet").saveAsTable(name)
 
 
+def register_view(df: DataFrame, name: str) -> None:
+    """SNK-16: a session view (e.g. to express an upsert source in SQL)."""
+    df.createOrReplaceTempView(name)
+
+
 def scan_path_sql(spark: SparkSession, path: str) -> DataFrame:
     """SRC-09: ``SELECT * FROM parquet.`path```."""
     return spark.sql(f"SELECT * FROM parquet.`{path}`")

@@ -38,3 +38,27 @@ def test_ctas_once_and_managed_tables(spark, tmp_path):
         tables.save_as_new_table(spark.range(2), "t_cat.y")   # exists → error
     tables.replace_table(spark.range(4), "t_cat.y")
     assert spark.table("t_cat.y").count() == 4
+
+
+def test_partition_pruning_and_clustered_layout(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    base = str(tmp_path / "races")
+    df = spark.range(0, 2000).select(F.col("id").cast("int").alias("race_id"),
+                                     (F.lit(2000) + F.col("id") % 5).cast("int")
+                                     .alias("race_year"))
+    tables.publish(spark, df, base, partition_by=["race_year"], cluster_by=["race_id"])
+    cur = tables.read_current(spark, base).where("race_year = 2003 AND race_id < 100")
+    plan = cur._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(race_year" in plan and "2003" in plan
+    assert "PushedFilters" in plan and "LessThan(race_id,100)" in plan
+    assert cur.count() == 20
+
+
+def test_vacuum_keeps_newest_versions(spark, tmp_path):
+    base = str(tmp_path / "t")
+    for i in range(4):
+        tables.publish(spark, spark.range(i + 1), base)
+    removed = tables.vacuum(spark, base, keep=2)
+    assert len(removed) == 2
+    assert tables.read_current(spark, base).count() == 4
