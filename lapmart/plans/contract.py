@@ -356,9 +356,9 @@ from lapmart.sources.rawfiles import scratch_dir, write_snapshots  # noqa: E402
 
 
 def _scan(spark: SparkSession, raw: DataFrame, entity: str, rel: str, fmt: str,
-          header: bool = False, chunk: str | None = None) -> DataFrame:
+          header: bool = False, multiline: bool = False) -> DataFrame:
     root = scratch_dir(spark, f"raw-{entity}") + "/raw"
-    write_snapshots(raw, root, rel, fmt, "folder", header=header, multiline_chunk_col=chunk)
+    write_snapshots(raw, root, rel, fmt, "folder", header=header, multiline=multiline)
     return _bronze.bronze_frame(spark, root, entity).drop("ingestion_date")
 
 
@@ -423,7 +423,7 @@ FROM orders
 def json_multiline_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-06: whole-file JSON arrays spread over several lines, matched by a glob."""
     return _scan(spark, roles.raw_qualifying(spark, sf_dir), "qualifying",
-                 "qualifying/qualifying_split*.json", "json", chunk="chunk")
+                 "qualifying/qualifying_split*.json", "json", multiline=True)
 
 
 # --- sinks: round trips through storage ------------------------------------------

@@ -214,5 +214,4 @@ def raw_qualifying(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderstatus").alias("q1"), F.col("o_orderpriority").alias("q2"),
         F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).alias("q3"),
         F.concat(F.year("o_orderdate").cast("string"), F.lit("-12-31")).alias("folder"),
-        F.floor(F.col("o_orderkey") / 500).alias("chunk"),
     )

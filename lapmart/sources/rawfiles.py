@@ -7,9 +7,9 @@ renamed into place (metadata operations, one per snapshot folder).  The
 entity file becomes a directory of part files, which the snapshot glob reads
 the same way as a single file.
 
-Multi-line JSON (whole-file arrays) is produced as bounded chunks: rows are
-grouped by (folder, chunk) where the caller's chunk column bounds a group's
-size; each chunk becomes one file holding one JSON array.
+Multi-line JSON (whole-file arrays) is produced as bounded chunks: runs of
+at most ``records_per_file`` consecutive rows of one task (and one folder)
+are grouped into one JSON array, and each array becomes one file.
 """
 
 from __future__ import annotations
@@ -53,22 +53,25 @@ def _move_into_place(spark: SparkSession, staging: str, raw_root: str, rel_path:
 
 
 def write_snapshots(df: DataFrame, raw_root: str, rel_path: str, fmt: str, folder_col: str,
-                    header: bool = False, multiline_chunk_col: str | None = None) -> list[str]:
+                    header: bool = False, multiline: bool = False,
+                    records_per_file: int = 1000) -> list[str]:
     """Write ``df`` (raw columns + ``folder_col``) below ``raw_root``; returns folders."""
     spark = df.sparkSession
     staging = f"{raw_root.rstrip('/')}/_staging_{uuid.uuid4().hex[:12]}"
-    data_cols = [c for c in df.columns if c not in (folder_col, multiline_chunk_col)]
+    data_cols = [c for c in df.columns if c != folder_col]
     if fmt == "csv":
         (df.select(*data_cols, F.col(folder_col).alias(_FOLDER))
          .write.partitionBy(_FOLDER).option("header", str(header).lower())
          .option("nullValue", "").csv(staging))
-    elif fmt == "json" and multiline_chunk_col is None:
+    elif fmt == "json" and not multiline:
         (df.select(*data_cols, F.col(folder_col).alias(_FOLDER))
          .write.partitionBy(_FOLDER).json(staging))
     elif fmt == "json":
         rec = F.to_json(F.struct(*data_cols))
-        chunks = (df.select(F.col(folder_col).alias(_FOLDER), F.col(multiline_chunk_col).alias("c"),
-                            rec.alias("r"))
+        # consecutive ids within a task: each (folder, c) group holds at most
+        # records_per_file rows, whatever the key distribution
+        chunk = F.floor(F.monotonically_increasing_id() / F.lit(records_per_file))
+        chunks = (df.select(F.col(folder_col).alias(_FOLDER), chunk.alias("c"), rec.alias("r"))
                   .groupBy(_FOLDER, "c")
                   .agg(F.concat(F.lit("[\n "), F.array_join(F.collect_list("r"), ",\n "),
                                 F.lit("\n]")).alias("value")))
