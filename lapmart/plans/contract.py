@@ -605,3 +605,43 @@ GROUP BY n_name
 def circuit_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RPT-03: circuits and races per country."""
     return _reports.circuit_distribution(roles.circuits(spark, sf_dir), roles.races(spark, sf_dir))
+
+
+# --- whole layers on the driver data --------------------------------------------------
+
+from lapmart.plans import silver as _silver  # noqa: E402
+
+
+@query("silver_build_rerun", f"WITH {_SQL_RESULTS}\nSELECT * FROM " + _latest_sql("results"))
+def silver_build_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DS-S5 twice over a bronze history that holds every row twice (a rerun
+    appends all snapshots again): dedup, gate, create, then upsert into the
+    published version.  The result is the newest row per result_id."""
+    root = scratch_dir(spark, "silver")
+    bronze_path = f"{root}/bronze/results"
+    res = roles.results(spark, sf_dir).withColumn("ingestion_date", F.lit(None)
+                                                  .cast("timestamp"))
+    _tables.append(res, bronze_path)
+    _tables.append(res, bronze_path)
+    _silver.build_silver(spark, f"{root}/bronze", f"{root}/silver", "results")
+    _silver.build_silver(spark, f"{root}/bronze", f"{root}/silver", "results")
+    assert _tables.current_version(spark, f"{root}/silver/results").endswith("_v000002")
+    return _silver.read_silver(spark, f"{root}/silver", "results").select(*_RESULT_NAMES)
+
+
+@query("gold_build", _SQL_DRIVER_STANDINGS + """
+SELECT CAST(race_year AS BIGINT) AS race_year, driver_nationality, driver_name, total_points,
+       CAST(rank AS BIGINT) AS rank
+FROM ds
+""")
+def gold_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DS-G1..3 as the pipeline runs them: silver versions published, race
+    results written, standings read from that path copy, each dataset
+    upserted into its table copy; returns the driver standings table."""
+    root = scratch_dir(spark, "gold")
+    for name, df in roles.silver_frames(spark, sf_dir).items():
+        _tables.publish(spark, df, f"{root}/silver/{name}")
+    gold.build_gold(spark, f"{root}/silver", f"{root}/gold")
+    ds = gold.read_gold(spark, f"{root}/gold", "driver_standings", table=True)
+    return _bigint(ds.select("race_year", "driver_nationality", "driver_name", "total_points",
+                             "rank"), "race_year", "rank")
