@@ -52,3 +52,15 @@ def test_query_matches_oracle(spark, duck, name):
     idx = [ocols.index(c) for c in cols]
     exp = sorted((tuple(_norm(r[i]) for i in idx) for r in odf), key=repr)
     assert got == exp
+
+
+BAD_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+             "ArrowEvalPython", "FlatMapGroupsInPandas")
+
+
+@pytest.mark.parametrize("name", sorted(ent.queries()))
+def test_query_plan_has_no_cross_join_or_python(spark, name):
+    df = ent.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in BAD_NODES:
+        assert bad not in plan, (name, bad)
