@@ -38,7 +38,11 @@ def build_silver(spark: SparkSession, bronze_root: str, silver_root: str, entity
     """Run the silver step for one entity; returns the published version path."""
     spec = ENTITIES[entity]
     base = f"{silver_root.rstrip('/')}/{entity}"
-    staged = silver_frame(read_bronze(spark, bronze_root, entity), entity)
+    raw = read_bronze(spark, bronze_root, entity)
+    # NULL keys collapse to one row per table in the dedup window; count the
+    # raw rows too so a silent bad read shows its real size in the error
+    raw, raw_obs, _ = tables.null_gate(spec.gate, "null_keys_before_dedup")(raw)
+    staged = silver_frame(raw, entity)
     staged, obs, what = tables.null_gate(spec.gate)(staged)
     if tables.table_exists(spark, base):
         merged = upsert_all(tables.read_current(spark, base), staged, spec.keys,
@@ -47,7 +51,7 @@ def build_silver(spark: SparkSession, bronze_root: str, silver_root: str, entity
         merged = staged
     return tables.publish(spark, merged, base, partition_by=spec.partition_by,
                           cluster_by=spec.cluster_by, gate_observations=[(obs, what)],
-                          table_name=table_name)
+                          table_name=table_name, info_observations=[raw_obs])
 
 
 def build_all_silver(spark: SparkSession, bronze_root: str, silver_root: str,

@@ -109,10 +109,11 @@ def read_current(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(d)
 
 
-def null_gate(cols: Sequence[str]) -> Callable[[DataFrame], tuple[DataFrame, Observation, str]]:
+def null_gate(cols: Sequence[str], name: str = "null_key_gate"
+              ) -> Callable[[DataFrame], tuple[DataFrame, Observation, str]]:
     """FLT-03..05: gate spec counting rows whose key columns hold a NULL."""
     def attach(df: DataFrame):
-        obs = Observation("null_key_gate")
+        obs = Observation(name)
         pred = F.lit(False)
         for c in cols:
             pred = pred | F.col(c).isNull()
@@ -125,13 +126,16 @@ def null_gate(cols: Sequence[str]) -> Callable[[DataFrame], tuple[DataFrame, Obs
 def publish(spark: SparkSession, df: DataFrame, base: str,
             partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
             gate_observations: Sequence[tuple[Observation, str]] = (),
-            table_name: str | None = None) -> str:
+            table_name: str | None = None,
+            info_observations: Sequence[Observation] = ()) -> str:
     """SNK-14: write ``df`` as the next version of ``base`` and publish it.
 
     ``gate_observations`` are Observations already attached to (parts of)
     ``df``; their ``violations`` metric must be 0 after the write or
     :class:`QualityGateError` is raised and the version stays unpublished.
     ``table_name`` (optional) is pointed at the new version afterwards.
+    ``info_observations`` (e.g. NULL keys before a dedup collapsed them) are
+    only reported in the error message.
     """
     versions = _versions(spark, base)
     v = (versions[-1] + 1) if versions else 1
@@ -144,9 +148,10 @@ def publish(spark: SparkSession, df: DataFrame, base: str,
     for obs, what in gate_observations:
         m = obs.get
         if int(m.get("violations", 0) or 0) > 0:
+            extra = "".join(f"; {o.get}" for o in info_observations)
             raise QualityGateError(
                 f"quality gate failed for {base}: {m['violations']} of {m.get('rows')} rows "
-                f"have NULL in ({what}); version {v} not published")
+                f"have NULL in ({what}); version {v} not published{extra}")
     fs.touch(spark, f"{target}/{MARKER}")
     if table_name:
         register_external(spark, table_name, target, replace=True)
