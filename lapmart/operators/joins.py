@@ -51,31 +51,56 @@ def _width(dt, c: Column) -> Column:
     return F.lit(8)
 
 
-def probe_size(df: DataFrame) -> SizeProbe:
-    """Exact row count and a byte estimate of ``df`` (one aggregation job).
-
-    The job reads only the columns of ``df`` (pruned at the scan) and
-    aggregates map-side; results are cached per plan and input files,
-    so re-planning the same immutable snapshot does not scan again.
-    """
+def _cache_key(df: DataFrame):
     try:
-        key = (df.semanticHash(), tuple(sorted(df.inputFiles())))
+        return (df.semanticHash(), tuple(sorted(df.inputFiles())))
     except Exception:  # plans without file inputs
-        key = None
-    if key is not None:
-        with _probe_lock:
-            hit = _probe_cache.get(key)
-        if hit is not None:
-            return hit
-    row_bytes = F.lit(16)
-    for f in df.schema.fields:
-        row_bytes = row_bytes + _width(f.dataType, F.col(f"`{f.name}`"))
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b")).first()
-    probe = SizeProbe(int(r["n"] or 0), int(r["b"] or 0))
-    if key is not None:
+        return None
+
+
+def _cached(key, make):
+    if key is None:
+        return make()
+    with _probe_lock:
+        hit = _probe_cache.get(key)
+    if hit is None:
+        hit = make()
         with _probe_lock:
-            _probe_cache[key] = probe
-    return probe
+            _probe_cache[key] = hit
+    return hit
+
+
+def probe_size(df: DataFrame, max_rows: int | None = None) -> SizeProbe:
+    """Exact row count and a byte estimate of ``df``.
+
+    With ``max_rows``, the rows are counted first (a count of a plain
+    Parquet scan reads only file metadata; of a join, only its keys); when
+    they already exceed the bound the byte measurement is skipped and
+    ``bytes`` is -1.  Otherwise one aggregation over the (column-pruned)
+    frame measures both.  Results are cached per plan and input files, so
+    re-planning the same immutable snapshot does not scan again.
+    """
+    key = _cache_key(df)
+    if max_rows is not None:
+        n = _cached(None if key is None else ("rows",) + key, lambda: SizeProbe(df.count(), -1))
+        if n.rows > max_rows:
+            return n
+
+    def measure() -> SizeProbe:
+        row_bytes = F.lit(16)
+        for f in df.schema.fields:
+            row_bytes = row_bytes + _width(f.dataType, F.col(f"`{f.name}`"))
+        r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b")).first()
+        return SizeProbe(int(r["n"] or 0), int(r["b"] or 0))
+
+    return _cached(key, measure)
+
+
+def row_count(df: DataFrame) -> int:
+    """Exact, cached row count (metadata-only for a plain Parquet scan)."""
+    key = _cache_key(df)
+    return _cached(None if key is None else ("rows",) + key,
+                   lambda: SizeProbe(df.count(), -1)).rows
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
@@ -85,7 +110,8 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
     Beyond the bound the frame is returned unhinted and the join falls back
     to a shuffle join (sort-merge, with AQE skew splitting).
     """
-    if probe_size(df).fits(max_rows, max_bytes):
+    p = probe_size(df, max_rows)
+    if p.bytes >= 0 and p.fits(max_rows, max_bytes):
         return F.broadcast(df)
     return df
 

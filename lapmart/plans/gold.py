@@ -11,7 +11,7 @@ from lapmart.operators.joins import (
     RESULT_ORDER_COLS,
     attach_race_attributes,
     broadcast_if_bounded,
-    probe_size,
+    row_count,
     race_results_keyed,
 )
 from lapmart.operators.ranking import rank_desc
@@ -91,7 +91,7 @@ def standings_from_silver(results: DataFrame, races: DataFrame, circuits: DataFr
 def driver_standings(race_results_df: DataFrame, stamp: bool = True,
                      drivers: DataFrame | None = None) -> DataFrame:
     """Driver standings; pass the drivers dimension to bound a season's size."""
-    bound = probe_size(drivers.select("driver_id")).rows if drivers is not None else None
+    bound = row_count(drivers.select("driver_id")) if drivers is not None else None
     return season_standings(race_results_df, ("race_year", "driver_nationality", "driver_name"),
                             stamp, bound)
 
@@ -99,8 +99,7 @@ def driver_standings(race_results_df: DataFrame, stamp: bool = True,
 def constructor_standings(race_results_df: DataFrame, stamp: bool = True,
                           constructors: DataFrame | None = None) -> DataFrame:
     """Constructor standings; pass the constructors dimension to bound a season."""
-    bound = (probe_size(constructors.select("constructor_id")).rows
-             if constructors is not None else None)
+    bound = row_count(constructors.select("constructor_id")) if constructors is not None else None
     return season_standings(race_results_df, ("race_year", "team"), stamp, bound)
 
 

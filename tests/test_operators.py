@@ -152,3 +152,11 @@ def test_upsert_newest_rejects_late_older_row(spark):
     order = [F.col("file_date").desc(), F.col("ingestion_date").desc()]
     out = upsert_newest(t, late, ["k"], order)
     assert rows(out, "k", "v") == [(1, "new"), (2, "keep"), (3, "ins")]
+
+
+def test_probe_skips_byte_scan_when_rows_exceed(spark):
+    big = spark.range(1000).selectExpr("id AS k", "repeat('x', 100) AS s")
+    p = probe_size(big, max_rows=10)
+    assert p.rows == 1000 and p.bytes == -1
+    q = probe_size(big, max_rows=10_000)
+    assert q.rows == 1000 and q.bytes > 100_000
