@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import ArrayType, IntegralType, MapType, StructType
 
 _RN = "__rn"
 
@@ -41,11 +41,15 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     keys = list(keys)
     if tiebreak is None:
         tiebreak = [F.col(c).asc_nulls_first() for c in orderable_columns(df, exclude=keys)]
-    # A 64-bit hash of the key leads the partition spec.  It is a function of
-    # the key, so the groups are unchanged, but the sorts (map-side limit and
-    # reduce side) now compare a well-spread long prefix instead of falling
-    # through to string comparisons of low-cardinality leading columns.
-    w = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*order, *tiebreak)
+    # For non-integral keys a 64-bit hash of the key leads the partition spec.
+    # It is a function of the key, so the groups are unchanged, but the sorts
+    # (map-side limit and reduce side) compare a well-spread long prefix
+    # instead of falling through to string comparisons.  Integral keys are
+    # their own good prefix and keep the plain hash partitioning on the key,
+    # which a table bucketed by that key can join without a shuffle.
+    integral = all(isinstance(df.schema[k].dataType, IntegralType) for k in keys)
+    spec = keys if integral else [F.xxhash64(*keys), *keys]
+    w = Window.partitionBy(*spec).orderBy(*order, *tiebreak)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 

@@ -70,3 +70,32 @@ def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
 def qualify(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     return str(fs.makeQualified(p).toString())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small metadata file (UTF-8)."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small metadata file, or None when it does not exist."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        lines = []
+        line = reader.readLine()
+        while line is not None:
+            lines.append(line)
+            line = reader.readLine()
+        return "\n".join(lines)
+    finally:
+        stream.close()

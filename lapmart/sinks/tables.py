@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from lapmart.sinks import fs
 
 MARKER = "_PUBLISHED"
+BUCKETING = "_BUCKETING"         # "<buckets>|<bucket cols>|<partition cols>"
 _PREFIX = "_v"
 
 
@@ -101,12 +102,54 @@ def table_exists(spark: SparkSession, base: str) -> bool:
     return current_version(spark, base) is not None
 
 
+def bucketing_of(spark: SparkSession, version_dir: str) -> tuple[int, list[str], list[str]] | None:
+    text = fs.read_text(spark, f"{version_dir}/{BUCKETING}")
+    if not text:
+        return None
+    n, cols, parts = (text.strip().split("|") + ["", ""])[:3]
+    return int(n), [c for c in cols.split(",") if c], [c for c in parts.split(",") if c]
+
+
 def read_current(spark: SparkSession, base: str) -> DataFrame:
+    """The newest published version; bucketed versions are read as bucketed tables.
+
+    A version written bucketed by its key is registered (once per session)
+    as an external bucketed table, so joins and aggregations on the key use
+    the existing layout instead of shuffling it.  Any catalog problem falls
+    back to a plain path read, which gives the same rows.
+    """
     d = current_version(spark, base)
     if d is None:
         raise FileNotFoundError(f"no published version under {base}")
     # one version is written by one job with one schema: no footer merging
-    return spark.read.parquet(d)
+    plain = spark.read.parquet(d)
+    spec = bucketing_of(spark, d)
+    if spec is None:
+        return plain
+    try:
+        return _bucketed_table(spark, d, plain, *spec)
+    except Exception:  # noqa: BLE001 - layout is an optimisation only
+        return plain
+
+
+_VERSION_DB = "lapmart_versions"
+
+
+def _bucketed_table(spark: SparkSession, d: str, plain: DataFrame, n: int,
+                    cols: list[str], parts: list[str]) -> DataFrame:
+    import hashlib
+
+    name = f"{_VERSION_DB}.v_{hashlib.sha1(fs.qualify(spark, d).encode()).hexdigest()[:20]}"
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_VERSION_DB}")
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
+        part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)})" if parts else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{part} "
+                  f"CLUSTERED BY ({', '.join(f'`{c}`' for c in cols)}) INTO {n} BUCKETS "
+                  f"LOCATION '{d}'")
+        if parts:
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return spark.table(name).select(*plain.columns)
 
 
 def null_gate(cols: Sequence[str], name: str = "null_key_gate"
@@ -127,7 +170,8 @@ def publish(spark: SparkSession, df: DataFrame, base: str,
             partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
             gate_observations: Sequence[tuple[Observation, str]] = (),
             table_name: str | None = None,
-            info_observations: Sequence[Observation] = ()) -> str:
+            info_observations: Sequence[Observation] = (),
+            bucket_by: Sequence[str] = (), buckets: int | None = None) -> str:
     """SNK-14: write ``df`` as the next version of ``base`` and publish it.
 
     ``gate_observations`` are Observations already attached to (parts of)
@@ -136,15 +180,26 @@ def publish(spark: SparkSession, df: DataFrame, base: str,
     ``table_name`` (optional) is pointed at the new version afterwards.
     ``info_observations`` (e.g. NULL keys before a dedup collapsed them) are
     only reported in the error message.
+    ``bucket_by``: write the version bucketed by these columns (the business
+    key) into ``buckets`` buckets (default: the previous version's count, else
+    ``spark.sql.shuffle.partitions``), so the next merge joins it on the key
+    without shuffling it.
     """
     versions = _versions(spark, base)
     v = (versions[-1] + 1) if versions else 1
     target = _vdir(base, v)
-    out = clustered(df, partition_by, cluster_by) if cluster_by else df
-    w = out.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(target)
+    if bucket_by:
+        prev = current_version(spark, base)
+        prev_spec = bucketing_of(spark, prev) if prev else None
+        n = buckets or (prev_spec[0] if prev_spec else
+                        int(spark.conf.get("spark.sql.shuffle.partitions")))
+        _write_bucketed(spark, df, target, partition_by, bucket_by, n)
+    else:
+        out = clustered(df, partition_by, cluster_by) if cluster_by else df
+        w = out.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(target)
     for obs, what in gate_observations:
         m = obs.get
         if int(m.get("violations", 0) or 0) > 0:
@@ -152,12 +207,29 @@ def publish(spark: SparkSession, df: DataFrame, base: str,
             raise QualityGateError(
                 f"quality gate failed for {base}: {m['violations']} of {m.get('rows')} rows "
                 f"have NULL in ({what}); version {v} not published{extra}")
+    if bucket_by:
+        fs.write_text(spark, f"{target}/{BUCKETING}",
+                      f"{n}|{','.join(bucket_by)}|{','.join(partition_by)}")
     fs.touch(spark, f"{target}/{MARKER}")
     if table_name:
         register_external(spark, table_name, target, replace=True)
     return target
 
 
+def _write_bucketed(spark: SparkSession, df: DataFrame, target: str,
+                    partition_by: Sequence[str], bucket_by: Sequence[str], n: int) -> None:
+    """Bucketed write to a path (Spark records buckets only through the catalog,
+    so a transient external table is used and dropped; the files stay)."""
+    import uuid
+
+    tmp = f"lapmart_write_{uuid.uuid4().hex[:16]}"
+    w = df.write.mode("overwrite").format("parquet").option("path", target)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.bucketBy(n, *bucket_by).sortBy(*bucket_by).saveAsTable(tmp)
+    spark.sql(f"DROP TABLE IF EXISTS {tmp}")
+
+
 def vacuum(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
     """Delete all but the newest ``keep`` published versions (and stale unpublished ones)."""
     cur = current_version(spark, base)

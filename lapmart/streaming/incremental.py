@@ -50,7 +50,7 @@ def apply_batch(spark: SparkSession, batch: DataFrame, bronze_path: str, silver_
         else:
             merged = staged
         tables.publish(spark, merged, silver_base, partition_by=spec.partition_by,
-                       cluster_by=spec.cluster_by, gate_observations=[(obs, what)])
+                       gate_observations=[(obs, what)], bucket_by=spec.keys)
     finally:
         batch.unpersist()
 
