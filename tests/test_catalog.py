@@ -62,3 +62,25 @@ def test_vacuum_keeps_newest_versions(spark, tmp_path):
     removed = tables.vacuum(spark, base, keep=2)
     assert len(removed) == 2
     assert tables.read_current(spark, base).count() == 4
+
+
+def test_silver_merge_does_not_shuffle_target(spark, tmp_path):
+    from lapmart.operators.upsert import upsert_all
+    from lapmart.plans import bronze, silver
+    from raw_fixture import write_all
+
+    raw, b, s = str(tmp_path / "raw"), str(tmp_path / "bronze"), str(tmp_path / "silver")
+    write_all(raw)
+    bronze.ingest_bronze(spark, raw, b, entities=["results"])
+    silver.build_silver(spark, b, s, "results")
+    n, cols, _ = tables.bucketing_of(spark, tables.current_version(spark, s + "/results"))
+    assert cols == ["result_id"] and n == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = tables.read_current(spark, s + "/results")
+    staged = silver.silver_frame(bronze.read_bronze(spark, b, "results"), "results")
+    plan = upsert_all(target, staged, ["result_id"], broadcast_source=False) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    # only the dedup's own exchange(s) on the key: none above the target scan
+    assert plan.count("Exchange hashpartitioning(result_id") == plan.count("Exchange")
+    silver.build_silver(spark, b, s, "results")
+    assert tables.read_current(spark, s + "/results").count() == 10
