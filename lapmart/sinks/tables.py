@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -141,7 +142,10 @@ def _bucketed_table(spark: SparkSession, d: str, plain: DataFrame, n: int,
 
     name = f"{_VERSION_DB}.v_{hashlib.sha1(fs.qualify(spark, d).encode()).hexdigest()[:20]}"
     if not spark.catalog.tableExists(name):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_VERSION_DB}")
+        from lapmart.session import ensure_checkpoint_dir
+
+        loc = ensure_checkpoint_dir(spark).rstrip("/") + f"/{_VERSION_DB}"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_VERSION_DB} LOCATION '{loc}'")
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
         part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)})" if parts else ""
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{part} "
@@ -193,8 +197,13 @@ def publish(spark: SparkSession, df: DataFrame, base: str,
         prev_spec = bucketing_of(spark, prev) if prev else None
         n = buckets or (prev_spec[0] if prev_spec else
                         int(spark.conf.get("spark.sql.shuffle.partitions")))
-        _write_bucketed(spark, df, target, partition_by, bucket_by, n)
-    else:
+        try:
+            _write_bucketed(spark, df, target, partition_by, bucket_by, n)
+        except AnalysisException:
+            # the catalog refused the bucketed table (before any data was
+            # written): same rows in the plain layout
+            bucket_by = ()
+    if not bucket_by:
         out = clustered(df, partition_by, cluster_by) if cluster_by else df
         w = out.write.mode("overwrite")
         if partition_by:
