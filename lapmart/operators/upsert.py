@@ -44,7 +44,10 @@ def check_single_match(target: DataFrame, source: DataFrame, keys: Sequence[str]
 
 
 def _source_keys(source: DataFrame, keys: Sequence[str], broadcast_source: bool | None):
-    sk = source.select(*keys).where(_all_not_null(keys)).dropDuplicates(list(keys))
+    # NULL keys cannot match in the joins below, so they need no filter here;
+    # leaving the source plan untouched lets Spark reuse its exchange for the
+    # key set and for the rows instead of computing the source twice.
+    sk = source.select(*keys).dropDuplicates(list(keys))
     if broadcast_source is None:
         return broadcast_if_bounded(sk)
     return F.broadcast(sk) if broadcast_source else sk
@@ -55,26 +58,43 @@ def upsert_all(target: DataFrame, source: DataFrame, keys: Sequence[str],
                broadcast_source: bool | None = None) -> DataFrame:
     """MATCHED → UPDATE SET *, NOT MATCHED → INSERT * (SNK-10/11).
 
-    Target rows whose key appears in the source are dropped with an anti
-    join; the source is appended.  The source key set is broadcast when its
-    measured size is bounded, so the (large) target is filtered in place
-    without a shuffle; otherwise both sides shuffle on the key.
-    ``broadcast_source``: None probes the source-key size, False skips the
-    probe (a full-refresh source as large as the target).
-
-    Precondition: non-NULL target keys are unique, as in every silver table
-    (created from a deduplicated source, only ever merged with deduplicated
-    sources).  Where a target may repeat a key (gold standings), use
-    :func:`upsert_columns`, whose join updates every matching target row.
+    Two physical forms, chosen by the size of the source key set:
+
+    * bounded source keys (``broadcast_source`` None and the probe fits, or
+      True): anti join of the target against the broadcast key set, plus the
+      source rows — the large target is filtered in place, never shuffled;
+    * otherwise one full outer join on the key, the source row winning where
+      present.  The source is consumed once, and a target bucketed by the key
+      joined with a source already partitioned by it needs no exchange.
+
+    ``broadcast_source=False`` skips the probe (full-refresh sources).  The
+    anti-join form assumes unique non-NULL target keys, as in every silver
+    table; the join form updates every matching target row.
     """
     keys = list(keys)
     if check_cardinality:
         check_single_match(target, source, keys)
-    src_keys = _source_keys(source, keys, broadcast_source)
+    if broadcast_source is False:
+        src_keys = None
+    else:
+        sk = source.select(*keys).dropDuplicates(keys)
+        src_keys = F.broadcast(sk) if broadcast_source else _bounded(sk)
+    if src_keys is None:
+        return upsert_columns(target, source, keys, update=list(source.columns),
+                              check_cardinality=False)
     kept = target.join(src_keys, keys, "left_anti")
     return kept.unionByName(source, allowMissingColumns=True)
 
 
+def _bounded(df: DataFrame) -> DataFrame | None:
+    """The frame marked for broadcast when its measured size is bounded, else None."""
+    from lapmart.operators.joins import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, probe_size
+
+    p = probe_size(df, DEFAULT_MAX_ROWS)
+    return F.broadcast(df) if p.bytes >= 0 and p.fits(DEFAULT_MAX_ROWS, DEFAULT_MAX_BYTES) \
+        else None
+
+
 def _all_not_null(keys: Sequence[str]) -> Column:
     cond = F.lit(True)
     for k in keys:

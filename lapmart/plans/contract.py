@@ -229,10 +229,9 @@ def dq_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 # corrections (returned items, flag 'R'); together they are the whole table.
 
 def _results_split(spark: SparkSession, sf_dir: str):
-    res = roles.results(spark, sf_dir)
-    flag = F.col("time").substr(1, 1)          # time = returnflag || linestatus
-    target = latest_by_version(res.where(flag != "R"), ["result_id"])
-    source = latest_by_version(res.where(flag == "R"), ["result_id"])
+    flag = F.col("l_returnflag")               # a plain column: pushed to the scan
+    target = latest_by_version(roles.results(spark, sf_dir, flag != "R"), ["result_id"])
+    source = latest_by_version(roles.results(spark, sf_dir, flag == "R"), ["result_id"])
     return target, source
 
 
@@ -289,6 +288,7 @@ def upsert_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("milliseconds"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("file_date"), "l_linestatus")
     keys = ["race_id", "driver_id", "lap"]
+    # filters on the raw column reach the scan as pushed filters
     t = latest_by_version(laps.where(F.col("l_linestatus") == "F").drop("l_linestatus"), keys)
     s = latest_by_version(laps.where(F.col("l_linestatus") == "O").drop("l_linestatus"), keys)
     return upsert_all(t, s, keys)
@@ -447,10 +447,9 @@ def append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-01/02: two appends to one path, the second adds a column (``points``);
     the merged-schema read gives the earlier rows NULL there."""
     path = scratch_dir(spark, "append") + "/results"
-    res = roles.results(spark, sf_dir)
-    flag = F.col("time").substr(1, 1)
-    _tables.append(res.where(flag != "R").drop("points"), path)
-    _tables.append(res.where(flag == "R"), path)
+    flag = F.col("l_returnflag")
+    _tables.append(roles.results(spark, sf_dir, flag != "R").drop("points"), path)
+    _tables.append(roles.results(spark, sf_dir, flag == "R"), path)
     return _tables.read_appended(spark, path).select(*_RESULT_NAMES)
 
 

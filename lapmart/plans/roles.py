@@ -65,8 +65,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
-def results(spark: SparkSession, sf_dir: str) -> DataFrame:
+def results(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
+    """``where``: optional predicate on lineitem columns (pushed to the scan)."""
     li = table(spark, sf_dir, "lineitem")
+    if where is not None:
+        li = li.where(where)
     return li.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("result_id"),
         F.col("l_orderkey").alias("race_id"),

@@ -42,13 +42,15 @@ def model_upsert(target, source, update=None):
 
 
 @SETTINGS
-@given(st.lists(row, max_size=12), st.lists(row, max_size=12))
-def test_upsert_all_matches_model(spark, target, source):
+@given(st.lists(row, max_size=12), st.lists(row, max_size=12), st.sampled_from([None, False]))
+def test_upsert_all_matches_model(spark, target, source, bcast):
     source = _unique_source(source)
-    target = _unique_source(target)       # silver targets have unique keys
+    if bcast is None:
+        target = _unique_source(target)   # the anti-join form assumes unique target keys
     t = spark.createDataFrame(target, SCHEMA)
     s = spark.createDataFrame(source, SCHEMA)
-    got = sorted((tuple(r) for r in upsert_all(t, s, ["k"]).collect()), key=repr)
+    out = upsert_all(t, s, ["k"], broadcast_source=bcast)
+    got = sorted((tuple(r) for r in out.collect()), key=repr)
     assert got == model_upsert(target, source)
 
 
