@@ -50,8 +50,9 @@ def build_silver(spark: SparkSession, bronze_root: str, silver_root: str, entity
     else:
         merged = staged
     return tables.publish(spark, merged, base, partition_by=spec.partition_by,
-                          gate_observations=[(obs, what)], table_name=table_name,
-                          info_observations=[raw_obs], bucket_by=spec.keys)
+                          cluster_by=spec.cluster_by, gate_observations=[(obs, what)],
+                          table_name=table_name, info_observations=[raw_obs],
+                          bucket_by=spec.keys)
 
 
 def build_all_silver(spark: SparkSession, bronze_root: str, silver_root: str,

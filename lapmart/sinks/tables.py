@@ -187,7 +187,8 @@ def publish(spark: SparkSession, df: DataFrame, base: str,
     ``bucket_by``: write the version bucketed by these columns (the business
     key) into ``buckets`` buckets (default: the previous version's count, else
     ``spark.sql.shuffle.partitions``), so the next merge joins it on the key
-    without shuffling it.
+    without shuffling it.  ``cluster_by`` (range-clustered layout) applies to
+    unbucketed writes, including the fallback when the catalog refuses buckets.
     """
     versions = _versions(spark, base)
     v = (versions[-1] + 1) if versions else 1

@@ -50,7 +50,8 @@ def apply_batch(spark: SparkSession, batch: DataFrame, bronze_path: str, silver_
         else:
             merged = staged
         tables.publish(spark, merged, silver_base, partition_by=spec.partition_by,
-                       gate_observations=[(obs, what)], bucket_by=spec.keys)
+                       cluster_by=spec.cluster_by, gate_observations=[(obs, what)],
+                       bucket_by=spec.keys)
     finally:
         batch.unpersist()
 
