@@ -160,3 +160,14 @@ def test_probe_skips_byte_scan_when_rows_exceed(spark):
     assert p.rows == 1000 and p.bytes == -1
     q = probe_size(big, max_rows=10_000)
     assert q.rows == 1000 and q.bytes > 100_000
+
+
+def test_rank_desc_hot_season_with_ties(spark):
+    # one season holds most rows, a third of them tied on one value
+    df = spark.range(0, 6000).select(
+        F.when(F.col("id") < 5500, F.lit(2020)).otherwise(F.lit(2021)).alias("y"),
+        F.when(F.col("id") % 3 == 0, F.lit(0.0)).otherwise((F.col("id") % 997).cast("double"))
+        .alias("v"), F.col("id"))
+    got = rank_desc(df, ["y"], "v", buckets=16)
+    exp = rank_desc_window(df, ["y"], "v")
+    assert rows(got, "id", "rank") == rows(exp, "id", "rank")
