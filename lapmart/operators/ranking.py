@@ -57,6 +57,15 @@ def rank_desc(df: DataFrame, partition_cols: Sequence[str], value_col: str,
     if small or not isinstance(df.schema[v].dataType, NumericType):
         return rank_desc_window(df, p, v, out_col)
 
+    # The rows are read several times below: cut the lineage once (reliable
+    # checkpoint in the cluster's shared checkpoint folder) so the upstream
+    # plan is not recomputed and the small per-season tables can be measured.
+    from lapmart.operators.joins import broadcast_if_bounded
+    from lapmart.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
+
     pv = [f"__p{i}" for i in range(len(p))]
     vals = (df.groupBy(*p, v).agg(F.count(F.lit(1)).alias("__n"))
             .select(*[F.col(a).alias(b) for a, b in zip(p, pv)], F.col(v).alias("__v"), "__n"))
@@ -68,6 +77,9 @@ def rank_desc(df: DataFrame, partition_cols: Sequence[str], value_col: str,
                    .alias("__b"))
               .select(*[F.col(c).alias(c + "b") for c in pv], "__b"))
 
+    # one row per season: broadcast when measured small, so a hot season's
+    # values are never shuffled to one task for this join
+    bounds = broadcast_if_bounded(bounds)
     tagged = vals.join(bounds, _null_safe_on(vals, bounds, [(c, c + "b") for c in pv]), "left")
     bucket = F.when(F.col("__v").isNull(), F.lit(buckets)).otherwise(
         F.size(F.filter(F.coalesce(F.col("__b"), F.array().cast("array<double>")),
@@ -82,6 +94,7 @@ def rank_desc(df: DataFrame, partition_cols: Sequence[str], value_col: str,
     higher = Window.partitionBy(*pv).orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = per_bucket.withColumn("__off", F.coalesce(F.sum("__t").over(higher), F.lit(0))) \
         .select(*[F.col(c).alias(c + "o") for c in pv], F.col("__k").alias("__ko"), "__off")
+    per_bucket = broadcast_if_bounded(per_bucket)        # at most buckets+1 rows per season
 
     ranked = tagged.join(
         per_bucket,
@@ -89,6 +102,10 @@ def rank_desc(df: DataFrame, partition_cols: Sequence[str], value_col: str,
         "inner",
     ).select(*pv, "__v", (F.lit(1) + F.col("__off") + F.col("__above")).cast("int").alias(out_col))
 
+    # distinct (season, value) pairs: usually few (point totals repeat), then
+    # broadcast and the rows are never shuffled for this join, whatever the
+    # ties; beyond the bound a shuffle join (AQE splits a hot tie group)
+    ranked = broadcast_if_bounded(ranked)
     cond = _null_safe_on(df, ranked, list(zip(p, pv)) + [(v, "__v")])
     return df.join(ranked, cond, "inner").drop(*pv, "__v")
 
