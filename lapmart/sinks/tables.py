@@ -226,6 +226,27 @@ def publish(spark: SparkSession, df: DataFrame, base: str,
     return target
 
 
+ROWS_PER_BUCKET = 2_000_000
+
+
+def bucket_count(spark: SparkSession, base: str, rows_estimate: int) -> int:
+    """Buckets for the next version of a keyed table.
+
+    About ``ROWS_PER_BUCKET`` rows per bucket, at most
+    ``spark.sql.shuffle.partitions`` (the partition count the merge's source
+    side arrives with).  The previous version's count is kept while it is
+    within a factor of four of that target, so consecutive versions stay
+    co-partitioned; a table that outgrew it is re-bucketed once.
+    """
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    want = max(1, min(cap, -(-max(rows_estimate, 1) // ROWS_PER_BUCKET)))
+    prev = current_version(spark, base)
+    spec = bucketing_of(spark, prev) if prev else None
+    if spec and spec[0] * 4 >= want and spec[0] <= cap:
+        return spec[0]
+    return want
+
+
 def _write_bucketed(spark: SparkSession, df: DataFrame, target: str,
                     partition_by: Sequence[str], bucket_by: Sequence[str], n: int) -> None:
     """Bucketed write to a path (Spark records buckets only through the catalog,

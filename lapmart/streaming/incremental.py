@@ -44,6 +44,10 @@ def apply_batch(spark: SparkSession, batch: DataFrame, bronze_path: str, silver_
         staged = latest_by_version(batch, spec.keys).withColumn(PROCESSED_AT,
                                                                  F.current_timestamp())
         staged, obs, what = tables.null_gate(spec.gate)(staged)
+        rows = batch.count()                                   # the batch is persisted
+        if tables.table_exists(spark, silver_base):
+            rows += tables.read_current(spark, silver_base).count()   # file metadata
+        buckets = tables.bucket_count(spark, silver_base, rows)
         if tables.table_exists(spark, silver_base):
             merged = upsert_newest(tables.read_current(spark, silver_base), staged, spec.keys,
                                    _order())
@@ -51,7 +55,7 @@ def apply_batch(spark: SparkSession, batch: DataFrame, bronze_path: str, silver_
             merged = staged
         tables.publish(spark, merged, silver_base, partition_by=spec.partition_by,
                        cluster_by=spec.cluster_by, gate_observations=[(obs, what)],
-                       bucket_by=spec.keys)
+                       bucket_by=spec.keys, buckets=buckets)
     finally:
         batch.unpersist()
 

@@ -64,11 +64,26 @@ def test_vacuum_keeps_newest_versions(spark, tmp_path):
     assert tables.read_current(spark, base).count() == 4
 
 
-def test_silver_merge_does_not_shuffle_target(spark, tmp_path):
+def test_bucket_count_follows_size(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "t")
+    assert tables.bucket_count(spark, base, 10) == 1                 # small table: one bucket
+    monkeypatch.setattr(tables, "ROWS_PER_BUCKET", 10)
+    assert tables.bucket_count(spark, base, 35) == 4
+    assert tables.bucket_count(spark, base, 10**9) == int(
+        spark.conf.get("spark.sql.shuffle.partitions"))               # capped
+    tables.publish(spark, spark.range(5).withColumnRenamed("id", "k"), base,
+                   bucket_by=["k"], buckets=1)
+    assert tables.bucket_count(spark, base, 30) == 1                 # within 4x: kept
+    assert tables.bucket_count(spark, base, 10**9) == 8              # outgrown: re-bucketed
+
+
+def test_silver_merge_does_not_shuffle_target(spark, tmp_path, monkeypatch):
     from lapmart.operators.upsert import upsert_all
     from lapmart.plans import bronze, silver
     from raw_fixture import write_all
 
+    # as for a large table: as many buckets as shuffle partitions
+    monkeypatch.setattr(tables, "ROWS_PER_BUCKET", 1)
     raw, b, s = str(tmp_path / "raw"), str(tmp_path / "bronze"), str(tmp_path / "silver")
     write_all(raw)
     bronze.ingest_bronze(spark, raw, b, entities=["results"])
