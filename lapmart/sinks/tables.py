@@ -146,16 +146,21 @@ def _bucketed_table(spark: SparkSession, d: str, plain: DataFrame, n: int,
 
         loc = ensure_checkpoint_dir(spark).rstrip("/") + f"/{_VERSION_DB}"
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_VERSION_DB} LOCATION '{loc}'")
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
-        part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)})" if parts else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{part} "
-                  f"CLUSTERED BY ({', '.join(f'`{c}`' for c in cols)}) INTO {n} BUCKETS "
-                  f"LOCATION '{d}'")
-        if parts:
-            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        _create_bucketed_external(spark, name, d, plain, n, cols, parts)
     return spark.table(name).select(*plain.columns)
 
 
+def _create_bucketed_external(spark: SparkSession, name: str, d: str, plain: DataFrame, n: int,
+                              cols: list[str], parts: list[str]) -> None:
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
+    part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)})" if parts else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{part} "
+              f"CLUSTERED BY ({', '.join(f'`{c}`' for c in cols)}) INTO {n} BUCKETS "
+              f"LOCATION '{d}'")
+    if parts:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
 def null_gate(cols: Sequence[str], name: str = "null_key_gate"
               ) -> Callable[[DataFrame], tuple[DataFrame, Observation, str]]:
     """FLT-03..05: gate spec counting rows whose key columns hold a NULL."""
@@ -222,7 +227,13 @@ def publish(spark: SparkSession, df: DataFrame, base: str,
                       f"{n}|{','.join(bucket_by)}|{','.join(partition_by)}")
     fs.touch(spark, f"{target}/{MARKER}")
     if table_name:
-        register_external(spark, table_name, target, replace=True)
+        spec = bucketing_of(spark, target) if bucket_by else None
+        if spec is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {table_name}")
+            _create_bucketed_external(spark, table_name, target, spark.read.parquet(target),
+                                      *spec)
+        else:
+            register_external(spark, table_name, target, replace=True)
     return target
 
 
