@@ -99,3 +99,17 @@ def test_silver_merge_does_not_shuffle_target(spark, tmp_path, monkeypatch):
     assert plan.count("Exchange hashpartitioning(result_id") == plan.count("Exchange")
     silver.build_silver(spark, b, s, "results")
     assert tables.read_current(spark, s + "/results").count() == 10
+
+
+def test_view_as_merge_source_in_sql(spark):
+    # SNK-16 + FLT-02: a registered view used from SQL with a string predicate
+    from pyspark.sql import functions as F
+
+    from lapmart.operators.dedup import latest_by
+
+    df = spark.createDataFrame([(1, "a", "d1"), (1, "b", "d2"), (2, "c", "d1")],
+                               "k int, v string, file_date string")
+    tables.register_view(latest_by(df, ["k"], [F.col("file_date").desc()]), "src_view")
+    got = sorted(tuple(r) for r in spark.sql("SELECT k, v FROM src_view").filter("k = 1")
+                 .collect())
+    assert got == [(1, "b")]
