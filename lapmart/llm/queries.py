@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from lapmart.llm import packing, simple8b, warc
+from lapmart.llm import decontam, ego, packing, simple8b, warc
 from lapmart.llm.common import table
 
 
+def op1_epsilon_grid(spark, sf_dir):
+    """Embeddings of equal labels with cosine 0.98 or more."""
+    return ego.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
+
+
 def op2_simple8b(spark, sf_dir):
     """Token files: word_bpe_49k ids with end id 2, read back."""
     return simple8b.token_output(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
@@ -24,9 +29,56 @@ def op7_warc(spark, sf_dir):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op2_simple8b, op5_retrieval_packing, op7_warc)}
+def op8_decontamination(spark, sf_dir):
+    """Documents against the windows of 13 words of the benchmark."""
+    return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+QUERIES = {f.__name__: f for f in (op1_epsilon_grid, op2_simple8b, op5_retrieval_packing, op7_warc, op8_decontamination)}
+
+# Links of the pairs (a, b), spread to whole components.
+_REACH = """
+    , pairs AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+    reach AS (SELECT a AS node, b AS other FROM pairs UNION SELECT r.node, l.b FROM reach r JOIN pairs l ON r.other = l.a),
+    comp AS (SELECT node, least(node, min(other)) AS component FROM reach GROUP BY node)"""
 
 ORACLE_SQL = {
+    "op1_epsilon_grid": f"""
+        WITH RECURSIVE v AS (
+          SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+          WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+            AND len([x FOR x IN embedding IF x <> 0]) > 0),
+        links AS (
+          SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id < y.vec_id
+          WHERE list_cosine_similarity(x.e, y.e) >= 0.98) {_REACH},
+        degree AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component, vec_id) AS component_id,
+               vec_id = coalesce(component, vec_id) AS kept
+        FROM embeddings LEFT JOIN degree ON vec_id = a LEFT JOIN comp ON vec_id = node""",
+    "op8_decontamination": r"""
+        WITH iw AS (SELECT item_id, regexp_extract_all(
+                      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        win AS (SELECT DISTINCT item_id, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS win,
+                       least(13, len(w)) AS n
+                FROM (SELECT *, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM iw WHERE len(w) > 0)),
+        dw AS (SELECT doc_id, regexp_extract_all(
+                 translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        dg AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+               FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+                     FROM dw, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+        occ AS (SELECT doc_id, item_id, i, dg.n FROM dg JOIN win USING (win, n)),
+        hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+                FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM occ) GROUP BY 1),
+        it AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+               FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM occ) GROUP BY 1)
+        SELECT doc_id, coalesce(len(w), 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               coalesce(items_sha256, sha256('')) AS items_sha256,
+               coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+        FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)""",
     "op7_warc": """
         WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
                           sha1(coalesce(html, '')) AS payload_digest FROM pages),
