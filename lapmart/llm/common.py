@@ -69,6 +69,17 @@ def salt(col: Column, n: int) -> Column:
     return F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
 
 
+def salted_join(large: DataFrame, small: DataFrame, keys: list[str], by: str, n: int, how: str = "inner") -> DataFrame:
+    """Joins ``large`` with the unique-keyed ``small``; rows of one key are dealt to ``n`` tasks by column ``by``."""
+    spread = small.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    return large.withColumn("_s", salt(F.col(by), n)).join(spread, [*keys, "_s"], how).drop("_s")
+
+
+def small_enough(df: DataFrame, rows: int) -> DataFrame:
+    """Marks a written table of long ids for broadcast if it has at most ``rows`` rows; else Spark shuffles."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 # --------------------------------------------------------------------------- hashing
 
 
@@ -254,20 +265,18 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
                    f"{name}-links")
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
                      .select("node", F.least("node", "m").alias("label")), f"{name}-l0")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(HUB_SALT - 1))).alias("s")
-
     def total(df: DataFrame):
         return df.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
 
     last, rounds = total(labels), 0
     while last is not None:
         rounds += 1
-        spread = labels.select(F.col("node").alias("at"), F.col("label").alias("to"), salts)
+        spread = labels.select(F.col("node").alias("at"), F.col("label").alias("to"))
         # jump along the labels, and take the least label of the neighbours
-        jump = (labels.select("node", F.col("label").alias("at"), salt(F.col("node"), HUB_SALT).alias("s"))
-                .join(spread, ["at", "s"]).select("node", F.col("to").alias("label")))
-        near = (both.select(F.col("a").alias("node"), F.col("b").alias("at"), salt(F.col("a"), HUB_SALT).alias("s"))
-                .join(spread, ["at", "s"]).select("node", F.col("to").alias("label")))
+        jump = salted_join(labels.select("node", F.col("label").alias("at")), spread, ["at"], "node", HUB_SALT)
+        near = salted_join(both.select(F.col("a").alias("node"), F.col("b").alias("at")), spread, ["at"], "node",
+                           HUB_SALT)
+        jump, near = (x.select("node", F.col("to").alias("label")) for x in (jump, near))
         labels = written(jump.union(near).groupBy("node").agg(F.min("label").alias("label")), f"{name}-l{rounds}")
         now = total(labels)
         if now == last:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapmart.llm.common import components, prepare, salt, written
+from lapmart.llm.common import components, prepare, salted_join, written
 
 BLOCK = 256
 FAN_BITS = 4
@@ -258,9 +258,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
                     .where((F.col("copies") > 1) | F.col("links").isNotNull())
                     .select("label", "embedding", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"),
                             F.coalesce("component", "vec").alias("c")), "ego-table")
-    spread = table.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(_HOT_SALT - 1))))
-    out = (rows.withColumn("s", salt(F.col("vec_id"), _HOT_SALT))
-           .join(spread, ["label", "embedding", "s"], "left"))
+    out = salted_join(rows, table, ["label", "embedding"], "vec_id", _HOT_SALT, "left")
     component = F.coalesce("c", "vec_id")
     return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
                       component.alias("component_id"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from lapmart.llm import decontam, ego, packing, simple8b, warc
+from lapmart.llm import decontam, ego, packing, setjoin, simple8b, warc
 from lapmart.llm.common import table
 
 
@@ -35,7 +35,13 @@ def op8_decontamination(spark, sf_dir):
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op1_epsilon_grid, op2_simple8b, op5_retrieval_packing, op7_warc, op8_decontamination)}
+def op10_jaccard_join(spark, sf_dir):
+    """Documents whose sets of 3-word shingles have Jaccard similarity 0.9 or more."""
+    return setjoin.jaccard_components(table(spark, sf_dir, "documents"), 3, 90, 100)
+
+
+QUERIES = {f.__name__: f for f in (op1_epsilon_grid, op2_simple8b, op5_retrieval_packing, op7_warc, op8_decontamination,
+                                  op10_jaccard_join)}
 
 # Links of the pairs (a, b), spread to whole components.
 _REACH = """
@@ -79,6 +85,22 @@ ORACLE_SQL = {
                coalesce(items_sha256, sha256('')) AS items_sha256,
                coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
         FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)""",
+    "op10_jaccard_join": f"""
+        WITH RECURSIVE d AS (
+          SELECT doc_id, list_filter_words AS w FROM (
+            SELECT doc_id, [x FOR x IN regexp_split_to_array(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[\x20\x09-\x0D]+') IF x <> ''] AS list_filter_words FROM documents)),
+        s AS (SELECT DISTINCT doc_id, sh FROM (
+          SELECT doc_id, unnest([array_to_string(w[i:i + 2], ' ') FOR i IN range(1, greatest(len(w) - 1, 2))]) AS sh
+          FROM d WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM s x JOIN s y USING (sh)
+              WHERE x.doc_id < y.doc_id GROUP BY 1, 2),
+        links AS (SELECT a, b FROM o JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+                  WHERE 100 * o >= 90 * (p.n + q.n - o)) {_REACH}
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, doc_id) AS component_id
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp ON doc_id = node""",
     "op7_warc": """
         WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
                           sha1(coalesce(html, '')) AS payload_digest FROM pages),

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lapmart.llm.common import prepare, salt, written
+from lapmart.llm.common import prepare, salted_join, written
 from lapmart.llm.files import new_name, open_fs
 from lapmart.sources.rawfiles import scratch_dir
 
@@ -82,10 +82,8 @@ def decide(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     narrow = named.where(F.col("payload_bytes") >= min_bytes).select("page_id", "payload_digest")
     largest = written(narrow.groupBy("payload_digest").agg(F.max("page_id").alias("response"), F.count("*").alias("n"))
                       .where("n > 1").select("payload_digest", "response"), "warc-repeats")
-    spread = largest.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(_HOT_SALT - 1))))
     same = F.col("response").isNull() | F.col("page_id").eqNullSafe(F.col("response"))
-    return (named.withColumn("s", salt(F.col("page_id"), _HOT_SALT))
-            .join(spread, ["payload_digest", "s"], "left")
+    return (salted_join(named, largest, ["payload_digest"], "page_id", _HOT_SALT, "left")
             .select("page_id", "url", "html", "payload_digest", "payload_bytes",
                     F.when(same, "response").otherwise("revisit").alias("record_type"),
                     F.when(~same, F.col("response")).alias("refers_to")))
