@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from lapmart.llm import decontam, ego, packing, setjoin, simple8b, warc
+from lapmart.llm import decontam, ego, packing, ppm, setjoin, simple8b, warc
 from lapmart.llm.common import table
 
 
@@ -23,6 +23,11 @@ def op5_retrieval_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1)
 
 
+def op6_ppm(spark, sf_dir):
+    """All documents scored by a byte trie and by word counts."""
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark, sf_dir):
     """Every page archived and read back."""
     return warc.archive(table(spark, sf_dir, "pages")).select(
@@ -40,7 +45,7 @@ def op10_jaccard_join(spark, sf_dir):
     return setjoin.jaccard_components(table(spark, sf_dir, "documents"), 3, 90, 100)
 
 
-QUERIES = {f.__name__: f for f in (op1_epsilon_grid, op2_simple8b, op5_retrieval_packing, op7_warc, op8_decontamination,
+QUERIES = {f.__name__: f for f in (op1_epsilon_grid, op2_simple8b, op5_retrieval_packing, op6_ppm, op7_warc, op8_decontamination,
                                   op10_jaccard_join)}
 
 # Links of the pairs (a, b), spread to whole components.
