@@ -1,25 +1,29 @@
-"""Token ids of whole texts with the ``tokenizers`` library, encoded once per distinct space-delimited piece.
-
-Both public vocabularies used here split a text into pre-tokens by a pattern
-that never joins the end of a piece with the space after it, so a text's ids
-are the ids of its pieces (each with its leading space) one after another.
-The only exception, white space next to a space, is seen on the pieces
-themselves; such a text is encoded as a whole.  Ids are kept as
-little-endian unsigned 32-bit integers.
+"""Token ids of whole texts with the ``tokenizers`` library, encoded once per distinct piece.
+
+Texts are cut before each space and line feed.  The public vocabularies used
+here split a text into pre-tokens by a pattern that never joins the end of a
+word with the white space after it, so a text's ids are the ids of its pieces
+one after another.  The exception are longer runs of white space, which the
+pattern takes apart by its own rule; a text with such a run is encoded as a
+whole.  Ids are kept as little-endian unsigned 32-bit integers.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from unicodedata import is_normalized
 
 import numpy as np
 
 # Distinct pieces remembered per Python worker and generation (two generations are kept).
-CACHE_PIECES = 350_000
+CACHE_PIECES = 600_000
 # A text with a longer piece is encoded as a whole.
 CACHE_PIECE_CHARS = 64
 
+# White space in which a cut before a space or line feed isn't one of the pattern's.
+RUN = re.compile(r"\s[ \n]\s|\s[ \n]\Z")
+
 # Signs that stand behind a word and never belong to its pre-token.
 SIGNS = frozenset(",.;:!?")
 
@@ -48,9 +52,12 @@ class PieceEncoder:
         self.model = self.tok.model
         self.model._resize_cache(0)
         self.word_ends = bool(self.model.end_of_word_suffix)
-        # ids by piece; False: a piece that doesn't stand for itself
-        self.young: dict[str, bytes | bool] = {}
-        self.old: dict[str, bytes | bool] = {}
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(self.tok.get_vocab_size(with_added_tokens=True))]
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        # pieces that are white space, or start with two such characters
+        self.blank: dict[str, bytes] = {}
+        self.signs = {c: self._ids([c])[0] for c in SIGNS}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes()
@@ -60,77 +67,84 @@ class PieceEncoder:
         """Ids of pieces, encoded in one go."""
         ids = np.frombuffer(self._ids([" \x01".join(pieces)])[0], "<u4")
         ends = np.flatnonzero(ids == self.mark[-1]) + 1
-        if len(ends) != len(pieces) - 1:  # a piece has the mark, or white space at its end
+        if len(ends) != len(pieces) - 1:  # a piece has the mark
             return self._ids(pieces)
         starts = np.r_[0, ends]
         stops = np.r_[ends - len(self.mark), len(ids)]
         data = ids.tobytes()
         return [data[4 * a:4 * b] for a, b in zip(starts.tolist(), stops.tolist())]
 
-    def _run(self, letters: str) -> bytes | None:
-        """Ids of one run of letters (with the space before it), or None if it may not be one pre-token."""
-        if not letters[letters[0] == " ":].isalpha():
+    def _run(self, word: str) -> bytes | None:
+        """Ids of a run of letters behind a space, or None if it may not be one pre-token."""
+        if not word.isalpha():
             return None
+        plain = word.isascii()
         if self.word_ends:
-            word = letters.strip(" ")
-            if not word.isascii() and (not is_normalized("NFC", word) or "\u03a3" in word):
+            if not plain and (not is_normalized("NFC", word) or "\u03a3" in word):
                 return None
             letters = word.lower()
-            if not letters.isalpha():
+            if not plain and not letters.isalpha():
                 return None
-        if not letters.isascii():
-            letters = letters.encode().decode("latin1")
-        return np.fromiter([t.id for t in self.model.tokenize(letters.translate(BYTE_CHARS))], "<u4").tobytes()
-
-    def _ids_of_piece(self, p: str) -> bytes | None:
-        if p[-1] in SIGNS and len(p) > 2:
-            a = self.young.get(p[:-1]) or self._run(p[:-1])
-            b = self.young.get(p[-1])
-            if b is None:
-                b = self.young[p[-1]] = self._ids([p[-1]])[0]
-            return a and a + b
-        return self._run(p) if len(p) > 1 else None
+        else:
+            letters = "\u0120" + word
+        if not plain:
+            letters = letters.lstrip("\u0120").encode().decode("latin1").translate(BYTE_CHARS)
+            if not self.word_ends:
+                letters = "\u0120" + letters
+        ids = self.id_bytes
+        return b"".join([ids[t.id] for t in self.model.tokenize(letters)])
 
     def _learn(self, pieces: set[str]) -> None:
-        old = self.old
-        known = [p for p in pieces if p in old]
-        self.young.update((p, old[p]) for p in known)
-        new = pieces.difference(known)
-        odd = [p for p in new if len(p) > 1 and p[1].isspace() or p == " "]
-        plain = [p for p in new.difference(odd) if p[:1] == " " and not p[-1].isspace()]
-        other = list(new.difference(odd, plain))
-        for p in plain:
-            ids = self._ids_of_piece(p)
-            if ids:
-                self.young[p] = ids
-        plain = [p for p in plain if p not in self.young]
+        old, young = self.old, self.young
+        rest = []
+        for p in pieces:
+            ids = old.get(p)
+            if ids is None and p[0] == " ":
+                sign = self.signs.get(p[-1])
+                if sign is None:
+                    ids = self._run(p[1:])
+                else:
+                    ids = young.get(p[:-1]) or self._run(p[1:-1])
+                    if ids is not None:
+                        ids += sign
+            if ids is None:
+                rest.append(p)
+            else:
+                young[p] = ids
+        plain = [p for p in rest if p[0] == " " and not p[-1].isspace()]
         for lo in range(0, len(plain), 5_000):
             part = plain[lo:lo + 5_000]
-            self.young.update(zip(part, self._ids_of_pieces(part)))
-        self.young.update(zip(other, self._ids(other)))
-        self.young.update(dict.fromkeys(odd, False))
+            young.update(zip(part, self._ids_of_pieces(part)))
+        other = [p for p in rest if p not in young]
+        young.update(zip(other, self._ids(other)))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text (a null counts as empty)."""
         if len(self.young) > CACHE_PIECES:
             self.old, self.young = self.young, {}
         get = self.young.get
-        split = [(t or "").replace(" ", "\0 ").split("\0") for t in texts]
+        split = [(t or "").replace(" ", "\0 ").replace("\n", "\0\n").split("\0") for t in texts]
         found = [list(map(get, pieces)) for pieces in split]
-        new: set[str] = set()
         late = [i for i, ids in enumerate(found) if None in ids]
+        new: set[str] = set()
         for i in late:
             new.update([p for p, ids in zip(split[i], found[i]) if ids is None])
-        long = {p for p in new if len(p) > CACHE_PIECE_CHARS}
-        self._learn(new - long)
-        for i in late:
-            found[i] = list(map(get, split[i]))
+        blank = [p for p in new if p[:2].isspace() or not p]
+        self.blank.update((p, ids) for p, ids in zip(blank, self._ids(blank)) if p not in self.blank)
+        self._learn({p for p in new.difference(blank) if len(p) <= CACHE_PIECE_CHARS})
         out = []
-        for t, ids in zip(texts, found):
-            if False in ids or None in ids or t and "\0" in t:
-                out.append(self._ids([t])[0])
-            else:
-                out.append(b"".join(ids))
+        late = set(late)
+        for i, t in enumerate(texts):
+            ids = found[i]
+            if i in late:
+                # white space inside a run, which isn't where the pattern parts it
+                if "\0" in t or not self.word_ends and RUN.search(t):
+                    ids = self._ids([t])
+                else:
+                    ids = list(map(get, split[i], map(self.blank.get, split[i])))
+                    if None in ids:  # a very long piece
+                        ids = self._ids([t])
+            out.append(b"".join(ids))
         return out
 
 
