@@ -72,6 +72,18 @@ def _tail_arrays(ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(rows), "<u4"), np.fromiter(map(len, rows), np.int64, len(rows)) // 4
 
 
+# Ids of the vocabularies used lie below this.
+SPAN = 1 << 16
+
+
+def _pairs(ids: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sorted (tail, id) pairs as one integer each, of 32 bits where that is enough."""
+    kind = np.uint32 if len(n) < SPAN else np.uint64
+    key = np.repeat(np.arange(len(n), dtype=kind) * kind(SPAN), n) + ids.astype(kind)
+    key.sort()
+    return key
+
+
 def document_frequencies(tails: DataFrame, end_id: int) -> DataFrame:
     """(term, df) over all tails; the end id is no term."""
 
@@ -79,8 +91,8 @@ def document_frequencies(tails: DataFrame, end_id: int) -> DataFrame:
         total = np.zeros(0, np.int64)
         for batch in batches:
             ids, n = _tail_arrays(batch.column("ids"))
-            key = np.unique(np.repeat(np.arange(len(n), dtype=np.int64), n) << 32 | ids)
-            found = np.bincount(key & 0xFFFFFFFF)
+            key = _pairs(ids, n)
+            found = np.bincount(key[np.r_[True, key[1:] != key[:-1]]] % SPAN) if len(key) else np.zeros(0, np.int64)
             if len(found) > len(total):
                 total = np.pad(total, (0, len(found) - len(total)))
             total[:len(found)] += found
@@ -98,11 +110,10 @@ class ShardIndex:
 
     def __init__(self, ids: np.ndarray, lengths: np.ndarray, idf: np.ndarray, mean_length: float):
         self.n = len(lengths)
-        key = np.repeat(np.arange(self.n, dtype=np.int64), lengths) << 32 | ids
-        key.sort()
+        key = _pairs(ids, lengths)
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
         tf = np.diff(np.r_[first, len(key)])
-        unit, term = key[first] >> 32, key[first] & 0xFFFFFFFF
+        unit, term = (key[first] // SPAN).astype(np.int64), (key[first] % SPAN).astype(np.int64)
         known = idf[term] > 0
         unit, term, tf = unit[known], term[known], tf[known]
         self.doc_terms = term
