@@ -121,13 +121,13 @@ class WordHasher:
                 self.pow = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, _BASE)], dtype=np.uint64)
                 self.inv = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, _INV)], dtype=np.uint64)
 
-    def segment(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(hash, start, end) of each word of a byte array."""
+    def segment(self, data: np.ndarray, prefixes: tuple[int, ...] = ()) -> tuple:
+        """(hash, start, end, hash of the first bytes for each length in ``prefixes``) of each word of a byte array."""
         inside = self.word[data]
         edge = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).view(np.int8)))
         start, end = edge[::2], edge[1::2]
         if not len(start):
-            return np.empty(0, np.uint64), start, end
+            return np.empty(0, np.uint64), start, end, [np.empty(0, np.uint64) for _ in prefixes]
         self._powers(len(data) + 1)
         with np.errstate(over="ignore"):
             total = np.empty(len(data) + 1, np.uint64)
@@ -135,10 +135,12 @@ class WordHasher:
             np.cumsum((self.lower[data].astype(np.uint64) + np.uint64(1)) * self.pow[: len(data)],
                       out=total[1:])
             h = (total[end] - total[start]) * self.inv[start]
-        return mix64(h), start, end
+            firsts = [mix64((total[np.minimum(end, start + m)] - total[start]) * self.inv[start]) for m in prefixes]
+        return mix64(h), start, end, firsts
 
-    def batch(self, texts: pa.Array):
-        """Yields (first row, last row + 1, hashes, words of each row) over a string array.
+    def batch(self, texts: pa.Array, prefixes: tuple[int, ...] = ()):
+        """Yields (first row, last row + 1, hashes, words of each row) over a string array, and with ``prefixes``
+        the hashes of the words' first bytes.
 
         Rows come in groups of about ``SEGMENT_BYTES``; a null counts as empty.
         """
@@ -147,14 +149,16 @@ class WordHasher:
                 # a separator between texts keeps words of different rows apart
                 sep, n = offsets[1:-1], hi - lo
                 shifted = np.insert(data, sep, 32) if n > 1 else data
-                h, start, _ = self.segment(shifted)
+                h, start, _, firsts = self.segment(shifted, prefixes)
                 bounds = offsets + np.r_[np.arange(n), n - 1]
                 counts = np.diff(np.searchsorted(start, bounds, "left"))
-                yield lo, hi, h, counts
+                yield (lo, hi, h, counts, firsts) if prefixes else (lo, hi, h, counts)
             else:  # one long text
-                parts = [self.segment(data[a:b])[0] for a, b in self._cuts(data)]
-                h = np.concatenate(parts)
-                yield lo, hi, h, np.array([len(h)])
+                parts = [self.segment(data[a:b], prefixes) for a, b in self._cuts(data)]
+                h = np.concatenate([p[0] for p in parts])
+                firsts = [np.concatenate([p[3][j] for p in parts]) for j in range(len(prefixes))]
+                counts = np.array([len(h)])
+                yield (lo, hi, h, counts, firsts) if prefixes else (lo, hi, h, counts)
 
     def _cuts(self, data: np.ndarray):
         at = 0

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from lapmart.llm import decontam, ego, packing, ppm, setjoin, simple8b, warc
+from lapmart.llm import decontam, ego, packing, ppm, quality, secret_scan, setjoin, simple8b, warc
 from lapmart.llm.common import table
 
 
@@ -18,6 +19,17 @@ def op2_simple8b(spark, sf_dir):
     return simple8b.token_output(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
 
 
+def op3_empirical_bayes(spark, sf_dir):
+    """Every document judged; sites are sources, and languages within a source."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                            F.col("source"), F.col("lang")).drop("row_key")
+
+
+def op4_randomness_battery(spark, sf_dir):
+    """Secrets of every document."""
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op5_retrieval_packing(spark, sf_dir):
     """Windows of 2048 ids of byte_bpe_50k with end id 1."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1)
@@ -45,8 +57,9 @@ def op10_jaccard_join(spark, sf_dir):
     return setjoin.jaccard_components(table(spark, sf_dir, "documents"), 3, 90, 100)
 
 
-QUERIES = {f.__name__: f for f in (op1_epsilon_grid, op2_simple8b, op5_retrieval_packing, op6_ppm, op7_warc, op8_decontamination,
-                                  op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (
+    op1_epsilon_grid, op2_simple8b, op3_empirical_bayes, op4_randomness_battery, op5_retrieval_packing, op6_ppm, op7_warc,
+    op8_decontamination, op10_jaccard_join)}
 
 # Links of the pairs (a, b), spread to whole components.
 _REACH = """
