@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lapmart.llm import decontam, ego, packing, ppm, quality, secret_scan, setjoin, simple8b, warc
+from lapmart.llm import decontam, ego, license_scan, packing, ppm, quality, secret_scan, setjoin, simple8b, warc
 from lapmart.llm.common import table
 
 
@@ -52,6 +52,11 @@ def op8_decontamination(spark, sf_dir):
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op9_patience(spark, sf_dir):
+    """License notices in every document."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_jaccard_join(spark, sf_dir):
     """Documents whose sets of 3-word shingles have Jaccard similarity 0.9 or more."""
     return setjoin.jaccard_components(table(spark, sf_dir, "documents"), 3, 90, 100)
@@ -59,7 +64,7 @@ def op10_jaccard_join(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_epsilon_grid, op2_simple8b, op3_empirical_bayes, op4_randomness_battery, op5_retrieval_packing, op6_ppm, op7_warc,
-    op8_decontamination, op10_jaccard_join)}
+    op8_decontamination, op9_patience, op10_jaccard_join)}
 
 # Links of the pairs (a, b), spread to whole components.
 _REACH = """
