@@ -20,11 +20,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lapmart.llm.common import prepare, salted_join, written
-from lapmart.llm.files import new_name, open_fs
+from lapmart.llm.files import new_name, one_row_tasks, open_fs
 from lapmart.sources.rawfiles import scratch_dir
 
 ROLL_BYTES = 1 << 30
-RANGE_BYTES = 8 << 20
+RANGE_BYTES = 2 << 20
+# Bytes that a reading task gets.
+TASK_BYTES = 16 << 20
 # Unselected bytes between two ranges that are read rather than skipped.
 GAP_BYTES = 64 << 10
 MIN_REVISIT = 1000
@@ -185,7 +187,10 @@ def read_records(selected: DataFrame) -> DataFrame:
                     ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "html"])
 
     prepare(selected.sparkSession)
-    return coalesce_ranges(selected).mapInArrow(
+    ranges = written(coalesce_ranges(selected), "warc-ranges")
+    # dealt out by the bytes to read, not by those of the range rows
+    size = ranges.agg(F.sum(F.col("hi") - F.col("lo"))).first()[0] or 0
+    return one_row_tasks(ranges, -(-size // TASK_BYTES)).mapInArrow(
         read, "page_id long, url string, record_type string, refers_to long, payload_bytes long, "
               "payload_digest string, html string")
 
