@@ -1,22 +1,62 @@
-"""Corpus pipeline over the driver's documents: five stages, each applying one operator of ``lapmart.llm``."""
+"""Corpus pipeline over the driver's documents: five stages, each applying one operator of ``lapmart.llm``.
+
+Rejected documents go, of near duplicates one stays, contaminated documents
+go, secrets are cut out of the texts, and what is left is packed.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lapmart.llm import decontam, packing, quality, secret_scan, setjoin
+from lapmart.llm.common import small_enough, table, written
+
+# Ids of rows to drop that are broadcast at most (16 MB); beyond that the join is shuffled.
+BROADCAST_IDS = 2_000_000
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the classifier finds of low quality or toxic; sites are sources and languages."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group linked by 5-word shingles of Jaccard similarity 0.8 or more."""
+    found = setjoin.jaccard_components(docs, 5, 80, 100)
+    gone = written(found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct(), "dedup-gone")
+    return docs.join(small_enough(gone, BROADCAST_IDS), "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without contaminated documents: 5 % or more of the words lie in windows of the benchmark."""
+    keyed = docs.select(quality.row_key().alias("doc_id"), "text")
+    found = decontam.decontaminate(keyed, table(spark, sf_dir, "benchmark"))
+    gone = written(found.where("contaminated").select(F.col("doc_id").alias("_key")).distinct(), "decontam-gone")
+    return (docs.withColumn("_key", quality.row_key())
+            .join(small_enough(gone, BROADCAST_IDS), "_key", "left_anti").select(*docs.columns))
+
 
-from lapmart.llm import packing
-from lapmart.llm.common import table, written
+def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced in their texts."""
+    return secret_scan.redact(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into windows of 2048 ids, related documents together."""
+    """Windows of 2048 ids, related documents together; one row per piece."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), 1)
 
 
-STAGES = [("packing", pack_sequences)]
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("secret_scan", secret_redaction),
+    ("packing", pack_sequences),
+]
 
-# No stage can be put in SQL as a whole (a fitted classifier, a tokenizer, the packing's retrieval).
+# A fitted classifier, tests under false-discovery control and the packing's retrieval are beyond SQL.
 ORACLE_SQL = None
 
 
