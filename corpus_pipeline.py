@@ -33,9 +33,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Without contaminated documents: 5 % or more of the words lie in windows of the benchmark."""
     keyed = docs.select(quality.row_key().alias("doc_id"), "text")
     found = decontam.decontaminate(keyed, table(spark, sf_dir, "benchmark"))
-    gone = written(found.where("contaminated").select(F.col("doc_id").alias("_key")).distinct(), "decontam-gone")
-    return (docs.withColumn("_key", quality.row_key())
-            .join(small_enough(gone, BROADCAST_IDS), "_key", "left_anti").select(*docs.columns))
+    gone = written(found.where("contaminated").select(F.col("doc_id").alias("key")).distinct(), "decontam-gone")
+    return quality.drop_rows(docs, gone)
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,6 +65,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def salt(col: Column, n: int) -> Column:
     return F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
 

@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapmart.llm.common import (WordHasher, ascii_space_words, byte_groups, letter_digit_words, mix64, prepare,
-                                row_of_word, salted_join, small_enough, written)
+from lapmart.llm.common import (WordHasher, ascii_space_words, byte_groups, free_name, letter_digit_words, mix64,
+                                prepare, row_of_word, salted_join, small_enough, written)
 
 # Labelled rows that the classifier is fitted on at most (those with the smallest hashes of doc_id).
 TRAIN_ROWS = 12_000
@@ -35,6 +35,8 @@ TARGETS = ("low", "toxic")
 PREFIXES = (4, 5)
 # Shares of a text's words from which a shape or repetition counts as a feature of its own.
 SHARES = (0.0, 0.02, 0.1, 0.3, 0.6)
+# Keys of rows to drop that are broadcast at most (16 MB); beyond that the join is shuffled.
+BROADCAST_KEYS = 2_000_000
 _HOT_SALT = 32
 
 
@@ -263,6 +265,12 @@ def row_key() -> Column:
 def keep_good(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> DataFrame:
     """``docs`` without the rows that the classifier rejects."""
     bad = written(classify(docs, labels, host, path).where(~F.col("keep")).select("row_key").distinct(), "quality-bad")
-    return (docs.withColumn("_key", row_key())
-            .join(small_enough(bad.withColumnRenamed("row_key", "_key"), 2_000_000), "_key", "left_anti")
+    return drop_rows(docs, bad.withColumnRenamed("row_key", "key"))
+
+
+def drop_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``row_key`` is in keys(key)."""
+    name = free_name(docs, "_key")
+    return (docs.withColumn(name, row_key())
+            .join(small_enough(keys.withColumnRenamed("key", name), BROADCAST_KEYS), name, "left_anti")
             .select(*docs.columns))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lapmart.llm.common import written
+from lapmart.llm.common import free_name, written
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -191,19 +191,21 @@ def redact(docs: DataFrame) -> DataFrame:
 
     Overlapping spans are replaced as one.  Rows without spans stay as they are.
     """
-    rows = written(docs.withColumn("_rid", F.monotonically_increasing_id()), "secrets-docs")
-    found = candidates(rows, "_rid")
-    cut = found.select("rid", "_rid").join(spans(found), "rid").select("_rid", F.col("all").alias("_all"))
+    rid, all_, to = (free_name(docs, x) for x in ("_rid", "_all", "_to"))
+    rows = written(docs.withColumn(rid, F.monotonically_increasing_id()), "secrets-docs")
+    found = candidates(rows, rid)
+    cut = found.select("rid", rid).join(spans(found), "rid").select(rid, F.col("all").alias(all_))
     # where the spans before each one end
-    joined = (rows.join(cut, "_rid", "left")
-              .withColumn("_to", F.expr("transform(_all, (x, i) -> array_max(transform(slice(_all, 1, i + 1), y -> y.end)))")))
+    joined = rows.join(cut, rid, "left").withColumn(to, F.expr(
+        f"transform({all_}, (x, i) -> array_max(transform(slice({all_}, 1, i + 1), y -> y.end)))"))
     pieces = F.expr(f"""array_join(concat(
-        transform(_all, (x, i) -> if(i = 0 or x.start >= _to[i - 1],
-          concat(substring(text, if(i = 0, 1, cast(_to[i - 1] + 1 as int)),
-                           cast(x.start - if(i = 0, 0, _to[i - 1]) as int)), '{REDACTED}'), '')),
-        array(substring(text, cast(_to[size(_to) - 1] + 1 as int)))), '')""")
-    out = joined.withColumn("text", F.when(F.size("_all") > 0, pieces).otherwise(F.col("text")))
+        transform({all_}, (x, i) -> if(i = 0 or x.start >= {to}[i - 1],
+          concat(substring(text, if(i = 0, 1, cast({to}[i - 1] + 1 as int)),
+                           cast(x.start - if(i = 0, 0, {to}[i - 1]) as int)), '{REDACTED}'), '')),
+        array(substring(text, cast({to}[size({to}) - 1] + 1 as int)))), '')""")
+    hit = F.size(all_) > 0
+    out = joined.withColumn("text", F.when(hit, pieces).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("_all") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        out = out.withColumn("n_chars", F.when(hit, F.length("text")).otherwise(F.col("n_chars"))
                              .cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
