@@ -7,13 +7,17 @@
    the lowest ``share`` of the hash range; these come first in the order, by
    (frequency, hash); the rest follow by hash.  Tokens of one set only fill
    prefixes without being indexed, so most sets leave the index altogether.
-3. Answers from similar sets: a list's leaders are compared with its members,
-   a linear number of pairs.  A set that links to a leader takes over the
-   leader's component, so nothing in that component is compared with it again.
-4. What is left are pairs of different components in one list.  A list's
-   largest component stays where it is, in blocks; the other sets visit the
-   blocks.  Sizes, positions in the lists and parity sketches (a lower bound
-   of the symmetric difference) skip pairs; the rest are verified exactly.
+3. A list is cut into blocks, and only sets of different components are
+   compared.  The list's largest component stays where it is; the other sets
+   visit blocks.  Sizes, positions in the lists and parity sketches (a lower
+   bound of the symmetric difference) skip pairs; the rest are verified
+   exactly.
+4. Answers from similar sets: in the first rounds each set visits one block
+   of a list and takes the set with the nearest sketch, a linear number of
+   pairs.  A set that links to it takes over its component's answers, so
+   nothing in that component is compared with it again, and a group of many
+   similar sets soon is one component.  The last round visits all blocks and
+   takes all pairs of different components, so no link is lost.
 
 Positions, sizes and sketches only ever skip pairs that cannot link, so the
 links' components are exact (64-bit shingle hashes stand for shingles).
@@ -32,9 +36,8 @@ from lapmart.llm.common import (WordHasher, ascii_space_words, components, mix64
 # Ids that are broadcast at most (16 MB of longs); beyond that the texts are shuffled.
 BROADCAST_IDS = 2_000_000
 SKETCH_BITS = 2048
-LEADERS = 3
-# Leaders a set is compared with in step 3; step 4 takes care of all others.
-FIRST_TRIES = 3
+# Rounds in which a set only looks for its nearest set in a block; after them all pairs left are looked at.
+NEAREST_ROUNDS = 2
 # Members of a block, and visitors of a block at a time.
 BLOCK = 128
 _HOT_SALT = 32
@@ -46,7 +49,7 @@ def _share(num: int, den: int) -> float:
 
 def _limit(num: int, den: int) -> int:
     """Tokens below (as signed 64-bit integers) have exact frequencies."""
-    return int(-(1 << 63) + _share(num, den) * ((1 << 64) - 1))
+    return min((1 << 63) - 1, -(1 << 63) + int(_share(num, den) * (1 << 64)))
 
 
 def _prefix_length(n, num: int, den: int):
@@ -157,24 +160,18 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, name: str) -
     return written(pairs.join(x, "a").join(y, "b").where(alike).select("a", "b"), name)
 
 
-def leader_pairs(index: DataFrame, num: int, den: int) -> DataFrame:
-    """Each set with the leaders that most of its lists have."""
-    leaders = index.groupBy("token").agg(*(
-        F.min(F.struct(F.xxhash64("doc", F.lit(r)).alias("h"), "doc", "n")).alias(f"l{r}") for r in range(LEADERS)))
-    rows = salted_join(index.select("token", "doc", "n"), leaders, ["token"], "doc", _HOT_SALT)
-    each = rows.select("doc", "n", F.explode(F.array(*(F.col(f"l{r}") for r in range(LEADERS)))).alias("l"))
-    fits = (F.col("l.doc") != F.col("doc")) & (F.least("n", "l.n") * den >= F.greatest("n", "l.n") * num)
-    # counted by (set, leader) first; a set has at most a prefix of leaders
-    often = (each.where(fits).groupBy("doc", F.col("l.doc").alias("leader")).agg(F.count("*").alias("c"))
-             .groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("c", "leader")), asc=False).alias("best")))
-    pairs = often.select("doc", F.explode(F.slice("best", 1, FIRST_TRIES)).alias("x"))
-    return pairs.select(F.least("doc", "x.leader").alias("a"), F.greatest("doc", "x.leader").alias("b")).distinct()
-
-
-def cross_pairs(index: DataFrame, sets: DataFrame, found: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of different components that share a list and pass the size, position and sketch bounds."""
-    known = index.join(found.select(F.col("node").alias("doc"), "component"), "doc", "left")
-    known = written(known.select("token", "doc", "n", "pos", F.coalesce("component", "doc").alias("c")), "sets-index")
+def cross_pairs(index: DataFrame, sets: DataFrame, found: DataFrame | None, num: int, den: int,
+                best: bool) -> DataFrame:
+    """Pairs (a, b) of different components that share a list and pass the size, position and sketch bounds.
+
+    ``best``: of a set and a list at most the pair with the nearest sketch in one block; else all pairs.
+    """
+    if found is None:
+        known = index.withColumn("c", F.col("doc"))
+    else:
+        known = index.join(found.select(F.col("node").alias("doc"), "component"), "doc", "left")
+        known = known.select("token", "doc", "n", "pos", F.coalesce("component", "doc").alias("c"))
+    known = written(known.select("token", "doc", "n", "pos", "c"), "sets-index")
     lists = (known.groupBy("token", "c").agg(F.count("*").alias("m"))
              .groupBy("token").agg(F.max(F.struct("m", "c")).alias("most"), F.sum("m").alias("all"),
                                    F.count("*").alias("comps")).where("comps > 1")
@@ -188,10 +185,17 @@ def cross_pairs(index: DataFrame, sets: DataFrame, found: DataFrame, num: int, d
     block = F.pmod(F.xxhash64("doc", F.lit(1)), F.col("blocks")).cast("int")
     chunk = F.pmod(F.xxhash64("doc", F.lit(2)), F.col("chunks")).cast("int")
     entry = F.struct("doc", "n", "pos", "c", guest.alias("guest"), "sketch").alias("entry")
-    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    stay = rows.select("token", block.alias("block"), each(F.col("chunks")).alias("chunk"), F.lit(False).alias("v"), entry)
-    visit = rows.where(guest).select("token", each(F.col("blocks")).alias("block"), chunk.alias("chunk"),
-                                     F.lit(True).alias("v"), entry)
+    if best:
+        stay = rows.select("token", block.alias("block"), F.lit(0).alias("chunk"), F.lit(False).alias("v"), entry)
+        visited = F.pmod(F.xxhash64("doc", "token", F.lit(3)), F.col("blocks")).cast("int")
+        visit = rows.where(guest).select("token", visited.alias("block"), F.lit(0).alias("chunk"),
+                                         F.lit(True).alias("v"), entry)
+    else:
+        each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+        stay = rows.select("token", block.alias("block"), each(F.col("chunks")).alias("chunk"),
+                           F.lit(False).alias("v"), entry)
+        visit = rows.where(guest).select("token", each(F.col("blocks")).alias("block"), chunk.alias("chunk"),
+                                         F.lit(True).alias("v"), entry)
     groups = stay.union(visit).groupBy("token", "block", "chunk").agg(
         F.collect_list(F.when(~F.col("v"), F.col("entry"))).alias("stay"),
         F.collect_list(F.when(F.col("v"), F.col("entry"))).alias("visit"))
@@ -213,7 +217,7 @@ def cross_pairs(index: DataFrame, sets: DataFrame, found: DataFrame, num: int, d
                 v = {c: x[v_at[r]:v_at[r + 1]] for c, x in v_all.items()}
                 i, j = np.nonzero(
                     (v["c"][:, None] != s["c"][None, :])
-                    & (~s["guest"][None, :] | (v["doc"][:, None] < s["doc"][None, :]))
+                    & (best | ~s["guest"][None, :] | (v["doc"][:, None] < s["doc"][None, :]))
                     & (np.minimum(v["n"][:, None], s["n"][None, :]) * den
                        >= np.maximum(v["n"][:, None], s["n"][None, :]) * num))
                 if not len(i):
@@ -224,7 +228,10 @@ def cross_pairs(index: DataFrame, sets: DataFrame, found: DataFrame, num: int, d
                 fits = 1 + np.minimum(v["n"][i] - v["pos"][i], s["n"][j] - s["pos"][j]) >= needed
                 i, j, spare = i[fits], j[fits], (total - 2 * needed)[fits]
                 apart = np.bitwise_count(v["sketch"][i] ^ s["sketch"][j]).sum(axis=1, dtype=np.int64)
-                near = apart <= spare
+                near = np.flatnonzero(apart <= spare)
+                if best:
+                    near = near[np.lexsort((s["doc"][j[near]], apart[near], i[near]))]
+                    near = near[np.r_[True, i[near][1:] != i[near][:-1]]] if len(near) else near
                 a.append(v["doc"][i[near]])
                 b.append(s["doc"][j[near]])
             if a:
@@ -261,15 +268,14 @@ def jaccard_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame
     index = prefixes.select("doc", "n", F.explode("prefix").alias("p")).select("doc", "n", "p.token", "p.pos")
     sets = whole_sets(reps.join(small_enough(prefixes.select(F.col("doc").alias("doc_id")), BROADCAST_IDS),
                                 "doc_id", "left_semi"), k)
-    first = verified(leader_pairs(index, num, den), sets, num, den, "sets-first")
-    found = components(first, "sets-a")
-    second = verified(cross_pairs(index, sets, found, num, den), sets, num, den, "sets-second")
-    if second.isEmpty():
-        links = found
-    else:
-        links = components(second.union(found.select(F.col("node").alias("a"), F.col("component").alias("b"))), "sets-b")
+    found = None
+    for best in (*(True,) * NEAREST_ROUNDS, False):
+        new = verified(cross_pairs(index, sets, found, num, den, best), sets, num, den, "sets-links")
+        if found is not None:
+            new = new.union(found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")))
+        found = components(new, "sets")
     # classes of equal sets and linked sets, by digest
-    linked = (real.join(links.withColumnRenamed("node", "doc_id"), "doc_id")
+    linked = (real.join(found.withColumnRenamed("node", "doc_id"), "doc_id")
               .groupBy(*digest).agg(F.min("component").alias("component")))
     table = written(copies.join(linked, digest, "full").select(*digest, F.coalesce("component", "rep").alias("component")),
                     "sets-table")
