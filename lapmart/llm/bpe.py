@@ -137,6 +137,7 @@ class PieceEncoder:
         for i, t in enumerate(texts):
             ids = found[i]
             if i in late:
+                t = t or ""
                 # white space inside a run, which isn't where the pattern parts it
                 if "\0" in t or not self.word_ends and RUN.search(t):
                     ids = self._ids([t])

@@ -259,7 +259,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
                     .select("label", "embedding", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"),
                             F.coalesce("component", "vec").alias("c")), "ego-table")
     out = salted_join(rows, table, ["label", "embedding"], "vec_id", _HOT_SALT, "left")
-    component = F.coalesce("c", "vec_id")
-    return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
+    named = F.col("vec_id").isNotNull()
+    component = F.when(named, F.coalesce("c", "vec_id"))
+    return out.select("vec_id", F.coalesce(F.when(named, F.col("n")), F.lit(0)).cast("long").alias("n_links"),
                       component.alias("component_id"),
                       F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
