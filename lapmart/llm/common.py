@@ -105,6 +105,28 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse modulo 2
 _INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
 
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(n: int) -> list[np.ndarray]:
+    """Powers of the hash base, and of its inverse, at least ``n`` of each."""
+    if n > len(_POWERS[0]):
+        n = max(n, 2 * len(_POWERS[0]))
+        with np.errstate(over="ignore"):
+            _POWERS[:] = [np.cumprod(np.r_[np.uint64(1), np.full(n - 1, b)], dtype=np.uint64) for b in (_BASE, _INV)]
+    return _POWERS
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Non-negative 63-bit hashes of the spans of a byte array."""
+    power, inverse = powers(len(data) + 1)
+    with np.errstate(over="ignore"):
+        total = np.empty(len(data) + 1, np.uint64)
+        total[0] = 0
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)], out=total[1:])
+        return (mix64((total[end] - total[start]) * inverse[start]) >> np.uint64(1)).view(np.int64)
+
+
 class WordHasher:
     """64-bit hashes of the words of a batch of texts.
 
@@ -119,14 +141,6 @@ class WordHasher:
         lower[65:91] += 32
         self.lower = lower
         self.word = word_byte[lower]
-        self.pow = self.inv = np.ones(1, np.uint64)
-
-    def _powers(self, n: int) -> None:
-        if n > len(self.pow):
-            n = max(n, 2 * len(self.pow))
-            with np.errstate(over="ignore"):
-                self.pow = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, _BASE)], dtype=np.uint64)
-                self.inv = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, _INV)], dtype=np.uint64)
 
     def segment(self, data: np.ndarray, prefixes: tuple[int, ...] = ()) -> tuple:
         """(hash, start, end, hash of the first bytes for each length in ``prefixes``) of each word of a byte array."""
@@ -135,14 +149,14 @@ class WordHasher:
         start, end = edge[::2], edge[1::2]
         if not len(start):
             return np.empty(0, np.uint64), start, end, [np.empty(0, np.uint64) for _ in prefixes]
-        self._powers(len(data) + 1)
+        power, inverse = powers(len(data) + 1)
         with np.errstate(over="ignore"):
             total = np.empty(len(data) + 1, np.uint64)
             total[0] = 0
-            np.cumsum((self.lower[data].astype(np.uint64) + np.uint64(1)) * self.pow[: len(data)],
+            np.cumsum((self.lower[data].astype(np.uint64) + np.uint64(1)) * power[:len(data)],
                       out=total[1:])
-            h = (total[end] - total[start]) * self.inv[start]
-            firsts = [mix64((total[np.minimum(end, start + m)] - total[start]) * self.inv[start]) for m in prefixes]
+            h = (total[end] - total[start]) * inverse[start]
+            firsts = [mix64((total[np.minimum(end, start + m)] - total[start]) * inverse[start]) for m in prefixes]
         return mix64(h), start, end, firsts
 
     def batch(self, texts: pa.Array, prefixes: tuple[int, ...] = ()):

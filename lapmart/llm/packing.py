@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapmart.llm.bpe import encoder, text_groups
+from lapmart.llm.bpe import encoder
 from lapmart.llm.common import prepare, written
 
 WINDOW = 2048
@@ -41,22 +41,19 @@ def _cut(docs: DataFrame, vocabulary: str, end_id: int, window: int) -> DataFram
         from pyspark import TaskContext
 
         unit = TaskContext.get().partitionId() << 40
-        tok = encoder(vocabulary)
-        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             keys, texts = batch.column("doc_id"), batch.column("text")
-            for lo, hi in text_groups(texts):
-                rows = []
-                encoded = tok.encode(texts.slice(lo, hi - lo).to_pylist())
-                for key, ids in zip(keys.slice(lo, hi - lo).to_pylist(), encoded):
-                    ids += end
-                    n = len(ids) // 4
+            for lo, hi, ids, counts in encoder(vocabulary).groups(texts, end_id):
+                data = memoryview(ids.astype("<u4").tobytes())
+                rows, at = [], 0
+                for key, n in zip(keys.slice(lo, hi - lo).to_pylist(), counts.tolist()):
                     for start in range(0, n, window):
-                        part = ids[4 * start:4 * (start + window)]
+                        part = data[at + 4 * start:at + 4 * min(start + window, n)]
                         whole = len(part) == 4 * window
                         rows.append((unit, key, start, len(part) // 4, zlib.crc32(part), n,
-                                     None if whole else part))
+                                     None if whole else bytes(part)))
                         unit += 1
+                    at += 4 * n
                 cols = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
                     [*(pa.array(c, pa.int64()) for c in cols[:6]), pa.array(cols[6], pa.binary())],

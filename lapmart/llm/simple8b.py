@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lapmart.llm.bpe import encoder, text_groups
+from lapmart.llm.bpe import encoder
 from lapmart.llm.common import prepare, written
 from lapmart.llm.files import new_name, one_row_tasks, open_fs
 from lapmart.sources.rawfiles import scratch_dir
@@ -184,14 +184,12 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int, folder: str
                 stream = fs.open_output_stream(path)
                 writer = Writer(stream)
             keys, texts = batch.column("doc_id"), batch.column("text")
-            tok = encoder(vocabulary)
-            for lo, hi in text_groups(texts):
-                rows = texts.slice(lo, hi - lo).to_pylist()
-                for key, ids in zip(keys.slice(lo, hi - lo).to_pylist(), tok.encode(rows)):
-                    ids = np.append(np.frombuffer(ids, "<u4"), end_id).astype(np.uint64)
-                    writer.add(key, ids)
-                    n_docs += 1
-                    n_ids += len(ids)
+            for lo, hi, ids, counts in encoder(vocabulary).groups(texts, end_id):
+                ids, ends = ids.astype(np.uint64), np.cumsum(counts)
+                for key, a, b in zip(keys.slice(lo, hi - lo).to_pylist(), (ends - counts).tolist(), ends.tolist()):
+                    writer.add(key, ids[a:b])
+                n_docs += hi - lo
+                n_ids += len(ids)
         if writer is not None:
             writer.close()
             stream.close()
