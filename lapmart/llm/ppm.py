@@ -36,8 +36,8 @@ START, END = 0xFE, 0xFF
 SYMBOLS = 256
 # Highest-order entries that are held at a time (about 100 MB of tables).
 PASS_GRAMS = 1_500_000
-# Most frequent words whose counts are broadcast (16 MB); other words' counts are joined.
-WORD_TABLE = 1 << 20
+# Most frequent words whose counts are broadcast (8 MB); other words' counts are joined.
+WORD_TABLE = 1 << 19
 # Distinct entries that a learning task holds before it hands them to Spark.
 FLUSH = 2_000_000
 GRAM, WORD = 0, 1
@@ -169,7 +169,7 @@ class Trie:
             grams[k] = _sum_by(grams[k + 1][0] & ((1 << 8 * (k + 1)) - 1), grams[k + 1][1])
         grams[1] = _sum_by(*short)
         grams[0] = _sum_by(short[0] & 0xFF, short[1])
-        self.value, self.log_count, self.gram, self.context = {}, {}, {}, {}
+        self.value, self.log_count, self.keys, self.contexts = {}, {}, {}, {}
         self.escape, self.log_rest, self.next_escape = {}, {}, {}
         below = None
         for k in range(order + 1):
@@ -178,16 +178,16 @@ class Trie:
             distinct = np.diff(np.r_[first, len(key)])
             total = np.add.reduceat(n, first) if len(key) else n
             of = np.repeat(np.arange(len(ctx)), distinct)
-            self.gram[k], self.context[k] = IntTable(key), IntTable(ctx)
+            self.keys[k], self.contexts[k] = key, ctx
             self.value[k] = np.log10(n / (total + distinct)[of]).astype(np.float32)
             self.log_count[k] = np.log10(n).astype(np.float32)
             self.escape[k] = np.log10(distinct / (total + distinct))
             if below is not None:
                 b_key, b_n, b_total, b_distinct = below
                 # the count in the suffix of the symbols seen here
-                suffix = self.gram[k - 1].find(key & ((1 << 8 * k) - 1))
+                suffix = np.searchsorted(b_key, key & ((1 << 8 * k) - 1))
                 ruled_out = np.add.reduceat(b_n[suffix], first) if len(key) else b_n[:0]
-                c = self.context[k - 1].find(ctx & ((1 << 8 * (k - 1)) - 1))
+                c = np.searchsorted(self.contexts[k - 1], ctx & ((1 << 8 * (k - 1)) - 1))
                 new = b_distinct[c] - distinct
                 rest = b_total[c] - ruled_out + new
                 with np.errstate(divide="ignore"):
@@ -197,6 +197,12 @@ class Trie:
             below = key, n, total, distinct
         self.uniform = -math.log10(max(1, SYMBOLS - len(grams[0][0])))
 
+    def compile(self) -> Trie:
+        """Makes the look-up tables (not part of the file)."""
+        self.gram = {k: IntTable(x) for k, x in self.keys.items()}
+        self.context = {k: IntTable(x) for k, x in self.contexts.items()}
+        return self
+
     def log10(self, grams: np.ndarray) -> np.ndarray:
         """log10 probability of each symbol in its context (0 where another part of the trie is in charge)."""
         out = np.zeros(len(grams))
@@ -344,6 +350,7 @@ def _write_tries(model: DataFrame, short: tuple[np.ndarray, np.ndarray], order:
     for lo, hi in _passes(model, PASS_GRAMS):
         part = model.where((F.col("kind") == GRAM) & (pair >= lo) & (pair < hi)).select("key", "count").toPandas()
         trie = Trie(part["key"].to_numpy(np.int64), part["count"].to_numpy(np.int64), short, order, lo, hi)
+        del part
         names.append(f"{folder}/{lo:05d}.trie")
         with fs.open_output_stream(f"{path}/{lo:05d}.trie") as out:
             out.write(pickle.dumps(trie, protocol=5))
@@ -359,7 +366,7 @@ def _load_trie(name: str) -> Trie:
         _LOADED.clear()
         fs, path = open_fs(name)
         with fs.open_input_file(path) as handle:
-            _LOADED[name] = pickle.loads(handle.read())
+            _LOADED[name] = pickle.loads(handle.read()).compile()
     return _LOADED[name]
 
 
