@@ -203,8 +203,16 @@ def test_language_model_without_training_rows(spark, no_docs):
 
 def test_language_model_beats_the_baseline_on_held_out_texts(spark):
     rng = random.Random(4)
-    parts = ["ta", "ri", "no", "ke", "su", "lo"]
-    rows = [(i, " ".join("".join(rng.choice(parts) for _ in range(rng.randrange(1, 6))) for _ in range(60))) for i in range(300)]
+    after = {"ta": ["ri", "no"], "ri": ["ke", "ta"], "no": ["su", "ri"], "ke": ["lo", "no"], "su": ["ta", "ke"],
+             "lo": ["su", "ri"]}
+
+    def word():  # few words twice, but parts follow each other by rule
+        out = [rng.choice(list(after))]
+        for _ in range(rng.randrange(6, 14)):
+            out.append(rng.choice(after[out[-1]]))
+        return "".join(out)
+
+    rows = [(i, " ".join(word() for _ in range(60))) for i in range(300)]
     got = [r for r in ppm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.held_out]
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
