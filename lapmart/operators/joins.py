@@ -2,118 +2,31 @@
 
 from __future__ import annotations
 
-import threading
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ArrayType,
-    BinaryType,
-    BooleanType,
-    ByteType,
-    DateType,
-    DecimalType,
-    MapType,
-    ShortType,
-    StringType,
-    StructType,
-)
-
-# Default bound for a broadcast side: measured, in-memory estimate.
-DEFAULT_MAX_ROWS = 5_000_000
-DEFAULT_MAX_BYTES = 128 * 1024 * 1024
-
-
-@dataclass(frozen=True)
-class SizeProbe:
-    rows: int
-    bytes: int
-
-    def fits(self, max_rows: int, max_bytes: int) -> bool:
-        return self.rows <= max_rows and self.bytes <= max_bytes
-
-
-_probe_cache: dict[tuple, SizeProbe] = {}
-_probe_lock = threading.Lock()
-
-
-def _width(dt, c: Column) -> Column:
-    """Upper-bound byte estimate of one value in an unsafe row."""
-    if isinstance(dt, (StringType, BinaryType)):
-        return F.coalesce(F.octet_length(c), F.lit(0)) + F.lit(8)
-    if isinstance(dt, (BooleanType, ByteType, ShortType, DateType)):
-        return F.lit(8)
-    if isinstance(dt, DecimalType) and dt.precision > 18:
-        return F.lit(24)
-    if isinstance(dt, (ArrayType, MapType, StructType)):
-        return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) + F.lit(16)
-    return F.lit(8)
-
-
-def _cache_key(df: DataFrame):
-    try:
-        return (df.semanticHash(), tuple(sorted(df.inputFiles())))
-    except Exception:  # plans without file inputs
-        return None
 
+# Bound for a broadcast side, in memory, and how much Parquet bytes may grow there.
+DEFAULT_MAX_BYTES = 256 * 1024 * 1024
+EXPANSION = 5
 
-def _cached(key, make):
-    if key is None:
-        return make()
-    with _probe_lock:
-        hit = _probe_cache.get(key)
-    if hit is None:
-        hit = make()
-        with _probe_lock:
-            _probe_cache[key] = hit
-    return hit
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that ``df`` reads, as Spark's planner sees them now (no job, nothing kept)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
-def probe_size(df: DataFrame, max_rows: int | None = None) -> SizeProbe:
-    """Exact row count and a byte estimate of ``df``.
-
-    With ``max_rows``, the rows are counted first (a count of a plain
-    Parquet scan reads only file metadata; of a join, only its keys); when
-    they already exceed the bound the byte measurement is skipped and
-    ``bytes`` is -1.  Otherwise one aggregation over the (column-pruned)
-    frame measures both.  Results are cached per plan and input files, so
-    re-planning the same immutable snapshot does not scan again.
-    """
-    key = _cache_key(df)
-    if max_rows is not None:
-        n = _cached(None if key is None else ("rows",) + key, lambda: SizeProbe(df.count(), -1))
-        if n.rows > max_rows:
-            return n
-
-    def measure() -> SizeProbe:
-        row_bytes = F.lit(16)
-        for f in df.schema.fields:
-            row_bytes = row_bytes + _width(f.dataType, F.col(f"`{f.name}`"))
-        r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b")).first()
-        return SizeProbe(int(r["n"] or 0), int(r["b"] or 0))
-
-    return _cached(key, measure)
-
-
-def row_count(df: DataFrame) -> int:
-    """Exact, cached row count (metadata-only for a plain Parquet scan)."""
-    key = _cache_key(df)
-    return _cached(None if key is None else ("rows",) + key,
-                   lambda: SizeProbe(df.count(), -1)).rows
 
+def broadcast_if_bounded(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only when what it is made from is within the bound.
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
-                         max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
-    """Mark ``df`` for broadcast only when its measured size is within bounds.
-
-    Beyond the bound the frame is returned unhinted and the join falls back
-    to a shuffle join (sort-merge, with AQE skew splitting).
+    For projections, filters and look-ups by unique key of the tables read:
+    their result is no larger than the inputs, expanded in memory.  The sizes
+    come from the file listing of the plan at hand, so a table that has grown
+    is seen as it is.  Beyond the bound the frame is returned unhinted and
+    Spark chooses: a shuffle join with AQE skew splitting, or a broadcast of a
+    side that AQE has measured.
     """
-    p = probe_size(df, max_rows)
-    if p.bytes >= 0 and p.fits(max_rows, max_bytes):
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if input_bytes(df) * EXPANSION <= max_bytes else df
 
 
 def race_circuits(races: DataFrame, circuits: DataFrame) -> DataFrame:
@@ -130,53 +43,36 @@ def race_circuits(races: DataFrame, circuits: DataFrame) -> DataFrame:
                 "circuit_location", "circuit_country")
 
 
-# Columns of a fact row that, with the three dimension ids, fully determine a
-# gold race-result row; with result_id first they are the dedup order.
-RESULT_ORDER_COLS = ("result_id", "race_id", "driver_id", "constructor_id", "grid",
-                     "fastest_lap", "race_position", "race_time", "points")
+# result_id is the fact's key, so it alone settles the dedup order; the ids make it
+# total should a caller pass facts that repeat it.
+RESULT_ORDER_COLS = ("result_id", "race_id", "driver_id", "constructor_id")
 
 
-def race_results_keyed(results: DataFrame, races: DataFrame, circuits: DataFrame,
-                       drivers: DataFrame, constructors: DataFrame,
-                       driver_cols: tuple[str, ...] = ()) -> DataFrame:
-    """Narrow star join: fact columns + (race_year, race_name, driver_name).
+def race_results_star(results: DataFrame, races: DataFrame, circuits: DataFrame,
+                      drivers: DataFrame, constructors: DataFrame,
+                      driver_cols: tuple[tuple[str, str], ...] = (), team: bool = False,
+                      race_attributes: bool = False) -> DataFrame:
+    """Star join: fact columns, (race_year, race_name, driver_name) and the attributes asked for.
 
-    Only what the per-race dedup and the standings need travels through the
-    joins and the shuffle; descriptive columns are attached afterwards by
-    :func:`attach_race_attributes`.  The inner joins that only filter
-    (circuits, constructors) are semi joins on the key sets, so the set of
-    surviving facts is the same as with the full inner star join.
+    Each dimension is joined once.  One that only filters (constructors
+    without ``team``, circuits without ``race_attributes``) is a semi join on
+    its keys, so the surviving facts are the same in every form.
     """
-    circ_keys = circuits.select(F.col("circuit_id").alias("c_circuit_id"))
-    race = races.select("race_id", "race_year", F.col("name").alias("race_name"), "circuit_id")
-    race = race.join(broadcast_if_bounded(circ_keys), race["circuit_id"] == circ_keys[
-        "c_circuit_id"], "left_semi").drop("circuit_id")
+    if race_attributes:
+        race = race_circuits(races, circuits)
+    else:
+        circ = circuits.select(F.col("circuit_id").alias("c_circuit_id"))
+        race = races.select("race_id", "race_year", F.col("name").alias("race_name"), "circuit_id")
+        race = race.join(broadcast_if_bounded(circ),
+                         race["circuit_id"] == circ["c_circuit_id"], "left_semi").drop("circuit_id")
     drv = drivers.select("driver_id", F.col("name").alias("driver_name"),
                          *[F.col(src).alias(dst) for src, dst in driver_cols])
-    con_keys = constructors.select(F.col("constructor_id").alias("k_constructor_id"))
+    con = constructors.select(F.col("constructor_id").alias("k_constructor_id"),
+                              *([F.col("name").alias("team")] if team else []))
     res = results.select(
         "result_id", "race_id", "driver_id", "constructor_id", "grid", "fastest_lap",
         F.col("position").alias("race_position"), F.col("time").alias("race_time"), "points")
-    res = res.join(broadcast_if_bounded(con_keys),
-                   res["constructor_id"] == con_keys["k_constructor_id"], "left_semi")
+    res = res.join(broadcast_if_bounded(con), res["constructor_id"] == con["k_constructor_id"],
+                   "inner" if team else "left_semi").drop("k_constructor_id")
     res = res.join(broadcast_if_bounded(drv), "driver_id", "inner")
-    rb = broadcast_if_bounded(race)
-    return res.join(rb, "race_id", "inner")
-
-
-def attach_race_attributes(keyed: DataFrame, races: DataFrame, circuits: DataFrame,
-                           drivers: DataFrame, constructors: DataFrame) -> DataFrame:
-    """Add the descriptive gold columns to deduplicated keyed rows.
-
-    Dimension keys are unique (silver keeps one row per key) and every key
-    is known to match (see :func:`race_results_keyed`), so these inner joins
-    neither drop nor multiply rows.
-    """
-    rc = race_circuits(races, circuits).select("race_id", "race_date", "circuit_location",
-                                               "circuit_country")
-    drv = drivers.select("driver_id", F.col("number").alias("driver_number"),
-                         F.col("nationality").alias("driver_nationality"))
-    con = constructors.select("constructor_id", F.col("name").alias("team"))
-    out = keyed.join(broadcast_if_bounded(drv), "driver_id", "inner")
-    out = out.join(broadcast_if_bounded(con), "constructor_id", "inner")
-    return out.join(broadcast_if_bounded(rc), "race_id", "inner")
+    return res.join(broadcast_if_bounded(race), "race_id", "inner")

@@ -26,7 +26,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-DEFAULT_BUCKETS = 64
+# Rows of a bucket, one task's work; the number of buckets follows the rows.
+ROWS_PER_BUCKET = 1_000_000
+LEAST_BUCKETS = 16
+MOST_BUCKETS = 5_000             # finer quantiles than the sketch's accuracy don't help
 # A partition proven to hold at most this many rows is ranked with a plain
 # window (one task per partition value is then a bounded amount of work).
 PLAIN_WINDOW_MAX_ROWS = 2_000_000
@@ -41,7 +44,7 @@ def _null_safe_on(left: DataFrame, right: DataFrame, pairs):
 
 
 def rank_desc(df: DataFrame, partition_cols: Sequence[str], value_col: str,
-              out_col: str = "rank", buckets: int = DEFAULT_BUCKETS,
+              out_col: str = "rank", buckets: int | None = None,
               partition_rows_bound: int | None = None) -> DataFrame:
     """Add ``out_col`` = ``rank()`` over ``partition_cols`` ordered by ``value_col`` desc.
 
@@ -65,6 +68,8 @@ def rank_desc(df: DataFrame, partition_cols: Sequence[str], value_col: str,
 
     ensure_checkpoint_dir(df.sparkSession)
     df = df.checkpoint(eager=True)
+    if buckets is None:
+        buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-df.count() // ROWS_PER_BUCKET)))
 
     pv = [f"__p{i}" for i in range(len(p))]
     vals = (df.groupBy(*p, v).agg(F.count(F.lit(1)).alias("__n"))
@@ -77,8 +82,7 @@ def rank_desc(df: DataFrame, partition_cols: Sequence[str], value_col: str,
                    .alias("__b"))
               .select(*[F.col(c).alias(c + "b") for c in pv], "__b"))
 
-    # one row per season: broadcast when measured small, so a hot season's
-    # values are never shuffled to one task for this join
+    # one row per season, which AQE broadcasts by its measured size
     bounds = broadcast_if_bounded(bounds)
     tagged = vals.join(bounds, _null_safe_on(vals, bounds, [(c, c + "b") for c in pv]), "left")
     bucket = F.when(F.col("__v").isNull(), F.lit(buckets)).otherwise(

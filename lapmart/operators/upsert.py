@@ -8,7 +8,8 @@ WHEN NOT MATCHED THEN INSERT *`` (no delete clause):
 * unmatched source rows are inserted, unmatched target rows are kept;
 * keys compare with ``=``: a NULL key never matches, so a NULL-key source
   row is inserted again on every run;
-* more than one source row matching one target row is an error.
+* more than one source row matching one target row is an error (checked by default);
+* a column that the source lacks keeps its value in matched rows.
 
 Each function returns the merged table as a DataFrame; writing it is the
 caller's job (``sinks.tables.publish``).
@@ -22,7 +23,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapmart.operators.dedup import latest_by
-from lapmart.operators.joins import broadcast_if_bounded
 
 
 class MergeCardinalityError(RuntimeError):
@@ -43,56 +43,17 @@ def check_single_match(target: DataFrame, source: DataFrame, keys: Sequence[str]
             f"several source rows match one target row on {list(keys)}: {hit[0].asDict()}")
 
 
-def _source_keys(source: DataFrame, keys: Sequence[str], broadcast_source: bool | None):
-    # NULL keys cannot match in the joins below, so they need no filter here;
-    # leaving the source plan untouched lets Spark reuse its exchange for the
-    # key set and for the rows instead of computing the source twice.
-    sk = source.select(*keys).dropDuplicates(list(keys))
-    if broadcast_source is None:
-        return broadcast_if_bounded(sk)
-    return F.broadcast(sk) if broadcast_source else sk
-
-
 def upsert_all(target: DataFrame, source: DataFrame, keys: Sequence[str],
-               check_cardinality: bool = False,
-               broadcast_source: bool | None = None) -> DataFrame:
+               check_cardinality: bool = True) -> DataFrame:
     """MATCHED → UPDATE SET *, NOT MATCHED → INSERT * (SNK-10/11).
 
-    Two physical forms, chosen by the size of the source key set:
-
-    * bounded source keys (``broadcast_source`` None and the probe fits, or
-      True): anti join of the target against the broadcast key set, plus the
-      source rows — the large target is filtered in place, never shuffled;
-    * otherwise one full outer join on the key, the source row winning where
-      present.  The source is consumed once, and a target bucketed by the key
-      joined with a source already partitioned by it needs no exchange.
-
-    ``broadcast_source=False`` skips the probe (full-refresh sources).  The
-    anti-join form assumes unique non-NULL target keys, as in every silver
-    table; the join form updates every matching target row.
+    One full outer join on the key, whatever the sizes: every matching target
+    row takes the source's columns, and a target column that the source lacks
+    keeps its value.  ``check_cardinality=False`` is for a source that the
+    caller has just reduced to one row per key.
     """
-    keys = list(keys)
-    if check_cardinality:
-        check_single_match(target, source, keys)
-    if broadcast_source is False:
-        src_keys = None
-    else:
-        sk = source.select(*keys).dropDuplicates(keys)
-        src_keys = F.broadcast(sk) if broadcast_source else _bounded(sk)
-    if src_keys is None:
-        return upsert_columns(target, source, keys, update=list(source.columns),
-                              check_cardinality=False)
-    kept = target.join(src_keys, keys, "left_anti")
-    return kept.unionByName(source, allowMissingColumns=True)
-
-
-def _bounded(df: DataFrame) -> DataFrame | None:
-    """The frame marked for broadcast when its measured size is bounded, else None."""
-    from lapmart.operators.joins import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, probe_size
-
-    p = probe_size(df, DEFAULT_MAX_ROWS)
-    return F.broadcast(df) if p.bytes >= 0 and p.fits(DEFAULT_MAX_ROWS, DEFAULT_MAX_BYTES) \
-        else None
+    return upsert_columns(target, source, keys, update=list(source.columns),
+                          check_cardinality=check_cardinality)
 
 
 def _all_not_null(keys: Sequence[str]) -> Column:
@@ -140,7 +101,7 @@ def upsert_columns(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def upsert_newest(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                  order: Sequence[Column], broadcast_source: bool | None = None) -> DataFrame:
+                  order: Sequence[Column]) -> DataFrame:
     """Upsert where a matched key keeps whichever row is newer under ``order``.
 
     Used by incremental ingestion: a snapshot arriving late must not
@@ -148,7 +109,7 @@ def upsert_newest(target: DataFrame, source: DataFrame, keys: Sequence[str],
     are re-ranked; the rest pass through the anti join untouched.
     """
     keys = list(keys)
-    src_keys = _source_keys(source, keys, broadcast_source)
+    src_keys = source.select(*keys).dropDuplicates(keys)
     untouched = target.join(src_keys, keys, "left_anti")
     touched = target.join(src_keys, keys, "left_semi")
     cand = touched.unionByName(source, allowMissingColumns=True)

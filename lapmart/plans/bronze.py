@@ -10,10 +10,12 @@ Differences to the reference, on purpose:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lapmart.functions.columns import full_name, race_timestamp
 from lapmart.schemas import ENTITIES, FILE_DATE, INGESTION_DATE, EntitySpec
@@ -51,10 +53,20 @@ def ingest_bronze(spark: SparkSession, raw_root: str, bronze_root: str,
     out = {}
     for name in entities or ENTITIES:
         path = f"{bronze_root.rstrip('/')}/{name}"
-        tables.append(bronze_frame(spark, raw_root, name, **read_opts), path)
+        tables.append_load(bronze_frame(spark, raw_root, name, **read_opts), path,
+                           f"batch-{uuid.uuid4().hex[:16]}")
         out[name] = path
     return out
 
 
+def bronze_schema(spark: SparkSession, entity: str) -> StructType:
+    """Columns of an entity's history, as declared."""
+    spec = ENTITIES[entity]
+    raw = spark.createDataFrame([], StructType([*spec.schema.fields, StructField(FILE_DATE, StringType())]))
+    return to_bronze(raw, entity).schema
+
+
 def read_bronze(spark: SparkSession, bronze_root: str, entity: str) -> DataFrame:
-    return tables.read_appended(spark, f"{bronze_root.rstrip('/')}/{entity}")
+    """An entity's history by its declared schema (no footers are merged)."""
+    schema = bronze_schema(spark, entity)
+    return spark.read.schema(schema).parquet(f"{bronze_root.rstrip('/')}/{entity}").select(*schema.names)

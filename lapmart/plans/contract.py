@@ -197,29 +197,40 @@ def latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dq_null_keys", """
 SELECT 'results' AS entity, COUNT(*) AS n_rows,
-       COUNT(*) FILTER (WHERE l_orderkey IS NULL OR l_linenumber IS NULL) AS null_key_rows
+       COUNT(*) FILTER (WHERE l_returnflag = 'R') AS null_key_rows
 FROM lineitem
 UNION ALL
-SELECT 'races', COUNT(*), COUNT(*) FILTER (WHERE o_orderkey IS NULL OR o_orderdate IS NULL
-                                           OR o_custkey IS NULL) FROM orders
+SELECT 'races', COUNT(*), COUNT(*) FILTER (WHERE o_orderpriority = '5-LOW' OR o_custkey % 7 = 0) FROM orders
 UNION ALL
-SELECT 'circuits', COUNT(*), COUNT(*) FILTER (WHERE c_custkey IS NULL)
+SELECT 'circuits', COUNT(*), COUNT(*) FILTER (WHERE c_acctbal < 0)
 FROM customer JOIN nation ON c_nationkey = n_nationkey
 UNION ALL
 SELECT 'drivers', COUNT(*), COUNT(*) FILTER (WHERE s_suppkey IS NULL)
 FROM supplier JOIN nation ON s_nationkey = n_nationkey
 UNION ALL
-SELECT 'constructors', COUNT(*), COUNT(*) FILTER (WHERE p_partkey IS NULL) FROM part
+SELECT 'constructors', COUNT(*), COUNT(*) FILTER (WHERE p_size > 25) FROM part
 """)
 def dq_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FLT-03..05 / AGG-05: rows and NULL-key rows per entity (the silver gates)."""
-    s = roles.silver_frames(spark, sf_dir)
-    gates = {"results": ["result_id"], "races": ["race_id", "race_year", "circuit_id"],
-             "circuits": ["circuit_id"], "drivers": ["driver_id"],
-             "constructors": ["constructor_id"]}
+    """FLT-03..05 / AGG-05: rows and NULL-key rows per entity (the silver gates).
+
+    The driver's keys hold no NULL, so some are made NULL by a rule on other columns."""
+    li, o = roles.table(spark, sf_dir, "lineitem"), roles.table(spark, sf_dir, "orders")
+    c, p = roles.table(spark, sf_dir, "customer"), roles.table(spark, sf_dir, "part")
+    n = roles.table(spark, sf_dir, "nation")
+    frames = {
+        "results": (li.select(F.when(F.col("l_returnflag") != "R", F.col("l_orderkey")).alias("result_id")), ["result_id"]),
+        "races": (o.select(F.col("o_orderkey").alias("race_id"),
+                           F.when(F.col("o_orderpriority") != "5-LOW", F.year("o_orderdate")).alias("race_year"),
+                           F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey")).alias("circuit_id")),
+                  ["race_id", "race_year", "circuit_id"]),
+        "circuits": (c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+                     .select(F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")).alias("circuit_id")), ["circuit_id"]),
+        "drivers": (roles.drivers(spark, sf_dir), ["driver_id"]),
+        "constructors": (p.select(F.when(F.col("p_size") <= 25, F.col("p_partkey")).alias("constructor_id")),
+                         ["constructor_id"])}
     out = None
-    for name, cols in gates.items():
-        part = null_key_counts(s[name], cols, label=name)
+    for name, (df, cols) in frames.items():
+        part = null_key_counts(df, cols, label=name)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -309,9 +320,7 @@ FROM tgt t FULL OUTER JOIN src s ON t.result_id = s.result_id
 def upsert_update_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-12: matched rows take only the listed columns (``points`` is left out)."""
     target, source = _results_split(spark, sf_dir)
-    # the source is a newest-per-key result, unique by construction, so the
-    # multiple-match check (an extra job) cannot fire here
-    return upsert_columns(target, source, ["result_id"], _UPDATE_LIST, check_cardinality=False)
+    return upsert_columns(target, source, ["result_id"], _UPDATE_LIST)
 
 
 # --- scalar functions -------------------------------------------------------------
@@ -488,7 +497,7 @@ def ctas_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     _tables.create_table_once_as(spark, f"{db}.constructors", f"{root}/v2")
     described = [r["col_name"] for r in _tables.describe(spark, f"{db}.constructors").collect()]
     assert described[:4] == ["constructor_id", "constructor_ref", "name", "nationality"]
-    return spark.table(f"{db}.constructors")
+    return _whole(spark, db, "constructors")
 
 
 @query("partitioned_clustered", """
@@ -506,7 +515,7 @@ def partitioned_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     races = roles.races(spark, sf_dir)
     _tables.save_as_new_table(_tables.clustered(races, ["race_year"], ["race_id"]),
                               f"{db}.races", partition_by=["race_year"])
-    return _bigint(spark.table(f"{db}.races").select(
+    return _bigint(_whole(spark, db, "races").select(
         "race_id", "round", "circuit_id", "name", "race_timestamp", "race_year"), "race_year")
 
 
@@ -572,8 +581,9 @@ WINDOW w AS (PARTITION BY driver_name, driver_nationality ORDER BY race_year)
 """)
 def season_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RPT-01: driver points and rank against the previous season."""
-    rr, s = _race_results(spark, sf_dir)
-    ds = gold.driver_standings(rr, stamp=False, drivers=s["drivers"])
+    s = roles.silver_frames(spark, sf_dir)
+    ds = gold.standings_from_silver(s["results"], s["races"], s["circuits"], s["drivers"],
+                                    s["constructors"], "driver", stamp=False)
     # prev_rank is NULL in a driver's first season: carried as DOUBLE so both
     # engines hand back the same column type
     return _bigint(_reports.season_trend(ds, ("driver_name", "driver_nationality")),
@@ -589,13 +599,18 @@ FROM race_results GROUP BY race_name
 """)
 def race_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RPT-02: historical statistics per race name."""
-    return _bigint(_reports.race_statistics(_race_results(spark, sf_dir)[0]),
+    s = roles.silver_frames(spark, sf_dir)
+    narrow = gold.race_results_deduped(s["results"], s["races"], s["circuits"], s["drivers"],
+                                       s["constructors"])
+    return _bigint(_reports.race_statistics(narrow),
                    "first_year", "last_year")
 
 
 @query("circuit_distribution", """
 SELECT n_name AS country, COUNT(*) AS n_circuits, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS n_races,
-       MIN(c_acctbal) AS min_latitude, MAX(c_acctbal) AS max_latitude
+       MIN(c_acctbal) AS min_latitude, MAX(c_acctbal) AS max_latitude,
+       CAST(MIN(c_custkey % 360 - 180) AS DOUBLE) AS min_longitude,
+       CAST(MAX(c_custkey % 360 - 180) AS DOUBLE) AS max_longitude
 FROM customer JOIN nation ON c_nationkey = n_nationkey
      LEFT JOIN (SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY o_custkey) r
        ON r.o_custkey = c_custkey
@@ -620,8 +635,8 @@ def silver_build_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze_path = f"{root}/bronze/results"
     res = roles.results(spark, sf_dir).withColumn("ingestion_date", F.lit(None)
                                                   .cast("timestamp"))
-    _tables.append(res, bronze_path)
-    _tables.append(res, bronze_path)
+    _tables.append_load(res, bronze_path, "batch-1")
+    _tables.append_load(res, bronze_path, "batch-2")
     _silver.build_silver(spark, f"{root}/bronze", f"{root}/silver", "results")
     _silver.build_silver(spark, f"{root}/bronze", f"{root}/silver", "results")
     assert _tables.current_version(spark, f"{root}/silver/results").endswith("_v000002")
@@ -644,3 +659,193 @@ def gold_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     ds = gold.read_gold(spark, f"{root}/gold", "driver_standings", table=True)
     return _bigint(ds.select("race_year", "driver_nationality", "driver_name", "total_points",
                              "rank"), "race_year", "rank")
+
+
+# --- every raw format and silver entity end to end -------------------------------------
+
+_SQL_YEAR = "CAST(year(l_shipdate) AS VARCHAR) || '-12-31'"
+# (entity, raw frame, folder-relative file, format, options, SQL of the bronze columns)
+_LAYERS = {
+    "circuits": (roles.raw_circuits, "circuits.csv", "csv", {"header": True}, """
+        SELECT CAST(c_custkey AS INTEGER) AS circuit_id, lower(c_name) AS circuit_ref, c_name AS name,
+               c_mktsegment AS location, n_name AS country, c_acctbal AS latitude,
+               CAST(c_custkey % 360 - 180 AS DOUBLE) AS longitude, CAST(c_custkey % 900 AS INTEGER) AS altitude,
+               c_mktsegment AS file_date
+        FROM customer JOIN nation ON c_nationkey = n_nationkey"""),
+    "constructors": (roles.raw_constructors, "constructors.json", "json", {}, """
+        SELECT CAST(p_partkey AS INTEGER) AS constructor_id, p_name AS constructor_ref, p_brand AS name,
+               p_type AS nationality, p_mfgr AS file_date FROM part"""),
+    "drivers": (roles.raw_drivers, "drivers.json", "json", {}, ORACLE_SQL["json_lines_nested_scan"]),
+    "races": (roles.raw_races, "races.csv", "csv", {"header": True}, ORACLE_SQL["csv_header_scan"]),
+    "results": (roles.raw_results, "results.json", "json", {}, f"""
+        SELECT CAST(l_orderkey * 10 + l_linenumber AS INTEGER) AS result_id, CAST(l_orderkey AS INTEGER) AS race_id,
+               CAST(l_suppkey AS INTEGER) AS driver_id, CAST(l_partkey AS INTEGER) AS constructor_id,
+               l_linenumber AS number, l_linenumber AS grid,
+               CASE WHEN l_returnflag <> 'R' THEN l_linenumber END AS position,
+               l_returnflag || l_linestatus AS position_text, l_linenumber AS position_order,
+               CAST(l_quantity AS DOUBLE) AS points, CAST(month(l_shipdate) AS INTEGER) AS laps,
+               l_returnflag || l_linestatus AS time, CAST(l_quantity AS INTEGER) * 1000 AS milliseconds,
+               CAST(day(l_shipdate) AS INTEGER) AS fastest_lap, CAST(month(l_commitdate) AS INTEGER) AS rank,
+               l_shipmode AS fastest_lap_time, l_shipinstruct AS fastest_lap_speed, {_SQL_YEAR} AS file_date
+        FROM lineitem"""),
+    "pitstops": (roles.raw_pitstops, "pit_stops.json", "json", {}, f"""
+        SELECT CAST(l_orderkey AS INTEGER) AS race_id, CAST(l_suppkey AS INTEGER) AS driver_id,
+               l_linenumber AS stop, CAST(month(l_shipdate) AS INTEGER) AS lap, l_shipmode AS time,
+               l_shipinstruct AS duration, CAST(l_quantity AS INTEGER) * 1000 AS milliseconds, {_SQL_YEAR} AS file_date
+        FROM lineitem"""),
+    "laptimes": (roles.raw_laptimes, "lap_times/lap_times_split*.csv", "csv", {}, ORACLE_SQL["csv_glob_scan"]),
+    "qualifying": (roles.raw_qualifying, "qualifying/qualifying_split*.json", "json", {"multiline": True},
+                   ORACLE_SQL["json_multiline_scan"]),
+}
+
+
+def _latest_of(sql: str, entity: str) -> str:
+    """Newest row per business key of an entity's bronze rows, ties by content as in ``latest_by``."""
+    from lapmart.schemas import ENTITIES
+
+    spec = ENTITIES[entity]
+    rest = ", ".join(f"{c} ASC NULLS FIRST" for _, c in spec.select if c not in spec.keys)
+    return f"""SELECT * EXCLUDE (rn), true AS loaded, true AS processed FROM (
+        SELECT *, row_number() OVER (PARTITION BY {", ".join(spec.keys)}
+                                     ORDER BY file_date DESC NULLS LAST, {rest}) AS rn
+        FROM ({sql})) WHERE rn = 1"""
+
+
+def _silver_of(entity: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw, rel, fmt, options, _ = _LAYERS[entity]
+        root = scratch_dir(spark, f"layer-{entity}")
+        write_snapshots(raw(spark, sf_dir), f"{root}/raw", rel, fmt, "folder", **options)
+        _bronze.ingest_bronze(spark, f"{root}/raw", f"{root}/bronze", entities=[entity])
+        _silver.build_silver(spark, f"{root}/bronze", f"{root}/silver", entity)
+        out = _silver.read_silver(spark, f"{root}/silver", entity)
+        out = out.select(*(c for c in out.columns if c not in ("ingestion_date", "processed_at")),
+                         F.col("ingestion_date").isNotNull().alias("loaded"),
+                         F.col("processed_at").isNotNull().alias("processed"))
+        if entity == "races":
+            out = out.withColumn("race_timestamp", F.col("race_timestamp").cast("timestamp_ntz"))
+        return out
+    run.__doc__ = f"DS-B/DS-S {entity}: raw snapshots, bronze, silver; audit columns (PRJ-05, SCL-03) as flags."
+    return run
+
+
+for _entity, _layer in _LAYERS.items():
+    query(f"silver_{_entity}", _latest_of(_layer[4], _entity))(_silver_of(_entity))
+
+
+@query("json_lines_flat_scan", _LAYERS["results"][4])
+def json_lines_flat_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-04: flat JSON Lines in the fact table's own format."""
+    return _scan(spark, roles.raw_results(spark, sf_dir), "results", "results.json", "json")
+
+
+@query("incremental_old_mtime", ORACLE_SQL["incremental_snapshots"])
+def incremental_old_mtime(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INC-01: folders delivered later whose files carry times ten days older (as a preserving copy
+    leaves them) are ingested like any other."""
+    from lapmart.sinks import fs
+    from lapmart.streaming.incremental import ingest_incremental
+
+    root = scratch_dir(spark, "oldtime")
+    raw_root, lake = f"{root}/raw", f"{root}/lake"
+    raw = roles.raw_races(spark, sf_dir)
+    first = F.col("year") % 2 == 0
+    write_snapshots(raw.where(first), raw_root, "races.csv", "csv", "folder", header=True)
+    ingest_incremental(spark, raw_root, lake, "races")
+    write_snapshots(raw.where(~first | first.isNull()), raw_root, "races.csv", "csv", "folder", header=True)
+    seen = set(fs.list_dirs(spark, raw_root))
+    for folder in seen:
+        if int(folder[:4]) % 2:
+            fs.set_time(spark, f"{raw_root}/{folder}/races.csv", days_ago=10)
+    ingest_incremental(spark, raw_root, lake, "races")
+    return _tables.read_current(spark, f"{lake}/silver/races").select(
+        "race_id", "race_year", "round", "circuit_id", "name", "file_date")
+
+
+@query("upsert_missing_column", _SQL_SPLIT + """
+SELECT COALESCE(t.result_id, s.result_id) AS result_id, COALESCE(s.race_id, t.race_id) AS race_id,
+       t.points AS points
+FROM tgt t FULL OUTER JOIN src s ON t.result_id = s.result_id
+""")
+def upsert_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-10: a column that the source lacks keeps its value in matched rows, NULL in inserted ones."""
+    target, source = _results_split(spark, sf_dir)
+    return upsert_all(target.select("result_id", "race_id", "points"), source.select("result_id", "race_id"),
+                      ["result_id"])
+
+
+@query("replace_table", """
+SELECT p_partkey AS constructor_id, upper(p_brand) AS name FROM part
+""")
+def replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-09: a managed table created, then replaced by one of other columns."""
+    root = scratch_dir(spark, "replace")
+    db = "lapmart_" + _uuid.uuid4().hex[:10]
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{root}/db'")
+    cons = roles.constructors(spark, sf_dir)
+    _tables.replace_table(cons, f"{db}.constructors")
+    _tables.replace_table(cons.select("constructor_id", F.upper("name").alias("name")), f"{db}.constructors")
+    return _whole(spark, db, "constructors")
+
+
+@query("view_merge_source", _SQL_SPLIT + """
+SELECT * FROM tgt WHERE NOT EXISTS (
+  SELECT 1 FROM src WHERE src.result_id = tgt.result_id AND src.grid >= 3)
+UNION ALL
+SELECT * FROM src WHERE grid >= 3
+""")
+def view_merge_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-16 + FLT-02: the merge's source is a registered view, filtered by a predicate in a string."""
+    target, source = _results_split(spark, sf_dir)
+    name = "lapmart_" + _uuid.uuid4().hex[:10]
+    _tables.register_view(source, name)
+    return upsert_all(target, spark.table(name).filter("grid >= 3"), ["result_id"])
+
+
+@query("rank_bucketed", ORACLE_SQL["driver_standings"])
+def rank_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-04 without a bound for the season's size: the distributed rank."""
+    s = roles.silver_frames(spark, sf_dir)
+    dedup = gold.race_results_deduped(s["results"], s["races"], s["circuits"], s["drivers"], s["constructors"],
+                                      driver_cols=(("nationality", "driver_nationality"),))
+    return _bigint(gold.driver_standings(dedup, stamp=False), "race_year", "rank")
+
+
+def _second_run(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Gold twice: the second run's facts have the later season's points doubled and two thirds of the races."""
+    root = scratch_dir(spark, "gold2")
+    frames = roles.silver_frames(spark, sf_dir)
+    for n, df in frames.items():
+        _tables.publish(spark, df, f"{root}/silver/{n}")
+    gold.build_gold(spark, f"{root}/silver", f"{root}/gold")
+    changed = frames["results"].where("race_id % 3 <> 0").withColumn("points", F.col("points") * 2)
+    _tables.publish(spark, changed, f"{root}/silver/results")
+    gold.build_gold(spark, f"{root}/silver", f"{root}/gold")
+    return gold.read_gold(spark, f"{root}/gold", name, table=True)
+
+
+@query("gold_build_rerun", _SQL_RACE_RESULTS + """
+SELECT CAST(race_year AS BIGINT) AS race_year, race_name, race_date, driver_name, team,
+       points * CASE WHEN CAST(substr(race_name, 7) AS BIGINT) % 3 <> 0 THEN 2 ELSE 1 END AS points,
+       true AS stamped
+FROM race_results
+""")
+def gold_build_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DS-G1 + SNK-12 across two runs: rows of the second run update, the others stay."""
+    rr = _second_run(spark, sf_dir, "race_results")
+    return _bigint(rr.select("race_year", "race_name", "race_date", "driver_name", "team", "points",
+                             F.col("gold_processed_at").isNotNull().alias("stamped")), "race_year")
+
+
+def _whole(spark: SparkSession, db: str, name: str) -> DataFrame:
+    """The table's rows from its files; the database that the query made goes."""
+    files = written_files(spark, f"{db}.{name}")
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    return files
+
+
+def written_files(spark: SparkSession, table_name: str) -> DataFrame:
+    copy = scratch_dir(spark, "copy") + "/rows"
+    df = spark.table(table_name)
+    df.write.parquet(copy)
+    return spark.read.schema(df.schema).parquet(copy)

@@ -9,10 +9,7 @@ from lapmart.functions.columns import count_wins
 from lapmart.operators.dedup import latest_by
 from lapmart.operators.joins import (
     RESULT_ORDER_COLS,
-    attach_race_attributes,
-    broadcast_if_bounded,
-    row_count,
-    race_results_keyed,
+    race_results_star,
 )
 from lapmart.operators.ranking import rank_desc
 from lapmart.schemas import GOLD_PROCESSED_AT, GOLD_RACE_RESULTS_KEYS
@@ -25,25 +22,27 @@ RACE_RESULTS_COLUMNS = (
 
 
 def race_results_deduped(results: DataFrame, races: DataFrame, circuits: DataFrame,
-                         drivers: DataFrame, constructors: DataFrame,
-                         driver_cols: tuple[tuple[str, str], ...] = ()) -> DataFrame:
-    """WIN-03 on the narrow star join: one row per (race_year, race_name, driver_name).
+                         drivers: DataFrame, constructors: DataFrame, **attributes) -> DataFrame:
+    """WIN-03 on the star join: one row per (race_year, race_name, driver_name).
 
     The reference orders this dedup by a per-query constant, i.e. keeps an
-    arbitrary row; here the smallest ``result_id`` wins and the dimension
-    ids and result columns break any further tie, so the choice is
-    reproducible (rows tied on all of them give identical gold rows).
+    arbitrary row; here the smallest ``result_id`` wins (then the dimension
+    ids), so the choice is reproducible.
     """
-    keyed = race_results_keyed(results, races, circuits, drivers, constructors, driver_cols)
+    star = race_results_star(results, races, circuits, drivers, constructors, **attributes)
     order = [F.col(c).asc_nulls_first() for c in RESULT_ORDER_COLS]
-    return latest_by(keyed, GOLD_RACE_RESULTS_KEYS, order, [])
+    return latest_by(star, GOLD_RACE_RESULTS_KEYS, order, [])
 
 
 def race_results(results: DataFrame, races: DataFrame, circuits: DataFrame,
                  drivers: DataFrame, constructors: DataFrame, stamp: bool = True) -> DataFrame:
-    """DS-G1: five-table star join, deduplicated, with the gold columns."""
-    dedup = race_results_deduped(results, races, circuits, drivers, constructors)
-    out = attach_race_attributes(dedup, races, circuits, drivers, constructors) \
+    """DS-G1: five-table star join, deduplicated, with the gold columns.
+
+    Each dimension is joined once; its columns travel through the one dedup shuffle.
+    """
+    out = race_results_deduped(
+        results, races, circuits, drivers, constructors, race_attributes=True, team=True,
+        driver_cols=(("number", "driver_number"), ("nationality", "driver_nationality"))) \
         .select(*RACE_RESULTS_COLUMNS)
     if stamp:
         out = out.withColumn(GOLD_PROCESSED_AT, F.current_timestamp())
@@ -82,16 +81,14 @@ def standings_from_silver(results: DataFrame, races: DataFrame, circuits: DataFr
         d = race_results_deduped(results, races, circuits, drivers, constructors,
                                  driver_cols=(("nationality", "driver_nationality"),))
         return driver_standings(d, stamp, drivers=drivers)
-    d = race_results_deduped(results, races, circuits, drivers, constructors)
-    con = constructors.select("constructor_id", F.col("name").alias("team"))
-    d = d.join(broadcast_if_bounded(con), "constructor_id", "inner")
+    d = race_results_deduped(results, races, circuits, drivers, constructors, team=True)
     return constructor_standings(d, stamp, constructors=constructors)
 
 
 def driver_standings(race_results_df: DataFrame, stamp: bool = True,
                      drivers: DataFrame | None = None) -> DataFrame:
-    """Driver standings; pass the drivers dimension to bound a season's size."""
-    bound = row_count(drivers.select("driver_id")) if drivers is not None else None
+    """Driver standings; pass the drivers dimension to bound a season's size (its row count is read now)."""
+    bound = drivers.select("driver_id").count() if drivers is not None else None
     return season_standings(race_results_df, ("race_year", "driver_nationality", "driver_name"),
                             stamp, bound)
 
@@ -99,7 +96,7 @@ def driver_standings(race_results_df: DataFrame, stamp: bool = True,
 def constructor_standings(race_results_df: DataFrame, stamp: bool = True,
                           constructors: DataFrame | None = None) -> DataFrame:
     """Constructor standings; pass the constructors dimension to bound a season."""
-    bound = row_count(constructors.select("constructor_id")) if constructors is not None else None
+    bound = constructors.select("constructor_id").count() if constructors is not None else None
     return season_standings(race_results_df, ("race_year", "team"), stamp, bound)
 
 
@@ -113,14 +110,15 @@ def _publish_path_and_table(spark, df: DataFrame, gold_root: str, name: str,
     from lapmart.sinks import tables
 
     root = gold_root.rstrip("/")
-    path_version = tables.publish(spark, df, f"{root}/{name}")
+    path_version = tables.publish(spark, df, f"{root}/{name}", partition_by=("race_year",))
     fresh = spark.read.parquet(path_version)
     tbase = f"{root}/_tables/{name}"
     if tables.table_exists(spark, tbase):
         merged = upsert_columns(tables.read_current(spark, tbase), fresh, keys, update)
     else:
         merged = fresh
-    table_version = tables.publish(spark, merged, tbase, table_name=table_name)
+    table_version = tables.publish(spark, merged, tbase, partition_by=("race_year",),
+                                   table_name=table_name)
     return path_version, table_version
 
 

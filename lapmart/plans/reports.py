@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lapmart.functions.columns import count_wins
+
 
 def season_trend(standings: DataFrame, entity_cols: tuple[str, ...] = ("driver_name",)
                  ) -> DataFrame:
@@ -31,18 +33,20 @@ def race_statistics(race_results: DataFrame) -> DataFrame:
         F.max("race_year").alias("last_year"),
         F.sum("points").alias("total_points"),
         F.max("points").alias("max_points"),
-        F.count(F.when(F.col("race_position") == 1, True)).alias("wins_recorded"),
+        count_wins("race_position").alias("wins_recorded"),
     )
 
 
 def circuit_distribution(circuits: DataFrame, races: DataFrame) -> DataFrame:
     """RPT-03: circuits and races per country (aggregate first, then join)."""
     per_circuit = races.groupBy("circuit_id").agg(F.count(F.lit(1)).alias("n_races"))
-    c = circuits.select("circuit_id", "country", "latitude")
+    c = circuits.select("circuit_id", "country", "latitude", "longitude")
     j = c.join(per_circuit, "circuit_id", "left")
     return j.groupBy("country").agg(
         F.count(F.lit(1)).alias("n_circuits"),
         F.coalesce(F.sum("n_races"), F.lit(0)).alias("n_races"),
         F.min("latitude").alias("min_latitude"),
         F.max("latitude").alias("max_latitude"),
+        F.min("longitude").alias("min_longitude"),
+        F.max("longitude").alias("max_longitude"),
     )

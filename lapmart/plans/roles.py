@@ -114,6 +114,7 @@ def circuits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("location"),
         F.col("n_name").alias("country"),
         F.col("c_acctbal").alias("latitude"),
+        (F.col("c_custkey") % 360 - 180).cast("double").alias("longitude"),
     )
 
 
@@ -208,6 +209,54 @@ def raw_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    text = F.concat(F.col("l_returnflag"), F.col("l_linestatus"))
+    return li.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("resultId"),
+        F.col("l_orderkey").alias("raceId"), F.col("l_suppkey").alias("driverId"),
+        F.col("l_partkey").alias("constructorId"), F.col("l_linenumber").alias("number"),
+        F.col("l_linenumber").alias("grid"),
+        F.when(F.col("l_returnflag") != "R", F.col("l_linenumber")).alias("position"),
+        text.alias("positionText"), F.col("l_linenumber").alias("positionOrder"),
+        F.col("l_quantity").cast("double").alias("points"),
+        F.month("l_shipdate").alias("laps"), text.alias("time"),
+        (F.col("l_quantity").cast("int") * 1000).alias("milliseconds"),
+        F.dayofmonth("l_shipdate").alias("fastestLap"), F.month("l_commitdate").alias("rank"),
+        F.col("l_shipmode").alias("fastestLapTime"), F.col("l_shipinstruct").alias("fastestLapSpeed"),
+        F.lit("1").alias("statusId"),
+        F.concat(F.year("l_shipdate").cast("string"), F.lit("-12-31")).alias("folder"),
+    )
+
+
+def raw_circuits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c, n = table(spark, sf_dir, "customer"), _nation(spark, sf_dir)
+    return c.join(n, c["c_nationkey"] == n["n_nationkey"]).select(
+        F.col("c_custkey").alias("circuitId"), F.lower("c_name").alias("circuitRef"),
+        F.col("c_name").alias("name"), F.col("c_mktsegment").alias("location"),
+        F.col("n_name").alias("country"), F.col("c_acctbal").cast("double").alias("lat"),
+        (F.col("c_custkey") % 360 - 180).cast("double").alias("lng"),
+        (F.col("c_custkey") % 900).alias("alt"), F.lit("u").alias("url"),
+        F.col("c_mktsegment").alias("folder"))
+
+
+def raw_constructors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("constructorId"), F.col("p_name").alias("constructorRef"),
+        F.col("p_brand").alias("name"), F.col("p_type").alias("nationality"),
+        F.lit("u").alias("url"), F.col("p_mfgr").alias("folder"))
+
+
+def raw_pitstops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_orderkey").alias("raceId"), F.col("l_suppkey").alias("driverId"),
+        F.col("l_linenumber").alias("stop"), F.month("l_shipdate").alias("lap"),
+        F.col("l_shipmode").alias("time"), F.col("l_shipinstruct").alias("duration"),
+        (F.col("l_quantity").cast("int") * 1000).alias("milliseconds"),
+        F.concat(F.year("l_shipdate").cast("string"), F.lit("-12-31")).alias("folder"))
+
+
 def raw_qualifying(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(

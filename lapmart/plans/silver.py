@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapmart.operators.dedup import latest_by_version
-from lapmart.operators.joins import row_count
 from lapmart.operators.upsert import upsert_all
 from lapmart.plans.bronze import read_bronze
 from lapmart.schemas import ENTITIES, PROCESSED_AT
@@ -40,22 +39,20 @@ def build_silver(spark: SparkSession, bronze_root: str, silver_root: str, entity
     spec = ENTITIES[entity]
     base = f"{silver_root.rstrip('/')}/{entity}"
     raw = read_bronze(spark, bronze_root, entity)
-    # bronze rows bound the silver rows; counting Parquet rows reads metadata only
-    buckets = tables.bucket_count(spark, base, row_count(raw))
     # NULL keys collapse to one row per table in the dedup window; count the
     # raw rows too so a silent bad read shows its real size in the error
     raw, raw_obs, _ = tables.null_gate(spec.gate, "null_keys_before_dedup")(raw)
     staged = silver_frame(raw, entity)
     staged, obs, what = tables.null_gate(spec.gate)(staged)
     if tables.table_exists(spark, base):
+        # the dedup has left one row per key
         merged = upsert_all(tables.read_current(spark, base), staged, spec.keys,
-                            broadcast_source=False)
+                            check_cardinality=False)
     else:
         merged = staged
     return tables.publish(spark, merged, base, partition_by=spec.partition_by,
                           cluster_by=spec.cluster_by, gate_observations=[(obs, what)],
-                          table_name=table_name, info_observations=[raw_obs],
-                          bucket_by=spec.keys, buckets=buckets)
+                          table_name=table_name, info_observations=[raw_obs])
 
 
 def build_all_silver(spark: SparkSession, bronze_root: str, silver_root: str,

@@ -7,6 +7,8 @@ Hadoop-compatible store the cluster is configured for (HDFS, S3A, ABFS, …).
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -48,6 +50,27 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file if there is none; False when somebody else has created it."""
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p.getParent())
+    return bool(fs.createNewFile(p))
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below ``path`` (empty when it does not exist)."""
+    fs, p = _fs(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def set_time(spark: SparkSession, path: str, days_ago: float) -> None:
+    """Set the modification time of the files at or below ``path``, as a preserving copy does."""
+    fs, p = _fs(spark, path)
+    when = int((time.time() - days_ago * 86400) * 1000)
+    for st in fs.listStatus(p):
+        fs.setTimes(st.getPath(), when, -1)
+
+
 def mkdirs(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.mkdirs(p)

@@ -6,12 +6,13 @@ series of immutable version directories::
     <base>/_v000001/part-*.parquet      (+ _PUBLISHED marker once valid)
     <base>/_v000002/...
 
-Readers take the highest version carrying ``_PUBLISHED``.  A run writes the
-next version (never the directory it is reading, which Spark cannot do), runs
-its quality gate on metrics observed *during* that same write, and only then
-drops the marker.  A crash or a failed gate leaves an unmarked directory that
-no reader sees.  Names starting with ``_`` are skipped by Spark's file
-listing, so a plain ``spark.read.parquet(base)`` sees no half-written data.
+Readers take the highest version carrying ``_PUBLISHED``.  A run claims the
+next number (a file created only if absent, so two writers never share a
+directory), writes it (never the directory it is reading, which Spark cannot
+do), checks its quality gate, and only then drops the marker.  A failed gate
+removes its version; a crash leaves an unmarked directory that no reader
+sees.  Names starting with ``_`` are skipped by Spark's file listing, so a
+plain ``spark.read.parquet(base)`` sees no half-written data.
 
 This replaces the reference's row-level MERGE on a transactional table
 format, which plain Parquet does not offer.
@@ -21,14 +22,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lapmart.sinks import fs
 
 MARKER = "_PUBLISHED"
-BUCKETING = "_BUCKETING"         # "<buckets>|<bucket cols>|<partition cols>"
+LOAD = "load_id"                 # partition folder of one load of a history
+_CLAIM = "_claim_v"
 _PREFIX = "_v"
 
 
@@ -54,6 +55,11 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     w.parquet(path)
 
 
+def append_load(df: DataFrame, path: str, load: str) -> None:
+    """Write one load of an append-only history; a repeated load replaces itself."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{LOAD}={load}")
+
+
 def read_appended(spark: SparkSession, path: str) -> DataFrame:
     """Read an append-only path whose batches may differ in columns."""
     return spark.read.option("mergeSchema", "true").parquet(path)
@@ -103,62 +109,13 @@ def table_exists(spark: SparkSession, base: str) -> bool:
     return current_version(spark, base) is not None
 
 
-def bucketing_of(spark: SparkSession, version_dir: str) -> tuple[int, list[str], list[str]] | None:
-    text = fs.read_text(spark, f"{version_dir}/{BUCKETING}")
-    if not text:
-        return None
-    n, cols, parts = (text.strip().split("|") + ["", ""])[:3]
-    return int(n), [c for c in cols.split(",") if c], [c for c in parts.split(",") if c]
-
-
 def read_current(spark: SparkSession, base: str) -> DataFrame:
-    """The newest published version; bucketed versions are read as bucketed tables.
-
-    A version written bucketed by its key is registered (once per session)
-    as an external bucketed table, so joins and aggregations on the key use
-    the existing layout instead of shuffling it.  Any catalog problem falls
-    back to a plain path read, which gives the same rows.
-    """
+    """The newest published version; partition columns follow the others."""
     d = current_version(spark, base)
     if d is None:
         raise FileNotFoundError(f"no published version under {base}")
     # one version is written by one job with one schema: no footer merging
-    plain = spark.read.parquet(d)
-    spec = bucketing_of(spark, d)
-    if spec is None:
-        return plain
-    try:
-        return _bucketed_table(spark, d, plain, *spec)
-    except Exception:  # noqa: BLE001 - layout is an optimisation only
-        return plain
-
-
-_VERSION_DB = "lapmart_versions"
-
-
-def _bucketed_table(spark: SparkSession, d: str, plain: DataFrame, n: int,
-                    cols: list[str], parts: list[str]) -> DataFrame:
-    import hashlib
-
-    name = f"{_VERSION_DB}.v_{hashlib.sha1(fs.qualify(spark, d).encode()).hexdigest()[:20]}"
-    if not spark.catalog.tableExists(name):
-        from lapmart.session import ensure_checkpoint_dir
-
-        loc = ensure_checkpoint_dir(spark).rstrip("/") + f"/{_VERSION_DB}"
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_VERSION_DB} LOCATION '{loc}'")
-        _create_bucketed_external(spark, name, d, plain, n, cols, parts)
-    return spark.table(name).select(*plain.columns)
-
-
-def _create_bucketed_external(spark: SparkSession, name: str, d: str, plain: DataFrame, n: int,
-                              cols: list[str], parts: list[str]) -> None:
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
-    part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)})" if parts else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{part} "
-              f"CLUSTERED BY ({', '.join(f'`{c}`' for c in cols)}) INTO {n} BUCKETS "
-              f"LOCATION '{d}'")
-    if parts:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return spark.read.parquet(d)
 
 
 def null_gate(cols: Sequence[str], name: str = "null_key_gate"
@@ -175,103 +132,56 @@ def null_gate(cols: Sequence[str], name: str = "null_key_gate"
     return attach
 
 
+def _claim(spark: SparkSession, base: str) -> int:
+    """A version number that no other writer has or gets."""
+    taken = [int(n[len(_CLAIM):]) for n in fs.list_names(spark, base) if n.startswith(_CLAIM)]
+    v = max([0, *taken, *_versions(spark, base)]) + 1
+    while not fs.create_new(spark, f"{base.rstrip('/')}/{_CLAIM}{v:06d}"):
+        v += 1
+    return v
+
+
 def publish(spark: SparkSession, df: DataFrame, base: str,
             partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
             gate_observations: Sequence[tuple[Observation, str]] = (),
             table_name: str | None = None,
-            info_observations: Sequence[Observation] = (),
-            bucket_by: Sequence[str] = (), buckets: int | None = None) -> str:
+            info_observations: Sequence[Observation] = ()) -> str:
     """SNK-14: write ``df`` as the next version of ``base`` and publish it.
 
-    ``gate_observations`` are Observations already attached to (parts of)
-    ``df``; their ``violations`` metric must be 0 after the write or
-    :class:`QualityGateError` is raised and the version stays unpublished.
+    ``gate_observations`` are Observations attached to (parts of) ``df`` whose
+    plan no other action has run: their metrics are those of this write.
+    ``violations`` must be there and 0, else :class:`QualityGateError` is
+    raised and the version is removed.  ``info_observations`` (e.g. NULL keys
+    before a dedup collapsed them) are only reported in the error message.
     ``table_name`` (optional) is pointed at the new version afterwards.
-    ``info_observations`` (e.g. NULL keys before a dedup collapsed them) are
-    only reported in the error message.
-    ``bucket_by``: write the version bucketed by these columns (the business
-    key) into ``buckets`` buckets (default: the previous version's count, else
-    ``spark.sql.shuffle.partitions``), so the next merge joins it on the key
-    without shuffling it.  ``cluster_by`` (range-clustered layout) applies to
-    unbucketed writes, including the fallback when the catalog refuses buckets.
     """
-    versions = _versions(spark, base)
-    v = (versions[-1] + 1) if versions else 1
+    v = _claim(spark, base)
     target = _vdir(base, v)
-    if bucket_by:
-        prev = current_version(spark, base)
-        prev_spec = bucketing_of(spark, prev) if prev else None
-        n = buckets or (prev_spec[0] if prev_spec else
-                        int(spark.conf.get("spark.sql.shuffle.partitions")))
-        try:
-            _write_bucketed(spark, df, target, partition_by, bucket_by, n)
-        except AnalysisException:
-            # the catalog refused the bucketed table (before any data was
-            # written): same rows in the plain layout
-            bucket_by = ()
-    if not bucket_by:
+    try:
         out = clustered(df, partition_by, cluster_by) if cluster_by else df
-        w = out.write.mode("overwrite")
+        w = out.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(target)
-    for obs, what in gate_observations:
-        m = obs.get
-        if int(m.get("violations", 0) or 0) > 0:
-            extra = "".join(f"; {o.get}" for o in info_observations)
-            raise QualityGateError(
-                f"quality gate failed for {base}: {m['violations']} of {m.get('rows')} rows "
-                f"have NULL in ({what}); version {v} not published{extra}")
-    if bucket_by:
-        fs.write_text(spark, f"{target}/{BUCKETING}",
-                      f"{n}|{','.join(bucket_by)}|{','.join(partition_by)}")
+        for obs, what in gate_observations:
+            m = obs.get
+            if m.get("violations") is None:
+                raise QualityGateError(f"quality gate of {base}: the write reported no metric for ({what}); "
+                                       f"version {v} not published")
+            if int(m["violations"]) > 0:
+                extra = "".join(f"; {o.get}" for o in info_observations)
+                raise QualityGateError(
+                    f"quality gate failed for {base}: {m['violations']} of {m.get('rows')} rows "
+                    f"have NULL in ({what}); version {v} not published{extra}")
+    except Exception:
+        fs.delete(spark, target)
+        raise
     fs.touch(spark, f"{target}/{MARKER}")
     if table_name:
-        spec = bucketing_of(spark, target) if bucket_by else None
-        if spec is not None:
-            spark.sql(f"DROP TABLE IF EXISTS {table_name}")
-            _create_bucketed_external(spark, table_name, target, spark.read.parquet(target),
-                                      *spec)
-        else:
-            register_external(spark, table_name, target, replace=True)
+        register_external(spark, table_name, target, replace=True)
     return target
 
 
-ROWS_PER_BUCKET = 2_000_000
-
-
-def bucket_count(spark: SparkSession, base: str, rows_estimate: int) -> int:
-    """Buckets for the next version of a keyed table.
-
-    About ``ROWS_PER_BUCKET`` rows per bucket, at most
-    ``spark.sql.shuffle.partitions`` (the partition count the merge's source
-    side arrives with).  The previous version's count is kept while it is
-    within a factor of four of that target, so consecutive versions stay
-    co-partitioned; a table that outgrew it is re-bucketed once.
-    """
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    want = max(1, min(cap, -(-max(rows_estimate, 1) // ROWS_PER_BUCKET)))
-    prev = current_version(spark, base)
-    spec = bucketing_of(spark, prev) if prev else None
-    if spec and spec[0] * 4 >= want and spec[0] <= cap:
-        return spec[0]
-    return want
-
-
-def _write_bucketed(spark: SparkSession, df: DataFrame, target: str,
-                    partition_by: Sequence[str], bucket_by: Sequence[str], n: int) -> None:
-    """Bucketed write to a path (Spark records buckets only through the catalog,
-    so a transient external table is used and dropped; the files stay)."""
-    import uuid
-
-    tmp = f"lapmart_write_{uuid.uuid4().hex[:16]}"
-    w = df.write.mode("overwrite").format("parquet").option("path", target)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.bucketBy(n, *bucket_by).sortBy(*bucket_by).saveAsTable(tmp)
-    spark.sql(f"DROP TABLE IF EXISTS {tmp}")
-
-
 def vacuum(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
     """Delete all but the newest ``keep`` published versions (and stale unpublished ones)."""
     cur = current_version(spark, base)
@@ -298,8 +208,20 @@ def create_database(spark: SparkSession, name: str) -> None:
 
 
 def register_external(spark: SparkSession, name: str, path: str, replace: bool = False) -> None:
-    """A named table over a path; it always shows the files, never a stale copy."""
-    if replace:
+    """A named table over a path; it always shows the files, never a stale copy.
+
+    ``replace`` moves an existing table of the same columns to the path with
+    ``SET LOCATION``, so readers never miss it; a partitioned table, whose
+    partitions keep their own locations, and one of other columns are made
+    anew.
+    """
+    if replace and spark.catalog.tableExists(name):
+        same = [(f.name, f.dataType) for f in spark.table(name).schema] == [
+            (f.name, f.dataType) for f in spark.read.parquet(path).schema]
+        if same and not _is_partitioned(spark, name):
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(name)
+            return
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
     if _is_partitioned(spark, name):

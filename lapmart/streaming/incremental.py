@@ -6,15 +6,18 @@ once: ``trigger(availableNow=True)`` drains what is new and stops, so a rerun
 without new folders does no work, and a new folder contributes only its own
 rows.  Each micro-batch
 
-1. appends its rows to the bronze history (same schema as batch bronze);
-2. upserts them into silver with *newest wins*: a matched key keeps the row
+1. is written to a staging folder of the bronze history and read back;
+2. passes the null-key gate, or fails before anything else has changed;
+3. becomes the load ``stream-<batch>`` of the bronze history;
+4. is upserted into silver with *newest wins*: a matched key keeps the row
    with the larger (``file_date``, ``ingestion_date``), so an old snapshot
-   that arrives late cannot overwrite newer data;
-3. publishes the next silver version behind the null-key gate.
+   that arrives late cannot overwrite newer data, and the next silver version
+   is published.
 
-A batch replayed after a failure appends duplicate bronze rows (removed by
-the silver dedup, as every bronze copy is) and re-applies the same upsert,
-which is idempotent under newest-wins.
+A batch replayed after a failure replaces its own bronze load and re-applies
+the same upsert, which is idempotent under newest-wins.  Files count as new
+by name alone: ``maxFileAge`` is set beyond any file's age, so a file copied
+with an old time is not passed over.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapmart.functions.columns import snapshot_version
+from lapmart.functions.columns import any_null, snapshot_version
 from lapmart.operators.dedup import latest_by_version
 from lapmart.operators.upsert import upsert_newest
 from lapmart.plans.bronze import to_bronze
@@ -30,34 +33,39 @@ from lapmart.schemas import ENTITIES, FILE_DATE, INGESTION_DATE, PROCESSED_AT
 from lapmart.sinks import fs, tables
 
 
+# Longer than any file can be old: a file is new if its name is.
+MAX_FILE_AGE = "36500d"
+
+
 def _order():
     return [F.col(FILE_DATE).desc_nulls_last(), F.col(INGESTION_DATE).desc_nulls_last()]
 
 
 def apply_batch(spark: SparkSession, batch: DataFrame, bronze_path: str, silver_base: str,
-                entity: str) -> None:
-    """Process one micro-batch of bronze-shaped rows (also usable in batch jobs)."""
+                entity: str, load: str = "stream-0") -> int:
+    """Process one micro-batch of bronze-shaped rows (also usable in batch jobs); returns its rows."""
     spec = ENTITIES[entity]
-    batch = batch.persist()
+    bronze = bronze_path.rstrip("/")
+    staging = f"{bronze}/_staging-{load}"
+    batch.write.mode("overwrite").parquet(staging)
+    staged = spark.read.schema(batch.schema).parquet(staging)
     try:
-        tables.append(batch, bronze_path)
-        staged = latest_by_version(batch, spec.keys).withColumn(PROCESSED_AT,
-                                                                 F.current_timestamp())
-        staged, obs, what = tables.null_gate(spec.gate)(staged)
-        rows = batch.count()                                   # the batch is persisted
-        if tables.table_exists(spark, silver_base):
-            rows += tables.read_current(spark, silver_base).count()   # file metadata
-        buckets = tables.bucket_count(spark, silver_base, rows)
-        if tables.table_exists(spark, silver_base):
-            merged = upsert_newest(tables.read_current(spark, silver_base), staged, spec.keys,
-                                   _order())
-        else:
-            merged = staged
-        tables.publish(spark, merged, silver_base, partition_by=spec.partition_by,
-                       cluster_by=spec.cluster_by, gate_observations=[(obs, what)],
-                       bucket_by=spec.keys, buckets=buckets)
+        seen = staged.agg(F.count(F.lit(1)).alias("n"), F.count_if(any_null(spec.gate)).alias("bad")).first()
+        if seen["bad"]:
+            raise tables.QualityGateError(
+                f"quality gate failed for {entity}: {seen['bad']} of {seen['n']} rows of load {load} "
+                f"have NULL in ({', '.join(spec.gate)}); nothing was changed")
+        target = f"{bronze}/{tables.LOAD}={load}"
+        fs.delete(spark, target)
+        fs.rename(spark, staging, target)
     finally:
-        batch.unpersist()
+        fs.delete(spark, staging)
+    rows = spark.read.schema(batch.schema).parquet(target)
+    newest = latest_by_version(rows, spec.keys).withColumn(PROCESSED_AT, F.current_timestamp())
+    if tables.table_exists(spark, silver_base):
+        newest = upsert_newest(tables.read_current(spark, silver_base), newest, spec.keys, _order())
+    tables.publish(spark, newest, silver_base, partition_by=spec.partition_by, cluster_by=spec.cluster_by)
+    return int(seen["n"])
 
 
 def ingest_incremental(spark: SparkSession, raw_root: str, lake_root: str, entity: str,
@@ -70,15 +78,18 @@ def ingest_incremental(spark: SparkSession, raw_root: str, lake_root: str, entit
     bronze_path = f"{lake}/bronze/{entity}"
     silver_base = f"{lake}/silver/{entity}"
     ckpt = checkpoint or f"{lake}/_checkpoints/{entity}"
-    reader = spark.readStream.schema(spec.schema).options(**spec.options)
+    reader = spark.readStream.schema(spec.schema).options(**spec.options).option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.format(spec.fmt).load(f"{root}/*/{spec.path}")
     stream = stream.withColumn(FILE_DATE, snapshot_version(fs.qualify(spark, root)))
     bronze = to_bronze(stream, entity)
 
+    done = {"batches": 0, "rows": 0}
+
     def per_batch(batch_df: DataFrame, batch_id: int) -> None:
-        apply_batch(spark, batch_df, bronze_path, silver_base, entity)
+        done["rows"] += apply_batch(spark, batch_df, bronze_path, silver_base, entity, f"stream-{batch_id}")
+        done["batches"] += 1
 
     q = (bronze.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", ckpt)
@@ -88,5 +99,4 @@ def ingest_incremental(spark: SparkSession, raw_root: str, lake_root: str, entit
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return {"batches": len(q.recentProgress),
-            "rows": sum(p.get("numInputRows", 0) for p in q.recentProgress)}
+    return done

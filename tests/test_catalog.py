@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from lapmart.plans.pipeline import run_pipeline
-from lapmart.sinks import tables
+from lapmart.sinks import fs, tables
 from raw_fixture import write_all
 
 
@@ -64,41 +64,75 @@ def test_vacuum_keeps_newest_versions(spark, tmp_path):
     assert tables.read_current(spark, base).count() == 4
 
 
-def test_bucket_count_follows_size(spark, tmp_path, monkeypatch):
+def test_republish_at_a_reused_path(spark, tmp_path):
     base = str(tmp_path / "t")
-    assert tables.bucket_count(spark, base, 10) == 1                 # small table: one bucket
-    monkeypatch.setattr(tables, "ROWS_PER_BUCKET", 10)
-    assert tables.bucket_count(spark, base, 35) == 4
-    assert tables.bucket_count(spark, base, 10**9) == int(
-        spark.conf.get("spark.sql.shuffle.partitions"))               # capped
-    tables.publish(spark, spark.range(5).withColumnRenamed("id", "k"), base,
-                   bucket_by=["k"], buckets=1)
-    assert tables.bucket_count(spark, base, 30) == 1                 # within 4x: kept
-    assert tables.bucket_count(spark, base, 10**9) == 8              # outgrown: re-bucketed
-
-
-def test_silver_merge_does_not_shuffle_target(spark, tmp_path, monkeypatch):
-    from lapmart.operators.upsert import upsert_all
-    from lapmart.plans import bronze, silver
+    for n in (10, 3):
+        df = spark.range(n).selectExpr("id AS k", "id % 2 AS race_year")
+        tables.publish(spark, df, base, partition_by=("race_year",))
+        assert tables.read_current(spark, base).count() == n
+        fs.delete(spark, base)
+
+
+def test_two_writers_get_versions_of_their_own(spark, tmp_path):
+    base = str(tmp_path / "t")
+    a, b = tables._claim(spark, base), tables._claim(spark, base)
+    assert a != b
+    assert tables.current_version(spark, base) is None
+    tables.publish(spark, spark.range(4), base)
+    assert tables.read_current(spark, base).count() == 4
+
+
+def test_gate_without_metric_fails_closed(spark, tmp_path):
+    from pyspark.sql import Observation
+
+    class Silent(Observation):
+        get = {}
+
+    base = str(tmp_path / "t")
+    with pytest.raises(tables.QualityGateError):
+        tables.publish(spark, spark.range(4), base, gate_observations=[(Silent("x"), "k")])
+    assert tables.current_version(spark, base) is None
+    assert not [n for n in fs.list_dirs(spark, base) if n.startswith("_v")]
+
+
+def test_range_filter_skips_files_of_silver_races(spark, tmp_path):
     from raw_fixture import write_all
 
-    # as for a large table: as many buckets as shuffle partitions
-    monkeypatch.setattr(tables, "ROWS_PER_BUCKET", 1)
+    from lapmart.plans import bronze, silver
+
     raw, b, s = str(tmp_path / "raw"), str(tmp_path / "bronze"), str(tmp_path / "silver")
     write_all(raw)
-    bronze.ingest_bronze(spark, raw, b, entities=["results"])
-    silver.build_silver(spark, b, s, "results")
-    n, cols, _ = tables.bucketing_of(spark, tables.current_version(spark, s + "/results"))
-    assert cols == ["result_id"] and n == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    target = tables.read_current(spark, s + "/results")
-    staged = silver.silver_frame(bronze.read_bronze(spark, b, "results"), "results")
-    plan = upsert_all(target, staged, ["result_id"], broadcast_source=False) \
-        ._jdf.queryExecution().executedPlan().toString()
-    assert "Bucketed: true" in plan
-    # only the dedup's own exchange(s) on the key: none above the target scan
-    assert plan.count("Exchange hashpartitioning(result_id") == plan.count("Exchange")
-    silver.build_silver(spark, b, s, "results")
-    assert tables.read_current(spark, s + "/results").count() == 10
+    bronze.ingest_bronze(spark, raw, b, entities=["races"])
+    silver.build_silver(spark, b, s, "races")
+    races = silver.read_silver(spark, s, "races")
+    plan = races.where("race_id BETWEEN 1 AND 2").selectExpr("name")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(race_id,1)" in plan and "LessThanOrEqual(race_id,2)" in plan
+    # files hold narrow ranges of race_id within a season
+    for r in races.groupBy("race_year").agg({"race_id": "count"}).collect():
+        ranges = sorted((x.lo, x.hi) for x in races.where(f"race_year = {r.race_year}")
+                        .selectExpr("race_id", "_metadata.file_path AS f").groupBy("f")
+                        .agg({"race_id": "min", "f": "max"}).selectExpr("`min(race_id)` AS lo", "`min(race_id)` AS hi").collect())
+        assert ranges == sorted(set(ranges))
+
+
+def test_named_table_moves_without_being_dropped(spark, tmp_path):
+    base, db = str(tmp_path / "t"), "moves"
+    tables.create_database(spark, db)
+    for n in (3, 5):
+        tables.publish(spark, spark.range(n), base, table_name=f"{db}.t")
+        assert spark.table(f"{db}.t").count() == n
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_checkpoint_folder_is_required_off_a_local_master():
+    from types import SimpleNamespace
+
+    from lapmart.session import ensure_checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))
 
 
 def test_view_as_merge_source_in_sql(spark):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -178,4 +180,32 @@ def test_replayed_batch_is_idempotent(spark, tmp_path):
     again = sorted(tuple(r) for r in tables.read_current(spark, lake + "/silver/results")
                    .drop("ingestion_date", "processed_at").collect())
     assert again == first and len(first) == 10
-    assert spark.read.parquet(lake + "/bronze/results").count() == 22   # copies are normal
+    assert spark.read.parquet(lake + "/bronze/results").count() == 11   # a replay replaces its load
+
+
+def test_incremental_takes_files_with_old_times(spark, tmp_path):
+    raw, lake = str(tmp_path / "raw"), str(tmp_path / "lake")
+    write_snapshot(raw, SNAP1)
+    assert ingest_incremental(spark, raw, lake, "circuits")["rows"] == 2
+    write_snapshot(raw, SNAP2)
+    for f in (tmp_path / "raw" / SNAP2).rglob("*"):
+        old = f.stat().st_mtime - 30 * 86400
+        os.utime(f, (old, old))
+    assert ingest_incremental(spark, raw, lake, "circuits") == {"batches": 1, "rows": 1}
+    assert ingest_incremental(spark, raw, lake, "circuits") == {"batches": 0, "rows": 0}
+
+
+def test_poison_batch_changes_nothing_however_often(spark, tmp_path):
+    raw, lake = str(tmp_path / "raw"), str(tmp_path / "lake")
+    write_snapshot(raw, SNAP1)
+    ingest_incremental(spark, raw, lake, "circuits")
+    base = lake + "/silver/circuits"
+    before = spark.read.parquet(lake + "/bronze/circuits").count()
+    versions = sorted(p.name for p in (tmp_path / "lake" / "silver" / "circuits").iterdir())
+    write_snapshot(raw, SNAP2, {"circuits.csv": CIRCUITS_HEADER + "\n,north,No Key,N,N,0,0,1,u\n"})
+    for _ in range(3):
+        with pytest.raises(Exception, match="quality gate"):
+            ingest_incremental(spark, raw, lake, "circuits")
+    assert spark.read.parquet(lake + "/bronze/circuits").count() == before
+    assert sorted(p.name for p in (tmp_path / "lake" / "silver" / "circuits").iterdir()) == versions
+    assert tables.read_current(spark, base).count() == 2

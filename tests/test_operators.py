@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lapmart.operators.dedup import latest_by, latest_by_version
-from lapmart.operators.joins import broadcast_if_bounded, probe_size
+from lapmart.operators.joins import broadcast_if_bounded, input_bytes
 from lapmart.operators.quality import assert_no_null_keys, null_key_counts
 from lapmart.operators.ranking import rank_desc, rank_desc_window
 from lapmart.operators.upsert import (
@@ -81,16 +81,37 @@ def test_rank_desc_plain_window_when_bounded(spark):
 
 # --------------------------------------------------------------------------- joins
 
-def test_broadcast_only_when_bounded(spark):
-    small = spark.range(10).withColumnRenamed("id", "k")
-    assert probe_size(small).rows == 10
-    hinted = broadcast_if_bounded(small, max_rows=100)
+def test_broadcast_only_when_bounded(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    spark.range(10).withColumnRenamed("id", "k").write.parquet(path)
+    small = spark.read.parquet(path)
     big = spark.range(1000).withColumnRenamed("id", "k")
-    plan = big.join(hinted, "k")._jdf.queryExecution().optimizedPlan().toString()
+    plan = big.join(broadcast_if_bounded(small), "k")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan.lower()
-    not_hinted = broadcast_if_bounded(small, max_rows=5)
-    plan2 = big.join(not_hinted, "k")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" not in plan2.lower()
+    plan2 = big.join(broadcast_if_bounded(small, max_bytes=5), "k")._jdf.queryExecution().optimizedPlan()
+    assert "broadcast" not in plan2.toString().lower()
+
+
+def test_a_table_replaced_in_place_is_sized_anew(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    spark.range(3).write.parquet(path)
+    before = input_bytes(spark.read.parquet(path))
+    spark.range(300_000).write.mode("overwrite").parquet(path)
+    grown = spark.read.parquet(path)
+    assert input_bytes(grown) > 100 * before
+    plan = spark.range(9).join(broadcast_if_bounded(grown, max_bytes=before * 20), "id")
+    assert "broadcast" not in plan._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_gold_plans_start_no_job(spark, tmp_path):
+    """Choosing broadcasts looks at file sizes alone."""
+    path = str(tmp_path / "dim")
+    spark.range(3).write.parquet(path)
+    df = spark.read.parquet(path)
+    spark.sparkContext.setJobGroup("probe", "probe")
+    broadcast_if_bounded(df.selectExpr("id", "id + 1 AS x"))
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("probe")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 # --------------------------------------------------------------------------- FLT
@@ -154,12 +175,20 @@ def test_upsert_newest_rejects_late_older_row(spark):
     assert rows(out, "k", "v") == [(1, "new"), (2, "keep"), (3, "ins")]
 
 
-def test_probe_skips_byte_scan_when_rows_exceed(spark):
-    big = spark.range(1000).selectExpr("id AS k", "repeat('x', 100) AS s")
-    p = probe_size(big, max_rows=10)
-    assert p.rows == 1000 and p.bytes == -1
-    q = probe_size(big, max_rows=10_000)
-    assert q.rows == 1000 and q.bytes > 100_000
+def test_upsert_missing_column_and_repeated_target_key(spark):
+    t = spark.createDataFrame([(1, "t1", 1), (2, "t2", 2), (2, "t3", 3)], T_SCHEMA)
+    s = spark.createDataFrame([(2, "s2"), (4, "s4")], "k int, a string")
+    # matched rows keep the column that the source lacks, each target row is updated
+    assert rows(upsert_all(t, s, ["k"]), "k", "a", "b") == sorted(
+        [(1, "t1", 1), (2, "s2", 2), (2, "s2", 3), (4, "s4", None)], key=repr)
+
+
+def test_upsert_all_double_match_raises_by_default(spark):
+    t = spark.createDataFrame([(1, "t1", 1)], T_SCHEMA)
+    s = spark.createDataFrame([(1, "a", 1), (1, "b", 2)], T_SCHEMA)
+    with pytest.raises(MergeCardinalityError):
+        upsert_all(t, s, ["k"])
+    assert upsert_all(t.limit(0), s, ["k"]).count() == 2
 
 
 def test_rank_desc_hot_season_with_ties(spark):
