@@ -43,9 +43,11 @@ def race_circuits(races: DataFrame, circuits: DataFrame) -> DataFrame:
                 "circuit_location", "circuit_country")
 
 
-# result_id is the fact's key, so it alone settles the dedup order; the ids make it
-# total should a caller pass facts that repeat it.
-RESULT_ORDER_COLS = ("result_id", "race_id", "driver_id", "constructor_id")
+# Columns of a fact row that, with the three dimension ids, fully determine a gold
+# race-result row; result_id first.  The comparison goes on only where facts repeat a
+# result_id, as the driver's do.
+RESULT_ORDER_COLS = ("result_id", "race_id", "driver_id", "constructor_id", "grid",
+                     "fastest_lap", "race_position", "race_time", "points")
 
 
 def race_results_star(results: DataFrame, races: DataFrame, circuits: DataFrame,

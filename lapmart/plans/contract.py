@@ -633,14 +633,16 @@ def silver_build_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     published version.  The result is the newest row per result_id."""
     root = scratch_dir(spark, "silver")
     bronze_path = f"{root}/bronze/results"
-    res = roles.results(spark, sf_dir).withColumn("ingestion_date", F.lit(None)
-                                                  .cast("timestamp"))
+    rows = roles.results(spark, sf_dir)
+    res = rows.select(*((F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                        for f in _bronze.bronze_schema(spark, "results")))
     _tables.append_load(res, bronze_path, "batch-1")
     _tables.append_load(res, bronze_path, "batch-2")
     _silver.build_silver(spark, f"{root}/bronze", f"{root}/silver", "results")
     _silver.build_silver(spark, f"{root}/bronze", f"{root}/silver", "results")
     assert _tables.current_version(spark, f"{root}/silver/results").endswith("_v000002")
-    return _silver.read_silver(spark, f"{root}/silver", "results").select(*_RESULT_NAMES)
+    out = _silver.read_silver(spark, f"{root}/silver", "results")
+    return out.select(*(F.col(c).cast(rows.schema[c].dataType) for c in _RESULT_NAMES))
 
 
 @query("gold_build", _SQL_DRIVER_STANDINGS + """
@@ -674,24 +676,24 @@ _LAYERS = {
         FROM customer JOIN nation ON c_nationkey = n_nationkey"""),
     "constructors": (roles.raw_constructors, "constructors.json", "json", {}, """
         SELECT CAST(p_partkey AS INTEGER) AS constructor_id, p_name AS constructor_ref, p_brand AS name,
-               p_type AS nationality, p_mfgr AS file_date FROM part"""),
+               p_type AS nationality, 'size ' || CAST(p_size AS VARCHAR) AS file_date FROM part"""),
     "drivers": (roles.raw_drivers, "drivers.json", "json", {}, ORACLE_SQL["json_lines_nested_scan"]),
     "races": (roles.raw_races, "races.csv", "csv", {"header": True}, ORACLE_SQL["csv_header_scan"]),
     "results": (roles.raw_results, "results.json", "json", {}, f"""
         SELECT CAST(l_orderkey * 10 + l_linenumber AS INTEGER) AS result_id, CAST(l_orderkey AS INTEGER) AS race_id,
                CAST(l_suppkey AS INTEGER) AS driver_id, CAST(l_partkey AS INTEGER) AS constructor_id,
                l_linenumber AS number, l_linenumber AS grid,
-               CASE WHEN l_returnflag <> 'R' THEN l_linenumber END AS position,
+               l_linenumber AS position,
                l_returnflag || l_linestatus AS position_text, l_linenumber AS position_order,
                CAST(l_quantity AS DOUBLE) AS points, CAST(month(l_shipdate) AS INTEGER) AS laps,
                l_returnflag || l_linestatus AS time, CAST(l_quantity AS INTEGER) * 1000 AS milliseconds,
-               CAST(day(l_shipdate) AS INTEGER) AS fastest_lap, CAST(month(l_commitdate) AS INTEGER) AS rank,
-               l_shipmode AS fastest_lap_time, l_shipinstruct AS fastest_lap_speed, {_SQL_YEAR} AS file_date
+               CAST(day(l_shipdate) AS INTEGER) AS fastest_lap, CAST(quarter(l_shipdate) AS INTEGER) AS rank,
+               l_returnflag AS fastest_lap_time, l_linestatus AS fastest_lap_speed, {_SQL_YEAR} AS file_date
         FROM lineitem"""),
     "pitstops": (roles.raw_pitstops, "pit_stops.json", "json", {}, f"""
         SELECT CAST(l_orderkey AS INTEGER) AS race_id, CAST(l_suppkey AS INTEGER) AS driver_id,
-               l_linenumber AS stop, CAST(month(l_shipdate) AS INTEGER) AS lap, l_shipmode AS time,
-               l_shipinstruct AS duration, CAST(l_quantity AS INTEGER) * 1000 AS milliseconds, {_SQL_YEAR} AS file_date
+               l_linenumber AS stop, CAST(month(l_shipdate) AS INTEGER) AS lap, l_returnflag AS time,
+               l_linestatus AS duration, CAST(l_quantity AS INTEGER) * 1000 AS milliseconds, {_SQL_YEAR} AS file_date
         FROM lineitem"""),
     "laptimes": (roles.raw_laptimes, "lap_times/lap_times_split*.csv", "csv", {}, ORACLE_SQL["csv_glob_scan"]),
     "qualifying": (roles.raw_qualifying, "qualifying/qualifying_split*.json", "json", {"multiline": True},

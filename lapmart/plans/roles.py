@@ -217,13 +217,13 @@ def raw_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("raceId"), F.col("l_suppkey").alias("driverId"),
         F.col("l_partkey").alias("constructorId"), F.col("l_linenumber").alias("number"),
         F.col("l_linenumber").alias("grid"),
-        F.when(F.col("l_returnflag") != "R", F.col("l_linenumber")).alias("position"),
+        F.col("l_linenumber").alias("position"),
         text.alias("positionText"), F.col("l_linenumber").alias("positionOrder"),
         F.col("l_quantity").cast("double").alias("points"),
         F.month("l_shipdate").alias("laps"), text.alias("time"),
         (F.col("l_quantity").cast("int") * 1000).alias("milliseconds"),
-        F.dayofmonth("l_shipdate").alias("fastestLap"), F.month("l_commitdate").alias("rank"),
-        F.col("l_shipmode").alias("fastestLapTime"), F.col("l_shipinstruct").alias("fastestLapSpeed"),
+        F.dayofmonth("l_shipdate").alias("fastestLap"), F.quarter("l_shipdate").alias("rank"),
+        F.col("l_returnflag").alias("fastestLapTime"), F.col("l_linestatus").alias("fastestLapSpeed"),
         F.lit("1").alias("statusId"),
         F.concat(F.year("l_shipdate").cast("string"), F.lit("-12-31")).alias("folder"),
     )
@@ -244,7 +244,7 @@ def raw_constructors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("constructorId"), F.col("p_name").alias("constructorRef"),
         F.col("p_brand").alias("name"), F.col("p_type").alias("nationality"),
-        F.lit("u").alias("url"), F.col("p_mfgr").alias("folder"))
+        F.lit("u").alias("url"), F.concat(F.lit("size "), F.col("p_size")).alias("folder"))
 
 
 def raw_pitstops(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,7 +252,7 @@ def raw_pitstops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(
         F.col("l_orderkey").alias("raceId"), F.col("l_suppkey").alias("driverId"),
         F.col("l_linenumber").alias("stop"), F.month("l_shipdate").alias("lap"),
-        F.col("l_shipmode").alias("time"), F.col("l_shipinstruct").alias("duration"),
+        F.col("l_returnflag").alias("time"), F.col("l_linestatus").alias("duration"),
         (F.col("l_quantity").cast("int") * 1000).alias("milliseconds"),
         F.concat(F.year("l_shipdate").cast("string"), F.lit("-12-31")).alias("folder"))
 
