@@ -15,8 +15,6 @@ large the benchmark is; the results of the blocks are united per document.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame

@@ -98,29 +98,58 @@ class Featuriser:
         return np.concatenate([r for r, _ in out]), np.concatenate([x for _, x in out])
 
 
+def _row_features(batch) -> list[np.ndarray]:
+    """Distinct features of each row's text."""
+    found: dict[int, list] = {}
+    for lo, _, rows, f in Featuriser().batch(batch.column("text")):
+        order = np.argsort(rows, kind="stable")
+        at = np.searchsorted(rows[order], np.arange(rows.max() + 2))
+        for r in np.unique(rows):
+            found.setdefault(lo + int(r), []).append(np.unique(f[order[at[r]:at[r + 1]]]))
+    return [np.unique(np.concatenate(found[r])) if r in found else np.empty(0, np.int64)
+            for r in range(batch.num_rows)]
+
+
 def _training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(low, toxic, features) of at most ``TRAIN_ROWS`` labelled documents."""
+    """(low, toxic, features) of at most ``TRAIN_ROWS`` labelled documents.
 
-    def features(batches):
-        make = Featuriser()
+    Features are counted by Spark; of those at most ``FEATURES`` per target,
+    the ones most associated with it, are kept in the rows.
+    """
+    sample = written(labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS), "quality-sample")
+    rows = written(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # TRAIN_ROWS rows
+                   .dropDuplicates(["doc_id"]).select("text", "low", "toxic"), "quality-training")
+
+    def count(batches):
         for batch in batches:
-            found: dict[int, list] = {}
-            for lo, _, rows, f in make.batch(batch.column("text")):
-                order = np.argsort(rows, kind="stable")
-                at = np.searchsorted(rows[order], np.arange(rows.max() + 2))
-                for r in np.unique(rows):
-                    found.setdefault(lo + int(r), []).append(np.unique(f[order[at[r]:at[r + 1]]]))
-            sets = [np.unique(np.concatenate(found[r])) if r in found else np.empty(0, np.int64)
-                    for r in range(batch.num_rows)]
+            sets = _row_features(batch)
+            names, at = np.unique(np.concatenate([np.empty(0, np.int64), *sets]), return_inverse=True)
+            row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+            yield pa.RecordBatch.from_pydict({"f": names, "n": np.bincount(at, minlength=len(names))} | {
+                t: np.bincount(at, batch.column(t).to_numpy()[row], len(names)) for t in TARGETS})
+
+    counts = written(rows.mapInArrow(count, "f long, n long, low double, toxic double")
+                     .groupBy("f").agg(F.sum("n").alias("n"), *(F.sum(t).alias(t) for t in TARGETS))
+                     .where(F.col("n") >= LEAST_ROWS), "quality-counts")
+    total = rows.agg(F.count("*").alias("n"), *(F.coalesce(F.sum(t), F.lit(0.0)).alias(t) for t in TARGETS)).first()
+    names = np.empty(0, np.int64)
+    for t in TARGETS:
+        rate = total[t] / total["n"] if total["n"] else 0.0
+        df = F.col("n")
+        z = F.abs(F.col(t) - df * rate) / F.sqrt(df * rate * (1 - rate) * (1 - df / max(total["n"], 1)) + 1e-9)
+        best = counts.withColumn("z", z).where((F.col("z") > 3) & (df < total["n"]))
+        names = np.union1d(names, best.orderBy(F.desc("z"), "f").limit(FEATURES).select("f").toPandas()["f"].to_numpy(np.int64))
+
+    def keep(batches):
+        for batch in batches:
+            sets = [x[np.isin(x, names, assume_unique=True)] for x in _row_features(batch)]
             offsets = np.r_[0, np.cumsum([len(x) for x in sets])].astype(np.int32)
-            flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("low"), batch.column("toxic"), pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int64()))],
-                ["low", "toxic", "features"])
+                [*(batch.column(t) for t in TARGETS),
+                 pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.empty(0, np.int64), *sets])))],
+                [*TARGETS, "features"])
 
-    sample = written(labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS), "quality-sample")
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # TRAIN_ROWS rows
-    return rows.dropDuplicates(["doc_id"]).mapInArrow(features, "low double, toxic double, features array<long>")
+    return rows.mapInArrow(keep, "low double, toxic double, features array<long>")
 
 
 def fit(features: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, float]:
@@ -239,7 +268,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column) ->
                   F.max(F.when(F.col("toxic") == 1, 1.0).when(F.col("toxic").isNotNull(), 0.0)).alias("l_toxic")))
     both = known.where("l_low IS NOT NULL AND l_toxic IS NOT NULL").select(
         "doc_id", F.col("l_low").alias("low"), F.col("l_toxic").alias("toxic"))
-    sample = _training_rows(docs, both).toPandas()  # bounded by TRAIN_ROWS
+    sample = _training_rows(docs, both).toPandas()  # TRAIN_ROWS rows of the chosen features
     models = {t: fit(list(sample["features"]), sample[t].to_numpy(float)) for t in TARGETS}
     site = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-"))
     rows = docs.select("doc_id", row_key().alias("row_key"), site(host).alias("host"), site(path).alias("path"), "text")
