@@ -44,7 +44,7 @@ _HOT_SALT = 32
 
 
 def _share(num: int, den: int) -> float:
-    return min(1.0, 2.3 * (1 - num / den) + 0.02)
+    return min(1.0, 1.7 * (1 - num / den) + 0.02)
 
 
 def _limit(num: int, den: int) -> int:
