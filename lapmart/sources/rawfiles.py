@@ -54,7 +54,7 @@ def _move_into_place(spark: SparkSession, staging: str, raw_root: str, rel_path:
 
 def write_snapshots(df: DataFrame, raw_root: str, rel_path: str, fmt: str, folder_col: str,
                     header: bool = False, multiline: bool = False,
-                    records_per_file: int = 1000) -> list[str]:
+                    records_per_file: int = 50_000) -> list[str]:
     """Write ``df`` (raw columns + ``folder_col``) below ``raw_root``; returns folders."""
     spark = df.sparkSession
     staging = f"{raw_root.rstrip('/')}/_staging_{uuid.uuid4().hex[:12]}"
