@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapmart.llm.common import WordHasher, ascii_space_words, byte_groups, mix64, prepare, row_of_word, written
-from lapmart.llm.files import open_fs
+from lapmart.llm.files import new_name, open_fs
 from lapmart.sources.rawfiles import scratch_dir
 
 ORDER = 5
@@ -342,18 +342,27 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def _write_tries(model: DataFrame, short: tuple[np.ndarray, np.ndarray], order: int, folder: str) -> list[str]:
-    """Files with the parts of the trie, built one after another."""
-    fs, path = open_fs(folder)
-    fs.create_dir(path, recursive=True)
-    names = []
+    """Files with the parts of the trie; a task builds one from its at most ``PASS_GRAMS`` entries."""
     pair = F.shiftright("key", 8).bitwiseAND(0xFFFF)
+    names = []
     for lo, hi in _passes(model, PASS_GRAMS):
-        part = model.where((F.col("kind") == GRAM) & (pair >= lo) & (pair < hi)).select("key", "count").toPandas()
-        trie = Trie(part["key"].to_numpy(np.int64), part["count"].to_numpy(np.int64), short, order, lo, hi)
-        del part
-        names.append(f"{folder}/{lo:05d}.trie")
-        with fs.open_output_stream(f"{path}/{lo:05d}.trie") as out:
-            out.write(pickle.dumps(trie, protocol=5))
+        def build(batches, lo=lo, hi=hi):
+            held = [(b.column("key").to_numpy(), b.column("count").to_numpy()) for b in batches]
+            none = [np.empty(0, np.int64)]
+            trie = Trie(np.concatenate(none + [k for k, _ in held]), np.concatenate(none + [n for _, n in held]),
+                        short, order, lo, hi)
+            name = new_name(folder, lo, ".trie")
+            fs, path = open_fs(name)
+            fs.create_dir(path.rpartition("/")[0], recursive=True)
+            with fs.open_output_stream(path) as out:
+                pickle.dump(trie, out, protocol=5)
+            yield pa.RecordBatch.from_pydict({"file": [name]})
+
+        part = model.where((F.col("kind") == GRAM) & (pair >= lo) & (pair < hi)).select("key", "count")
+        # one task by design: its input is bounded
+        files = [r["file"] for r in part.coalesce(1).mapInArrow(build, "file string").collect()]
+        # no partition at all: an empty trie
+        names += files or [b.column("file")[0].as_py() for b in build(())]
     return names
 
 
