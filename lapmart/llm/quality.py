@@ -186,6 +186,33 @@ def fit(features: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return names[best], w[:-1], float(w[-1]), rate
 
 
+def _fitted(rows: DataFrame) -> dict[str, tuple]:
+    """``fit`` for each target, in one task: its input is at most ``TRAIN_ROWS`` rows of chosen features."""
+
+    def run(batches):
+        held = [(b.column("features").to_pylist(), [b.column(t).to_numpy() for t in TARGETS]) for b in batches]
+        features = [np.array(x, np.int64) for f, _ in held for x in f]
+        out = []
+        for j, t in enumerate(TARGETS):
+            y = np.concatenate([np.empty(0), *(ys[j] for _, ys in held)])
+            names, w, bias, rate = fit(features, y)
+            out.append((t, names.tolist(), w.tolist(), bias, rate))
+        t, names, w, bias, rate = zip(*out)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(t), pa.array(names, pa.list_(pa.int64())), pa.array(w, pa.list_(pa.float64())),
+             pa.array(bias, pa.float64()), pa.array(rate, pa.float64())], ["target", "names", "weights", "bias", "rate"])
+
+    fields = "target string, names array<long>, weights array<double>, bias double, rate double"
+    got = rows.coalesce(1).mapInArrow(run, fields).collect() or _unfitted()
+    return {r["target"]: (np.array(r["names"], np.int64), np.array(r["weights"], float), r["bias"], r["rate"])
+            for r in got}
+
+
+def _unfitted() -> list[dict]:
+    """What ``_fitted`` says without any partition."""
+    return [{"target": t, "names": [], "weights": [], "bias": 0.0, "rate": 0.5} for t in TARGETS]
+
+
 def _logit(p: Column) -> Column:
     p = F.least(F.greatest(p, F.lit(1e-6)), F.lit(1 - 1e-6))
     return F.log(p / (1 - p))
@@ -268,8 +295,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column) ->
                   F.max(F.when(F.col("toxic") == 1, 1.0).when(F.col("toxic").isNotNull(), 0.0)).alias("l_toxic")))
     both = known.where("l_low IS NOT NULL AND l_toxic IS NOT NULL").select(
         "doc_id", F.col("l_low").alias("low"), F.col("l_toxic").alias("toxic"))
-    sample = _training_rows(docs, both).toPandas()  # TRAIN_ROWS rows of the chosen features
-    models = {t: fit(list(sample["features"]), sample[t].to_numpy(float)) for t in TARGETS}
+    models = _fitted(written(_training_rows(docs, both), "quality-features"))
     site = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-"))
     rows = docs.select("doc_id", row_key().alias("row_key"), site(host).alias("host"), site(path).alias("path"), "text")
     scored = evidence(rows, models).join(known, "doc_id", "left")
