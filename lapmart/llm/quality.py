@@ -110,11 +110,12 @@ def _row_features(batch) -> list[np.ndarray]:
             for r in range(batch.num_rows)]
 
 
-def _training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(low, toxic, features) of at most ``TRAIN_ROWS`` labelled documents.
+def _training_rows(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, DataFrame]:
+    """(names, rows): the features to look at, and (low, toxic, features) of at most ``TRAIN_ROWS`` labelled documents.
 
     Features are counted by Spark; of those at most ``FEATURES`` per target,
-    the ones most associated with it, are kept in the rows.
+    the ones most associated with it, are kept in the rows, as their places
+    in names.
     """
     sample = written(labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS), "quality-sample")
     rows = written(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # TRAIN_ROWS rows
@@ -142,35 +143,36 @@ def _training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def keep(batches):
         for batch in batches:
-            sets = [x[np.isin(x, names, assume_unique=True)] for x in _row_features(batch)]
+            sets = [np.searchsorted(names, x[np.isin(x, names, assume_unique=True)]) for x in _row_features(batch)]
             offsets = np.r_[0, np.cumsum([len(x) for x in sets])].astype(np.int32)
+            flat = np.concatenate([np.empty(0, np.int64), *sets]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(t) for t in TARGETS),
-                 pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.empty(0, np.int64), *sets])))],
+                [*(batch.column(t) for t in TARGETS), pa.ListArray.from_arrays(offsets, pa.array(flat))],
                 [*TARGETS, "features"])
 
-    return rows.mapInArrow(keep, "low double, toxic double, features array<long>")
+    return names, written(rows.mapInArrow(keep, "low double, toxic double, features array<int>"), "quality-features")
 
 
-def fit(features: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, float]:
-    """(features, weights, bias, share of ones): ridge logistic regression on the features most associated with y."""
+def fit(col: np.ndarray, length: np.ndarray, y: np.ndarray, n_names: int) -> tuple[np.ndarray, np.ndarray, float, float]:
+    """(places, weights, bias, share of ones): ridge logistic regression on the features most associated with y.
+
+    col: the features' places of all rows one after another; length: of each row.
+    """
     n = len(y)
     rate = float(np.clip(y.mean(), 1e-6, 1 - 1e-6)) if n else 0.5
     none = np.empty(0, np.int64), np.empty(0), float(np.log(rate / (1 - rate))), rate
-    if not n or y.min() == y.max():
+    if not n or y.min() == y.max() or not n_names:
         return none
-    flat = np.concatenate(features)
-    rows = np.repeat(np.arange(n), [len(f) for f in features])
-    names, col = np.unique(flat, return_inverse=True)
-    df = np.bincount(col, minlength=len(names))
-    ones = np.bincount(col, y[rows], len(names))
+    rows = np.repeat(np.arange(n, dtype=np.int32), length)
+    df = np.bincount(col, minlength=n_names)
+    ones = np.bincount(col, y[rows], n_names)
     z = np.abs(ones - df * rate) / np.sqrt(df * rate * (1 - rate) * np.maximum(1 - df / n, 1e-9) + 1e-9)
     z[(df < LEAST_ROWS) | (df == n)] = 0
     best = np.argsort(-z, kind="stable")[:FEATURES]
     best = np.sort(best[z[best] > 3])
     if not len(best):
         return none
-    place = np.full(len(names), -1)
+    place = np.full(n_names, -1, np.int32)
     place[best] = np.arange(len(best))
     held = place[col] >= 0
     rows, col = rows[held], place[col][held]
@@ -183,36 +185,34 @@ def fit(features: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarr
         g[:-1] += RIDGE * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w = w - 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    return names[best], w[:-1], float(w[-1]), rate
+    return best, w[:-1], float(w[-1]), rate
 
 
-def _fitted(rows: DataFrame) -> dict[str, tuple]:
+def _fitted(names: np.ndarray, rows: DataFrame) -> dict[str, tuple]:
     """``fit`` for each target, in one task: its input is at most ``TRAIN_ROWS`` rows of chosen features."""
 
     def run(batches):
-        held = [(b.column("features").to_pylist(), [b.column(t).to_numpy() for t in TARGETS]) for b in batches]
-        features = [np.array(x, np.int64) for f, _ in held for x in f]
-        out = []
-        for j, t in enumerate(TARGETS):
-            y = np.concatenate([np.empty(0), *(ys[j] for _, ys in held)])
-            names, w, bias, rate = fit(features, y)
-            out.append((t, names.tolist(), w.tolist(), bias, rate))
-        t, names, w, bias, rate = zip(*out)
+        cols, lengths, ys = [np.empty(0, np.int32)], [np.empty(0, np.int64)], [np.empty((0, len(TARGETS)))]
+        for b in batches:
+            f = b.column("features")
+            cols.append(f.flatten().to_numpy())
+            lengths.append(np.diff(f.offsets.to_numpy()))
+            ys.append(np.stack([b.column(t).to_numpy() for t in TARGETS], axis=1))
+        col, length, y = np.concatenate(cols), np.concatenate(lengths), np.concatenate(ys)
+        out = [(t, *fit(col, length, y[:, j], len(names))) for j, t in enumerate(TARGETS)]
+        t, at, w, bias, rate = zip(*out)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(t), pa.array(names, pa.list_(pa.int64())), pa.array(w, pa.list_(pa.float64())),
-             pa.array(bias, pa.float64()), pa.array(rate, pa.float64())], ["target", "names", "weights", "bias", "rate"])
-
-    fields = "target string, names array<long>, weights array<double>, bias double, rate double"
-    got = rows.coalesce(1).mapInArrow(run, fields).collect() or _unfitted()
-    return {r["target"]: (np.array(r["names"], np.int64), np.array(r["weights"], float), r["bias"], r["rate"])
+            [pa.array(t), pa.array([x.tolist() for x in at], pa.list_(pa.int64())),
+             pa.array([x.tolist() for x in w], pa.list_(pa.float64())), pa.array(bias, pa.float64()),
+             pa.array(rate, pa.float64())], ["target", "places", "weights", "bias", "rate"])
+
+    fields = "target string, places array<long>, weights array<double>, bias double, rate double"
+    got = rows.coalesce(1).mapInArrow(run, fields).collect()
+    got = got or [{"target": t, "places": [], "weights": [], "bias": 0.0, "rate": 0.5} for t in TARGETS]
+    return {r["target"]: (names[np.array(r["places"], np.int64)], np.array(r["weights"], float), r["bias"], r["rate"])
             for r in got}
 
 
-def _unfitted() -> list[dict]:
-    """What ``_fitted`` says without any partition."""
-    return [{"target": t, "names": [], "weights": [], "bias": 0.0, "rate": 0.5} for t in TARGETS]
-
-
 def _logit(p: Column) -> Column:
     p = F.least(F.greatest(p, F.lit(1e-6)), F.lit(1 - 1e-6))
     return F.log(p / (1 - p))
@@ -295,7 +295,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column) ->
                   F.max(F.when(F.col("toxic") == 1, 1.0).when(F.col("toxic").isNotNull(), 0.0)).alias("l_toxic")))
     both = known.where("l_low IS NOT NULL AND l_toxic IS NOT NULL").select(
         "doc_id", F.col("l_low").alias("low"), F.col("l_toxic").alias("toxic"))
-    models = _fitted(written(_training_rows(docs, both), "quality-features"))
+    models = _fitted(*_training_rows(docs, both))
     site = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-"))
     rows = docs.select("doc_id", row_key().alias("row_key"), site(host).alias("host"), site(path).alias("path"), "text")
     scored = evidence(rows, models).join(known, "doc_id", "left")

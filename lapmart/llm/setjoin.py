@@ -13,8 +13,8 @@
    bound of the symmetric difference) skip pairs; the rest are verified
    exactly.
 4. Answers from similar sets: in the first rounds each set visits one block
-   of a list and takes the set with the nearest sketch, a linear number of
-   pairs.  A set that links to it takes over its component's answers, so
+   of a few of its lists and takes the set with the nearest sketch, a linear
+   number of pairs.  A set that links to it takes over its component's answers, so
    nothing in that component is compared with it again, and a group of many
    similar sets soon is one component.  The last round visits all blocks and
    takes all pairs of different components, so no link is lost.
@@ -38,6 +38,8 @@ BROADCAST_IDS = 2_000_000
 SKETCH_BITS = 2048
 # Rounds in which a set only looks for its nearest set in a block; after them all pairs left are looked at.
 NEAREST_ROUNDS = 2
+# Lists per set that are looked at in these rounds; the round after them takes all lists.
+NEAREST_LISTS = 6
 # Members of a block, and visitors of a block at a time.
 BLOCK = 128
 _HOT_SALT = 32
@@ -171,7 +173,13 @@ def cross_pairs(index: DataFrame, sets: DataFrame, found: DataFrame | None, num:
     else:
         known = index.join(found.select(F.col("node").alias("doc"), "component"), "doc", "left")
         known = known.select("token", "doc", "n", "pos", F.coalesce("component", "doc").alias("c"))
-    known = written(known.select("token", "doc", "n", "pos", "c"), "sets-index")
+    known = known.select("token", "doc", "n", "pos", "c")
+    if best:
+        # alike sets choose alike: the lists of the few tokens with the smallest hashes
+        few = known.groupBy("doc").agg(F.slice(F.sort_array(F.collect_list(
+            F.struct(F.xxhash64("token").alias("h"), "token", "n", "pos", "c"))), 1, NEAREST_LISTS).alias("x"))
+        known = few.select("doc", F.explode("x").alias("x")).select("x.token", "doc", "x.n", "x.pos", "x.c")
+    known = written(known, "sets-index")
     lists = (known.groupBy("token", "c").agg(F.count("*").alias("m"))
              .groupBy("token").agg(F.max(F.struct("m", "c")).alias("most"), F.sum("m").alias("all"),
                                    F.count("*").alias("comps")).where("comps > 1")
