@@ -34,15 +34,15 @@ ORDER = 5
 # Symbols that UTF-8 never has: before the start, and after the end of a text.
 START, END = 0xFE, 0xFF
 SYMBOLS = 256
-# Highest-order entries that are held at a time (about 100 MB of tables).
-PASS_GRAMS = 1_500_000
+# Highest-order entries that are held at a time (about 60 MB of tables).
+PASS_GRAMS = 800_000
 # Most frequent words whose counts are broadcast (8 MB); other words' counts are joined.
 WORD_TABLE = 1 << 19
 # Distinct entries that a learning task holds before it hands them to Spark.
-FLUSH = 2_000_000
+FLUSH = 1_500_000
 GRAM, WORD = 0, 1
 END_WORD = int(mix64(np.array([0xE0D], np.uint64)).view(np.int64)[0])
-_SLICE = 1 << 20
+_SLICE = 1 << 19
 
 
 def _symbols(texts: pa.Array, hasher: WordHasher, order: int):
@@ -98,11 +98,11 @@ def learn(docs: DataFrame, order: int) -> DataFrame:
             texts = batch.column("text")
             for _, grams in _symbols(texts, hasher, order):
                 add(GRAM, grams)
-                if len(held[GRAM]) >= 8:
+                if len(held[GRAM]) >= 4:
                     merged(GRAM)
             for _, _, h, counts in hasher.batch(texts):
                 add(WORD, np.append(h.view(np.int64), np.full(len(counts), END_WORD)))
-                if len(held[WORD]) >= 8:
+                if len(held[WORD]) >= 4:
                     merged(WORD)
             for kind in held:
                 if sum(len(k) for k, _ in held[kind]) > FLUSH:
