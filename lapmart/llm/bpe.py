@@ -21,7 +21,7 @@ import pyarrow as pa
 from lapmart.llm.common import byte_groups, span_hashes
 
 # Distinct pieces remembered per Python worker (about 60 bytes each); then a new table is begun.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 400_000
 # A text with a longer piece is encoded as a whole.
 CACHE_PIECE_BYTES = 96
 # White space in which a cut before a space or line feed isn't one of the pattern's.
@@ -233,7 +233,7 @@ class PieceEncoder:
         return out
 
 
-def _segments(data: np.ndarray, most: int = 1 << 20):
+def _segments(data: np.ndarray, most: int = 1 << 19):
     """Cuts a long text before spaces and line feeds into segments of about ``most`` bytes."""
     at = 0
     while at < len(data):

@@ -22,7 +22,7 @@ from lapmart.sources.rawfiles import scratch_dir
 # Bytes of text per Arrow batch sent to a Python worker (set only where the session leaves it open).
 ARROW_BATCH_BYTES = 8 * 1024 * 1024
 # Bytes of text that the vectorised code holds in 64-bit temporaries at a time.
-SEGMENT_BYTES = 1 << 20
+SEGMENT_BYTES = 1 << 19
 
 _SHIPPED: set[str] = set()
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"

@@ -27,7 +27,7 @@ from lapmart.llm.common import (WordHasher, ascii_space_words, byte_groups, free
 # Labelled rows that the classifier is fitted on at most (those with the smallest hashes of doc_id).
 TRAIN_ROWS = 12_000
 # Features per target, and rows that a feature needs.
-FEATURES = 2_000
+FEATURES = 1_000
 LEAST_ROWS = 10
 RIDGE = 1e-4
 STEPS = 400

@@ -141,8 +141,10 @@ def whole_sets(docs: DataFrame, k: int) -> DataFrame:
             for lo, hi, s, sizes in _sets(batch, k, hasher):
                 n = hi - lo
                 bit = (mix64(s.view(np.uint64)) & np.uint64(SKETCH_BITS - 1)).astype(np.int64)
-                odd = np.bincount(row_of_word(sizes) * SKETCH_BITS + bit, minlength=n * SKETCH_BITS) & 1
-                packed = np.packbits(odd.astype(np.uint8).reshape(n, SKETCH_BITS), axis=1)
+                at, times = np.unique(row_of_word(sizes) * SKETCH_BITS + bit, return_counts=True)
+                odd = np.zeros(n * SKETCH_BITS, np.uint8)
+                odd[at[times % 2 == 1]] = 1
+                packed = np.packbits(odd.reshape(n, SKETCH_BITS), axis=1)
                 offsets = np.r_[0, np.cumsum(sizes)].astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(lo, n), pa.ListArray.from_arrays(offsets, pa.array(s)),
