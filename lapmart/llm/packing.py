@@ -1,10 +1,15 @@
 """Packing by lexical retrieval: seeds, BM25 neighbours, windows.
 
 Each document's ids are cut into whole windows, which are sequences of their
-own, and a tail shorter than a window.  The tails are dealt into shards of
-about ``SHARD_TOKENS`` ids; each shard has an inverted index over ids with
-BM25 weights, whose document frequencies, count and mean length come from all
-tails.  In a shard, the first unused tail is a seed; the index returns its
+own, and a tail shorter than a window.  The tails are ordered by content and
+cut into shards of about ``SHARD_TOKENS`` ids; each shard has an inverted index
+over ids with BM25 weights, whose document frequencies, count and mean length
+come from all tails.  The order is by min-hashes over a tail's distinct ids,
+weighted by a power of their inverse document frequency: two tails agree in
+one as likely as their weighted sets are similar.  Tails of a frequent first
+min-hash are parted by the second, and so on, at last by number.  A neighbour
+in another shard is not found; how often is in the README.  In a shard, the
+first unused tail is a seed; the index returns its
 unused neighbours, best first, which fill the window; the last one is cut and
 what is left of it stays unused.  A shard's last, unfilled window is cut into
 sequences of powers of two, so nothing is padded.
@@ -28,6 +33,9 @@ SHARD_TOKENS = 1_500_000
 # The rarest ids of a seed that make its query.
 QUERY_TERMS = 24
 K1, B = 1.2, 0.75
+# Min-hashes that order the tails, and the power of an id's idf that is its weight in them.
+ROUTING_KEYS = 4
+ROUTING_POWER = 2
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
@@ -102,6 +110,25 @@ def document_frequencies(tails: DataFrame, end_id: int) -> DataFrame:
             .groupBy("term").agg(F.sum("df").alias("df")).where(F.col("term") != end_id))
 
 
+def routing_ranks(df: np.ndarray, idf: np.ndarray) -> list[np.ndarray]:
+    """For each min-hash the rank of every id; ids of a single tail, which bring none together, rank last."""
+    weight = np.where(df > 1, idf, 0.0) ** ROUTING_POWER
+    out = []
+    for key in range(ROUTING_KEYS):
+        draw = -np.log1p(-np.random.default_rng(key).random(len(df)))
+        at = np.divide(draw, weight, out=np.full(len(df), np.inf), where=weight > 0)
+        rank = np.empty(len(df), np.int64)
+        rank[np.argsort(at, kind="stable")] = np.arange(len(df))
+        out.append(np.where(weight > 0, rank, len(df)))
+    return out
+
+
+def routing_keys(ids: np.ndarray, lengths: np.ndarray, ranks: list[np.ndarray]) -> list[np.ndarray]:
+    """The min-hashes of each tail; no tail is empty."""
+    at = np.cumsum(lengths) - lengths
+    return [np.minimum.reduceat(rank[ids], at) if len(at) else at for rank in ranks]
+
+
 class ShardIndex:
     """BM25 inverted index of one shard: for each id its tails and their weights."""
 
@@ -219,12 +246,26 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, window: int = WINDOW) ->
     df[frequency["term"]] = frequency["df"]
     idf = np.where(df > 0, np.log1p((totals["n"] - df + 0.5) / (df + 0.5)), 0.0)
     shared = spark.sparkContext.broadcast(idf)
+    ranks = spark.sparkContext.broadcast(routing_ranks(df, idf))
     mean, n_shards = totals["t"] / totals["n"], -(-totals["t"] // SHARD_TOKENS)
 
-    def shard(table: pa.Table) -> pa.Table:
+    keys = [f"key{i}" for i in range(ROUTING_KEYS)]
+
+    def route(batches):
+        for batch in batches:
+            found = routing_keys(*_tail_arrays(batch.column("ids")), ranks.value)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(k, pa.int64()) for k in found)],
+                                             [*batch.schema.names, *keys])
+
+    def shard(batches):
+        batches = list(batches)
+        if sum(map(len, batches)):
+            yield from pack_table(pa.Table.from_batches(batches)).to_batches()
+
+    def pack_table(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by("unit")
         number = table.column("shard")[0].as_py()
-        keys, starts = table.column("doc_id").to_pylist(), table.column("start").to_pylist()
+        docs_of, starts = table.column("doc_id").to_pylist(), table.column("start").to_pylist()
         totals_of = table.column("doc_tokens").to_pylist()
         ids, lengths = _tail_arrays(table.column("ids"))
         at = np.cumsum(lengths) - lengths
@@ -233,12 +274,15 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, window: int = WINDOW) ->
             offset = 0
             for unit, start, n in pieces:
                 a = at[unit] + start
-                rows.append((keys[unit], starts[unit] + start, n, zlib.crc32(ids[a:a + n].tobytes()),
+                rows.append((docs_of[unit], starts[unit] + start, n, zlib.crc32(ids[a:a + n].tobytes()),
                              totals_of[unit], ((number << 24) + i) * 2 + 1, offset))
                 offset += n
         names = [c.split()[0] for c in PIECES.split(", ")]
         return pa.table([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
 
-    packed = (tails.withColumn("shard", F.pmod(F.xxhash64("unit"), F.lit(n_shards)))
-              .groupBy("shard").applyInArrow(shard, PIECES))
+    routed = tails.mapInArrow(route, ", ".join(["unit long, doc_id long, start long, doc_tokens long, ids binary",
+                                                *(f"{k} long" for k in keys)]))
+    # a partition is a shard; the partition's own number, which later coalescing doesn't change
+    packed = (routed.repartitionByRange(int(n_shards), *keys, "unit").drop(*keys)
+              .withColumn("shard", F.spark_partition_id()).mapInArrow(shard, PIECES))
     return whole.unionByName(packed)

@@ -104,6 +104,22 @@ def test_packing_many_shards(docs, documents, monkeypatch):
     check_packing(packing.pack(docs, BYTE, 1).collect(), documents)
 
 
+def test_related_tails_meet_in_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_TOKENS", 1_000)
+    rng = np.random.default_rng(11)
+    rows = []
+    for pair in range(150):
+        words = [f"{w:04x}" for w in rng.integers(0, 1 << 16, 12)]
+        rows += [(2 * pair + i, " ".join(rng.permutation(words))) for i in range(2)]
+    df = spark.createDataFrame([rows[i] for i in rng.permutation(len(rows))], "doc_id long, text string").repartition(3)
+    sequences = {}
+    for r in packing.pack(df, BYTE, 1, window=128).collect():
+        sequences.setdefault(r.doc_id, set()).add(r.sequence_id)
+    together = sum(bool(sequences[2 * i] & sequences[2 * i + 1]) for i in range(150))
+    # dealt by number, about one pair in ten shares a shard
+    assert together >= 105
+
+
 def test_packing_of_nothing(no_docs):
     assert packing.pack(no_docs, BYTE, 1).count() == 0
 
