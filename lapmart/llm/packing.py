@@ -30,8 +30,8 @@ from lapmart.llm.common import prepare, written
 WINDOW = 2048
 # Ids in a shard's index: the memory of one packing task.
 SHARD_TOKENS = 1_500_000
-# The rarest ids of a seed that make its query.
-QUERY_TERMS = 24
+# How many ids of a seed make its query: all.
+QUERY_TERMS = None
 K1, B = 1.2, 0.75
 # Min-hashes that order the tails, and the power of an id's idf that is its weight in them.
 ROUTING_KEYS = 4
@@ -147,12 +147,15 @@ class ShardIndex:
         order = np.argsort(term, kind="stable")
         self.unit, self.weight = unit[order], weight[order].astype(np.float64)
         self.at = np.searchsorted(term[order], np.arange(len(idf) + 1))
-        self.idf = idf
+
+    def keep(self, free: np.ndarray) -> None:
+        """Drops the postings of all other tails, which score 0 from now on."""
+        kept = free[self.unit]
+        self.at = np.r_[0, np.cumsum(kept)][self.at]
+        self.unit, self.weight = self.unit[kept], self.weight[kept]
 
     def scores(self, seed: int) -> np.ndarray:
         terms = self.doc_terms[self.doc_at[seed]:self.doc_at[seed + 1]]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(-self.idf[terms], QUERY_TERMS)[:QUERY_TERMS]]
         spans = [(self.at[t], self.at[t + 1]) for t in terms.tolist()]
         if not spans:
             return np.zeros(self.n)
@@ -166,6 +169,7 @@ def pack_shard(ids: np.ndarray, lengths: np.ndarray, idf: np.ndarray, mean_lengt
     index = ShardIndex(ids, lengths, idf, mean_length)
     taken = np.zeros(len(lengths), np.int64)
     free = lengths > 0
+    indexed = int(free.sum())
     sequences = []
 
     def take(unit: int, room: int) -> tuple[int, int, int]:
@@ -181,6 +185,10 @@ def pack_shard(ids: np.ndarray, lengths: np.ndarray, idf: np.ndarray, mean_lengt
             continue
         pieces = [take(seed, window)]
         room = window - pieces[0][2]
+        left = int(free.sum())
+        if left < 0.75 * indexed:
+            index.keep(free)
+            indexed = left
         if room:
             score = np.where(free, index.scores(seed), -1.0)
             ask = 16

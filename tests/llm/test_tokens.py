@@ -147,3 +147,33 @@ def test_scores_are_bm25():
             tf = {x: int((t == x).sum()) for x in terms}
             want.append(sum(idf[x] * n * (packing.K1 + 1) / (n + norm) for x, n in tf.items() if n))
         assert np.allclose(index.scores(seed), want)
+
+
+def test_scores_are_bm25_of_all_ids():
+    rng = np.random.default_rng(4)
+    lengths = rng.integers(1, 400, 40)
+    ids = rng.integers(1, 500, lengths.sum()).astype("<u4")
+    idf = rng.random(501)
+    tails = np.split(ids, np.cumsum(lengths)[:-1])
+    index = packing.ShardIndex(ids, lengths, idf, 200.0)
+    free = np.ones(40, bool)
+    for round_ in range(2):
+        for seed in range(40):
+            want = []
+            for t in tails:
+                norm = packing.K1 * (1 - packing.B + packing.B * len(t) / 200.0)
+                tf = {x: int((t == x).sum()) for x in set(tails[seed].tolist())}
+                want.append(sum(idf[x] * n * (packing.K1 + 1) / (n + norm) for x, n in tf.items() if n))
+            assert np.allclose(index.scores(seed), np.where(free, want, 0))
+        free = rng.random(40) < 0.5
+        index.keep(free)
+
+
+def test_windows_are_filled_with_neighbours_by_frequent_ids():
+    # the seed shares only its most frequent id with tail 2, and none with tail 1
+    seed = np.arange(10, 50)
+    ids = np.concatenate([seed, np.arange(60, 100), np.r_[10, np.arange(110, 149)]]).astype("<u4")
+    idf = np.ones(200)
+    idf[10] = 0.1
+    got = packing.pack_shard(ids, np.full(3, 40), idf, 40.0, window=80)
+    assert [u for u, _, _ in got[0]] == [0, 2]
