@@ -6,6 +6,10 @@ passed over by plain substring searches and one pattern; in the others
 matches, so positions are running sums of lengths.
 
 Other tokens are runs of at least ``MIN_TOKEN`` characters of encoded data.
+Spans of known kinds are left out of a run; of the rest, the longest stretches
+of base64 characters, of base64url characters, and of letters and digits are
+tokens, so the parts of a path, a URL or ``name=value`` are tested as well as
+the whole.  Reported tokens that overlap become one span.
 By its characters a token is taken for hexadecimal, base32, base36 or base64;
 words without digits are taken for none.  Under the hypothesis that it is
 uniformly random in that alphabet, three tests give p-values: chi-squared on
@@ -35,6 +39,8 @@ HEX = "[0-9a-f]{24,}"
 MIN_VALUE = 6
 MIN_TOKEN = 20
 TOKEN = "[A-Za-z0-9+/_=-]{%d,}" % MIN_TOKEN
+PARTS = tuple("[A-Za-z0-9%s]{%d,}(?:=+(?![A-Za-z0-9+/_=-]))?" % (more, MIN_TOKEN) for more in ("+/", "_-", ""))
+BUCKET = 4096  # characters; spans are matched within buckets of a text
 FDR = 0.01
 BINS = 200  # tenths of -log10 p
 REDACTED = "[REDACTED]"
@@ -88,6 +94,43 @@ def positions(found: DataFrame) -> DataFrame:
     return each.select("rid", "kind", (end - F.length("x.m")).alias("start"), end.alias("end"), F.col("x.v").alias("value"))
 
 
+def _bucketed(at: DataFrame) -> DataFrame:
+    return at.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("start") / BUCKET), F.floor((F.col("end") - 1) / BUCKET))))
+
+
+def tokens(runs: DataFrame, base: DataFrame) -> DataFrame:
+    """Stretches to test of runs(rid, start, end, value) outside the spans of base(rid, start, end), each once."""
+    known = _bucketed(base.select("rid", "start", "end")).select("rid", "bucket", F.struct("start", "end").alias("b"))
+    near = _bucketed(runs.select("rid", "start", "end")).join(known, ["rid", "bucket"]).where(
+        (F.col("b.start") < F.col("end")) & (F.col("start") < F.col("b.end")))
+    cuts = near.groupBy("rid", "start").agg(F.collect_set("b").alias("cuts"))
+    rest = F.expr("""aggregate(coalesce(cuts, array()), value, (v, b) -> concat(
+        substring(v, 1, cast(greatest(b.start - start, 0) as int)),
+        repeat(' ', cast(least(b.end, end) - greatest(b.start, start) as int)),
+        substring(v, cast(least(b.end, end) - start + 1 as int))))""")
+    rows = runs.select("rid", "start", "end", "value").join(cuts, ["rid", "start"], "left")
+    rows = rows.select("rid", F.col("start").alias("run"), rest.alias("rest"))
+    each = None
+    for number, pattern in enumerate(PARTS):
+        part = rows.select("rid", "run", F.lit(number).alias("part"),
+                           F.posexplode(_matches(F.col("rest"), pattern)).alias("i", "x"))
+        each = part if each is None else each.union(part)
+    w = W.partitionBy("rid", "run", "part").orderBy("i").rowsBetween(W.unboundedPreceding, 0)
+    end = F.col("run") + F.sum(F.col("x.gap") + F.length("x.m")).over(w)
+    return (each.select("rid", (end - F.length("x.m")).alias("start"), end.alias("end"), F.col("x.m").alias("value"))
+            .groupBy("rid", "start", "end").agg(F.first("value").alias("value")))
+
+
+def merged(at: DataFrame) -> DataFrame:
+    """(rid, start, end) with overlapping spans as one."""
+    w = W.partitionBy("rid").orderBy("start", "end")
+    before = F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1))
+    first = (before.isNull() | (F.col("start") >= before)).cast("int")
+    number = F.sum("first").over(w.rowsBetween(W.unboundedPreceding, 0))
+    return (at.select("rid", "start", "end", first.alias("first")).withColumn("number", number)
+            .groupBy("rid", "number").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("number"))
+
+
 def _tail(z: Column) -> Column:
     """Upper tail of the normal distribution for z >= 0 (Abramowitz and Stegun 26.2.17, to 1e-7)."""
     t = 1 / (1 + 0.2316419 * z)
@@ -151,14 +194,12 @@ def spans(found: DataFrame) -> DataFrame:
     """rid, base and all: arrays of (start, kind, end) by start, then kind; rows without spans are left out."""
     at = positions(found)
     base = at.where(((F.col("kind") == 0) & (F.length("value") >= MIN_VALUE)) | F.col("kind").isin(1, 2))
-    tested = written(randomness(at.where(F.col("kind") == 3).select("rid", "kind", "start", "end", "value")),
-                     "secrets-tested")
-    both = base.drop("value").unionByName(random_tokens(tested).select("rid", "kind", "start", "end"))
+    runs = at.where(F.col("kind") == 3).select("rid", "start", "end", "value")
+    tested = written(randomness(tokens(runs, base)), "secrets-tested")
+    random = merged(random_tokens(tested)).withColumn("kind", F.lit(3))
+    both = base.drop("value").unionByName(random)
     rows = both.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("s"))
-    known = F.filter("s", lambda x: x["kind"] < 3)
-    apart = F.filter("s", lambda x: (x["kind"] < 3) | ~F.exists(
-        "base", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
-    return rows.withColumn("base", known).select("rid", "base", apart.alias("all"))
+    return rows.select("rid", F.filter("s", lambda x: x["kind"] < 3).alias("base"), F.col("s").alias("all"))
 
 
 def _joined(array: str) -> Column:
@@ -172,7 +213,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 
     Returns doc_id, n_assign, n_access, n_hex, base_sha256, spans, and
     n_random.  Spans are kind:start:end in code points, end exclusive; random
-    tokens that overlap a span of another kind are not reported again.  A null
+    tokens are looked for outside the spans of other kinds.  A null
     or empty text has no spans; null doc_ids and repeated rows are scanned
     like any other; other columns are ignored; an empty table gives no rows.
     """
