@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,84 @@ TEMPLATES = {
         "the Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
         "conditions: The above copyright notice and this permission notice shall be included in all copies or "
         "substantial portions of the Software."),
+    "agpl-3.0-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation; either version 3 of the License, or (at your "
+        "option) any later version."),
+    "bsd-2-clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+        "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+        "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or "
+        "other materials provided with the distribution. "
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+        "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+        "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+        "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+        "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH "
+        "DAMAGE."),
+    "bsd-3-clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+        "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+        "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or "
+        "other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission. "
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+        "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+        "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+        "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+        "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH "
+        "DAMAGE."),
+    "gpl-2.0-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version."),
+    "lgpl-2.1-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your "
+        "option) any later version."),
+    "lgpl-3.0-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 3 of the License, or (at your "
+        "option) any later version."),
+    "cc-by-4.0-header": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-sa-4.0-header": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc-by-nc-4.0-header": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "cc-by-nd-4.0-header": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "cc-by-nc-sa-4.0-header": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "cc-by-nc-nd-4.0-header": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    "mpl-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+        "for any purpose, commercial or non-commercial, and by any means."),
 }
+_MIT_END = (
+    " THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO "
+    "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+    "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, "
+    "TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE "
+    "SOFTWARE.")
+_ISC_END = (
+    " THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING "
+    "ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, "
+    "DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+    "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE "
+    "OR PERFORMANCE OF THIS SOFTWARE.")
+
+
+def all_templates() -> dict[str, str]:
+    """``TEMPLATES`` and the full texts of licenses (some 150 kB, read by the driver)."""
+    files = sorted((Path(__file__).parent / "licenses").glob("*.txt"))
+    return TEMPLATES | {f"{f.stem}-text": f.read_text("utf-8") for f in files} | {
+        "isc-text": TEMPLATES["isc"] + _ISC_END, "mit-text": TEMPLATES["mit"] + _MIT_END}
 
 
 def _increasing(values: list[int]) -> list[int]:
@@ -108,6 +186,8 @@ class Scanner:
             self.words.append(np.concatenate(h).view(np.int64))
         self.vocabulary = np.unique(np.concatenate(self.words)) if self.words else np.empty(0, np.int64)
         self.member = np.array([np.isin(self.vocabulary, w) for w in self.words])
+        self.amount = [np.bincount(np.searchsorted(self.vocabulary, w), minlength=len(self.vocabulary))
+                       for w in self.words]
 
     def batch(self, texts: pa.Array):
         """Yields (first row, words of each row, found): found has (row, template, coverage, first, last word)."""
@@ -118,20 +198,31 @@ class Scanner:
             hit = np.flatnonzero(self.vocabulary[at] == h) if len(self.vocabulary) else h[:0]
             found = []
             for t, words in enumerate(self.words):
-                place = hit[self.member[t][at[hit]]]
-                if not len(words) or not len(place):
+                need = int(np.ceil(COVERAGE * len(words)))
+                long = counts >= need
+                if not len(words) or not long.any():
+                    continue
+                near = hit if long.all() else hit[long[rows[hit]]]
+                place = near[self.member[t][at[near]]]
+                if len(place) < need:
                     continue
                 span = int(np.ceil(len(words) * SLACK)) + 1
                 # places further apart than a stretch where the row changes
                 key = place + rows[place] * span
-                many = np.searchsorted(key, key + span, "left") - np.arange(len(key))
-                starts = place[many >= COVERAGE * len(words)]
+                starts = place[:len(key) - need + 1][key[need - 1:] - key[:len(key) - need + 1] < span]
                 done = -1
                 for s in starts.tolist():
                     if s < done:
                         continue
                     r = int(rows[s])
-                    stretch = h[s:min(s + span, begin[r] + counts[r])]
+                    to = min(s + span, begin[r] + counts[r])
+                    stretch = h[s:to]
+                    # words in common, however ordered: a step of one word adds one at most
+                    common = np.bincount(at[s:to][self.vocabulary[at[s:to]] == stretch], minlength=len(self.vocabulary))
+                    common = int(np.minimum(common, self.amount[t]).sum())
+                    if common < need:
+                        done = s + need - common
+                        continue
                     pairs = align(stretch.tolist(), words.tolist())
                     if len(pairs) >= COVERAGE * len(words):
                         first, last = s + pairs[0][0], s + pairs[-1][0]
@@ -144,13 +235,13 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """License notices in ``docs(doc_id, text)``, one row per row.
 
     Returns doc_id, n_words, licenses (names, sorted, comma-joined), license
-    (the one with the most matched words; ties by name), coverage (of that
+    (the one with the most matched words; ties by coverage, then name), coverage (of that
     one), and spans: name:first:last:percent of each occurrence by first word
     and name.  Whole texts are scanned and each occurrence is reported.  Null
     and empty texts have none; null doc_ids and repeated rows are scanned
     like any other; other columns are ignored; an empty table gives no rows.
     """
-    templates = TEMPLATES if templates is None else templates  # a fixed, small set
+    templates = all_templates() if templates is None else templates  # a fixed, small set
     prepare(docs.sparkSession)
 
     def search(batches):
@@ -165,7 +256,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
                     n_words.append(int(counts[r]))
                     hits = sorted(by_row.get(r, ()), key=lambda x: (x[2], scanner.names[x[0]]))
                     names.append(",".join(sorted({scanner.names[t] for t, *_ in hits})))
-                    top = min(hits, key=lambda x: (-x[1] * len(scanner.words[x[0]]), scanner.names[x[0]]), default=None)
+                    top = min(hits, key=lambda x: (
+                        -round(x[1] * len(scanner.words[x[0]])), -x[1], scanner.names[x[0]]), default=None)
                     best.append(top and scanner.names[top[0]])
                     coverage.append(top and top[1])
                     spans.append(",".join(f"{scanner.names[t]}:{a}:{b}:{100 * c:.0f}" for t, c, a, b in hits))

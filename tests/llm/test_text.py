@@ -272,3 +272,13 @@ def test_licenses(spark, docs, no_docs):
     assert by[None][0].license == "all-rights-reserved"
     assert license_scan.scan(no_docs).count() == 0
     assert license_scan.scan(docs).count() == docs.count()
+
+
+def test_common_licenses_and_full_texts(spark):
+    names = ["bsd-2-clause", "bsd-3-clause", "unlicense", "mpl-2.0-header", "agpl-3.0-header", "lgpl-2.1-header",
+             "lgpl-3.0-header", "gpl-2.0-header", "cc-by-sa-4.0-header", "mit-text", "isc-text", "apache-2.0-text",
+             "cc0-1.0-text", "gpl-2-text", "gpl-3-text", "lgpl-2.1-text", "lgpl-3-text", "mpl-2.0-text"]
+    templates = license_scan.all_templates()
+    rows = [(i, f"Preface of some words. {templates[n]} More words.") for i, n in enumerate(names)]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: (r.license, r.coverage) for r in got.collect()} == {i: (n, 1.0) for i, n in enumerate(names)}
