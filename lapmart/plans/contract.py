@@ -590,6 +590,29 @@ def season_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
                    "race_year", "rank").withColumn("prev_rank", F.col("prev_rank").cast("double"))
 
 
+@query("season_trend_team", _SQL_RACE_RESULTS.rstrip() + """,
+cs AS (
+  SELECT race_year, team, SUM(points) AS total_points,
+         RANK() OVER (PARTITION BY race_year ORDER BY SUM(points) DESC NULLS LAST) AS rank
+  FROM race_results GROUP BY race_year, team)
+SELECT team, CAST(race_year AS BIGINT) AS race_year, total_points,
+       CAST(rank AS BIGINT) AS rank,
+       lag(total_points) OVER w AS prev_points,
+       total_points - lag(total_points) OVER w AS points_change,
+       CAST(lag(rank) OVER w AS DOUBLE) AS prev_rank
+FROM cs
+WINDOW w AS (PARTITION BY team ORDER BY race_year)
+""")
+def season_trend_team(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT-01: team points and rank against the previous season."""
+    s = roles.silver_frames(spark, sf_dir)
+    cs = gold.standings_from_silver(s["results"], s["races"], s["circuits"], s["drivers"],
+                                    s["constructors"], "constructor", stamp=False)
+    # prev_rank as in season_trend
+    return _bigint(_reports.season_trend(cs, ("team",)),
+                   "race_year", "rank").withColumn("prev_rank", F.col("prev_rank").cast("double"))
+
+
 @query("race_statistics", _SQL_RACE_RESULTS + """
 SELECT race_name, COUNT(*) AS entries, COUNT(DISTINCT race_year) AS seasons,
        CAST(MIN(race_year) AS BIGINT) AS first_year, CAST(MAX(race_year) AS BIGINT) AS last_year,

@@ -66,3 +66,14 @@ def test_query_plan_has_no_cross_join_or_python(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for bad in BAD_NODES:
         assert bad not in plan, (name, bad)
+
+
+def test_team_trend_follows_the_standings(spark):
+    """RPT-01 for teams: every season of the constructor standings, with the season before."""
+    trend = ent.queries()["season_trend_team"](spark, SF).collect()
+    standings = ent.queries()["constructor_standings"](spark, SF).collect()
+    points = {(r.team, r.race_year): r.total_points for r in standings}
+    assert {(r.team, r.race_year): r.total_points for r in trend} == points and len(trend) == len(points)
+    for r in trend:
+        before = max((y for t, y in points if t == r.team and y < r.race_year), default=None)
+        assert r.prev_points == (points[r.team, before] if before is not None else None)
