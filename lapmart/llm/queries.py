@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lapmart.llm import decontam, ego, license_scan, packing, ppm, quality, secret_scan, setjoin, simple8b, warc
+from lapmart.llm import (
+    decontam, ego, license_scan, packing, periodic, ppm, quality, secret_scan, setjoin, simple8b, warc)
 from lapmart.llm.common import table
 
 
@@ -62,9 +63,16 @@ def op10_jaccard_join(spark, sf_dir):
     return setjoin.jaccard_components(table(spark, sf_dir, "documents"), 3, 90, 100)
 
 
+def op11_minimizer_runs(spark, sf_dir):
+    """Periodic runs of words of every document, a tenth of them made periodic first."""
+    docs = table(spark, sf_dir, "documents")
+    return periodic.digest(periodic.collapse(docs.withColumn("text", periodic.planted(F.col("doc_id"), F.col("text")))))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_epsilon_grid, op2_simple8b, op3_empirical_bayes, op4_randomness_battery, op5_retrieval_packing, op6_ppm, op7_warc,
-    op8_decontamination, op9_patience, op10_jaccard_join)}
+    op8_decontamination, op9_patience, op10_jaccard_join,
+    op11_minimizer_runs)}
 
 # Links of the pairs (a, b), spread to whole components.
 _REACH = """
