@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from lapmart.llm import (
-    decontam, ego, license_scan, packing, periodic, ppm, quality, secret_scan, setjoin, simple8b, warc)
+    decontam, divergence, ego, license_scan, packing, periodic, ppm, quality, secret_scan, setjoin, simple8b, warc)
 from lapmart.llm.common import table
 
 
@@ -69,10 +69,15 @@ def op11_minimizer_runs(spark, sf_dir):
     return periodic.digest(periodic.collapse(docs.withColumn("text", periodic.planted(F.col("doc_id"), F.col("text")))))
 
 
+def op13_late_strings(spark, sf_dir):
+    """Term divergence of the sources of each language."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_epsilon_grid, op2_simple8b, op3_empirical_bayes, op4_randomness_battery, op5_retrieval_packing, op6_ppm, op7_warc,
     op8_decontamination, op9_patience, op10_jaccard_join,
-    op11_minimizer_runs)}
+    op11_minimizer_runs, op13_late_strings)}
 
 # Links of the pairs (a, b), spread to whole components.
 _REACH = """
@@ -132,6 +137,34 @@ ORACLE_SQL = {
                   WHERE 100 * o >= 90 * (p.n + q.n - o)) {_REACH}
         SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, doc_id) AS component_id
         FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp ON doc_id = node""",
+    "op13_late_strings": r"""
+        WITH d AS (
+          SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                 regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+        tok AS (SELECT r, lang, source, unnest(w) AS t FROM d),
+        kept AS (SELECT lang, t, count(*) AS total FROM tok GROUP BY lang, t HAVING count(DISTINCT r) >= 3),
+        l AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        c AS (SELECT lang, source, t, count(*) AS n FROM tok JOIN kept USING (lang, t) GROUP BY lang, source, t),
+        gn AS (SELECT lang, source, sum(n) AS n FROM c GROUP BY lang, source),
+        p AS (SELECT lang, source, t, coalesce(c.n, 0) AS n,
+                     1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(gn.n, 0) + v)::HUGEINT AS p,
+                     1 + (1000000000::HUGEINT * (total + 1)) // (l.n + v)::HUGEINT AS q
+              FROM g JOIN kept USING (lang) JOIN l USING (lang) LEFT JOIN gn USING (lang, source)
+                     LEFT JOIN c USING (lang, source, t)),
+        pair AS (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+                 FROM p x JOIN p y USING (lang, t) WHERE x.source <> y.source GROUP BY ALL),
+        parts AS (
+          SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+               LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+          UNION ALL
+          SELECT lang, source, 'term', t, ((p - q) * (p - q) // q)::BIGINT FROM p WHERE n > 0 AND p > q)
+        SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM (
+          SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank
+          FROM parts) WHERE part = 'pair' OR rank <= 200""",
     "op7_warc": """
         WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
                           sha1(coalesce(html, '')) AS payload_digest FROM pages),
