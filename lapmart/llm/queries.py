@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from lapmart.llm import (
-    decontam, divergence, ego, license_scan, packing, periodic, ppm, quality, secret_scan, setjoin, simple8b, warc)
+    decontam, divergence, ego, license_scan, packing, periodic, personal, ppm, quality, secret_scan, setjoin, simple8b, warc)
 from lapmart.llm.common import table
 
 
@@ -69,6 +69,11 @@ def op11_minimizer_runs(spark, sf_dir):
     return periodic.digest(periodic.collapse(docs.withColumn("text", periodic.planted(F.col("doc_id"), F.col("text")))))
 
 
+def op12_semi_markov(spark, sf_dir):
+    """Personal data of every document."""
+    return personal.digest(personal.personal_data(table(spark, sf_dir, "documents")))
+
+
 def op13_late_strings(spark, sf_dir):
     """Term divergence of the sources of each language."""
     return divergence.audit(table(spark, sf_dir, "documents"))
@@ -77,7 +82,7 @@ def op13_late_strings(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_epsilon_grid, op2_simple8b, op3_empirical_bayes, op4_randomness_battery, op5_retrieval_packing, op6_ppm, op7_warc,
     op8_decontamination, op9_patience, op10_jaccard_join,
-    op11_minimizer_runs, op13_late_strings)}
+    op11_minimizer_runs, op12_semi_markov, op13_late_strings)}
 
 # Links of the pairs (a, b), spread to whole components.
 _REACH = """
