@@ -218,7 +218,7 @@ def candidates(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int,
             valid = bool(ipaddress.IPv6Address(m[0]))
         except ValueError:
             valid = False
-        if b - a >= 3 and clear(a, b) and any(groups):
+        if _DIGITS.search(m[0]) and clear(a, b):
             found[a, b, "ip"] = (f"v6{valid}", f"groups{len(groups)}", f"long{max(map(len, groups))}", f"dbl{'::' in m[0]}",
                                  f"dec{m[0].replace(':', '').isdigit()}")
     for m in _IBAN.finditer(text):
@@ -508,9 +508,13 @@ _SPANS = "array<struct<kind: string, start: long, end: long>>"
 def fit(docs: DataFrame) -> dict[str, float]:
     """Weights trained in passages of at most ``CARRIERS`` rows, which come to the driver (some 120,000 characters)."""
     h = F.xxhash64(F.col("doc_id").cast("string"), "text")
-    place = F.pmod(F.shiftright(h, 7), F.greatest(F.length("text"), F.lit(1))).cast("int") + 1
-    rows = (docs.where(F.length("text") > 0).select(h.alias("h"), F.substr("text", place, F.lit(PASSAGE)).alias("passage"))
-            .orderBy("h", "passage").limit(CARRIERS).collect())
+    docs = docs.withColumn("h", h)
+    few = 4 * CARRIERS / max(1, docs.count())
+    if few < 1:  # some four times as many rows as are needed, so that their number doesn't grow with the table
+        docs = docs.where(F.col("h") < int(-(1 << 63) + few * (1 << 64)))
+    place = F.pmod(F.shiftright("h", 7), F.greatest(F.length("text"), F.lit(1))).cast("int") + 1
+    rows = (docs.where(F.length("text") > 0).select("h", F.substr("text", place, F.lit(PASSAGE)).alias("passage"))
+            .groupBy("h").agg(F.min("passage").alias("passage")).orderBy("h").limit(CARRIERS).collect())
     return train(tuple(r["passage"] for r in rows))
 
 
