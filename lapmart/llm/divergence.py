@@ -32,7 +32,7 @@ TOP = 200
 # Places (sources x terms) of a block's matrix.
 CELLS = 1 << 19
 # Rows that a task collects before it hands them on.
-HELD_ROWS = 1 << 21
+HELD_ROWS = 1 << 20
 # Rows of the (lang, source) table, or of colliding digests, that are broadcast at most.
 BROADCAST_ROWS = 200_000
 ONE = 1_000_000_000
