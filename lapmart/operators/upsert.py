@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapmart.operators.dedup import latest_by
+from lapmart.sources.rawfiles import scratch_dir
+from lapmart.operators.joins import DEFAULT_MAX_BYTES, EXPANSION, input_bytes
 
 
 class MergeCardinalityError(RuntimeError):
@@ -32,17 +34,66 @@ class MergeCardinalityError(RuntimeError):
 def check_single_match(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
     """Raise when a key occurs more than once in ``source`` and also in ``target``.
 
-    One aggregation over the source keys (map-side combined) and a semi join
-    of the duplicated keys against the target keys.
+    One aggregation over the source keys (map-side combined); the target is
+    looked at only if a key repeats, by a semi join with the repeated keys.
     """
     dup = (source.where(_all_not_null(keys))
            .groupBy(*keys).count().where(F.col("count") > 1).select(*keys))
+    if dup.isEmpty():
+        return
     hit = dup.join(target.select(*keys), list(keys), "left_semi").limit(1).collect()
     if hit:
         raise MergeCardinalityError(
             f"several source rows match one target row on {list(keys)}: {hit[0].asDict()}")
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, "upsert-source")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def key_hint(source: DataFrame, side: DataFrame) -> DataFrame:
+    """``side``, a projection of the staged ``source``, marked for broadcast if its files' sizes allow."""
+    return F.broadcast(side) if input_bytes(source) * EXPANSION <= DEFAULT_MAX_BYTES else side
+
+
+def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str]) -> DataFrame:
+    """The merge of a staged ``source`` (a table: it is read twice) into ``target``, safe against hot target keys.
+
+    A full outer join can't be split, so it is taken apart: the target left
+    outer joined with the source, whose skewed partitions AQE splits on the
+    target's side, and the source's rows without a match.  For these the
+    target gives its distinct keys, combined before the shuffle.  A source
+    within the checked size is broadcast, and the target is not shuffled at all.
+    """
+    keys, upd = list(keys), set(update)
+    small = input_bytes(source) * EXPANSION <= DEFAULT_MAX_BYTES
+    s = source.where(_all_not_null(keys)).select(
+        *[F.col(c).alias("s__" + c) for c in source.columns], F.lit(True).alias("s__present"))
+    t = target.select(*[F.col(c).alias("t__" + c) for c in target.columns])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & (F.col("t__" + k) == F.col("s__" + k))
+    j = t.join(F.broadcast(s) if small else s, cond, "left_outer")
+    cols = list(target.columns) + [c for c in source.columns if c not in target.columns]
+    updated = j.select(*[
+        F.when(F.col("s__present"), F.col("s__" + c)).otherwise(F.col("t__" + c) if c in target.columns else F.lit(None))
+        .alias(c) if c in upd and c in source.columns
+        else (F.col("t__" + c) if c in target.columns else F.lit(None).cast(source.schema[c].dataType)).alias(c)
+        for c in cols])
+    asked = source.select(*keys)
+    if small:
+        hits = target.select(*keys).join(F.broadcast(asked), keys, "left_semi").distinct()
+        hits = F.broadcast(hits)               # no more keys than the source has
+    else:
+        hits = target.select(*keys).distinct()
+    inserted = source.join(hits, keys, "left_anti")
+    return updated.unionByName(inserted.select(*source.columns), allowMissingColumns=True)
+
+
 def upsert_all(target: DataFrame, source: DataFrame, keys: Sequence[str],
                check_cardinality: bool = True) -> DataFrame:
     """MATCHED → UPDATE SET *, NOT MATCHED → INSERT * (SNK-10/11).
@@ -74,6 +125,7 @@ def upsert_columns(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """
     keys = list(keys)
     if check_cardinality:
+        source = staged(source)                # the check and the join both read what one run has written
         check_single_match(target, source, keys)
     cols = list(target.columns) + [c for c in source.columns if c not in target.columns]
     t = target.select(*[F.col(c).alias("t__" + c) for c in target.columns],

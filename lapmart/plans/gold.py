@@ -105,21 +105,15 @@ def constructor_standings(race_results_df: DataFrame, stamp: bool = True,
 
 def _publish_path_and_table(spark, df: DataFrame, gold_root: str, name: str,
                             keys, update, table_name: str | None) -> tuple[str, str]:
-    """Path copy = this run's result (SNK-04/05); table copy = upsert of it
-    into the previous table version with the dataset's update list (SNK-12)."""
-    from lapmart.operators.upsert import upsert_columns
+    """Path copy = this run's result (SNK-04/05); table copy = merge of it
+    into the previous table version with the dataset's update list (SNK-12), season by season."""
     from lapmart.sinks import tables
+    from lapmart.sinks.merge import merge_into
 
     root = gold_root.rstrip("/")
     path_version = tables.publish(spark, df, f"{root}/{name}", partition_by=("race_year",))
-    fresh = spark.read.parquet(path_version)
-    tbase = f"{root}/_tables/{name}"
-    if tables.table_exists(spark, tbase):
-        merged = upsert_columns(tables.read_current(spark, tbase), fresh, keys, update)
-    else:
-        merged = fresh
-    table_version = tables.publish(spark, merged, tbase, partition_by=("race_year",),
-                                   table_name=table_name)
+    table_version = merge_into(spark, f"{root}/_tables/{name}", spark.read.parquet(path_version), keys, update,
+                               partition_by=("race_year",), table_name=table_name, stage=False)
     return path_version, table_version
 
 

@@ -7,9 +7,10 @@ layout come from ``schemas``).  Per run:
 2. newest row per key: ``file_date`` desc, ``ingestion_date`` desc, then row
    content (deterministic where the reference picks arbitrarily);
 3. stamp ``processed_at``;
-4. upsert into the current silver version (merges never delete);
-5. write the next version; the null-key gate is observed during that write
-   and the version is published only when no key column was NULL.
+4. stage these rows; the null-key gate is observed during that write, and
+   nothing else happens unless no key column was NULL;
+5. merge them into the current silver version (merges never delete): only the
+   partitions or files that they concern are written (``sinks.merge``).
 
 The dedup is evaluated once (the reference evaluates it three times and
 stamps the path and table copies differently).
@@ -21,10 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapmart.operators.dedup import latest_by_version
-from lapmart.operators.upsert import upsert_all
 from lapmart.plans.bronze import read_bronze
 from lapmart.schemas import ENTITIES, PROCESSED_AT
 from lapmart.sinks import tables
+from lapmart.sinks.merge import merge_into
 
 
 def silver_frame(bronze: DataFrame, entity: str) -> DataFrame:
@@ -44,15 +45,10 @@ def build_silver(spark: SparkSession, bronze_root: str, silver_root: str, entity
     raw, raw_obs, _ = tables.null_gate(spec.gate, "null_keys_before_dedup")(raw)
     staged = silver_frame(raw, entity)
     staged, obs, what = tables.null_gate(spec.gate)(staged)
-    if tables.table_exists(spark, base):
-        # the dedup has left one row per key
-        merged = upsert_all(tables.read_current(spark, base), staged, spec.keys,
-                            check_cardinality=False)
-    else:
-        merged = staged
-    return tables.publish(spark, merged, base, partition_by=spec.partition_by,
-                          cluster_by=spec.cluster_by, gate_observations=[(obs, what)],
-                          table_name=table_name, info_observations=[raw_obs])
+    # the dedup has left one row per key
+    return merge_into(spark, base, staged, spec.keys, partition_by=spec.partition_by, cluster_by=spec.cluster_by,
+                      gate_observations=[(obs, what)], info_observations=[raw_obs], table_name=table_name,
+                      check_cardinality=False)
 
 
 def build_all_silver(spark: SparkSession, bronze_root: str, silver_root: str,

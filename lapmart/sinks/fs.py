@@ -63,6 +63,28 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def list_units(spark: SparkSession, path: str) -> list[str]:
+    """Partition directories (``a=1/b=2``) below ``path``, or its data files where it has none."""
+    fs, p = _fs(spark, path)
+    out = []
+    for st in fs.listStatus(p) if fs.exists(p) else ():
+        name = st.getPath().getName()
+        if name[:1] in "_.":
+            continue
+        if st.isDirectory():
+            below = [u for u in list_units(spark, f"{path}/{name}") if "=" in u.split("/", 1)[0]]
+            out += [f"{name}/{u}" for u in below] or [name]
+        else:
+            out.append(name)
+    return sorted(out)
+
+
+def age_seconds(spark: SparkSession, path: str) -> float | None:
+    """Seconds since the file was written, or None when there is none."""
+    fs, p = _fs(spark, path)
+    return time.time() - fs.getFileStatus(p).getModificationTime() / 1000 if fs.exists(p) else None
+
+
 def set_time(spark: SparkSession, path: str, days_ago: float) -> None:
     """Set the modification time of the files at or below ``path``, as a preserving copy does."""
     fs, p = _fs(spark, path)

@@ -14,6 +14,11 @@ removes its version; a crash leaves an unmarked directory that no reader
 sees.  Names starting with ``_`` are skipped by Spark's file listing, so a
 plain ``spark.read.parquet(base)`` sees no half-written data.
 
+A version may also hold only what a merge has touched (``sinks.merge``): its
+file ``_REPLACES`` names the version it was made from and the units of older
+versions, partition directories or files, that its own stand for.  All other
+units are read where they are.
+
 This replaces the reference's row-level MERGE on a transactional table
 format, which plain Parquet does not offer.
 """
@@ -21,6 +26,7 @@ format, which plain Parquet does not offer.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +35,7 @@ from lapmart.sinks import fs
 
 MARKER = "_PUBLISHED"
 LOAD = "load_id"                 # partition folder of one load of a history
+REPLACES = "_REPLACES"
 _CLAIM = "_claim_v"
 _PREFIX = "_v"
 
@@ -109,13 +116,52 @@ def table_exists(spark: SparkSession, base: str) -> bool:
     return current_version(spark, base) is not None
 
 
+def live_units(spark: SparkSession, base: str) -> dict[str, list[str] | None]:
+    """Per version directory the units that the newest published version consists of, newest first.
+
+    None stands for a whole directory.  Only names are listed.
+    """
+    out: dict[str, list[str] | None] = {}
+    at, gone = current_version(spark, base), set()
+    while at is not None:
+        said = fs.read_text(spark, f"{at}/{REPLACES}")
+        name = at.rsplit("/", 1)[1]
+        if said is None and not gone:
+            out[at] = None
+        else:
+            out[at] = [u for u in fs.list_units(spark, at) if f"{name}/{u}" not in gone]
+        if said is None:
+            break
+        parent, *replaced = said.split("\n")
+        gone |= set(replaced)
+        at = f"{base.rstrip('/')}/{parent}"
+    return out
+
+
+def read_units(spark: SparkSession, units: dict[str, list[str] | None], unit_col: str | None = None) -> DataFrame | None:
+    """One scan per version directory, of the units listed; with ``unit_col`` each row's "version/path of its file"."""
+    out = None
+    for folder, names in units.items():
+        if names is not None and not names:
+            continue
+        reader = spark.read.option("basePath", folder)
+        df = reader.parquet(folder) if names is None else reader.parquet(*(f"{folder}/{u}" for u in names))
+        if unit_col:
+            df = df.select("*", F.regexp_extract(F.col("_metadata.file_path"), r"/(_v\d{6,}/.*)$", 1).alias(unit_col))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
+
+
 def read_current(spark: SparkSession, base: str) -> DataFrame:
     """The newest published version; partition columns follow the others."""
-    d = current_version(spark, base)
-    if d is None:
+    units = live_units(spark, base)
+    if not units:
         raise FileNotFoundError(f"no published version under {base}")
-    # one version is written by one job with one schema: no footer merging
-    return spark.read.parquet(d)
+    if list(units.values()) == [None]:
+        # one version is written by one job with one schema: no footer merging
+        return spark.read.parquet(next(iter(units)))
+    df = read_units(spark, units)
+    return df if df is not None else spark.read.parquet(next(iter(units)))
 
 
 def null_gate(cols: Sequence[str], name: str = "null_key_gate"
@@ -141,6 +187,37 @@ def _claim(spark: SparkSession, base: str) -> int:
     return v
 
 
+def check_gates(gates: Sequence[tuple[Observation, str]], what_for: str, info: Sequence[Observation] = ()) -> None:
+    """Raises unless the write just done has reported 0 violations for each gate."""
+    for obs, what in gates:
+        m = obs.get
+        if m.get("violations") is None:
+            raise QualityGateError(f"quality gate of {what_for}: the write reported no metric for ({what}); "
+                                   "not published")
+        if int(m["violations"]) > 0:
+            extra = "".join(f"; {o.get}" for o in info)
+            raise QualityGateError(
+                f"quality gate failed for {what_for}: {m['violations']} of {m.get('rows')} rows "
+                f"have NULL in ({what}); not published{extra}")
+
+
+def write_claimed(spark: SparkSession, df: DataFrame, base: str, partition_by: Sequence[str] = (),
+                  cluster_by: Sequence[str] = (), check: Callable[[], None] = lambda: None) -> str:
+    """Writes ``df`` to a version directory of its own, unpublished; one that fails, or whose check does, goes."""
+    target = _vdir(base, _claim(spark, base))
+    try:
+        out = clustered(df, partition_by, cluster_by) if cluster_by else df
+        w = out.write.mode("errorifexists")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(target)
+        check()
+    except Exception:
+        fs.delete(spark, target)
+        raise
+    return target
+
+
 def publish(spark: SparkSession, df: DataFrame, base: str,
             partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
             gate_observations: Sequence[tuple[Observation, str]] = (),
@@ -155,27 +232,8 @@ def publish(spark: SparkSession, df: DataFrame, base: str,
     before a dedup collapsed them) are only reported in the error message.
     ``table_name`` (optional) is pointed at the new version afterwards.
     """
-    v = _claim(spark, base)
-    target = _vdir(base, v)
-    try:
-        out = clustered(df, partition_by, cluster_by) if cluster_by else df
-        w = out.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(target)
-        for obs, what in gate_observations:
-            m = obs.get
-            if m.get("violations") is None:
-                raise QualityGateError(f"quality gate of {base}: the write reported no metric for ({what}); "
-                                       f"version {v} not published")
-            if int(m["violations"]) > 0:
-                extra = "".join(f"; {o.get}" for o in info_observations)
-                raise QualityGateError(
-                    f"quality gate failed for {base}: {m['violations']} of {m.get('rows')} rows "
-                    f"have NULL in ({what}); version {v} not published{extra}")
-    except Exception:
-        fs.delete(spark, target)
-        raise
+    target = write_claimed(spark, df, base, partition_by, cluster_by,
+                           lambda: check_gates(gate_observations, base, info_observations))
     fs.touch(spark, f"{target}/{MARKER}")
     if table_name:
         register_external(spark, table_name, target, replace=True)
@@ -183,17 +241,23 @@ def publish(spark: SparkSession, df: DataFrame, base: str,
 
 
 def vacuum(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
-    """Delete all but the newest ``keep`` published versions (and stale unpublished ones)."""
+    """Delete all but the newest ``keep`` published versions, what these are made from, and stale unpublished ones."""
     cur = current_version(spark, base)
     if cur is None:
         return []
     published = [v for v in _versions(spark, base)
                  if fs.exists(spark, f"{_vdir(base, v)}/{MARKER}")]
-    keep_set = set(published[-keep:])
+    keep_set = {_vdir(base, v) for v in published[-keep:]}
+    for d in list(keep_set):
+        said = fs.read_text(spark, f"{d}/{REPLACES}")
+        while said is not None:
+            d = f"{base.rstrip('/')}/{said.split(chr(10), 1)[0]}"
+            keep_set.add(d)
+            said = fs.read_text(spark, f"{d}/{REPLACES}")
     newest = max(_versions(spark, base))
     removed = []
     for v in _versions(spark, base):
-        if v in keep_set or v > published[-1] or v == newest:
+        if _vdir(base, v) in keep_set or v > published[-1] or v == newest:
             continue
         fs.delete(spark, _vdir(base, v))
         removed.append(_vdir(base, v))
@@ -229,6 +293,29 @@ def register_external(spark: SparkSession, name: str, path: str, replace: bool =
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
+def partition_spec(unit: str) -> str:
+    """SQL of a partition from its directory, ``race_year=2020``."""
+    out = []
+    for part in unit.split("/"):
+        k, _, v = part.partition("=")
+        value = unquote(v).replace("\\", "\\\\").replace("'", "\\'")
+        out.append(f"`{k}`=" + ("null" if v == "__HIVE_DEFAULT_PARTITION__" else f"'{value}'"))
+    return ", ".join(out)
+
+
+def register_live(spark: SparkSession, name: str, base: str) -> None:
+    """A named table over the newest version of a partitioned table, each partition at its own location."""
+    units = live_units(spark, base)
+    newest = next(iter(units))
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    register_external(spark, name, newest)
+    for folder, names in list(units.items())[1:]:
+        for unit in fs.list_units(spark, folder) if names is None else names:
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({partition_spec(unit)}) "
+                      f"LOCATION '{folder}/{unit}'")
+    spark.catalog.refreshTable(name)
+
+
 def _is_partitioned(spark: SparkSession, name: str) -> bool:
     rows = spark.sql(f"DESCRIBE TABLE {name}").collect()
     return any((r["col_name"] or "").startswith("# Partition") for r in rows)
