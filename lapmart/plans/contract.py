@@ -448,17 +448,24 @@ _RESULT_NAMES = ["result_id", "race_id", "driver_id", "constructor_id", "number"
 
 @query("append_evolve", f"""WITH {_SQL_RESULTS}
 SELECT result_id, race_id, driver_id, constructor_id, number, grid, position, position_text,
-       position_order, CASE WHEN l_returnflag = 'R' THEN points END AS points, laps, time,
-       fastest_lap, file_date
+       position_order, CASE WHEN l_returnflag <> 'N' THEN points END AS points,
+       CAST(laps AS BIGINT) AS laps, time, fastest_lap, file_date
 FROM results
 """)
 def append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK-01/02: two appends to one path, the second adds a column (``points``);
-    the merged-schema read gives the earlier rows NULL there."""
+    """SNK-01/02/03: three appends to one path; the second adds a column (``points``), the third has a wider
+    type (``laps``), a fourth that doesn't go with the history raises.  The read is by the schema kept beside
+    the files: earlier rows have NULL in the new column."""
     path = scratch_dir(spark, "append") + "/results"
     flag = F.col("l_returnflag")
-    _tables.append(roles.results(spark, sf_dir, flag != "R").drop("points"), path)
+    _tables.append(roles.results(spark, sf_dir, flag == "N").drop("points"), path)
     _tables.append(roles.results(spark, sf_dir, flag == "R"), path)
+    _tables.append(roles.results(spark, sf_dir, flag == "A").withColumn("laps", F.col("laps").cast("long")), path)
+    try:
+        _tables.append(roles.results(spark, sf_dir, flag == "A").withColumn("grid", F.lit("first")), path)
+        raise AssertionError("a text was appended to a column of numbers")
+    except _tables.SchemaConflict:
+        pass
     return _tables.read_appended(spark, path).select(*_RESULT_NAMES)
 
 
@@ -862,6 +869,152 @@ def gold_build_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.col("gold_processed_at").isNotNull().alias("stamped")), "race_year")
 
 
+@query("gold_constructor_rerun", _SQL_RACE_RESULTS.rstrip() + """,
+one AS (
+  SELECT race_year, team, SUM(points) AS total_points,
+         COUNT(CASE WHEN race_position = 1 THEN TRUE END) AS number_of_wins,
+         RANK() OVER (PARTITION BY race_year ORDER BY SUM(points) DESC NULLS LAST) AS rank
+  FROM race_results GROUP BY race_year, team),
+two AS (
+  SELECT race_year, team, SUM(points * 2) AS total_points,
+         COUNT(CASE WHEN race_position = 1 THEN TRUE END) AS number_of_wins,
+         RANK() OVER (PARTITION BY race_year ORDER BY SUM(points * 2) DESC NULLS LAST) AS rank
+  FROM race_results WHERE CAST(substr(race_name, 7) AS BIGINT) % 3 <> 0 GROUP BY race_year, team)
+SELECT CAST(one.race_year AS BIGINT) AS race_year, one.team,
+       COALESCE(two.total_points, one.total_points) AS total_points,
+       COALESCE(two.number_of_wins, one.number_of_wins) AS number_of_wins,
+       CAST(COALESCE(two.rank, one.rank) AS BIGINT) AS rank
+FROM one LEFT JOIN two ON one.race_year = two.race_year AND one.team = two.team
+""")
+def gold_constructor_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DS-G3 + SNK-12 across two runs: the persisted constructor standings take the second run's points, wins and
+    ranks; teams that the second run lacks stay."""
+    cs = _second_run(spark, sf_dir, "constructor_standings")
+    return _bigint(cs.select("race_year", "team", "total_points", "number_of_wins", "rank"), "race_year", "rank")
+
+
+# --- merges that write what they touch ----------------------------------------------------
+
+from lapmart.sinks.merge import merge_into as _merge_into  # noqa: E402
+
+
+@query("merge_partition_move", """
+WITH r AS (
+  SELECT o_orderkey AS race_id, CAST(year(o_orderdate) AS BIGINT) AS race_year, CAST(month(o_orderdate) AS INTEGER) AS round,
+         o_custkey AS circuit_id, 'Order#' || CAST(o_orderkey AS VARCHAR) AS name, o_orderstatus
+  FROM orders),
+last AS (SELECT max(race_year) AS y FROM r)
+SELECT race_id, CASE WHEN race_year = y AND o_orderstatus = 'O' THEN race_year + 1 ELSE race_year END AS race_year, round,
+       circuit_id, CASE WHEN race_year = y AND o_orderstatus = 'O' THEN 'Moved ' || name ELSE name END AS name
+FROM r, last
+""")
+def merge_partition_move(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-14 + SNK-10: races by season; the open races of the last season move to the next one.  Only these two
+    seasons' partitions are written, the others are read from the first version."""
+    base = scratch_dir(spark, "move") + "/races"
+    races = roles.races(spark, sf_dir).select("race_id", "race_year", "round", "circuit_id", "name")
+    first = _merge_into(spark, base, races, ["race_id"], partition_by=["race_year"], cluster_by=["race_id"])
+    year = _tables.read_current(spark, base).agg(F.max("race_year")).first()[0]
+    open_ = roles.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "O").select(F.col("o_orderkey").alias("race_id"))
+    moved = (races.where(F.col("race_year") == year).join(open_, "race_id", "left_semi")
+             .withColumns({"race_year": F.col("race_year") + 1, "name": F.concat(F.lit("Moved "), "name")}))
+    second = _merge_into(spark, base, moved, ["race_id"], partition_by=["race_year"], cluster_by=["race_id"])
+    seasons = {f.rsplit("/", 2)[1] for f in spark.read.parquet(second).inputFiles()}
+    assert seasons <= {f"race_year={year}", f"race_year={year + 1}"}, seasons
+    assert first in _tables.live_units(spark, base)
+    return _bigint(_tables.read_current(spark, base).select("race_id", "race_year", "round", "circuit_id", "name"),
+                   "race_year")
+
+
+@query("merge_touched_files", f"""WITH {_SQL_RESULTS},
+tgt AS {_latest_sql("results")},
+late AS (SELECT max(result_id) - max(result_id) // 10 AS k FROM results),
+src AS {_latest_sql("results", "l_returnflag = 'R' AND result_id > (SELECT k FROM late)")}
+SELECT t.result_id, t.race_id, t.driver_id, t.constructor_id, t.number, t.grid, t.position,
+       t.position_text, t.position_order, CASE WHEN s.result_id IS NULL THEN t.points ELSE s.points * 2 END AS points,
+       t.laps, t.time, t.fastest_lap, t.file_date
+FROM tgt t LEFT JOIN src s ON t.result_id = s.result_id
+""")
+def merge_touched_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-12 on files: results clustered by key; the corrections of the last tenth of the keys update the points.
+    Files that hold none of their keys are neither read for the merge nor written again."""
+    base = scratch_dir(spark, "files") + "/results"
+    rows = latest_by_version(roles.results(spark, sf_dir), ["result_id"])
+    _tables.publish(spark, rows.repartitionByRange(16, "result_id"), base)
+    top = _tables.read_current(spark, base).agg(F.max("result_id")).first()[0]
+    fixed = latest_by_version(roles.results(spark, sf_dir, F.col("l_returnflag") == "R"), ["result_id"])
+    fixed = fixed.where(F.col("result_id") > top - top // 10).withColumn("points", F.col("points") * 2)
+    _merge_into(spark, base, fixed, ["result_id"], update=["points"])
+    live = _tables.live_units(spark, base)
+    kept = sum(len(names) for d, names in live.items() if d.endswith("_v000001"))
+    assert 8 <= kept < 16, live
+    return _tables.read_current(spark, base).select(*_RESULT_NAMES)
+
+
+@query("incremental_merge_on_read", ORACLE_SQL["incremental_snapshots"])
+def incremental_merge_on_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INC-01: snapshots drained in batches of one file, each appended as a load; silver is read with the loads that
+    no compaction has merged yet, an old snapshot that arrives late among them."""
+    from lapmart.streaming import incremental
+
+    root = scratch_dir(spark, "onread")
+    raw_root, lake = f"{root}/raw", f"{root}/lake"
+    raw = roles.raw_races(spark, sf_dir)
+    early = F.col("year") <= 1994
+    write_snapshots(raw.where(early), raw_root, "races.csv", "csv", "folder", header=True)
+    incremental.ingest_incremental(spark, raw_root, lake, "races")
+    old = raw.where("circuitId % 2 = 0").withColumns({
+        "name": F.concat(F.lit("Late#"), F.col("raceId").cast("string")), "folder": F.lit("1900-12-31")})
+    write_snapshots(raw.where(~early).unionByName(old), raw_root, "races.csv", "csv", "folder", header=True)
+    done = incremental.ingest_incremental(spark, raw_root, lake, "races", max_files_per_trigger=1, compacted=False)
+    bronze, silver = f"{lake}/bronze/races", f"{lake}/silver/races"
+    assert done["batches"] > 1 and len(incremental.pending_loads(spark, silver)) == done["batches"]
+    return incremental.read_newest(spark, bronze, silver, "races").select(
+        "race_id", "race_year", "round", "circuit_id", "name", "file_date")
+
+
+@query("corrupt_records", """
+SELECT CAST(year(l_shipdate) AS VARCHAR) || '-12-31' AS file_date, COUNT(*) AS n_rows,
+       COUNT(*) FILTER (WHERE l_linenumber IN (2, 3, 5)) AS n_corrupt,
+       COUNT(*) FILTER (WHERE l_linenumber = 5) AS null_ids,
+       COUNT(*) FILTER (WHERE l_linenumber IN (3, 5)) AS null_positions,
+       COUNT(*) FILTER (WHERE l_linenumber IN (2, 5)) AS null_laps,
+       CAST(SUM(CASE WHEN l_linenumber <> 5 THEN l_linenumber END) AS BIGINT) AS sum_grid
+FROM lineitem GROUP BY 1
+""")
+def corrupt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-07: results as JSON Lines of which some have a quoted position, 7.5 laps, or end in the middle.  Values
+    that don't fit are NULL, the others of the row stay, and the records are counted by file; a load with more of
+    them than allowed is taken back."""
+    from lapmart.sinks import fs
+    from lapmart.sources.snapshots import corrupt_counts
+
+    root = scratch_dir(spark, "corrupt")
+    raw = roles.raw_results(spark, sf_dir)
+    line = F.to_json(F.struct(*(c for c in raw.columns if c != "folder")))
+    n = F.col("number")
+    line = _broken(line, n)
+    write_snapshots(raw.select(line.alias("value"), "folder"), f"{root}/raw", "results.json", "text", "folder")
+    try:
+        _bronze.ingest_bronze(spark, f"{root}/raw", f"{root}/bronze", entities=["results"], max_corrupt=0)
+        raise AssertionError("the gate let broken records pass")
+    except _tables.QualityGateError:
+        assert fs.list_names(spark, f"{root}/bronze/results") == []
+    _bronze.ingest_bronze(spark, f"{root}/raw", f"{root}/bronze", entities=["results"])
+    read = _bronze.read_bronze(spark, f"{root}/bronze", "results").groupBy("file_date").agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("result_id").isNull()).alias("null_ids"),
+        F.count_if(F.col("position").isNull()).alias("null_positions"),
+        F.count_if(F.col("laps").isNull()).alias("null_laps"), F.sum("grid").alias("sum_grid"))
+    bad = corrupt_counts(spark, f"{root}/raw", "results").groupBy("file_date").agg(F.sum("n_corrupt").alias("n_corrupt"))
+    return read.join(bad, "file_date")
+
+
+def _broken(line, n):
+    return (F.when(n == 2, F.regexp_replace(line, r'"laps":\d+', '"laps":7.5'))
+            .when(n == 3, F.regexp_replace(line, r'"position":(\d+)', r'"position":"$1"'))
+            .when(n == 5, F.substring(line, 1, 30)).otherwise(line))
+
+
 def _whole(spark: SparkSession, db: str, name: str) -> DataFrame:
     """The table's rows from its files; the database that the query made goes."""
     files = written_files(spark, f"{db}.{name}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapmart.functions.columns import count_wins
+from lapmart.functions.columns import count_wins, exact_sum
 from lapmart.operators.dedup import latest_by
 from lapmart.operators.joins import (
     RESULT_ORDER_COLS,
@@ -58,8 +58,11 @@ def season_standings(race_results_df: DataFrame, group_cols: tuple[str, ...],
     measured size of the dimension that supplies the group key); lets the
     rank use a plain window when a season is provably small.
     """
+    # sums of doubles must not depend on the order of rows: ranks go by them
+    fractional = race_results_df.schema["points"].dataType.typeName() in ("double", "float")
+    points = exact_sum("points") if fractional else F.sum("points")
     agg = race_results_df.groupBy(*group_cols).agg(
-        F.sum("points").alias("total_points"),
+        points.alias("total_points"),
         count_wins("race_position").alias("number_of_wins"),
     )
     out = rank_desc(agg, ["race_year"], "total_points", out_col="rank",

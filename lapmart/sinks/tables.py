@@ -25,17 +25,20 @@ format, which plain Parquet does not offer.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from lapmart.sinks import fs
 
 MARKER = "_PUBLISHED"
 LOAD = "load_id"                 # partition folder of one load of a history
 REPLACES = "_REPLACES"
+SCHEMA = "_schema.json"           # columns of an append-only history
 _CLAIM = "_claim_v"
 _PREFIX = "_v"
 
@@ -46,8 +49,47 @@ class QualityGateError(RuntimeError):
 
 # --------------------------------------------------------------------------- plain writes
 
+class SchemaConflict(ValueError):
+    """An append has a column of a type that the history's can't be widened to."""
+
+
+# What files of the first type can be read as, in order of width (fixed values of the Parquet reader).
+_WIDER = {"byte": ("short", "integer", "long"), "short": ("integer", "long"), "integer": ("long",),
+          "float": ("double",), "date": ("timestamp_ntz",)}
+
+
+def evolved(old: StructType | None, new: StructType) -> StructType:
+    """The union of two schemas: the old columns, widened where the new ones are wider, then those that are new."""
+    if old is None:
+        return StructType([StructField(f.name, f.dataType, True) for f in new.fields])
+    add = {f.name: f.dataType for f in new.fields}
+    out = []
+    for f in old.fields:
+        kind, other = f.dataType, add.pop(f.name, f.dataType)
+        if kind != other:
+            if other.typeName() in _WIDER.get(kind.typeName(), ()):
+                kind = other
+            elif kind.typeName() not in _WIDER.get(other.typeName(), ()):
+                raise SchemaConflict(f"column {f.name}: {other.simpleString()} does not go into {kind.simpleString()}")
+        out.append(StructField(f.name, kind, True))
+    return StructType([*out, *(StructField(n, t, True) for n, t in add.items())])
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """SNK-01/02: append; readers union the columns with ``mergeSchema``."""
+    """SNK-01/02: append to a history whose columns may grow.
+
+    The union of all batches' columns is kept beside the files, so that a
+    reader need not look into them.  It is written before the batch: a batch
+    that fails leaves a column that no row has yet.  A batch whose types don't
+    go with the history's raises, and nothing is written.
+    """
+    spark = df.sparkSession
+    file = f"{path.rstrip('/')}/{SCHEMA}"
+    said = fs.read_text(spark, file)
+    old = StructType.fromJson(json.loads(said)) if said else None
+    schema = evolved(old, df.schema)
+    if schema != old:
+        fs.write_text(spark, file, schema.json())
     w = df.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -68,8 +110,14 @@ def append_load(df: DataFrame, path: str, load: str) -> None:
 
 
 def read_appended(spark: SparkSession, path: str) -> DataFrame:
-    """Read an append-only path whose batches may differ in columns."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """A history whose batches may differ in columns, by the schema that ``append`` keeps: no footer is read.
+
+    A path that was not written by ``append`` has its files' schemas merged.
+    """
+    said = fs.read_text(spark, f"{path.rstrip('/')}/{SCHEMA}")
+    if said is None:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    return spark.read.schema(StructType.fromJson(json.loads(said))).parquet(path)
 
 
 def clustered(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str],
@@ -88,6 +136,45 @@ def clustered(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[s
     return ranged.sortWithinPartitions(*cols)
 
 
+# Quantiles that place a column's values, and with them the bits of its part of a Z value.
+Z_BITS = 8
+
+
+def _rank(value: Column, ends: list[float]) -> Column:
+    """How many of the ends a value reaches."""
+    if not ends:
+        return F.lit(0)
+    return F.coalesce(F.size(F.filter(F.array(*map(F.lit, ends)), lambda x: x <= value)), F.lit(0))
+
+
+def z_value(df: DataFrame, cols: Sequence[str], bits: int = Z_BITS) -> Column:
+    """A number that interleaves the bits of the columns' quantile ranks.
+
+    Ranks go by ``2**bits`` approximate quantiles of each column (numbers,
+    dates and timestamps), the only values that come to the driver; a NULL has rank 0.
+    """
+    numeric = {c: F.col(c).cast("timestamp").cast("double") if df.schema[c].dataType.typeName() in (
+        "date", "timestamp", "timestamp_ntz") else F.col(c).cast("double") for c in cols}
+    steps = [i / (1 << bits) for i in range(1, 1 << bits)]
+    bounds = df.agg(*(F.percentile_approx(e, steps, 10_000).alias(c) for c, e in numeric.items())).first()
+    z = F.lit(0).cast("long")
+    for j, (c, e) in enumerate(numeric.items()):
+        rank = _rank(e, sorted(set(bounds[c] or ())))
+        for b in range(bits):
+            bit = F.shiftright(rank.cast("long"), b).bitwiseAND(F.lit(1).cast("long"))
+            z = z + F.shiftleft(bit, b * len(cols) + j)
+    return z
+
+
+def z_clustered(df: DataFrame, cols: Sequence[str], num_partitions: int | None = None,
+                bits: int = Z_BITS) -> DataFrame:
+    """SNK-17 on several columns: files are ranges of the Z value, so a filter on any of ``cols`` skips files."""
+    name = "__z"
+    keyed = df.withColumn(name, z_value(df, cols, bits))
+    ranged = keyed.repartitionByRange(num_partitions, name) if num_partitions else keyed.repartitionByRange(name)
+    return ranged.sortWithinPartitions(name).drop(name)
+
+
 # --------------------------------------------------------------------------- versions
 
 def _versions(spark: SparkSession, base: str) -> list[int]:

@@ -66,6 +66,8 @@ def write_snapshots(df: DataFrame, raw_root: str, rel_path: str, fmt: str, folde
     elif fmt == "json" and not multiline:
         (df.select(*data_cols, F.col(folder_col).alias(_FOLDER))
          .write.partitionBy(_FOLDER).json(staging))
+    elif fmt == "text":                        # lines as they are, in the one data column
+        (df.select(*data_cols, F.col(folder_col).alias(_FOLDER)).write.partitionBy(_FOLDER).text(staging))
     elif fmt == "json":
         rec = F.to_json(F.struct(*data_cols))
         # consecutive ids within a task: each (folder, c) group holds at most

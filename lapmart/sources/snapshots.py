@@ -21,12 +21,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lapmart.functions.columns import snapshot_version
 from lapmart.schemas import ENTITIES, FILE_DATE, EntitySpec
 from lapmart.sinks import fs
 
 
+CORRUPT = "_corrupt_record"
+
+
 class MissingSnapshotFile(FileNotFoundError):
     """A snapshot folder lacks an entity's file while ``require_all`` is set."""
 
@@ -38,7 +42,7 @@ def snapshot_folders(spark: SparkSession, raw_root: str) -> list[str]:
 
 def read_snapshots(spark: SparkSession, raw_root: str, entity: str | EntitySpec,
                    require_all: bool = False, multiline: bool | None = None,
-                   options: dict | None = None) -> DataFrame:
+                   options: dict | None = None, corrupt: str | None = None) -> DataFrame:
     """Every snapshot of one entity as a DataFrame with its raw columns + ``file_date``.
 
     ``multiline`` overrides the entity's JSON mode (the reference reads the
@@ -46,6 +50,9 @@ def read_snapshots(spark: SparkSession, raw_root: str, entity: str | EntitySpec,
     ``require_all`` fails when some snapshot folder lacks the entity's file,
     as the reference's per-folder read does; by default such folders are
     skipped.
+    ``corrupt`` names a column that holds the raw text of each record that
+    doesn't fit the declared schema (a value of another type, a broken line,
+    surplus CSV fields), and NULL for all others.
     """
     spec = ENTITIES[entity] if isinstance(entity, str) else entity
     root = raw_root.rstrip("/")
@@ -59,9 +66,30 @@ def read_snapshots(spark: SparkSession, raw_root: str, entity: str | EntitySpec,
     if multiline is not None:
         opts["multiLine"] = "true" if multiline else "false"
     opts.update(options or {})
-    reader = spark.read.schema(spec.schema).options(**opts)
+    schema = spec.schema
+    if corrupt:
+        schema = StructType([*schema.fields, StructField(corrupt, StringType())])
+        opts["columnNameOfCorruptRecord"] = corrupt
+    reader = spark.read.schema(schema).options(**opts)
     path = f"{root}/*/{spec.path}"
     if not fs.snapshot_folders_with(spark, root, spec.path):
-        return spark.createDataFrame([], spec.schema).withColumn(FILE_DATE, F.lit(None).cast("string"))
+        return spark.createDataFrame([], schema).withColumn(FILE_DATE, F.lit(None).cast("string"))
     df = reader.csv(path) if spec.fmt == "csv" else reader.json(path)
     return df.withColumn(FILE_DATE, snapshot_version(fs.qualify(spark, root)))
+
+
+def corrupt_counts(spark: SparkSession, raw_root: str, entity: str | EntitySpec, **read_opts) -> DataFrame:
+    """Per raw file: file_date, file, n_rows, n_corrupt records that don't fit the declared schema, and a
+    checksum of the records read, whatever their order."""
+    raw = read_snapshots(spark, raw_root, entity, corrupt=CORRUPT, **read_opts)
+    if not raw.inputFiles():
+        return raw.select(FILE_DATE, F.lit("").alias("file"), F.lit(0).cast("long").alias("n_rows"),
+                          F.lit(0).cast("long").alias("n_corrupt"), F.lit(0).cast("long").alias("checksum"))
+    file = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    # a scan that is asked for nothing but the corrupt record parses nothing: the checksum needs all columns
+    each = [c for c in raw.columns if c != FILE_DATE]
+    return (raw.select(FILE_DATE, file.alias("file"), F.col(CORRUPT).isNotNull().alias("bad"),
+                       F.xxhash64(*each).alias("h"))
+            .groupBy(FILE_DATE, "file")
+            .agg(F.count("*").alias("n_rows"), F.count_if("bad").alias("n_corrupt"), F.bit_xor("h").alias("checksum"))
+            .where(F.col("checksum").isNotNull()))     # always so; keeps the checksum in whatever is asked of this
