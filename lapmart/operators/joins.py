@@ -29,6 +29,21 @@ def broadcast_if_bounded(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES) -> D
     return F.broadcast(df) if input_bytes(df) * EXPANSION <= max_bytes else df
 
 
+# Tables of fewer bytes than this for each core may well be fewer row groups than cores.
+SMALL_PER_CORE = 16 * 1024 * 1024
+
+
+def spread_if_small(df: DataFrame) -> DataFrame:
+    """Deals a small table's rows out to all cores before work on each row (joins, sorts).
+
+    A table of one row group is read by one task, and all that follows up to
+    the next shuffle would be done there.  A larger table, by its files'
+    sizes, has tasks enough, and is left as it is: no shuffle is added there.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if input_bytes(df) < cores * SMALL_PER_CORE else df
+
+
 def race_circuits(races: DataFrame, circuits: DataFrame) -> DataFrame:
     """JN-01: races joined with their circuit (inner; races without a circuit drop)."""
     race = races.select(
@@ -74,6 +89,7 @@ def race_results_star(results: DataFrame, races: DataFrame, circuits: DataFrame,
     res = results.select(
         "result_id", "race_id", "driver_id", "constructor_id", "grid", "fastest_lap",
         F.col("position").alias("race_position"), F.col("time").alias("race_time"), "points")
+    res = spread_if_small(res)
     res = res.join(broadcast_if_bounded(con), res["constructor_id"] == con["k_constructor_id"],
                    "inner" if team else "left_semi").drop("k_constructor_id")
     res = res.join(broadcast_if_bounded(drv), "driver_id", "inner")
