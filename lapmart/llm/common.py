@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapmart.llm.files import open_fs
+from lapmart.operators.joins import input_bytes
 from lapmart.sources.rawfiles import scratch_dir
 
 # Bytes of text per Arrow batch sent to a Python worker (set only where the session leaves it open).
@@ -82,6 +83,19 @@ def salted_join(large: DataFrame, small: DataFrame, keys: list[str], by: str, n:
     return large.withColumn("_s", salt(F.col(by), n)).join(spread, [*keys, "_s"], how).drop("_s")
 
 
+# Bytes of Parquet below which a table is broadcast as it is instead of being repeated for salted keys.
+FEW_BYTES = 1 << 20
+
+
+def spread_join(large: DataFrame, small: DataFrame, keys: list[str], by: str, n: int, how: str = "inner") -> DataFrame:
+    """As ``salted_join``, for a written ``small``: one of few bytes is broadcast as it is, and a larger one, repeated
+    for the salt, is never broadcast (Spark's estimate doesn't see that it is repeated)."""
+    if input_bytes(small) <= FEW_BYTES:
+        return large.join(F.broadcast(small), keys, how)
+    spread = small.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).hint("merge")
+    return large.withColumn("_s", salt(F.col(by), n)).join(spread, [*keys, "_s"], how).drop("_s")
+
+
 def small_enough(df: DataFrame, rows: int) -> DataFrame:
     """Marks a written table of long ids for broadcast if it has at most ``rows`` rows; else Spark shuffles."""
     return F.broadcast(df) if df.count() <= rows else df
@@ -298,8 +312,8 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         rounds += 1
         spread = labels.select(F.col("node").alias("at"), F.col("label").alias("to"))
         # jump along the labels, and take the least label of the neighbours
-        jump = salted_join(labels.select("node", F.col("label").alias("at")), spread, ["at"], "node", HUB_SALT)
-        near = salted_join(both.select(F.col("a").alias("node"), F.col("b").alias("at")), spread, ["at"], "node",
+        jump = spread_join(labels.select("node", F.col("label").alias("at")), spread, ["at"], "node", HUB_SALT)
+        near = spread_join(both.select(F.col("a").alias("node"), F.col("b").alias("at")), spread, ["at"], "node",
                            HUB_SALT)
         jump, near = (x.select("node", F.col("to").alias("label")) for x in (jump, near))
         labels = written(jump.union(near).groupBy("node").agg(F.min("label").alias("label")), f"{name}-l{rounds}")

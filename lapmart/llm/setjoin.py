@@ -30,11 +30,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapmart.llm.common import (WordHasher, ascii_space_words, components, mix64, prepare, row_of_word, salted_join,
-                                shingle_sets, small_enough, written)
+from lapmart.llm.common import (WordHasher, ascii_space_words, components, mix64, prepare, row_of_word,
+                                shingle_sets, small_enough, spread_join, written)
 
-# Ids that are broadcast at most (16 MB of longs); beyond that the texts are shuffled.
-BROADCAST_IDS = 2_000_000
+# Ids that are broadcast at most (8 MB of longs); beyond that the texts are shuffled.
+BROADCAST_IDS = 1_000_000
 SKETCH_BITS = 2048
 # Rounds in which a set only looks for its nearest set in a block; after them all pairs left are looked at.
 NEAREST_ROUNDS = 2
@@ -189,7 +189,7 @@ def cross_pairs(index: DataFrame, sets: DataFrame, found: DataFrame | None, num:
                      F.ceil((F.col("all") - F.col("most.m")) / BLOCK).cast("int").alias("chunks"),
                      F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks")))
     lists = written(lists, "sets-mixed")
-    rows = salted_join(known, lists, ["token"], "doc", _HOT_SALT)
+    rows = spread_join(known, lists, ["token"], "doc", _HOT_SALT)
     rows = rows.join(sets.select("doc", "sketch"), "doc")
     guest = F.col("c") != F.col("home")
     block = F.pmod(F.xxhash64("doc", F.lit(1)), F.col("blocks")).cast("int")
@@ -260,16 +260,43 @@ def jaccard_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame
     A-Z lower-cased; fewer than ``k`` words are one shingle.  A null or empty
     text has an empty set and links with nothing; a null doc_id links with
     nothing and has a null component; rows that repeat a doc_id are one
-    document; other columns are ignored; an empty table gives no rows.
+    document, so their texts' links are all its own (n_shingles is that of the
+    row's text); other columns are ignored; an empty table gives no rows.
     """
     prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if not has_repeats(docs):
+        return _joined(docs, k, num, den)
+    # texts stand for themselves; those of one document are linked afterwards
+    unit = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))
+    docs = docs.withColumn("unit", unit)
+    found = written(_joined(docs.select(F.col("unit").alias("doc_id"), "text"), k, num, den)
+                    .select(F.col("doc_id").alias("unit"), "n_shingles", "component_id"), "sets-units")
+    names = written(docs.where("unit IS NOT NULL").select("unit", "doc_id").distinct(), "sets-names")
+    same = names.join(names.groupBy("doc_id").agg(F.min("unit").alias("first")), "doc_id")
+    links = (found.where("unit IS NOT NULL").select(F.col("unit").alias("a"), F.col("component_id").alias("b"))
+             .union(same.select("unit", "first")))
+    group = components(links, "sets-docs")
+    named = names.join(group.withColumnRenamed("node", "unit"), "unit", "left")
+    named = written(named.select("unit", "doc_id", F.coalesce("component", "unit").alias("c")), "sets-named")
+    least = named.groupBy("c").agg(F.min("doc_id").alias("least"))
+    out = found.join(named.join(least, "c").select("unit", "doc_id", "least"), "unit", "left")
+    return out.select("doc_id", "n_shingles", F.col("least").alias("component_id"))
+
+
+def has_repeats(docs: DataFrame) -> bool:
+    """Whether a doc_id stands on several rows."""
+    return not docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty()
+
+
+def _joined(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """``jaccard_components`` where rows of one doc_id have one text."""
     rows = profiles(docs, k, num, den)
     real = rows.where("doc_id IS NOT NULL AND n > 0")
     digest = ["n", "d1", "d2"]
     copies = written(real.groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
                      .where("copies > 1").select(*digest, "rep"), "sets-copies")
-    extra = written(salted_join(real, copies, digest, "doc_id", _HOT_SALT).where("doc_id > rep")
+    extra = written(spread_join(real, copies, digest, "doc_id", _HOT_SALT).where("doc_id > rep")
                     .select("doc_id").distinct(), "sets-extra")
     reps = docs.where("doc_id IS NOT NULL").join(small_enough(extra, BROADCAST_IDS), "doc_id", "left_anti")
     tokens = token_rows(reps, k, num, den)
@@ -289,6 +316,6 @@ def jaccard_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame
               .groupBy(*digest).agg(F.min("component").alias("component")))
     table = written(copies.join(linked, digest, "full").select(*digest, F.coalesce("component", "rep").alias("component")),
                     "sets-table")
-    out = salted_join(rows, table, digest, "doc_id", _HOT_SALT, "left")
+    out = spread_join(rows, table, digest, "doc_id", _HOT_SALT, "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

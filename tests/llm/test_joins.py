@@ -254,3 +254,40 @@ def test_pipeline(spark, tmp_path):
     empty = docs.where("false")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, empty, path).count() == 0
+
+
+A, B, C = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+
+
+def test_documents_of_several_texts_link_by_all_of_them(spark):
+    rows = [(1, A), (2, A), (2, B), (3, B), (4, C), (4, C), (5, None), (5, C), (None, A), (6, "solo words stand alone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).selectExpr("*", "1 AS unit", "2 AS c")
+    got = sorted(map(tuple, setjoin.jaccard_components(df, 3, 90, 100).collect()), key=str)
+    want = [(1, 28, 1), (2, 28, 1), (2, 28, 1), (3, 28, 1), (4, 28, 4), (4, 28, 4), (5, 0, 4), (5, 28, 4), (None, 28, None),
+            (6, 2, 6)]
+    assert got == sorted(want, key=str)
+
+
+def test_near_duplicates_loses_no_text(spark):
+    rows = [(1, A, "x"), (2, A, "x"), (2, B, "y"), (3, B, "y"), (None, A, "z"), (None, A, "z"), (7, None, "n"), (7, None, "n"),
+            (8, "", "e"), (9, C, "r"), (9, C, "r"), (None, "only here", "o"), (10, "only here and there", "p")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key string").selectExpr("*", "1 AS _key", "2 AS c")
+    got = sorted(map(tuple, corpus_pipeline.near_duplicates(spark, df, "").select("doc_id", "text").collect()), key=str)
+    want = [(1, A), (2, B), (7, None), (7, None), (8, ""), (9, C), (None, "only here"), (10, "only here and there")]
+    assert got == sorted(want, key=str)
+    assert corpus_pipeline.near_duplicates(spark, df.where("false"), "").count() == 0
+
+
+@pytest.mark.parametrize("few", [1 << 20, -1])
+def test_spread_join(spark, few, monkeypatch):
+    from lapmart.llm import common
+
+    monkeypatch.setattr(common, "FEW_BYTES", few)
+    large = spark.range(400).selectExpr("id", "if(id % 2 = 0, 7, id) AS k")
+    small = spark.range(100).selectExpr("id AS k", "id * 2 AS v")
+    for how in ("inner", "left"):
+        got = common.spread_join(large, small, ["k"], "id", 8, how)
+        assert sorted(map(tuple, got.select("id", "v").collect()), key=str) == sorted(
+            map(tuple, large.join(small, "k", how).select("id", "v").collect()), key=str)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == (few > 0)
