@@ -7,6 +7,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import zipfile
 from pathlib import Path
@@ -58,6 +59,15 @@ def prepare(spark: SparkSession) -> None:
         _SHIPPED.add(app)
 
 
+def release() -> None:
+    """Gives freed memory of a Python worker back to the system; workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` below the shared checkpoint folder and reads it back (cuts the lineage)."""
     spark = df.sparkSession

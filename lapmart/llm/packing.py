@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapmart.llm.bpe import encoder
-from lapmart.llm.common import prepare, written
+from lapmart.llm.common import prepare, release, written
 
 WINDOW = 2048
 # Ids in a shard's index: the memory of one packing task.
@@ -48,6 +48,7 @@ def _cut(docs: DataFrame, vocabulary: str, end_id: int, window: int) -> DataFram
     def cut(batches):
         from pyspark import TaskContext
 
+        release()  # what earlier stages have left in this worker
         unit = TaskContext.get().partitionId() << 40
         for batch in batches:
             keys, texts = batch.column("doc_id"), batch.column("text")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapmart.llm.common import (WordHasher, ascii_space_words, components, mix64, prepare, row_of_word,
+from lapmart.llm.common import (WordHasher, ascii_space_words, components, mix64, prepare, release, row_of_word,
                                 shingle_sets, small_enough, spread_join, written)
 
 # Ids that are broadcast at most (8 MB of longs); beyond that the texts are shuffled.
@@ -90,6 +90,7 @@ def profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                     [batch.column("doc_id").slice(lo, hi - lo), pa.array(sizes.astype(np.int64)),
                      pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), pa.array(exact)],
                     ["doc_id", "n", "d1", "d2", "n_exact"])
+        release()
 
     return written(docs.mapInArrow(profile, "doc_id long, n long, d1 long, d2 long, n_exact long"), "sets-profiles")
 
@@ -107,6 +108,7 @@ def token_rows(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 place = np.arange(len(s)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 keep = (s < limit) | (place < _prefix_length(sizes, num, den)[rows])
                 yield pa.RecordBatch.from_pydict({"token": s[keep], "doc": ids[lo + rows[keep]]})
+        release()
 
     return written(docs.mapInArrow(tokens, "token long, doc long"), "sets-tokens")
 
@@ -149,6 +151,7 @@ def whole_sets(docs: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(lo, n), pa.ListArray.from_arrays(offsets, pa.array(s)),
                      pa.array([x.tobytes() for x in packed], pa.binary())], ["doc", "tokens", "sketch"])
+        release()
 
     # a repeated row gives its set again
     return written(docs.mapInArrow(sets, "doc long, tokens array<long>, sketch binary").dropDuplicates(["doc"]),
@@ -247,6 +250,7 @@ def cross_pairs(index: DataFrame, sets: DataFrame, found: DataFrame | None, num:
             if a:
                 a, b = np.concatenate(a), np.concatenate(b)
                 yield pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        release()
 
     return groups.mapInArrow(compare, "a long, b long").distinct()
 
