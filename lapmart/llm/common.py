@@ -8,6 +8,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import io
 import zipfile
 from pathlib import Path
@@ -73,7 +74,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark, name)}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return reads(spark.read.schema(df.schema).parquet(path), path)
+
+
+def reads(df: DataFrame, *tables: DataFrame | str) -> DataFrame:
+    """Notes on ``df`` the scratch tables that it still reads, for ``dropped``: folders, or tables with such notes."""
+    df.scratch = [p for t in tables for p in ([t] if isinstance(t, str) else vars(t).get("scratch", []))]
+    return df
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes the scratch tables that ``tables`` read; their last reader must have been written before.
+
+    Input tables have no notes and are never touched.  The driver is then asked
+    to collect garbage, whereupon Spark's context cleaner deletes the shuffle
+    files of queries that nothing refers to any more.
+    """
+    paths = {p for t in tables if t is not None for p in vars(t).get("scratch", [])}
+    for p in paths:
+        fs, path = open_fs(p)
+        try:
+            fs.delete_dir(path)
+        except FileNotFoundError:  # dropped by an earlier call
+            pass
+    if paths:
+        gc.collect()
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -326,9 +352,13 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         near = spread_join(both.select(F.col("a").alias("node"), F.col("b").alias("at")), spread, ["at"], "node",
                            HUB_SALT)
         jump, near = (x.select("node", F.col("to").alias("label")) for x in (jump, near))
+        older = labels
         labels = written(jump.union(near).groupBy("node").agg(F.min("label").alias("label")), f"{name}-l{rounds}")
+        del spread, jump, near
+        dropped(older)
         now = total(labels)
         if now == last:
             break
         last = now
-    return labels.select("node", F.col("label").alias("component"))
+    dropped(both)
+    return reads(labels.select("node", F.col("label").alias("component")), labels)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapmart.llm.bpe import encoder
-from lapmart.llm.common import prepare, release, written
+from lapmart.llm.common import prepare, reads, release, written
 
 WINDOW = 2048
 # Ids in a shard's index: the memory of one packing task.
@@ -294,4 +294,4 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, window: int = WINDOW) ->
     # a partition is a shard; the partition's own number, which later coalescing doesn't change
     packed = (routed.repartitionByRange(int(n_shards), *keys, "unit").drop(*keys)
               .withColumn("shard", F.spark_partition_id()).mapInArrow(shard, PIECES))
-    return whole.unionByName(packed)
+    return reads(whole.unionByName(packed), units)

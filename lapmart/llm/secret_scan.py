@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lapmart.llm.common import free_name, written
+from lapmart.llm.common import free_name, reads, written
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -199,7 +199,8 @@ def spans(found: DataFrame) -> DataFrame:
     random = merged(random_tokens(tested)).withColumn("kind", F.lit(3))
     both = base.drop("value").unionByName(random)
     rows = both.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("s"))
-    return rows.select("rid", F.filter("s", lambda x: x["kind"] < 3).alias("base"), F.col("s").alias("all"))
+    return reads(rows.select("rid", F.filter("s", lambda x: x["kind"] < 3).alias("base"), F.col("s").alias("all")),
+                 found, tested)
 
 
 def _joined(array: str) -> Column:
@@ -218,13 +219,15 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     like any other; other columns are ignored; an empty table gives no rows.
     """
     found = candidates(docs, "doc_id")
-    rows = found.select("rid", "doc_id").join(spans(found), "rid", "left")
+    each = spans(found)
+    rows = found.select("rid", "doc_id").join(each, "rid", "left")
     none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
     rows = rows.withColumns({"base": F.coalesce("base", none), "all": F.coalesce("all", none)})
     count = lambda k: F.size(F.filter("all", lambda x: x["kind"] == k)).cast("long")
-    return rows.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
-                       F.sha2(_joined("base").cast("binary"), 256).alias("base_sha256"), _joined("all").alias("spans"),
-                       count(3).alias("n_random"))
+    return reads(rows.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(_joined("base").cast("binary"), 256).alias("base_sha256"), _joined("all").alias("spans"),
+        count(3).alias("n_random")), each)
 
 
 def redact(docs: DataFrame) -> DataFrame:
@@ -235,7 +238,8 @@ def redact(docs: DataFrame) -> DataFrame:
     rid, all_, to = (free_name(docs, x) for x in ("_rid", "_all", "_to"))
     rows = written(docs.withColumn(rid, F.monotonically_increasing_id()), "secrets-docs")
     found = candidates(rows, rid)
-    cut = found.select("rid", rid).join(spans(found), "rid").select(rid, F.col("all").alias(all_))
+    each = spans(found)
+    cut = found.select("rid", rid).join(each, "rid").select(rid, F.col("all").alias(all_))
     # where the spans before each one end
     joined = rows.join(cut, rid, "left").withColumn(to, F.expr(
         f"transform({all_}, (x, i) -> array_max(transform(slice({all_}, 1, i + 1), y -> y.end)))"))
@@ -249,4 +253,4 @@ def redact(docs: DataFrame) -> DataFrame:
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(hit, F.length("text")).otherwise(F.col("n_chars"))
                              .cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return reads(out.select(*docs.columns), rows, each)

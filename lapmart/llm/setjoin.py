@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapmart.llm.common import (WordHasher, ascii_space_words, components, mix64, prepare, release, row_of_word,
-                                shingle_sets, small_enough, spread_join, written)
+from lapmart.llm.common import (WordHasher, ascii_space_words, components, dropped, mix64, prepare, reads, release,
+                                row_of_word, shingle_sets, small_enough, spread_join, written)
 
 # Ids that are broadcast at most (8 MB of longs); beyond that the texts are shuffled.
 BROADCAST_IDS = 1_000_000
@@ -126,8 +126,10 @@ def indexed_prefixes(tokens: DataFrame, sizes: DataFrame, num: int, den: int) ->
     first = F.transform(F.slice("exact", F.lit(1), F.greatest(need, F.lit(0)).cast("int")),
                         lambda x, i: F.struct(x["token"].alias("token"), (unique + i + 1).alias("pos")))
     rest = F.transform("rest", lambda x, i: F.struct(x.alias("token"), (F.col("n_exact") + i + 1).alias("pos")))
-    return written(joined.select("doc", "n", F.concat(first, rest).alias("prefix")).where(F.size("prefix") > 0),
-                   "sets-prefixes")
+    out = written(joined.select("doc", "n", F.concat(first, rest).alias("prefix")).where(F.size("prefix") > 0),
+                  "sets-prefixes")
+    dropped(common)
+    return out
 
 
 def _prefix_length_sql(n: Column, num: int, den: int) -> Column:
@@ -252,7 +254,7 @@ def cross_pairs(index: DataFrame, sets: DataFrame, found: DataFrame | None, num:
                 yield pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
         release()
 
-    return groups.mapInArrow(compare, "a long, b long").distinct()
+    return reads(groups.mapInArrow(compare, "a long, b long").distinct(), known, lists)
 
 
 def jaccard_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -274,8 +276,9 @@ def jaccard_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame
     # texts stand for themselves; those of one document are linked afterwards
     unit = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))
     docs = docs.withColumn("unit", unit)
-    found = written(_joined(docs.select(F.col("unit").alias("doc_id"), "text"), k, num, den)
-                    .select(F.col("doc_id").alias("unit"), "n_shingles", "component_id"), "sets-units")
+    joined = _joined(docs.select(F.col("unit").alias("doc_id"), "text"), k, num, den)
+    found = written(joined.select(F.col("doc_id").alias("unit"), "n_shingles", "component_id"), "sets-units")
+    dropped(joined)
     names = written(docs.where("unit IS NOT NULL").select("unit", "doc_id").distinct(), "sets-names")
     same = names.join(names.groupBy("doc_id").agg(F.min("unit").alias("first")), "doc_id")
     links = (found.where("unit IS NOT NULL").select(F.col("unit").alias("a"), F.col("component_id").alias("b"))
@@ -283,9 +286,10 @@ def jaccard_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame
     group = components(links, "sets-docs")
     named = names.join(group.withColumnRenamed("node", "unit"), "unit", "left")
     named = written(named.select("unit", "doc_id", F.coalesce("component", "unit").alias("c")), "sets-named")
+    dropped(names, group)
     least = named.groupBy("c").agg(F.min("doc_id").alias("least"))
     out = found.join(named.join(least, "c").select("unit", "doc_id", "least"), "unit", "left")
-    return out.select("doc_id", "n_shingles", F.col("least").alias("component_id"))
+    return reads(out.select("doc_id", "n_shingles", F.col("least").alias("component_id")), found, named)
 
 
 def has_repeats(docs: DataFrame) -> bool:
@@ -309,17 +313,26 @@ def _joined(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     index = prefixes.select("doc", "n", F.explode("prefix").alias("p")).select("doc", "n", "p.token", "p.pos")
     sets = whole_sets(reps.join(small_enough(prefixes.select(F.col("doc").alias("doc_id")), BROADCAST_IDS),
                                 "doc_id", "left_semi"), k)
+    del reps
+    dropped(tokens, extra)
     found = None
     for best in (*(True,) * NEAREST_ROUNDS, False):
-        new = verified(cross_pairs(index, sets, found, num, den, best), sets, num, den, "sets-links")
+        pairs = cross_pairs(index, sets, found, num, den, best)
+        links = new = verified(pairs, sets, num, den, "sets-links")
+        dropped(pairs)
         if found is not None:
             new = new.union(found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")))
-        found = components(new, "sets")
+        older, found = found, components(new, "sets")
+        del pairs, new
+        dropped(links, older)
+    dropped(prefixes, sets)
     # classes of equal sets and linked sets, by digest
     linked = (real.join(found.withColumnRenamed("node", "doc_id"), "doc_id")
               .groupBy(*digest).agg(F.min("component").alias("component")))
     table = written(copies.join(linked, digest, "full").select(*digest, F.coalesce("component", "rep").alias("component")),
                     "sets-table")
+    dropped(copies, found)
     out = spread_join(rows, table, digest, "doc_id", _HOT_SALT, "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    out = out.select("doc_id", F.col("n").alias("n_shingles"),
+                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    return reads(out, rows, table)
