@@ -16,13 +16,15 @@ a sparse path is its host's, and that of a sparse host the global one.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapmart.llm.common import (WordHasher, ascii_space_words, byte_groups, free_name, letter_digit_words, mix64,
-                                prepare, row_of_word, salted_join, small_enough, written)
+from lapmart.llm.common import (WordHasher, ascii_space_words, byte_groups, dropped, free_name, letter_digit_words,
+                                mix64, prepare, reads, row_of_word, salted_join, small_enough, written)
 
 # Labelled rows that the classifier is fitted on at most (those with the smallest hashes of doc_id).
 TRAIN_ROWS = 12_000
@@ -150,7 +152,9 @@ def _training_rows(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, Data
                 [*(batch.column(t) for t in TARGETS), pa.ListArray.from_arrays(offsets, pa.array(flat))],
                 [*TARGETS, "features"])
 
-    return names, written(rows.mapInArrow(keep, "low double, toxic double, features array<int>"), "quality-features")
+    features = written(rows.mapInArrow(keep, "low double, toxic double, features array<int>"), "quality-features")
+    dropped(sample, rows, counts)
+    return names, features
 
 
 def fit(col: np.ndarray, length: np.ndarray, y: np.ndarray, n_names: int) -> tuple[np.ndarray, np.ndarray, float, float]:
@@ -208,6 +212,7 @@ def _fitted(names: np.ndarray, rows: DataFrame) -> dict[str, tuple]:
 
     fields = "target string, places array<long>, weights array<double>, bias double, rate double"
     got = rows.coalesce(1).mapInArrow(run, fields).collect()
+    dropped(rows)
     got = got or [{"target": t, "places": [], "weights": [], "bias": 0.0, "rate": 0.5} for t in TARGETS]
     return {r["target"]: (names[np.array(r["places"], np.int64)], np.array(r["weights"], float), r["bias"], r["rate"])
             for r in got}
@@ -262,19 +267,37 @@ def _strength(rates: DataFrame, n: str, s: str, mean: Column) -> float:
     return float(min(max(row["var"] / row["n"] / between - 1, 1.0), 1e6))
 
 
-def site_posteriors(scored: DataFrame, target: str) -> DataFrame:
-    """host, path, and the posterior rate of the target: path shrunk to host, host to all documents."""
+# A site's rows and ones, of its path and its host.
+SUMS = ("_path_n", "_path_s", "_host_n", "_host_s")
+
+
+def _shrunk(ones: Column, n: Column, strength: float, toward: Column) -> Column:
+    return (ones + F.lit(strength) * toward) / (n + F.lit(strength))
+
+
+def site_posteriors(scored: DataFrame, target: str) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """(sites, others): the posterior rates host_* and path_* of each host and path, path shrunk to host, host to all
+    documents; and for a document with value y the rate of its path from all documents but itself."""
     paths = written(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(f"y_{target}").alias("s")),
                     f"quality-{target}")
     all_ = paths.agg(F.sum("s").alias("s"), F.sum("n").alias("n")).first()
     mean = float(all_["s"] / all_["n"]) if all_["n"] else 0.5
     hosts = paths.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("s").alias("hs"))
     m = _strength(hosts, "hn", "hs", F.lit(mean))
-    hosts = hosts.withColumn(f"host_{target}", (F.col("hs") + m * mean) / (F.col("hn") + m))
+    host, path = f"host_{target}", f"path_{target}"
+    hosts = hosts.withColumn(host, _shrunk(F.col("hs"), F.col("hn"), m, F.lit(mean)))
     both = paths.join(hosts, "host")
-    k = _strength(both, "n", "s", F.col(f"host_{target}"))
-    return both.select("host", "path", f"host_{target}",
-                       ((F.col("s") + k * F.col(f"host_{target}")) / (F.col("n") + k)).alias(f"path_{target}"))
+    k = _strength(both, "n", "s", F.col(host))
+    sums = [F.col(c).alias(name) for c, name in zip(("n", "s", "hn", "hs"), SUMS)]
+    sites = both.select("host", "path", host, _shrunk(F.col("s"), F.col("n"), k, F.col(host)).alias(path), *sums)
+
+    def others(y: Column) -> Column:
+        # rounding may leave a sum a little below 0
+        rest = lambda s: F.greatest(F.col(s) - y, F.lit(0.0))
+        near = _shrunk(rest("_host_s"), F.col("_host_n") - 1, m, F.lit(mean))
+        return _shrunk(rest("_path_s"), F.col("_path_n") - 1, k, near)
+
+    return reads(sites, paths), others
 
 
 def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> DataFrame:
@@ -283,7 +306,9 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column) ->
     Returns doc_id, row_key (hash of doc_id and text), host, path, the
     evidence's probability (ev_*), the site posteriors (host_*, path_*), the
     document's posterior (post_*) for low quality and toxicity, and keep
-    (both posteriors below one half).  A null or empty text has no features
+    (both posteriors below one half).  A document's posterior joins its
+    evidence with the rate of its path's other documents, so that no document
+    confirms itself.  A null or empty text has no features
     and is judged by its site; null hosts and paths are sites of their own; a
     null label leaves that target out; of several labels of a document the
     worst counts; without labels, or with labels of one kind only, the evidence
@@ -298,19 +323,25 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column) ->
     models = _fitted(*_training_rows(docs, both))
     site = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-"))
     rows = docs.select("doc_id", row_key().alias("row_key"), site(host).alias("host"), site(path).alias("path"), "text")
-    scored = evidence(rows, models).join(known, "doc_id", "left")
+    # null ids have no label: they are dealt out, not sent to one task
+    key = F.when(F.col("doc_id").isNull(), F.pmod("row_key", F.lit(_HOT_SALT))).otherwise(F.lit(0))
+    scored = evidence(rows, models).withColumn("_s", key.cast("int")).join(
+        known.withColumn("_s", F.lit(0)), ["doc_id", "_s"], "left").drop("_s")
     for t in TARGETS:
         scored = scored.withColumn(f"ev_{t}", 1 / (1 + F.exp(-F.col(t))))
         scored = scored.withColumn(f"y_{t}", F.coalesce(f"l_{t}", f"ev_{t}"))
     scored = written(scored.drop("l_low", "l_toxic"), "quality-scored")
-    out = scored
+    out, used = scored, [scored]
     for t in TARGETS:
-        out = salted_join(out, site_posteriors(scored, t), ["host", "path"], "row_key", _HOT_SALT)
-        odds = F.col(t) - _logit(F.lit(models[t][3])) + _logit(F.col(f"path_{t}"))
-        out = out.withColumn(f"post_{t}", 1 / (1 + F.exp(-odds)))
+        sites, others = site_posteriors(scored, t)
+        used.append(sites)
+        out = salted_join(out, sites, ["host", "path"], "row_key", _HOT_SALT)
+        odds = F.col(t) - _logit(F.lit(models[t][3])) + _logit(others(F.col(f"y_{t}")))
+        out = out.withColumn(f"post_{t}", 1 / (1 + F.exp(-odds))).drop(*SUMS)
     keep = (F.col("post_low") < 0.5) & (F.col("post_toxic") < 0.5)
-    return out.select("doc_id", "row_key", "host", "path", *(f"{a}_{t}" for t in TARGETS
-                                                             for a in ("ev", "host", "path", "post")), keep.alias("keep"))
+    out = out.select("doc_id", "row_key", "host", "path", *(f"{a}_{t}" for t in TARGETS
+                                                            for a in ("ev", "host", "path", "post")), keep.alias("keep"))
+    return reads(out, *used)
 
 
 def row_key() -> Column:
@@ -319,13 +350,15 @@ def row_key() -> Column:
 
 def keep_good(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> DataFrame:
     """``docs`` without the rows that the classifier rejects."""
-    bad = written(classify(docs, labels, host, path).where(~F.col("keep")).select("row_key").distinct(), "quality-bad")
-    return drop_rows(docs, bad.withColumnRenamed("row_key", "key"))
+    judged = classify(docs, labels, host, path)
+    bad = written(judged.where(~F.col("keep")).select("row_key").distinct(), "quality-bad")
+    dropped(judged)
+    return drop_rows(docs, reads(bad.withColumnRenamed("row_key", "key"), bad))
 
 
 def drop_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """``docs`` without the rows whose ``row_key`` is in keys(key)."""
     name = free_name(docs, "_key")
-    return (docs.withColumn(name, row_key())
-            .join(small_enough(keys.withColumnRenamed("key", name), BROADCAST_KEYS), name, "left_anti")
-            .select(*docs.columns))
+    return reads(docs.withColumn(name, row_key())
+                 .join(small_enough(keys.withColumnRenamed("key", name), BROADCAST_KEYS), name, "left_anti")
+                 .select(*docs.columns), keys)
