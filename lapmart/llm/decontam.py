@@ -17,11 +17,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapmart.llm.common import (WordHasher, letter_digit_words, mix64, prepare, row_of_word, shingle_hashes,
-                                written)
+from lapmart.llm.common import (WordHasher, dropped, letter_digit_words, mix64, prepare, reads, row_of_word,
+                                shingle_hashes, written)
 
 WINDOW = 13
 SHINGLE = 3
@@ -77,9 +78,8 @@ def _in_sorted(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.nd
     return maybe[ok], at[ok]
 
 
-def shingle_frequencies(docs: DataFrame, tables: dict[int, np.ndarray]) -> DataFrame:
+def shingle_frequencies(docs: DataFrame, held: Broadcast) -> DataFrame:
     """(k, shingle, df): in how many documents each shingle of the sorted tables (by length) occurs."""
-    held = docs.sparkSession.sparkContext.broadcast(tables)
 
     def count(batches):
         shingles = held.value
@@ -147,13 +147,12 @@ def _merge(first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return lo, reach[np.r_[np.flatnonzero(new)[1:] - 1, len(first) - 1]] - lo
 
 
-def occurrences(docs: DataFrame, prefixes: list[tuple], items: list[list[str]]) -> DataFrame:
+def occurrences(docs: DataFrame, held: Broadcast) -> DataFrame:
     """Each document's other columns, n_words, hit words as disjoint spans, and the items with occurring windows.
 
-    items: those of each window.
+    held: what ``_tables`` gives for the windows.
     """
     keep = [c for c in docs.columns if c != "text"]
-    held = docs.sparkSession.sparkContext.broadcast((prefixes, items))
 
     def search(batches):
         prefixes, items = held.value
@@ -199,21 +198,27 @@ def prefix_windows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for b in range(blocks):
         part = shingles.where(F.pmod(F.xxhash64("shingle"), F.lit(blocks)) == b).toPandas()
         tables = {int(k): np.sort(x["shingle"].to_numpy()) for k, x in part.groupby("k")}
-        counted = shingle_frequencies(docs, tables)
-        frequency = counted if frequency is None else frequency.union(counted)
+        held = docs.sparkSession.sparkContext.broadcast(tables)
+        counted = written(shingle_frequencies(docs, held), "decontam-df")
+        held.destroy()
+        frequency = counted if frequency is None else reads(frequency.union(counted), frequency, counted)
     distinct = windows.groupBy("n", "k", "key").agg(
         F.first("shingles").alias("shingles"),
         F.collect_set(F.col("item_id").cast("string")).alias("items"))
     if frequency is None:
-        return written(distinct.withColumns({"shingle": F.lit(0).cast("long"), "place": F.lit(0)})
-                       .select("n", "k", "key", "shingle", "place", "items"), "decontam-prefixes")
+        out = written(distinct.withColumns({"shingle": F.lit(0).cast("long"), "place": F.lit(0)})
+                      .select("n", "k", "key", "shingle", "place", "items"), "decontam-prefixes")
+        dropped(windows, shingles)
+        return out
     each = windows.dropDuplicates(["n", "k", "key"]).select(
         "n", "k", "key", F.posexplode("shingles").alias("place", "shingle"))
     rarest = (each.join(frequency, ["k", "shingle"], "left").groupBy("n", "k", "key")
               .agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "shingle", "place")).alias("r")))
-    return written(distinct.drop("shingles").join(rarest, ["n", "k", "key"])
-                   .where("r.df > 0")  # a window whose rarest shingle is in no document occurs nowhere
-                   .select("n", "k", "key", "r.shingle", "r.place", "items"), "decontam-prefixes")
+    out = written(distinct.drop("shingles").join(rarest, ["n", "k", "key"])
+                  .where("r.df > 0")  # a window whose rarest shingle is in no document occurs nowhere
+                  .select("n", "k", "key", "r.shingle", "r.place", "items"), "decontam-prefixes")
+    dropped(windows, shingles, frequency)
+    return out
 
 
 def _tables(rows) -> tuple[list[tuple], list[list[str]]]:
@@ -240,21 +245,26 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     windows = prefix_windows(docs, benchmark)
     blocks = max(1, -(-windows.count() // BLOCK_WINDOWS))
+    found = rows = None
     if blocks > 1:
-        docs = written(docs.withColumn("row", F.monotonically_increasing_id()), "decontam-docs")
-    found = None
+        docs = rows = written(docs.withColumn("row", F.monotonically_increasing_id()), "decontam-docs")
     for b in range(blocks):
         part = windows.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == b).toPandas()
-        one = occurrences(docs, *_tables(part))
-        found = one if found is None else found.union(one)
+        held = docs.sparkSession.sparkContext.broadcast(_tables(part))
+        one = occurrences(docs, held)
+        if blocks > 1:  # driver and executors hold one block's tables at a time; rows without hits are kept once
+            one = written(one if b == 0 else one.where(F.size("firsts") > 0), "decontam-block")
+            held.destroy()
+        found = one if found is None else reads(found.union(one), found, one)
+    dropped(windows, rows)
     if blocks > 1:
-        found = _unite(found)
+        found = reads(_unite(found), found)
     items = F.array_sort("items")
     hit = F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)
-    return found.select(
+    return reads(found.select(
         "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", items).cast("binary"), 256).alias("items_sha256"),
-        ((hit > 0) & (hit * 20 >= F.col("n_words"))).alias("contaminated"), "firsts", "sizes")
+        ((hit > 0) & (hit * 20 >= F.col("n_words"))).alias("contaminated"), "firsts", "sizes"), found)
 
 
 def _unite(found: DataFrame) -> DataFrame:
