@@ -21,8 +21,10 @@ from pyspark.sql import DataFrame
 from lapmart.llm.common import WordHasher, letter_digit_words, prepare, row_of_word
 
 COVERAGE = 0.8
-# A stretch is so much longer than its template.
-SLACK = 1.25
+# An occurrence is at most so many times as long as its template; the closer one is looked for first.
+REACHES = (1.25, 2.0)
+# A template of fewer words is a line of its own, of which only the first holds.
+SHORT = 20
 
 # Public license notices.
 TEMPLATES = {
@@ -176,6 +178,24 @@ def align(text: list, template: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def dense(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The consecutive matches that add up to most, each counting one and each word between them minus a half.
+
+    A stray word of the template far before or behind an occurrence so is no part of it.
+    """
+    best, total, first, cut = 0.0, 0.0, 0, (0, 0)
+    for i, (x, _) in enumerate(pairs):
+        between = (x - pairs[i - 1][0] - 1) / 2 if i else 0.0
+        if total - between <= 0:
+            total, first = 0.0, i
+        else:
+            total -= between
+        total += 1
+        if total > best:
+            best, cut = total, (first, i + 1)
+    return pairs[cut[0]:cut[1]]
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str]):
         self.hasher = WordHasher(letter_digit_words())
@@ -206,7 +226,8 @@ class Scanner:
                 place = near[self.member[t][at[near]]]
                 if len(place) < need:
                     continue
-                span = int(np.ceil(len(words) * SLACK)) + 1
+                reaches = [int(np.ceil(len(words) * x)) + 1 for x in REACHES[:1 if len(words) < SHORT else None]]
+                span = reaches[-1]
                 # places further apart than a stretch where the row changes
                 key = place + rows[place] * span
                 starts = place[:len(key) - need + 1][key[need - 1:] - key[:len(key) - need + 1] < span]
@@ -223,13 +244,36 @@ class Scanner:
                     if common < need:
                         done = s + need - common
                         continue
-                    pairs = align(stretch.tolist(), words.tolist())
+                    pairs = self._occurrence(h, s, int(begin[r] + counts[r]), words.tolist(), reaches)
                     if len(pairs) >= COVERAGE * len(words):
-                        first, last = s + pairs[0][0], s + pairs[-1][0]
+                        first, last = pairs[0][0], pairs[-1][0]
                         found.append((r, t, len(pairs) / len(words), first - int(begin[r]), last - int(begin[r])))
                         done = last + 1
             yield lo, counts, found
 
+    @staticmethod
+    def _occurrence(h: np.ndarray, start: int, end: int, words: list, reaches: list[int]) -> list[tuple[int, int]]:
+        """Matches of the template that begins at ``start``, or too few; places in ``h``."""
+        need = COVERAGE * len(words)
+        best: list = []
+        for reach in reaches:
+            best = align(h[start:min(start + reach, end)].tolist(), words)
+            if len(best) >= need:
+                break
+        if len(best) < need:
+            return []
+        # the stretch may have begun before the occurrence and ended in it
+        first = start + best[0][0]
+        best = [(start + x, j) for x, j in best]
+        again = dense(best)
+        if len(again) >= need:
+            first, best = again[0][0], again
+        for reach in reaches:
+            pairs = dense([(first + x, j) for x, j in align(h[first:min(first + reach, end)].tolist(), words)])
+            if len(pairs) > len(best):
+                best = pairs
+        return best
+
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """License notices in ``docs(doc_id, text)``, one row per row.
