@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapmart.llm import decontam, packing, quality, secret_scan, setjoin
-from lapmart.llm.common import free_name, table, written
+from lapmart.llm.common import dropped, free_name, reads, table, written
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the classifier finds of low quality or toxic; sites are sources and languages.
@@ -38,22 +39,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     members = linked.union(linked.select(F.col("c").alias("key"), "c").distinct())
     ids = docs.select(quality.row_key().alias("key"), F.struct(F.col("doc_id").isNull(), "doc_id").alias("id")).distinct()
     members = written(members.join(ids, "key").select("c", F.struct("id", "key").alias("member")), "dedup-members")
+    dropped(found, linked)
     stays = members.groupBy("c").agg(F.min("member").alias("stays"))
     gone = written(members.join(stays, "c").where("member.key <> stays.key").select("member.key").distinct(), "dedup-gone")
+    dropped(members)
     out = quality.drop_rows(docs, gone)
     # of repeated rows one stays
     again = written(keyed.where("text IS NOT NULL").groupBy(F.col("doc_id").alias("key")).count().where("count > 1")
                     .select("key"), "dedup-repeated")
     if again.isEmpty():
+        dropped(again)
         return out
     words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
     name = free_name(out, "_key")
     marked = written(out.withColumn(name, quality.row_key()), "dedup-rest")
-    again = again.withColumnRenamed("key", name)
+    again = reads(again.withColumnRenamed("key", name), again)
     repeated = marked.join(again, name, "left_semi").where(words).dropDuplicates([name])
     others = marked.where(~F.coalesce(words, F.lit(False))).union(
         marked.where(words).join(again, name, "left_anti").select(*marked.columns))
-    return others.union(repeated.select(*marked.columns)).drop(name)
+    return reads(others.union(repeated.select(*marked.columns)).drop(name), out, again, marked)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,6 +69,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     keyed = docs.select(quality.row_key().alias("doc_id"), "text")
     found = decontam.decontaminate(keyed, table(spark, sf_dir, "benchmark"))
     gone = written(found.where("contaminated").select(F.col("doc_id").alias("key")).distinct(), "decontam-gone")
+    dropped(found)
     return quality.drop_rows(docs, gone)
 
 
@@ -96,8 +101,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to ``documents``; each stage's rows are written and read again."""
+    """Applies the stages to ``documents``; each stage's rows are written and read again.
+
+    What a stage has read is deleted once its own rows are written; the input tables stay.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        out = stage(spark, docs, sf_dir)
+        before, docs = docs, written(out, f"stage-{name}")
+        dropped(out, before)
     return docs
