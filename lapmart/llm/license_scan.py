@@ -5,7 +5,7 @@ the whole text), the stretch is aligned with the template: words that occur
 once in both are anchors, the longest increasing subsequence of their
 positions is kept, and the gaps between neighbouring anchors are aligned the
 same way, down to gaps without such words, of which equal beginnings and ends
-match.  Coverage is the share of the template's words that are matched.
+match, and in an occurrence a longest common subsequence.  Coverage is the share of the template's words that are matched.
 """
 
 from __future__ import annotations
@@ -152,8 +152,11 @@ def _increasing(values: list[int]) -> list[int]:
     return out[::-1]
 
 
-def align(text: list, template: list) -> list[tuple[int, int]]:
-    """Matched (place in text, place in template), increasing in both."""
+def align(text: list, template: list, repeats: bool = False) -> list[tuple[int, int]]:
+    """Matched (place in text, place in template), increasing in both.
+
+    ``repeats``: gaps in which all words repeat are aligned by a longest common subsequence.
+    """
     out = []
     work = [(0, len(text), 0, len(template))]
     while work:
@@ -170,6 +173,13 @@ def align(text: list, template: list) -> list[tuple[int, int]]:
         place = {w: i for i, w in enumerate(text[a:b], a) if in_text[w] == 1}
         anchors = [(place[w], j) for j, w in enumerate(template[c:d], c) if in_template[w] == 1 and w in place]
         if not anchors:
+            if not repeats:
+                continue
+            places: dict = {}
+            for j in range(d - 1, c - 1, -1):
+                places.setdefault(template[j], []).append(j)
+            same = [(x, j) for x in range(a, b) for j in places.get(text[x], ())]
+            out += [same[i] for i in _increasing([j for _, j in same])]
             continue
         kept = [anchors[i] for i in _increasing([x for x, _ in anchors])]
         edges = [(a - 1, c - 1), *kept, (b, d)]
@@ -179,13 +189,13 @@ def align(text: list, template: list) -> list[tuple[int, int]]:
 
 
 def dense(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The consecutive matches that add up to most, each counting one and each word between them minus a half.
+    """The consecutive matches that add up to most, each counting one and each word between them minus a quarter.
 
     A stray word of the template far before or behind an occurrence so is no part of it.
     """
     best, total, first, cut = 0.0, 0.0, 0, (0, 0)
     for i, (x, _) in enumerate(pairs):
-        between = (x - pairs[i - 1][0] - 1) / 2 if i else 0.0
+        between = (x - pairs[i - 1][0] - 1) / 4 if i else 0.0
         if total - between <= 0:
             total, first = 0.0, i
         else:
@@ -196,6 +206,20 @@ def dense(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return pairs[cut[0]:cut[1]]
 
 
+def tight(text: list, pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same matched words in the shortest stretch that ends first."""
+    out, last = [], pairs[0][0] - 1 if pairs else 0
+    for x, j in pairs:
+        last = next(i for i in range(last + 1, x + 1) if text[i] == text[x])
+        out.append((last, j))
+    after = last + 1
+    for n in range(len(out) - 1, -1, -1):
+        x, j = out[n]
+        after = next(i for i in range(after - 1, x - 1, -1) if text[i] == text[x])
+        out[n] = after, j
+    return out
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str]):
         self.hasher = WordHasher(letter_digit_words())
@@ -269,7 +293,8 @@ class Scanner:
         if len(again) >= need:
             first, best = again[0][0], again
         for reach in reaches:
-            pairs = dense([(first + x, j) for x, j in align(h[first:min(first + reach, end)].tolist(), words)])
+            stretch = h[first:min(first + reach, end)].tolist()
+            pairs = dense([(first + x, j) for x, j in tight(stretch, align(stretch, words, repeats=True))])
             if len(pairs) > len(best):
                 best = pairs
         return best

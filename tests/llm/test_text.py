@@ -282,3 +282,27 @@ def test_common_licenses_and_full_texts(spark):
     rows = [(i, f"Preface of some words. {templates[n]} More words.") for i, n in enumerate(names)]
     got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r.doc_id: (r.license, r.coverage) for r in got.collect()} == {i: (n, 1.0) for i, n in enumerate(names)}
+
+
+@pytest.mark.parametrize("every, foreign", [(4, 2), (4, 3), (10, 1), (3, 1)])
+@pytest.mark.parametrize("name", ["mit", "isc", "gpl-3.0-header", "bsd-3-clause"])
+def test_inserted_words_cut_no_occurrence(name, every, foreign):
+    templates = license_scan.all_templates()
+    words, new = templates[name].split(), iter(range(10**6))
+    spread = []
+    for i in range(0, len(words), every):
+        spread += [f"zq{next(new)}" for _ in range(foreign)] + words[i:i + every]
+    scanner = license_scan.Scanner({name: templates[name]})
+    before = "blah " * 15
+    [(_, counts, found)] = scanner.batch(pa.array([before + " ".join(spread) + " blah" * 30]))
+    [(row, template, coverage, first, last)] = found
+    assert (row, template, coverage) == (0, 0, 1.0)
+    assert (first, last) == (15 + foreign, int(counts[0]) - 31)
+
+
+def test_strays_and_neighbours_are_no_part_of_an_occurrence():
+    template = license_scan.TEMPLATES["mit"]
+    scanner = license_scan.Scanner({"mit": template})
+    n = len(scanner.words[0])
+    [(_, _, found)] = scanner.batch(pa.array(["the " + "blah " * 20 + template + " " + template + " blah" * 9 + " software"]))
+    assert [x[2:] for x in found] == [(1.0, 21, 20 + n), (1.0, 21 + n, 20 + 2 * n)]
