@@ -78,12 +78,14 @@ def _tail_arrays(ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(rows), "<u4"), np.fromiter(map(len, rows), np.int64, len(rows)) // 4
 
 
-# Ids of the vocabularies used lie below this.
+# Ids of a vocabulary lie below this; a larger one is refused.
 SPAN = 1 << 16
 
 
 def _pairs(ids: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Sorted (tail, id) pairs as one integer each, of 32 bits where that is enough."""
+    if len(ids) and int(ids.max()) >= SPAN:
+        raise ValueError(f"ids of {SPAN} and above cannot be packed")
     kind = np.uint32 if len(n) < SPAN else np.uint64
     key = np.repeat(np.arange(len(n), dtype=kind) * kind(SPAN), n) + ids.astype(kind)
     key.sort()

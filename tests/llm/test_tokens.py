@@ -177,3 +177,9 @@ def test_windows_are_filled_with_neighbours_by_frequent_ids():
     idf[10] = 0.1
     got = packing.pack_shard(ids, np.full(3, 40), idf, 40.0, window=80)
     assert [u for u, _, _ in got[0]] == [0, 2]
+
+
+def test_ids_beyond_the_span_are_refused():
+    assert len(packing._pairs(np.array([packing.SPAN - 1], np.uint32), np.array([1]))) == 1
+    with pytest.raises(ValueError):
+        packing._pairs(np.array([3, packing.SPAN], np.uint32), np.array([1, 1]))
