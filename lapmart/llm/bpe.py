@@ -1,9 +1,9 @@
 """Token ids of whole texts with the ``tokenizers`` library, encoded once per distinct piece.
 
-Texts are cut before each space and line feed.  The public vocabularies used
-here split a text into pre-tokens by a pattern that never joins the end of a
-word with the white space after it, so a text's ids are the ids of its pieces
-one after another.  The exception are longer runs of white space, which the
+Texts are cut before each space and line feed, and before a sign behind a
+letter.  The public vocabularies used here split a text into pre-tokens by a
+pattern that never joins the end of a word with the white space or the sign
+after it, so a text's ids are the ids of its pieces one after another.  The exception are longer runs of white space, which the
 pattern takes apart by its own rule; a text with such a run is encoded as a
 whole.  A piece's 64-bit hash stands for it in a worker's table of ids, so a
 text whose pieces are known costs a few vectorised steps per batch.
@@ -21,16 +21,29 @@ import pyarrow as pa
 from lapmart.llm.common import byte_groups, span_hashes
 
 # Distinct pieces remembered per Python worker (about 60 bytes each); then a new table is begun.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 900_000
 # A text with a longer piece is encoded as a whole.
 CACHE_PIECE_BYTES = 96
 # White space in which a cut before a space or line feed isn't one of the pattern's.
 RUN = re.compile(r"\s[ \n]\s|\s[ \n]\Z")
 
-# Signs that stand behind a word and never belong to its pre-token.
+# Signs that stand behind a word and never belong to its pre-token; after an ASCII letter they begin a piece.
 SIGNS = frozenset(",.;:!?")
 
 
+
+
+def _byte_mask(chars: str) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(chars.encode())] = True
+    return out
+
+
+CUT_BEFORE = _byte_mask(" \n")
+SIGN_BYTE = _byte_mask("".join(SIGNS))
+LETTER_BYTE = _byte_mask("".join(chr(c) + chr(c + 32) for c in range(65, 91)))
+
+
 def _byte_chars() -> dict[int, int]:
     """The characters that byte-level vocabularies write for bytes: printable Latin-1 for itself,
     the others from U+0100 on in order."""
@@ -168,8 +181,10 @@ class PieceEncoder:
 
     def _segment(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(table rows, blank, too long) of the pieces of a byte array; a piece also begins at each of ``starts``."""
-        cut = np.flatnonzero((data == 0x20) | (data == 0x0A))
-        begin = np.union1d(cut, starts[starts < len(data)])
+        cut = CUT_BEFORE[data]
+        cut[1:] |= SIGN_BYTE[data[1:]] & LETTER_BYTE[data[:-1]]
+        cut[starts[starts < len(data)]] = True
+        begin = np.flatnonzero(cut)
         end = np.append(begin[1:], len(data))
         h = span_hashes(data, begin, end)
         table = self.table

@@ -26,7 +26,7 @@ def whole(path, text):
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sampled_from([" ", "  ", "\n", "\t", "word", "Word", "don't", "'s", ",", ".", "12", "é", "É", "ß", "Σ",
                                  "ΣΑΣ", "İ", " ", "　", "\x01", "\x00", "á", "́", "<|endoftext|>",
-                                 "!!", "%%%", "😀", "ǅ"]), max_size=12).map("".join))
+                                 "!!", "%%%", "😀", "ǅ", ";", ":", "?", ".)", "a,b", "...", ",\n"]), max_size=12).map("".join))
 def test_pieces_give_the_ids_of_the_whole_text(path, text):
     tok = ENCODERS[path].tok
     want = np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
