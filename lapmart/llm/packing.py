@@ -132,8 +132,13 @@ def routing_keys(ids: np.ndarray, lengths: np.ndarray, ranks: list[np.ndarray])
     return [np.minimum.reduceat(rank[ids], at) if len(at) else at for rank in ranks]
 
 
+# An id that more than this share of a shard's tails have is a row of weights, not a list: at most
+# SHARD_TOKENS / COMMON weights of 8 bytes.
+COMMON = 0.2
+
+
 class ShardIndex:
-    """BM25 inverted index of one shard: for each id its tails and their weights."""
+    """BM25 inverted index of one shard: for each id its tails and their weights; of common ids the weights of all."""
 
     def __init__(self, ids: np.ndarray, lengths: np.ndarray, idf: np.ndarray, mean_length: float):
         self.n = len(lengths)
@@ -150,20 +155,41 @@ class ShardIndex:
         order = np.argsort(term, kind="stable")
         self.unit, self.weight = unit[order], weight[order].astype(np.float64)
         self.at = np.searchsorted(term[order], np.arange(len(idf) + 1))
+        found = np.diff(self.at)
+        common = np.flatnonzero(found > COMMON * self.n)
+        self.row = np.full(len(idf), -1)
+        self.row[common] = np.arange(len(common))
+        self.columns, self.common = np.arange(self.n), np.zeros((len(common), self.n))
+        row = np.repeat(self.row, found)
+        listed = row < 0
+        self.common[row[~listed], self.unit[~listed]] = self.weight[~listed]
+        self._keep_postings(listed)
+
+    def _keep_postings(self, kept: np.ndarray) -> None:
+        self.at = np.r_[0, np.cumsum(kept)][self.at]
+        self.unit, self.weight = self.unit[kept], self.weight[kept]
 
     def keep(self, free: np.ndarray) -> None:
         """Drops the postings of all other tails, which score 0 from now on."""
-        kept = free[self.unit]
-        self.at = np.r_[0, np.cumsum(kept)][self.at]
-        self.unit, self.weight = self.unit[kept], self.weight[kept]
+        self._keep_postings(free[self.unit])
+        kept = free[self.columns]
+        self.columns, self.common = self.columns[kept], self.common[:, kept]
 
     def scores(self, seed: int) -> np.ndarray:
         terms = self.doc_terms[self.doc_at[seed]:self.doc_at[seed + 1]]
-        spans = [(self.at[t], self.at[t + 1]) for t in terms.tolist()]
-        if not spans:
-            return np.zeros(self.n)
-        return np.bincount(np.concatenate([self.unit[a:b] for a, b in spans]),
-                           np.concatenate([self.weight[a:b] for a, b in spans]), self.n)
+        rows = self.row[terms]
+        listed = terms[rows < 0]
+        spans = [(a, b) for a, b in zip(self.at[listed].tolist(), self.at[listed + 1].tolist()) if a < b]
+        out = np.zeros(self.n)
+        if spans:
+            out = np.bincount(np.concatenate([self.unit[a:b] for a, b in spans]),
+                              np.concatenate([self.weight[a:b] for a, b in spans]), self.n)
+        # added row by row, so equal tails have equal scores
+        total = np.zeros(len(self.columns))
+        for row in rows[rows >= 0].tolist():
+            np.add(total, self.common[row], out=total)
+        out[self.columns] += total
+        return out
 
 
 def pack_shard(ids: np.ndarray, lengths: np.ndarray, idf: np.ndarray, mean_length: float,
