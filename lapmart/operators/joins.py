@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Bound for a broadcast side, in memory, and how much Parquet bytes may grow there.
-DEFAULT_MAX_BYTES = 256 * 1024 * 1024
+# Bound for a broadcast side and how much Parquet bytes may grow in memory.  The driver holds each side as rows
+# and as a hash table, several sides at a time, and well encoded files grow more than that: the bound is a small
+# part of a driver of 1 GB.
+DEFAULT_MAX_BYTES = 16 * 1024 * 1024
 EXPANSION = 5
 
 
@@ -29,6 +31,11 @@ def broadcast_if_bounded(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES) -> D
     return F.broadcast(df) if input_bytes(df) * EXPANSION <= max_bytes else df
 
 
+def is_hinted(df: DataFrame) -> bool:
+    """Whether ``df`` is marked for broadcast."""
+    return df._jdf.queryExecution().analyzed().nodeName() == "ResolvedHint"
+
+
 # Tables of fewer bytes than this for each core may well be fewer row groups than cores.
 SMALL_PER_CORE = 16 * 1024 * 1024
 
@@ -89,8 +96,15 @@ def race_results_star(results: DataFrame, races: DataFrame, circuits: DataFrame,
     res = results.select(
         "result_id", "race_id", "driver_id", "constructor_id", "grid", "fastest_lap",
         F.col("position").alias("race_position"), F.col("time").alias("race_time"), "points")
-    res = spread_if_small(res)
-    res = res.join(broadcast_if_bounded(con), res["constructor_id"] == con["k_constructor_id"],
+    con, drv, race = map(broadcast_if_bounded, (con, drv, race))
+
+    def with_race(rows):
+        return rows.join(race, "race_id", "inner")
+
+    # the join that may shuffle the facts comes first, before names make them wide; it deals them out, too
+    shuffled = not is_hinted(race)
+    res = with_race(res) if shuffled else spread_if_small(res)
+    res = res.join(con, res["constructor_id"] == con["k_constructor_id"],
                    "inner" if team else "left_semi").drop("k_constructor_id")
-    res = res.join(broadcast_if_bounded(drv), "driver_id", "inner")
-    return res.join(broadcast_if_bounded(race), "race_id", "inner")
+    res = res.join(drv, "driver_id", "inner")
+    return res if shuffled else with_race(res)

@@ -200,3 +200,10 @@ def test_rank_desc_hot_season_with_ties(spark):
     got = rank_desc(df, ["y"], "v", buckets=16)
     exp = rank_desc_window(df, ["y"], "v")
     assert rows(got, "id", "rank") == rows(exp, "id", "rank")
+
+
+def test_dimensions_beyond_a_small_driver_are_not_broadcast(spark, tmp_path):
+    """Tables of 4 MB of Parquet are 100 MB and more as a hash table; several stand in the driver at once."""
+    path = str(tmp_path / "d")
+    spark.range(1_200_000).selectExpr("id", "xxhash64(id) AS x").coalesce(1).write.parquet(path)
+    assert "ResolvedHint" not in broadcast_if_bounded(spark.read.parquet(path))._jdf.queryExecution().analyzed().toString()
