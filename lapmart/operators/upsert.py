@@ -17,14 +17,14 @@ caller's job (``sinks.tables.publish``).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapmart.operators.dedup import latest_by
 from lapmart.sources.rawfiles import scratch_dir
-from lapmart.operators.joins import DEFAULT_MAX_BYTES, EXPANSION, input_bytes
+from lapmart.operators.joins import DEFAULT_MAX_BYTES, EXPANSION, broadcast_if_bounded, input_bytes
 
 
 class MergeCardinalityError(RuntimeError):
@@ -43,8 +43,11 @@ def check_single_match(target: DataFrame, source: DataFrame, keys: Sequence[str]
         return
     hit = dup.join(target.select(*keys), list(keys), "left_semi").limit(1).collect()
     if hit:
-        raise MergeCardinalityError(
-            f"several source rows match one target row on {list(keys)}: {hit[0].asDict()}")
+        raise _several(keys, hit[0])
+
+
+def _several(keys: Sequence[str], row) -> MergeCardinalityError:
+    return MergeCardinalityError(f"several source rows match one target row on {list(keys)}: {row.asDict()}")
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -56,42 +59,94 @@ def staged(df: DataFrame) -> DataFrame:
 
 
 def key_hint(source: DataFrame, side: DataFrame) -> DataFrame:
-    """``side``, a projection of the staged ``source``, marked for broadcast if its files' sizes allow."""
-    return F.broadcast(side) if input_bytes(source) * EXPANSION <= DEFAULT_MAX_BYTES else side
+    """``side``, a projection of the staged ``source``, marked for broadcast if its files' sizes allow; else it is
+    never broadcast (Spark takes a few columns for their share of the compressed files)."""
+    return F.broadcast(side) if input_bytes(source) * EXPANSION <= DEFAULT_MAX_BYTES else side.hint("merge")
 
 
-def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str]) -> DataFrame:
+def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str],
+               check_cardinality: bool = False, scratch: str | None = None) -> DataFrame:
     """The merge of a staged ``source`` (a table: it is read twice) into ``target``, safe against hot target keys.
 
     A full outer join can't be split, so it is taken apart: the target left
     outer joined with the source, whose skewed partitions AQE splits on the
-    target's side, and the source's rows without a match.  For these the
-    target gives its distinct keys, combined before the shuffle.  A source
-    within the checked size is broadcast, and the target is not shuffled at all.
+    target's side, and the source's rows without a match.  A source within
+    the checked size is broadcast, and the target is not shuffled at all.
+    For a larger one keys alone are compared first, combined before the
+    shuffle, so whole rows go through no shuffle that doesn't need them: of
+    the source those to insert; and where it brings all columns, of the target
+    those that it lacks.  What the keys have shown is written to ``scratch``,
+    by default a scratch folder, which the caller may delete afterwards.
     """
     keys, upd = list(keys), set(update)
-    small = input_bytes(source) * EXPANSION <= DEFAULT_MAX_BYTES
+    if input_bytes(source) * EXPANSION <= DEFAULT_MAX_BYTES:
+        if check_cardinality:
+            check_single_match(target, source, keys)
+        updated = _updated(target, source, keys, upd, F.broadcast)
+        asked = source.select(*keys)
+        hits = target.select(*keys).join(F.broadcast(asked), keys, "left_semi").distinct()
+        inserted = source.join(F.broadcast(hits), keys, "left_anti")    # no more keys than the source has
+        return updated.unionByName(inserted.select(*source.columns), allowMissingColumns=True)
+    known = _all_not_null(keys)
+    every = _brings_all(target, source, keys, upd)
+    n, m = "__in_target", "__in_source"
+    seen = (target.where(known).select(*keys, F.lit(1).alias(n), F.lit(0).alias(m))
+            .union(source.where(known).select(*keys, F.lit(0).alias(n), F.lit(1).alias(m)))
+            .groupBy(*keys).agg(F.sum(n).alias(n), F.sum(m).alias(m)))
+    clash = (F.col(n) > 0) & (F.col(m) > 1)
+    if every:
+        seen = seen.where((F.col(n) > 0) & ((F.col(m) == 0) | (F.col(n) > 1) | (F.col(m) > 1)))
+    else:
+        seen = seen.where((F.col(n) == 0) | clash)
+    path = scratch or scratch_dir(source.sparkSession, "merge-keys")
+    seen.write.parquet(path)
+    seen = source.sparkSession.read.schema(seen.schema).parquet(path)
+    if check_cardinality:
+        hit = seen.where(clash).select(*keys).limit(1).collect()
+        if hit:
+            raise _several(keys, hit[0])
+
+    def of(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
+        return rows.join(broadcast_if_bounded(found), keys, how)
+
+    if not every:
+        inserted = of(source, seen.where(F.col(n) == 0).select(*keys), "left_semi").unionByName(source.where(~known))
+        return _updated(target, source, keys, upd, lambda s: s).unionByName(
+            inserted.select(*source.columns), allowMissingColumns=True)
+    cols = list(target.columns) + [c for c in source.columns if c not in target.columns]
+    repeated = seen.where((F.col(n) > 1) & (F.col(m) > 0)).select(*keys, n)
+    rows = source
+    if not repeated.isEmpty():                 # each of the target's rows takes the source's columns
+        rows = of(source, repeated, "left").withColumn(m, F.explode(F.sequence(F.lit(1), F.coalesce(n, F.lit(1)))))
+    kept = of(target, seen.where(F.col(m) == 0).select(*keys), "left_semi").unionByName(target.where(~known))
+    return rows.select(*cols).unionByName(kept, allowMissingColumns=True)
+
+
+def _brings_all(target: DataFrame, source: DataFrame, keys: Sequence[str], update: set[str]) -> bool:
+    """Whether a matched row is the source's row: it takes all columns, keys aside that are equal in all bits, and
+    types are alike."""
+    same = {k for k in keys if source.schema[k].dataType.typeName() not in ("float", "double")}
+    types = {f.name: f.dataType for f in source.schema}
+    new = {c for c in source.columns if c not in target.columns}
+    return new <= update and all(f.name in update | same and types.get(f.name) == f.dataType for f in target.schema)
+
+
+def _updated(target: DataFrame, source: DataFrame, keys: Sequence[str], update: set[str],
+             mark: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The target's rows, those that the source matches with its columns."""
     s = source.where(_all_not_null(keys)).select(
         *[F.col(c).alias("s__" + c) for c in source.columns], F.lit(True).alias("s__present"))
     t = target.select(*[F.col(c).alias("t__" + c) for c in target.columns])
     cond = F.lit(True)
     for k in keys:
         cond = cond & (F.col("t__" + k) == F.col("s__" + k))
-    j = t.join(F.broadcast(s) if small else s, cond, "left_outer")
+    j = t.join(mark(s), cond, "left_outer")
     cols = list(target.columns) + [c for c in source.columns if c not in target.columns]
-    updated = j.select(*[
+    return j.select(*[
         F.when(F.col("s__present"), F.col("s__" + c)).otherwise(F.col("t__" + c) if c in target.columns else F.lit(None))
-        .alias(c) if c in upd and c in source.columns
+        .alias(c) if c in update and c in source.columns
         else (F.col("t__" + c) if c in target.columns else F.lit(None).cast(source.schema[c].dataType)).alias(c)
         for c in cols])
-    asked = source.select(*keys)
-    if small:
-        hits = target.select(*keys).join(F.broadcast(asked), keys, "left_semi").distinct()
-        hits = F.broadcast(hits)               # no more keys than the source has
-    else:
-        hits = target.select(*keys).distinct()
-    inserted = source.join(hits, keys, "left_anti")
-    return updated.unionByName(inserted.select(*source.columns), allowMissingColumns=True)
 
 
 def upsert_all(target: DataFrame, source: DataFrame, keys: Sequence[str],

@@ -29,7 +29,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lapmart.operators.upsert import check_single_match, key_hint, merge_rows, upsert_newest
+from lapmart.operators.upsert import key_hint, merge_rows, upsert_newest
 from lapmart.sinks import fs, tables
 from lapmart.sources.rawfiles import scratch_dir
 
@@ -67,7 +67,7 @@ def merge_into(spark: SparkSession, base: str, source: DataFrame, keys: Sequence
     try:
         staged = source
         if stage:
-            source.write.parquet(staging)
+            source.write.parquet(staging, compression=tables.CODEC)
             tables.check_gates(gate_observations, base, info_observations)
             staged = spark.read.schema(source.schema).parquet(staging)
         units = tables.live_units(spark, base)
@@ -79,15 +79,15 @@ def merge_into(spark: SparkSession, base: str, source: DataFrame, keys: Sequence
         elif newest is not None:
             merged = upsert_newest(target, staged, keys, newest)
         else:
-            if check_cardinality:
-                check_single_match(target, staged, keys)
-            merged = merge_rows(target, staged, keys, source.columns if update is None else update)
+            merged = merge_rows(target, staged, keys, source.columns if update is None else update,
+                                check_cardinality, f"{staging}-keys")
         if whole:
             return tables.publish(spark, merged, base, partition_by, cluster_by, table_name=table_name)
         replaced = [f"{d.rsplit('/', 1)[1]}/{u}" for d, names in touched.items() for u in names]
         return _publish_part(spark, merged, base, parent, replaced, parts, cluster_by, table_name)
     finally:
         fs.delete(spark, staging)
+        fs.delete(spark, f"{staging}-keys")
 
 
 def _touched(spark: SparkSession, units: dict, staged: DataFrame, keys: list[str], parts: list[str]) -> dict:

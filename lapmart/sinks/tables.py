@@ -39,6 +39,7 @@ MARKER = "_PUBLISHED"
 LOAD = "load_id"                 # partition folder of one load of a history
 REPLACES = "_REPLACES"
 SCHEMA = "_schema.json"           # columns of an append-only history
+CODEC = "zstd"                    # of loads and versions, which are written once and read often
 _CLAIM = "_claim_v"
 _PREFIX = "_v"
 
@@ -106,7 +107,7 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
 
 def append_load(df: DataFrame, path: str, load: str) -> None:
     """Write one load of an append-only history; a repeated load replaces itself."""
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{LOAD}={load}")
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{LOAD}={load}", compression=CODEC)
 
 
 def read_appended(spark: SparkSession, path: str) -> DataFrame:
@@ -297,7 +298,7 @@ def write_claimed(spark: SparkSession, df: DataFrame, base: str, partition_by: S
         w = out.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(target)
+        w.parquet(target, compression=CODEC)
         check()
     except Exception:
         fs.delete(spark, target)

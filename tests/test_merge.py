@@ -203,3 +203,38 @@ def test_pending_loads_are_merged_on_read(spark, tmp_path):
     assert incremental.compact(spark, bronze, silver, "results") is None
     assert show(tables.read_current(spark, silver)) == pending
     assert show(incremental.read_newest(spark, bronze, silver, "results")) == pending
+
+
+@pytest.mark.parametrize("update", [["v", "w"], ["v"]])
+def test_large_source_merges_like_a_full_outer_join(spark, monkeypatch, tmp_path, update):
+    """Null keys, target rows of one key and keys of one side alone, with a source beyond the broadcast bound."""
+    from lapmart.operators import upsert
+
+    kind = "k bigint, v string, w string"
+    spark.createDataFrame([(1, "a", "a"), (1, "b", "b"), (2, "c", "c"), (3, None, "d"), (None, "e", "e")], kind) \
+        .write.parquet(f"{tmp_path}/t")
+    spark.createDataFrame([(1, "A", "A"), (3, "B", None), (7, "C", "C"), (7, "D", "D"), (None, "E", "E")], kind) \
+        .write.parquet(f"{tmp_path}/s")
+    target, source = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/s")
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    expected = rows(upsert.upsert_columns(target, source, ["k"], update, check_cardinality=False))
+    monkeypatch.setattr(upsert, "DEFAULT_MAX_BYTES", 0)
+    out = merge_rows(target, source, ["k"], update, True, f"{tmp_path}/keys")
+    assert out.columns == target.columns and rows(out) == expected
+    twice = spark.read.parquet(f"{tmp_path}/s").withColumn("k", F.lit(1).cast("long"))
+    with pytest.raises(MergeCardinalityError):
+        merge_rows(target, twice, ["k"], update, True, f"{tmp_path}/keys2")
+
+
+def test_whole_rows_of_a_large_source_are_not_shuffled(spark, monkeypatch, tmp_path):
+    from lapmart.operators import upsert
+
+    spark.range(100).selectExpr("id AS k", "id AS v").write.parquet(f"{tmp_path}/t")
+    spark.range(120).selectExpr("id AS k", "-id AS v").write.parquet(f"{tmp_path}/s")
+    monkeypatch.setattr(upsert, "DEFAULT_MAX_BYTES", 0)
+    out = merge_rows(spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/s"), ["k"], ["v"])
+    assert sorted(map(tuple, out.collect())) == [(i, -i) for i in range(120)]
+    out.write.parquet(f"{tmp_path}/o")
+    assert "Exchange hashpartitioning(k" not in out._jdf.queryExecution().sparkPlan().toString()
+    hinted = upsert.key_hint(spark.read.parquet(f"{tmp_path}/s"), spark.read.parquet(f"{tmp_path}/s").select("k"))
+    assert "strategy=merge" in hinted._jdf.queryExecution().analyzed().toString()
