@@ -10,6 +10,10 @@ the same way as a single file.
 Multi-line JSON (whole-file arrays) is produced as bounded chunks: runs of
 at most ``records_per_file`` consecutive rows of one task (and one folder)
 are grouped into one JSON array, and each array becomes one file.
+
+All files are compressed, a few times smaller than the plain text; readers
+tell by the file name.  A compressed file is read by one task, so files hold
+at most ``MOST_RECORDS`` lines.
 """
 
 from __future__ import annotations
@@ -22,6 +26,8 @@ from pyspark.sql import functions as F
 from lapmart.sinks import fs
 
 _FOLDER = "__snapshot_folder"
+CODEC = "snappy"
+MOST_RECORDS = 500_000
 
 
 def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
@@ -59,15 +65,18 @@ def write_snapshots(df: DataFrame, raw_root: str, rel_path: str, fmt: str, folde
     spark = df.sparkSession
     staging = f"{raw_root.rstrip('/')}/_staging_{uuid.uuid4().hex[:12]}"
     data_cols = [c for c in df.columns if c != folder_col]
+
+    def writer(rows: DataFrame, most: int = MOST_RECORDS):
+        return (rows.write.partitionBy(_FOLDER).option("compression", CODEC)
+                .option("maxRecordsPerFile", most))
+
+    lines = df.select(*data_cols, F.col(folder_col).alias(_FOLDER))
     if fmt == "csv":
-        (df.select(*data_cols, F.col(folder_col).alias(_FOLDER))
-         .write.partitionBy(_FOLDER).option("header", str(header).lower())
-         .option("nullValue", "").csv(staging))
+        writer(lines).option("header", str(header).lower()).option("nullValue", "").csv(staging)
     elif fmt == "json" and not multiline:
-        (df.select(*data_cols, F.col(folder_col).alias(_FOLDER))
-         .write.partitionBy(_FOLDER).json(staging))
+        writer(lines).json(staging)
     elif fmt == "text":                        # lines as they are, in the one data column
-        (df.select(*data_cols, F.col(folder_col).alias(_FOLDER)).write.partitionBy(_FOLDER).text(staging))
+        writer(lines).text(staging)
     elif fmt == "json":
         rec = F.to_json(F.struct(*data_cols))
         # consecutive ids within a task: each (folder, c) group holds at most
@@ -77,8 +86,7 @@ def write_snapshots(df: DataFrame, raw_root: str, rel_path: str, fmt: str, folde
                   .groupBy(_FOLDER, "c")
                   .agg(F.concat(F.lit("[\n "), F.array_join(F.collect_list("r"), ",\n "),
                                 F.lit("\n]")).alias("value")))
-        (chunks.select(_FOLDER, "value").write.partitionBy(_FOLDER)
-         .option("maxRecordsPerFile", 1).text(staging))
+        writer(chunks.select(_FOLDER, "value"), 1).text(staging)
     else:
         raise ValueError(f"unsupported raw format {fmt}")
     return _move_into_place(spark, staging, raw_root, rel_path)
