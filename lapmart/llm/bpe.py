@@ -271,3 +271,8 @@ def encoder(path: str) -> PieceEncoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = PieceEncoder(path)
     return _ENCODERS[path]
+
+
+def forget() -> None:
+    """Lets go of a worker's encoders, in steps that encode nothing: the worker lives on."""
+    _ENCODERS.clear()

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapmart.llm.bpe import encoder
+from lapmart.llm.bpe import encoder, forget
 from lapmart.llm.common import prepare, reads, release, written
 
 WINDOW = 2048
@@ -96,6 +96,8 @@ def document_frequencies(tails: DataFrame, end_id: int) -> DataFrame:
     """(term, df) over all tails; the end id is no term."""
 
     def count(batches):
+        forget()
+        release()
         total = np.zeros(0, np.int64)
         for batch in batches:
             ids, n = _tail_arrays(batch.column("ids"))
@@ -144,8 +146,9 @@ class ShardIndex:
         self.n = len(lengths)
         key = _pairs(ids, lengths)
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
-        tf = np.diff(np.r_[first, len(key)])
-        unit, term = (key[first] // SPAN).astype(np.int64), (key[first] % SPAN).astype(np.int64)
+        tf = np.diff(np.r_[first, len(key)]).astype(np.int32)
+        unit, term = (key[first] // SPAN).astype(np.int32), (key[first] % SPAN).astype(np.int32)
+        del key, first
         known = idf[term] > 0
         unit, term, tf = unit[known], term[known], tf[known]
         self.doc_terms = term
@@ -154,6 +157,7 @@ class ShardIndex:
         weight = idf[term] * tf * (K1 + 1) / (tf + norm[unit])
         order = np.argsort(term, kind="stable")
         self.unit, self.weight = unit[order], weight[order].astype(np.float64)
+        del unit, weight, tf, known
         self.at = np.searchsorted(term[order], np.arange(len(idf) + 1))
         found = np.diff(self.at)
         common = np.flatnonzero(found > COMMON * self.n)
@@ -289,15 +293,20 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, window: int = WINDOW) ->
     keys = [f"key{i}" for i in range(ROUTING_KEYS)]
 
     def route(batches):
+        forget()
         for batch in batches:
             found = routing_keys(*_tail_arrays(batch.column("ids")), ranks.value)
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(k, pa.int64()) for k in found)],
                                              [*batch.schema.names, *keys])
 
     def shard(batches):
+        forget()
+        release()
         batches = list(batches)
         if sum(map(len, batches)):
             yield from pack_table(pa.Table.from_batches(batches)).to_batches()
+        del batches
+        release()
 
     def pack_table(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by("unit")

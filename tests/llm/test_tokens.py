@@ -183,3 +183,11 @@ def test_ids_beyond_the_span_are_refused():
     assert len(packing._pairs(np.array([packing.SPAN - 1], np.uint32), np.array([1]))) == 1
     with pytest.raises(ValueError):
         packing._pairs(np.array([3, packing.SPAN], np.uint32), np.array([1, 1]))
+
+
+def test_encoders_are_let_go():
+    from lapmart.llm import bpe
+
+    bpe._ENCODERS["x"] = object()
+    bpe.forget()
+    assert not bpe._ENCODERS
