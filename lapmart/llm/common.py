@@ -98,8 +98,13 @@ def dropped(*tables: DataFrame) -> None:
         except FileNotFoundError:  # dropped by an earlier call
             pass
     if paths:
-        gc.collect()
-        tables[0].sparkSession.sparkContext._jvm.System.gc()
+        shuffles_freed(tables[0].sparkSession)
+
+
+def shuffles_freed(spark: SparkSession) -> None:
+    """Has the shuffle files of queries that nothing refers to any more deleted."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapmart.llm.common import (WordHasher, ascii_space_words, components, dropped, mix64, prepare, reads, release,
-                                row_of_word, shingle_sets, small_enough, spread_join, written)
+                                row_of_word, shingle_sets, shuffles_freed, small_enough, spread_join, written)
 
 # Ids that are broadcast at most (8 MB of longs); beyond that the texts are shuffled.
 BROADCAST_IDS = 1_000_000
@@ -117,6 +117,7 @@ def indexed_prefixes(tokens: DataFrame, sizes: DataFrame, num: int, den: int) ->
     """doc, n, and the prefix tokens that other sets have too: arrays of (token, position), positions from 1."""
     limit = _limit(num, den)
     common = written(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "sets-common")
+    shuffles_freed(tokens.sparkSession)          # before the next shuffle of all tokens
     shared = (tokens.join(common, "token").groupBy("doc")
               .agg(F.sort_array(F.collect_list(F.when(F.col("token") < limit, F.struct("df", "token")))).alias("exact"),
                    F.sort_array(F.collect_list(F.when(F.col("token") >= limit, F.col("token")))).alias("rest")))
@@ -317,7 +318,10 @@ def _joined(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     dropped(tokens, extra)
     found = None
     for best in (*(True,) * NEAREST_ROUNDS, False):
-        pairs = cross_pairs(index, sets, found, num, den, best)
+        looked = cross_pairs(index, sets, found, num, den, best)
+        pairs = written(looked, "sets-pairs")    # the shuffles of the blocks go before those of the sets come
+        dropped(looked)
+        del looked
         links = new = verified(pairs, sets, num, den, "sets-links")
         dropped(pairs)
         if found is not None:
