@@ -30,8 +30,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapmart.llm.common import (WordHasher, ascii_space_words, components, dropped, mix64, prepare, reads, release,
-                                row_of_word, shingle_sets, shuffles_freed, small_enough, spread_join, written)
+from lapmart.llm.common import (FEW_BYTES, WordHasher, ascii_space_words, components, dropped, mix64, prepare, reads,
+                                release, row_of_word, shingle_sets, shuffles_freed, small_enough, spread_join, written)
+from lapmart.operators.joins import input_bytes
 
 # Ids that are broadcast at most (8 MB of longs); beyond that the texts are shuffled.
 BROADCAST_IDS = 1_000_000
@@ -43,6 +44,8 @@ NEAREST_LISTS = 6
 # Members of a block, and visitors of a block at a time.
 BLOCK = 128
 _HOT_SALT = 32
+# A list of more than one such part of all lists' rows is broadcast, so at most so many are.
+LONG_LISTS = 1000
 
 
 def _share(num: int, den: int) -> float:
@@ -118,7 +121,8 @@ def indexed_prefixes(tokens: DataFrame, sizes: DataFrame, num: int, den: int) ->
     limit = _limit(num, den)
     common = written(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "sets-common")
     shuffles_freed(tokens.sparkSession)          # before the next shuffle of all tokens
-    shared = (tokens.join(common, "token").groupBy("doc")
+    # as rows: lists collected before the shuffle are longer in bytes, the more so the more tasks a document is spread over
+    shared = (tokens.join(common, "token").repartition("doc").groupBy("doc")
               .agg(F.sort_array(F.collect_list(F.when(F.col("token") < limit, F.struct("df", "token")))).alias("exact"),
                    F.sort_array(F.collect_list(F.when(F.col("token") >= limit, F.col("token")))).alias("rest")))
     unique = F.col("n_exact") - F.size("exact")
@@ -137,8 +141,11 @@ def _prefix_length_sql(n: Column, num: int, den: int) -> Column:
     return n - F.floor((n * num + den - 1) / den) + 1
 
 
-def whole_sets(docs: DataFrame, k: int) -> DataFrame:
-    """doc, tokens (the whole set), sketch (parity of the tokens on each of ``SKETCH_BITS`` bits)."""
+def whole_sets(docs: DataFrame, k: int, repeats: bool = True) -> DataFrame:
+    """doc, tokens (the whole set), sketch (parity of the tokens on each of ``SKETCH_BITS`` bits).
+
+    ``repeats``: whether a doc_id may stand on several rows, which give its set again.
+    """
 
     def sets(batches):
         hasher = WordHasher(ascii_space_words())
@@ -156,9 +163,8 @@ def whole_sets(docs: DataFrame, k: int) -> DataFrame:
                      pa.array([x.tobytes() for x in packed], pa.binary())], ["doc", "tokens", "sketch"])
         release()
 
-    # a repeated row gives its set again
-    return written(docs.mapInArrow(sets, "doc long, tokens array<long>, sketch binary").dropDuplicates(["doc"]),
-                   "sets-whole")
+    out = docs.mapInArrow(sets, "doc long, tokens array<long>, sketch binary")
+    return written(out.dropDuplicates(["doc"]) if repeats else out, "sets-whole")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, name: str) -> DataFrame:
@@ -170,6 +176,20 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, name: str) -
     return written(pairs.join(x, "a").join(y, "b").where(alike).select("a", "b"), name)
 
 
+def list_join(known: DataFrame, lists: DataFrame) -> DataFrame:
+    """The rows of ``known`` whose token has a row in the written ``lists(token, all, ...)``, with its columns.
+
+    Few lists, or else the long ones, are broadcast, so no task gets a long list whole, and no list is repeated.
+    """
+    if input_bytes(lists) <= FEW_BYTES:
+        return known.join(F.broadcast(lists), "token")
+    total = lists.agg(F.sum("all")).first()[0] or 0
+    long = F.col("all") * LONG_LISTS > total
+    some = F.broadcast(lists.where(long))
+    rest = known.join(F.broadcast(lists.where(long).select("token")), "token", "left_anti")
+    return known.join(some, "token").unionByName(rest.join(lists.where(~long), "token"))
+
+
 def cross_pairs(index: DataFrame, sets: DataFrame, found: DataFrame | None, num: int, den: int,
                 best: bool) -> DataFrame:
     """Pairs (a, b) of different components that share a list and pass the size, position and sketch bounds.
@@ -195,26 +215,26 @@ def cross_pairs(index: DataFrame, sets: DataFrame, found: DataFrame | None, num:
                      F.ceil((F.col("all") - F.col("most.m")) / BLOCK).cast("int").alias("chunks"),
                      F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks")))
     lists = written(lists, "sets-mixed")
-    rows = spread_join(known, lists, ["token"], "doc", _HOT_SALT)
-    rows = rows.join(sets.select("doc", "sketch"), "doc")
+    rows = list_join(known, lists).join(sets.select("doc", "sketch"), "doc")
     guest = F.col("c") != F.col("home")
     block = F.pmod(F.xxhash64("doc", F.lit(1)), F.col("blocks")).cast("int")
     chunk = F.pmod(F.xxhash64("doc", F.lit(2)), F.col("chunks")).cast("int")
     entry = F.struct("doc", "n", "pos", "c", guest.alias("guest"), "sketch").alias("entry")
+    place = lambda block, chunk, v: F.struct(
+        block.alias("block"), chunk.alias("chunk"), F.lit(v).alias("v"))
     if best:
-        stay = rows.select("token", block.alias("block"), F.lit(0).alias("chunk"), F.lit(False).alias("v"), entry)
         visited = F.pmod(F.xxhash64("doc", "token", F.lit(3)), F.col("blocks")).cast("int")
-        visit = rows.where(guest).select("token", visited.alias("block"), F.lit(0).alias("chunk"),
-                                         F.lit(True).alias("v"), entry)
+        chunks, blocks = F.array(F.lit(0)), F.array(visited)
+        chunk = F.lit(0)
     else:
-        each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-        stay = rows.select("token", block.alias("block"), each(F.col("chunks")).alias("chunk"),
-                           F.lit(False).alias("v"), entry)
-        visit = rows.where(guest).select("token", each(F.col("blocks")).alias("block"), chunk.alias("chunk"),
-                                         F.lit(True).alias("v"), entry)
-    groups = stay.union(visit).groupBy("token", "block", "chunk").agg(
-        F.collect_list(F.when(~F.col("v"), F.col("entry"))).alias("stay"),
-        F.collect_list(F.when(F.col("v"), F.col("entry"))).alias("visit"))
+        chunks, blocks = (F.sequence(F.lit(0), F.col(c) - 1) for c in ("chunks", "blocks"))
+    stay = F.transform(chunks, lambda x: place(block, x, False))
+    visit = F.transform(F.when(guest, blocks).otherwise(F.array().cast("array<int>")), lambda x: place(x, chunk, True))
+    # the rows are joined once for both
+    dealt = rows.select("token", entry, F.explode(F.concat(stay, visit)).alias("p"))
+    groups = dealt.groupBy("token", "p.block", "p.chunk").agg(
+        F.collect_list(F.when(~F.col("p.v"), F.col("entry"))).alias("stay"),
+        F.collect_list(F.when(F.col("p.v"), F.col("entry"))).alias("visit"))
 
     def columns(entries: pa.Array) -> dict[str, np.ndarray]:
         f = entries.flatten() if isinstance(entries, pa.ListArray) else entries
@@ -273,7 +293,7 @@ def jaccard_components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame
     prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     if not has_repeats(docs):
-        return _joined(docs, k, num, den)
+        return _joined(docs, k, num, den, False)
     # texts stand for themselves; those of one document are linked afterwards
     unit = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))
     docs = docs.withColumn("unit", unit)
@@ -298,8 +318,8 @@ def has_repeats(docs: DataFrame) -> bool:
     return not docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty()
 
 
-def _joined(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """``jaccard_components`` where rows of one doc_id have one text."""
+def _joined(docs: DataFrame, k: int, num: int, den: int, repeats: bool = True) -> DataFrame:
+    """``jaccard_components`` where rows of one doc_id have one text; ``repeats``: whether there are such rows."""
     rows = profiles(docs, k, num, den)
     real = rows.where("doc_id IS NOT NULL AND n > 0")
     digest = ["n", "d1", "d2"]
@@ -313,7 +333,7 @@ def _joined(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     prefixes = indexed_prefixes(tokens, sizes, num, den)
     index = prefixes.select("doc", "n", F.explode("prefix").alias("p")).select("doc", "n", "p.token", "p.pos")
     sets = whole_sets(reps.join(small_enough(prefixes.select(F.col("doc").alias("doc_id")), BROADCAST_IDS),
-                                "doc_id", "left_semi"), k)
+                                "doc_id", "left_semi"), k, repeats)
     del reps
     dropped(tokens, extra)
     found = None

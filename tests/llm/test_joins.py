@@ -119,6 +119,28 @@ def test_jaccard_join(spark, documents, monkeypatch, k, num, den, block):
     assert got == brute_jaccard(rows, k, num, den)
 
 
+@pytest.mark.parametrize("best", [True, False])
+def test_blocks_are_dealt_without_copies_of_lists(spark, monkeypatch, best):
+    for module in (common, setjoin):
+        monkeypatch.setattr(module, "FEW_BYTES", -1)
+    monkeypatch.setattr(setjoin, "LONG_LISTS", 5)
+    monkeypatch.setattr(setjoin, "BLOCK", 3)
+    rows = [(a, t) for a, t in enumerate(family(random.Random(3), 40, 60, 30))]
+    sets = setjoin.whole_sets(spark.createDataFrame(rows, "doc_id long, text string"), 3, False)
+    # token 0 in all documents, and each other one in two
+    index = common.written(spark.range(40).selectExpr(
+        "id AS doc", "58L AS n", "explode(array(0L, 1 + id div 2)) AS token", "1L AS pos"), "index")
+    pairs = setjoin.cross_pairs(index, sets, None, 1, 100, best)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1  # the rows' places: no list stands there once a salt or a branch
+    got = {tuple(r) for r in pairs.collect()}
+    assert all(a < b for a, b in got) and (best or got == {(a, b) for b in range(40) for a in range(b)})
+    lists = common.written(spark.range(21).selectExpr("id AS token", "if(id = 0, 40L, 2L) AS all"), "lists")
+    joined = setjoin.list_join(index, lists)
+    assert sorted(map(tuple, joined.select("doc", "token", "all").collect())) == sorted(
+        (d, t, n) for d in range(40) for t, n in ((0, 40), (1 + d // 2, 2)) if t < 21)
+
+
 def test_jaccard_join_of_long_texts_and_nothing(docs, no_docs):
     got = setjoin.jaccard_components(docs.where("doc_id IN (0, 10)"), 3, 90, 100).collect()
     assert sorted(map(tuple, got)) == [(0, 0, 0), (10, 1, 10), (10, 1, 10)]
