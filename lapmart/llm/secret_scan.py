@@ -235,13 +235,15 @@ def redact(docs: DataFrame) -> DataFrame:
 
     Overlapping spans are replaced as one.  Rows without spans stay as they are.
     """
-    rid, all_, to = (free_name(docs, x) for x in ("_rid", "_all", "_to"))
-    rows = written(docs.withColumn(rid, F.monotonically_increasing_id()), "secrets-docs")
-    found = candidates(rows, rid)
+    all_, to = (free_name(docs, x) for x in ("_all", "_to"))
+    found = candidates(docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")), "row")
     each = spans(found)
-    cut = found.select("rid", rid).join(each, "rid").select(rid, F.col("all").alias(all_))
+    some = F.coalesce(F.greatest(*(F.size(k) for k in KINDS)) > 0, F.lit(False))
+    # texts without a match have no spans: they are not shuffled
+    rest = found.where(~some).select("row.*")
+    cut = each.select("rid", F.col("all").alias(all_))
     # where the spans before each one end
-    joined = rows.join(cut, rid, "left").withColumn(to, F.expr(
+    joined = found.where(some).select("rid", "row").join(cut, "rid", "left").select("row.*", all_).withColumn(to, F.expr(
         f"transform({all_}, (x, i) -> array_max(transform(slice({all_}, 1, i + 1), y -> y.end)))"))
     pieces = F.expr(f"""array_join(concat(
         transform({all_}, (x, i) -> if(i = 0 or x.start >= {to}[i - 1],
@@ -253,4 +255,4 @@ def redact(docs: DataFrame) -> DataFrame:
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(hit, F.length("text")).otherwise(F.col("n_chars"))
                              .cast(docs.schema["n_chars"].dataType))
-    return reads(out.select(*docs.columns), rows, each)
+    return reads(rest.unionByName(out.select(*docs.columns)), each)

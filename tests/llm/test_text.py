@@ -175,6 +175,16 @@ def test_redaction(spark):
         assert got[i].n_chars == (len(got[i].text) if t is not None else 0)
 
 
+def test_texts_without_matches_are_not_shuffled(spark):
+    rows = [(i, f"plain text {i}" if i % 10 else f"password=abcdef{i}", "r") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    out = secret_scan.redact(df)
+    plan = out._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Union" and "Join" not in plan.children().apply(0).toString()
+    rest = {r.doc_id: tuple(r) for r in out.collect()}
+    assert rest == {i: (i, t if i % 10 else secret_scan.REDACTED, r) for i, t, r in rows}
+
+
 def brute_ppm(train, tests, order):
     counts = collections.defaultdict(collections.Counter)
     pad = lambda t: [ppm.START] * order + list(lower(t).encode()) + [ppm.END]
