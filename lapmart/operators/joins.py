@@ -28,12 +28,22 @@ def broadcast_if_bounded(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES) -> D
     Spark chooses: a shuffle join with AQE skew splitting, or a broadcast of a
     side that AQE has measured.
     """
-    return F.broadcast(df) if input_bytes(df) * EXPANSION <= max_bytes else df
+    return F.broadcast(df) if is_bounded(df, max_bytes) else df
 
 
-def is_hinted(df: DataFrame) -> bool:
-    """Whether ``df`` is marked for broadcast."""
-    return df._jdf.queryExecution().analyzed().nodeName() == "ResolvedHint"
+def is_bounded(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
+    """Whether ``broadcast_if_bounded`` marks ``df``."""
+    return input_bytes(df) * EXPANSION <= max_bytes
+
+
+def broadcast_or_merge(df: DataFrame) -> DataFrame:
+    """``df``, a whole table or some of its columns, for broadcast within the bound; beyond it never broadcast.
+
+    Left to itself, Spark takes a few columns of a table for their share of its compressed files, and broadcasts
+    millions of rows whose hash table does not fit the driver.  For sides that an aggregate or filter makes small
+    see ``broadcast_if_bounded``, which lets AQE measure them.
+    """
+    return F.broadcast(df) if is_bounded(df) else df.hint("merge")
 
 
 # Tables of fewer bytes than this for each core may well be fewer row groups than cores.
@@ -59,7 +69,7 @@ def race_circuits(races: DataFrame, circuits: DataFrame) -> DataFrame:
     circ = circuits.select(F.col("circuit_id").alias("c_circuit_id"),
                            F.col("location").alias("circuit_location"),
                            F.col("country").alias("circuit_country"))
-    return race.join(broadcast_if_bounded(circ), race["circuit_id"] == circ["c_circuit_id"],
+    return race.join(broadcast_or_merge(circ), race["circuit_id"] == circ["c_circuit_id"],
                      "inner") \
         .select("race_id", "race_year", "race_name", "race_date",
                 "circuit_location", "circuit_country")
@@ -87,24 +97,20 @@ def race_results_star(results: DataFrame, races: DataFrame, circuits: DataFrame,
     else:
         circ = circuits.select(F.col("circuit_id").alias("c_circuit_id"))
         race = races.select("race_id", "race_year", F.col("name").alias("race_name"), "circuit_id")
-        race = race.join(broadcast_if_bounded(circ),
+        race = race.join(broadcast_or_merge(circ),
                          race["circuit_id"] == circ["c_circuit_id"], "left_semi").drop("circuit_id")
     drv = drivers.select("driver_id", F.col("name").alias("driver_name"),
                          *[F.col(src).alias(dst) for src, dst in driver_cols])
-    con = constructors.select(F.col("constructor_id").alias("k_constructor_id"),
-                              *([F.col("name").alias("team")] if team else []))
+    con = constructors.select("constructor_id", *([F.col("name").alias("team")] if team else []))
     res = results.select(
         "result_id", "race_id", "driver_id", "constructor_id", "grid", "fastest_lap",
         F.col("position").alias("race_position"), F.col("time").alias("race_time"), "points")
-    con, drv, race = map(broadcast_if_bounded, (con, drv, race))
-
-    def with_race(rows):
-        return rows.join(race, "race_id", "inner")
-
-    # the join that may shuffle the facts comes first, before names make them wide; it deals them out, too
-    shuffled = not is_hinted(race)
-    res = with_race(res) if shuffled else spread_if_small(res)
-    res = res.join(con, res["constructor_id"] == con["k_constructor_id"],
-                   "inner" if team else "left_semi").drop("k_constructor_id")
-    res = res.join(drv, "driver_id", "inner")
-    return res if shuffled else with_race(res)
+    sides = [(con, "constructor_id", "inner" if team else "left_semi"), (drv, "driver_id", "inner"),
+             (race, "race_id", "inner")]
+    small = [is_bounded(dim) for dim, _, _ in sides]
+    if all(small):
+        res = spread_if_small(res)
+    # joins that shuffle the facts come before the others, the one that makes them widest last; they deal them out, too
+    for (dim, key, how), _ in sorted(zip(sides, small), key=lambda x: x[1]):
+        res = res.join(broadcast_or_merge(dim), key, how)
+    return res

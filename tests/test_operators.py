@@ -207,3 +207,37 @@ def test_dimensions_beyond_a_small_driver_are_not_broadcast(spark, tmp_path):
     path = str(tmp_path / "d")
     spark.range(1_200_000).selectExpr("id", "xxhash64(id) AS x").coalesce(1).write.parquet(path)
     assert "ResolvedHint" not in broadcast_if_bounded(spark.read.parquet(path))._jdf.queryExecution().analyzed().toString()
+
+
+def test_large_dimensions_are_never_broadcast_by_the_size_of_their_files(spark, tmp_path):
+    """Two columns of well compressed files count as a few MB for Spark's planner and as hundreds for the driver."""
+    from lapmart.operators.joins import is_bounded, race_results_star
+
+    read = lambda name: spark.read.parquet(f"{tmp_path}/{name}")
+    spark.range(1_200_000).selectExpr("id AS constructor_id", "concat('Team', id % 9) AS name", "uuid() AS pad") \
+        .write.parquet(f"{tmp_path}/constructors")
+    spark.range(1_200_000).selectExpr("id AS circuit_id", "concat('L', id % 9) AS location", "'c' AS country",
+                                      "uuid() AS pad").write.parquet(f"{tmp_path}/circuits")
+    races = spark.createDataFrame([(1, 2020, "A", 7), (2, 2020, "B", 8), (3, 2020, "C", -1)],
+                                  "race_id bigint, race_year int, name string, circuit_id bigint") \
+        .withColumn("race_timestamp", F.lit(None).cast("timestamp"))
+    results = spark.createDataFrame([(1, 1, 5, 3), (2, 2, 5, 1_199_999), (3, 3, 5, 3), (4, 1, 5, None)],
+                                    "result_id bigint, race_id bigint, driver_id bigint, constructor_id bigint") \
+        .selectExpr("*", "1 AS grid", "1 AS fastest_lap", "1 AS position", "'t' AS time", "2.0 AS points")
+    drivers = spark.createDataFrame([(5, "d")], "driver_id bigint, name string")
+    cons, circuits = read("constructors"), read("circuits")
+    assert not is_bounded(cons) and not is_bounded(circuits)
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(conf)
+    try:
+        spark.conf.set(conf, str(1 << 40))
+        for team in (True, False):
+            star = race_results_star(results, races, circuits, drivers, cons, team=team, race_attributes=team)
+            plan = star._jdf.queryExecution().sparkPlan().toString()
+            for key in ("constructor_id", "circuit_id"):
+                lines = [x for x in plan.split("\n") if "Join" in x and key in x]
+                assert lines and all("SortMergeJoin" in x for x in lines)
+            assert rows(star, "result_id", "race_id", *(["team"] if team else [])) == (
+                [(1, 1, "Team3"), (2, 2, "Team2")] if team else [(1, 1), (2, 2)])
+    finally:
+        spark.conf.set(conf, old)
