@@ -25,7 +25,7 @@ def orderable_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-              tiebreak: Sequence[Column] | None = None) -> DataFrame:
+              tiebreak: Sequence[Column] | None = None, spread: bool = True) -> DataFrame:
     """Keep one row per ``keys``: the first under ``order`` then ``tiebreak``.
 
     ``order`` lists the reference's ordering (e.g. ``file_date`` desc).  When
@@ -47,7 +47,9 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     # instead of falling through to string comparisons.  Integral keys are
     # their own good prefix and keep the plain hash partitioning on the key,
     # which a table bucketed by that key can join without a shuffle.
-    integral = all(isinstance(df.schema[k].dataType, IntegralType) for k in keys)
+    # ``spread=False`` is for a first key that is such a prefix, and by which
+    # the rows lie and a join that follows wants them sorted.
+    integral = not spread or all(isinstance(df.schema[k].dataType, IntegralType) for k in keys)
     spec = keys if integral else [F.xxhash64(*keys), *keys]
     w = Window.partitionBy(*spec).orderBy(*order, *tiebreak)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)

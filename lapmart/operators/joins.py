@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +49,30 @@ def broadcast_or_merge(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if is_bounded(df) else df.hint("merge")
 
 
+# Facts of one race that a task may well hold, how many sets of races are counted to see it, the bytes of the
+# facts' files that a task gets, and the most tasks so chosen.
+MOST_FACTS_OF_A_RACE = 500_000
+RACE_SETS = 1 << 14
+FACT_BYTES = 6 * 1024 * 1024
+MOST_FACT_TASKS = 20_000
+
+
+def names_tell_races(results: DataFrame, races: DataFrame, circuits: DataFrame) -> bool:
+    """Whether facts may be reduced to one per race and driver's name where they lie by ``race_id``, before the names.
+
+    Asked only where the star join shuffles the facts by ``race_id``.  Groups by year and name of the race are those
+    by its id if each year and name come from one row, which the races and circuits at hand show.  It is of use
+    unless many of the facts are one race's, which a count by sets of races shows.  All are small aggregations.
+    """
+    if is_bounded(races):
+        return False
+    named = races.where(F.col("race_id").isNotNull()).groupBy(F.xxhash64("race_year", "name")).count()
+    at = circuits.where(F.col("circuit_id").isNotNull()).groupBy("circuit_id").count()
+    sets = results.where(F.col("race_id").isNotNull()).groupBy(F.pmod(F.xxhash64("race_id"), F.lit(RACE_SETS))).count()
+    return all(found.where(F.col("count") > most).isEmpty()
+               for found, most in ((named, 1), (at, 1), (sets, MOST_FACTS_OF_A_RACE)))
+
+
 # Tables of fewer bytes than this for each core may well be fewer row groups than cores.
 SMALL_PER_CORE = 16 * 1024 * 1024
 
@@ -85,12 +112,14 @@ RESULT_ORDER_COLS = ("result_id", "race_id", "driver_id", "constructor_id", "gri
 def race_results_star(results: DataFrame, races: DataFrame, circuits: DataFrame,
                       drivers: DataFrame, constructors: DataFrame,
                       driver_cols: tuple[tuple[str, str], ...] = (), team: bool = False,
-                      race_attributes: bool = False) -> DataFrame:
+                      race_attributes: bool = False,
+                      reduced: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Star join: fact columns, (race_year, race_name, driver_name) and the attributes asked for.
 
     Each dimension is joined once.  One that only filters (constructors
     without ``team``, circuits without ``race_attributes``) is a semi join on
-    its keys, so the surviving facts are the same in every form.
+    its keys, so the surviving facts are the same in every form.  ``reduced``
+    is for rows that lie by ``race_id`` and lack but the race's columns (``names_tell_races``).
     """
     if race_attributes:
         race = race_circuits(races, circuits)
@@ -107,10 +136,25 @@ def race_results_star(results: DataFrame, races: DataFrame, circuits: DataFrame,
         F.col("position").alias("race_position"), F.col("time").alias("race_time"), "points")
     sides = [(con, "constructor_id", "inner" if team else "left_semi"), (drv, "driver_id", "inner"),
              (race, "race_id", "inner")]
+
+    def joined(rows, side):
+        dim, key, how = side
+        return rows.join(broadcast_or_merge(dim), key, how)
+
     small = [is_bounded(dim) for dim, _, _ in sides]
     if all(small):
         res = spread_if_small(res)
     # joins that shuffle the facts come before the others, the one that makes them widest last; they deal them out, too
-    for (dim, key, how), _ in sorted(zip(sides, small), key=lambda x: x[1]):
-        res = res.join(broadcast_or_merge(dim), key, how)
-    return res
+    order = sorted(range(len(sides)), key=lambda i: small[i])
+    if reduced is None:
+        return reduce(joined, [sides[i] for i in order], res)
+    res = res.where(F.col("race_id").isNotNull())
+    res = reduce(joined, [sides[i] for i in order if not small[i] and sides[i][0] is not race], res)
+    res = reduce(joined, [sides[i] for i in order if small[i]], _dealt_by_race(res, input_bytes(results)))
+    return joined(reduced(res), sides[-1])
+
+
+def _dealt_by_race(rows: DataFrame, size: int) -> DataFrame:
+    """Dealt out by ``race_id``, to tasks that can sort their rows in memory; Spark chooses where sizes are unknown."""
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, size // FACT_BYTES)
+    return rows.repartition(tasks, "race_id") if tasks <= MOST_FACT_TASKS else rows.repartition("race_id")

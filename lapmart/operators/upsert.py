@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from lapmart.operators.dedup import latest_by
 from lapmart.sources.rawfiles import scratch_dir
-from lapmart.operators.joins import DEFAULT_MAX_BYTES, EXPANSION, broadcast_if_bounded, input_bytes
+from lapmart.operators.joins import DEFAULT_MAX_BYTES, EXPANSION, broadcast_or_merge, input_bytes
 
 
 class MergeCardinalityError(RuntimeError):
@@ -107,11 +107,11 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], update
             raise _several(keys, hit[0])
 
     def of(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
-        return rows.join(broadcast_if_bounded(found), keys, how)
+        return rows.join(broadcast_or_merge(found), keys, how)
 
     if not every:
         inserted = of(source, seen.where(F.col(n) == 0).select(*keys), "left_semi").unionByName(source.where(~known))
-        return _updated(target, source, keys, upd, lambda s: s).unionByName(
+        return _updated(target, source, keys, upd, lambda s: s.hint("merge")).unionByName(
             inserted.select(*source.columns), allowMissingColumns=True)
     cols = list(target.columns) + [c for c in source.columns if c not in target.columns]
     repeated = seen.where((F.col(n) > 1) & (F.col(m) > 0)).select(*keys, n)

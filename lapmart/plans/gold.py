@@ -9,6 +9,7 @@ from lapmart.functions.columns import count_wins, exact_sum
 from lapmart.operators.dedup import latest_by
 from lapmart.operators.joins import (
     RESULT_ORDER_COLS,
+    names_tell_races,
     race_results_star,
 )
 from lapmart.operators.ranking import rank_desc
@@ -30,9 +31,13 @@ def race_results_deduped(results: DataFrame, races: DataFrame, circuits: DataFra
     ids and result columns break any further tie, so the choice is
     reproducible (rows tied on all of them give identical gold rows).
     """
-    star = race_results_star(results, races, circuits, drivers, constructors, **attributes)
     order = [F.col(c).asc_nulls_first() for c in RESULT_ORDER_COLS]
-    return latest_by(star, GOLD_RACE_RESULTS_KEYS, order, [])
+    dims = (races, circuits, drivers, constructors)
+    if names_tell_races(results, races, circuits):
+        # wide rows stay where the join by race_id needs them
+        return race_results_star(results, *dims, **attributes, reduced=lambda rows: latest_by(
+            rows, ("race_id", "driver_name"), order, [], spread=False))
+    return latest_by(race_results_star(results, *dims, **attributes), GOLD_RACE_RESULTS_KEYS, order, [])
 
 
 def race_results(results: DataFrame, races: DataFrame, circuits: DataFrame,

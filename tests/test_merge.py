@@ -238,3 +238,24 @@ def test_whole_rows_of_a_large_source_are_not_shuffled(spark, monkeypatch, tmp_p
     assert "Exchange hashpartitioning(k" not in out._jdf.queryExecution().sparkPlan().toString()
     hinted = upsert.key_hint(spark.read.parquet(f"{tmp_path}/s"), spark.read.parquet(f"{tmp_path}/s").select("k"))
     assert "strategy=merge" in hinted._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.mark.parametrize("update", [["v"], ["v", "w"]])
+def test_a_large_source_is_never_broadcast_by_the_size_of_its_files(spark, monkeypatch, tmp_path, update):
+    from lapmart.operators import joins, upsert
+
+    spark.range(100).selectExpr("id AS k", "id AS v", "1 AS w").write.parquet(f"{tmp_path}/t")
+    spark.range(50, 120).selectExpr("id AS k", "-id AS v", "2 AS w").write.parquet(f"{tmp_path}/s")
+    monkeypatch.setattr(upsert, "DEFAULT_MAX_BYTES", 0)
+    monkeypatch.setattr(joins, "is_bounded", lambda df, max_bytes=0: False)
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(conf)
+    try:
+        spark.conf.set(conf, str(1 << 40))
+        out = merge_rows(spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/s"), ["k"], update)
+        assert "Broadcast" not in out._jdf.queryExecution().sparkPlan().toString()
+        w = 2 if "w" in update else 1
+        assert sorted(map(tuple, out.collect())) == [(i, i, 1) for i in range(50)] + [
+            (i, -i, w if i < 100 else 2) for i in range(50, 120)]
+    finally:
+        spark.conf.set(conf, old)

@@ -241,3 +241,40 @@ def test_large_dimensions_are_never_broadcast_by_the_size_of_their_files(spark,
                 [(1, 1, "Team3"), (2, 2, "Team2")] if team else [(1, 1), (2, 2)])
     finally:
         spark.conf.set(conf, old)
+
+
+def test_rows_joined_by_race_are_deduplicated_where_they_lie(spark, monkeypatch):
+    """Beyond the broadcast bound, unless two races share year and name, or one race has very many of the facts."""
+    from lapmart.operators import joins
+    from lapmart.plans.gold import race_results_deduped
+
+    kind = "race_id bigint, race_year int, name string, circuit_id bigint"
+    apart = [(1, 2020, "A", 1), (2, 2020, "B", 1), (3, 2021, "A", 1), (3, 2021, "C", 1), (4, None, "N", 1),
+             (None, 2020, "A", 1)]
+    drivers = spark.createDataFrame([(5, "d"), (6, "d"), (7, "e"), (7, None)], "driver_id bigint, name string")
+    facts = spark.createDataFrame(
+        [(i, r, d, 9) for i, (r, d) in enumerate([(1, 5), (1, 6), (2, 5), (3, 7), (3, 7), (1, 5), (4, 7), (2, 8), (5, 6)])]
+        + [(20, None, 5, 9), (21, 1, None, 9)],
+        "result_id bigint, race_id bigint, driver_id bigint, constructor_id bigint") \
+        .selectExpr("*", "1 AS grid", "1 AS fastest_lap", "1 AS position", "'t' AS time", "2.0 AS points").repartition(3)
+    circuits = spark.createDataFrame([(1,)], "circuit_id bigint")
+    cons = spark.createDataFrame([(9, "t")], "constructor_id bigint, name string")
+    cols = ["result_id", "race_id", "race_year", "race_name", "driver_name", "team"]
+
+    def run(races):
+        races = spark.createDataFrame(races, kind).withColumn("race_timestamp", F.lit(None).cast("timestamp"))
+        told = joins.names_tell_races(facts, races, circuits)
+        out = race_results_deduped(facts, races, circuits, drivers, cons, team=True)
+        text = out._jdf.queryExecution().executedPlan().toString()
+        return told, rows(out, *cols), "driver_name" in "".join(x for x in text.split("\n") if "Exchange hash" in x)
+
+    clash, twice = [*apart, (5, 2020, "A", 1)], [*apart, *apart]
+    monkeypatch.setattr(joins, "is_bounded", lambda df, max_bytes=0: True)
+    expected = {len(x): run(x) for x in (apart, clash, twice)}
+    assert not any(told for told, _, _ in expected.values())           # within the bound nothing is shuffled by race
+    monkeypatch.setattr(joins, "is_bounded", lambda df, max_bytes=0: False)
+    assert run(apart) == (True, expected[len(apart)][1], False)
+    for x in (clash, twice):
+        assert run(x) == (False, expected[len(x)][1], True)
+    monkeypatch.setattr(joins, "MOST_FACTS_OF_A_RACE", 2)
+    assert run(apart) == (False, expected[len(apart)][1], True)
